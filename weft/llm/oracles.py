@@ -48,4 +48,22 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
-ORACLES: dict[str, str] = {"op1_mix_sources": OP1, "op6_exact_dedup": OP6}
+OP5 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, hash(CASE WHEN len(w) >= 4 THEN w[i : i + 3] ELSE w END, len(w) < 4) AS s
+  FROM w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS u(i)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS v, a AS u FROM e UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.u)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT v AS doc_id, min(u) AS component_id FROM r GROUP BY v) c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_jaccard_join": OP5, "op6_exact_dedup": OP6}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, mixing
+from weft.llm import exact_dedup, mixing, ngram_join
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
@@ -46,3 +46,9 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(
         docs.withColumn("text_sha256", digest), Workspace(spark, "op6"), carry=["text_sha256"]
     ).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.jaccard_components(docs, Workspace(spark, "op5"), words=4, percent=85)
