@@ -143,8 +143,8 @@ def _classes(words: int):
 CLASS_SCHEMA = "id long, n int, low long, high long, bands array<long>, mark binary, chunk int, counts binary"
 
 
-def frequency_classes(rows: DataFrame) -> np.ndarray:
-    """Sum of the partial frequency tables, as a coarse class per bucket: how often the mean it is hit.
+def frequencies(rows: DataFrame) -> np.ndarray:
+    """Sum of the partial frequency tables: an upper bound on the number of texts with a shingle, by bucket.
 
     The table has 2**FREQUENCY_BITS numbers (2 MB) at any input size.
     """
@@ -171,24 +171,22 @@ def frequency_classes(rows: DataFrame) -> np.ndarray:
     table = np.zeros((CHUNKS, (1 << FREQUENCY_BITS) // CHUNKS), np.int64)
     for row in summed:
         table[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
-    counts = table.reshape(-1)
-    mean = max(1.0, counts.mean())
-    return np.floor(np.log2(1 + counts / mean) * 4).astype(np.uint8), counts
+    return table.reshape(-1)
 
 
 def _postings(words: int, percent: int, shared):
     """Arrow batches of (id, text) to (id, n, prefix): the first elements in the order rare first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, _ = shared.value
+        counts = shared.value
         for batch in batches:
             n, prefixes = [], []
             for _, _, data, at in blocks(batch.column(1)):
                 for s in shingle_sets(data, at, words):
                     n.append(len(s))
                     k = prefix_length(len(s), percent)
-                    rank = classes[(s >> U64(64 - FREQUENCY_BITS)).astype(np.int64)]
-                    # Within a class the order is that of the hashes, in which s already is.
+                    rank = counts[(s >> U64(64 - FREQUENCY_BITS)).astype(np.int64)]
+                    # Elements of one rank keep the order of the hashes, in which s already is.
                     prefixes.append(s[np.argsort(rank, kind="stable")[:k]].tobytes())
             yield pa.record_batch(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(prefixes, pa.binary())], names=["id", "n", "prefix"]
@@ -202,7 +200,7 @@ def _tiles(percent: int, shared):
     step = -math.log(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, counts = shared.value
+        counts = shared.value
         load = TILE_ROWS + 8 * max(1.0, counts.mean())
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
@@ -388,7 +386,7 @@ def jaccard_components(
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = workspace.save(plain.mapInArrow(_classes(words), CLASS_SCHEMA), "classes")
     texts = rows.where("chunk IS NULL")
-    shared = spark.sparkContext.broadcast(frequency_classes(rows))
+    shared = spark.sparkContext.broadcast(frequencies(rows))
 
     classes = (
         texts.where("n > 0")

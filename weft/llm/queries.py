@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, mixing, ngram_join
+from weft.llm import exact_dedup, lm_scoring, mixing, ngram_join, toxicity
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
+#: Vocabulary files of public tokenizers, on every machine; WEFT_TOKENIZERS names another folder.
+TOKENIZERS = os.environ.get("WEFT_TOKENIZERS", "/opt/tokenizers")
+UNIGRAM_VOCABULARY = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -52,3 +57,26 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.jaccard_components(docs, Workspace(spark, "op5"), words=4, percent=85)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.learn(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id")) % 5 != 0)
+    return toxicity.score(docs, net).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold",
+        "flagged",
+    )
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id")) % 5 == 1
+    return lm_scoring.score(docs, Workspace(spark, "op10"), ~held_out, UNIGRAM_VOCABULARY).select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
