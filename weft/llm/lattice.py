@@ -178,13 +178,14 @@ def backward(lat: Lattices, w: np.ndarray) -> np.ndarray:
     return beta[:n]
 
 
-def log_likelihood(words: list[bytes], vocab: Vocabulary, log_p: np.ndarray, step: int = 20_000) -> np.ndarray:
-    """Log of the probability of each word, summed over all its segmentations."""
-    out = np.zeros(len(words))
+def log_likelihoods(words: list[bytes], vocab: Vocabulary, models: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Log of the probability of each word under each model (a row of piece probabilities), summed over all segmentations."""
+    out = np.zeros((len(models), len(words)))
     for lo in range(0, len(words), step):
         lat = build(words[lo : lo + step], vocab)
-        alpha = forward(lat, weights(lat, vocab, log_p))
-        out[lo + lat.order] = alpha[lat.first + lat.chars]
+        for k, log_p in enumerate(models):
+            alpha = forward(lat, weights(lat, vocab, log_p))
+            out[k, lo + lat.order] = alpha[lat.first + lat.chars]
     return out
 
 

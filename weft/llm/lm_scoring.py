@@ -5,11 +5,11 @@ probabilities that start at the vocabulary's own scores and are re-estimated by
 expectation maximisation over all distinct training words, and one arc for the whole word if the
 training corpus has it. With c its count among N training tokens, V distinct ones and a discount d,
 
-    P(word) = max(c - d, 0) / N + d V / N * P_pieces(word),
+    P(word | k) = max(c - d, 0) / N + d V / N * P_pieces(word | k),
 
-where P_pieces sums all segmentations by a forward recursion in log space, an end piece included. The
-same step leads from P to P(word | k) with the counts of the training texts of class k; classes are the
-CLASSES - 1 most frequent values of a column (the language) and one for the rest. In a text,
+where P_pieces sums all segmentations by a forward recursion in log space, an end piece included. Counts
+and pieces are those of the training texts of class k; classes are the CLASSES - 1 most frequent values
+of a column (the language) and one for the rest. In a text,
 P(word | k) is the prior of a cache: the i-th token has (m + M P(token | k)) / (i - 1 + M) if it came m
 times before in the same text. The score is the log10 of the text's probability, its end included,
 summed over the classes; the class of a scored text is not looked at.
@@ -116,23 +116,27 @@ def _marked(words) -> list[bytes]:
 
 
 def piece_log_p(words: DataFrame, vocab_file: str) -> np.ndarray:
-    """Log probabilities of the pieces, re-estimated over the distinct training words (column word).
+    """Log probabilities of the pieces in each class, re-estimated over its distinct training words.
 
-    What reaches the driver is one number per piece of the vocabulary. An end follows each word.
+    What reaches the driver is one number per class and piece of the vocabulary. An end follows each word.
     """
     spark = words.sparkSession
-    log_p = lattice.vocabulary(vocab_file).log_p
+    start = lattice.vocabulary(vocab_file).log_p
+    log_p = np.tile(start, (CLASSES, 1))
 
     def counted(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocab = lattice.vocabulary(vocab_file)
-            total, n = np.zeros(len(vocab.log_p)), 0
+            total, n = np.zeros((CLASSES, len(vocab.log_p))), np.zeros(CLASSES, np.int64)
             for batch in batches:
-                found = batch.column(0).to_pylist()
-                total += lattice.expected_counts(_marked(found), vocab, shared.value)
-                n += len(found)
+                found = _marked(batch.column(0).to_pylist())
+                for k in range(CLASSES):
+                    own = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
+                    total[k] += lattice.expected_counts([found[i] for i in own], vocab, shared.value[k])
+                    n[k] += len(own)
             yield pa.record_batch(
-                [pa.array([0]), pa.array([total.tobytes()], pa.binary()), pa.array([n])], names=["k", "counts", "n"]
+                [pa.array(range(CLASSES)), pa.array([t.tobytes() for t in total], pa.binary()), pa.array(n)],
+                names=["k", "counts", "n"],
             )
 
         return run
@@ -143,14 +147,12 @@ def piece_log_p(words: DataFrame, vocab_file: str) -> np.ndarray:
 
     for _ in range(EM_STEPS):
         schema = "k long, counts binary, n long"
-        partial = words.select("word").mapInArrow(counted(spark.sparkContext.broadcast(log_p)), schema)
-        found = partial.groupBy("k").applyInPandas(add, schema).collect()
-        if not found or not found[0]["n"]:
-            break
-        vocab = lattice.vocabulary(vocab_file)
-        counts = np.frombuffer(found[0]["counts"], np.float64) + PIECE_FLOOR * (vocab.log_p > -np.inf)
-        with np.errstate(divide="ignore"):
-            log_p = np.log(counts / (counts.sum() + found[0]["n"]))
+        partial = words.select("word", *COUNTS).mapInArrow(counted(spark.sparkContext.broadcast(log_p)), schema)
+        for row in partial.groupBy("k").applyInPandas(add, schema).collect():
+            if row["n"]:
+                counts = np.frombuffer(row["counts"], np.float64) + PIECE_FLOOR * (start > -np.inf)
+                with np.errstate(divide="ignore"):
+                    log_p[row["k"]] = np.log(counts / (counts.sum() + row["n"]))
     return log_p
 
 
@@ -209,19 +211,22 @@ def score(
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = lattice.vocabulary(vocab_file)
-        end = _end_log_p(shared.value)
+        ends_log_p = [_end_log_p(p) for p in shared.value]
         for batch in batches:
-            found = lattice.log_likelihood(_marked(batch.column(0).to_pylist()), vocab, shared.value)
-            yield pa.record_batch([*batch.columns, pa.array(found + end)], names=["word", *COUNTS, "spelled"])
+            found = lattice.log_likelihoods(_marked(batch.column(0).to_pylist()), vocab, shared.value)
+            by_word = np.stack([x + e for x, e in zip(found, ends_log_p, strict=True)], axis=1).astype(np.float32)
+            packed = pa.array([x.tobytes() for x in by_word], pa.binary())
+            yield pa.record_batch([*batch.columns, packed], names=["word", *COUNTS, "spelled"])
 
-    schema = "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", spelled double"
+    schema = "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", spelled binary"
     priced = workspace.save(words.mapInArrow(spelled, schema), "priced")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Dictionary rows to one row of arrays per chunk and batch."""
         for batch in batches:
-            chunk, local, *c, s = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            chunk, local, *c = (x.to_numpy(zero_copy_only=False) for x in batch.columns[:-1])
             c = np.stack(c, axis=1)
+            s = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.float32).reshape(-1, CLASSES)
             order = np.argsort(chunk, kind="stable")
             edges = np.flatnonzero(np.concatenate(([True], np.diff(chunk[order]) != 0, [True])))
             runs = [order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)] if len(order) else []
@@ -229,7 +234,7 @@ def score(
                 [pa.array([chunk[r[0]] for r in runs], pa.int64()),
                  pa.array([local[r].astype(np.int32).tobytes() for r in runs], pa.binary()),
                  pa.array([c[r].astype(np.int64).tobytes() for r in runs], pa.binary()),
-                 pa.array([s[r].astype(np.float32).tobytes() for r in runs], pa.binary())],
+                 pa.array([s[r].tobytes() for r in runs], pa.binary())],
                 names=["chunk", "local", "c", "spelled"],
             )
 
@@ -270,15 +275,15 @@ class Facts:
 def class_prices(c: np.ndarray, spelled: np.ndarray, facts: Facts) -> np.ndarray:
     """Natural log of P(word | class), one row per class with training texts (one row if there are none)."""
 
-    def step(count, tokens, distinct, below):
-        with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(np.maximum(count - DISCOUNT, 0) / tokens), np.log(DISCOUNT * distinct / tokens) + below)
-
     if not facts.tokens:
-        return spelled[None]
-    of_all = step(c.sum(axis=1), facts.tokens, facts.distinct, spelled)
-    some = np.flatnonzero(facts.ends)
-    return np.stack([step(c[:, k], facts.by_class[k], facts.distinct_by_class[k], of_all) for k in some])
+        return spelled[:, 0][None].astype(float)
+    rows = []
+    for k in np.flatnonzero(facts.ends):
+        n = facts.by_class[k]
+        with np.errstate(divide="ignore"):
+            whole = np.log(np.maximum(c[:, k] - DISCOUNT, 0) / n)
+        rows.append(np.logaddexp(whole, np.log(DISCOUNT * facts.distinct_by_class[k] / n) + spelled[:, k]))
+    return np.stack(rows)
 
 
 def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.DataFrame:
@@ -288,10 +293,10 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
     learned = np.frombuffer(blob, np.int64, rows, 16 + 8 * rows) < CLASSES
     first = np.frombuffer(blob, np.int64, rows + 1, 16 + 16 * rows)
     local = np.frombuffer(blob, np.int32, -1, 16 + 16 * rows + 8 * (rows + 1))
-    c, spelled = np.zeros((types, CLASSES), np.int64), np.zeros(types)
+    c, spelled = np.zeros((types, CLASSES), np.int64), np.zeros((types, CLASSES), np.float32)
     for at, x, y in zip(dictionary["local"], dictionary["c"], dictionary["spelled"], strict=True):
         at = np.frombuffer(at, np.int32)
-        c[at], spelled[at] = np.frombuffer(x, np.int64).reshape(-1, CLASSES), np.frombuffer(y, np.float32)
+        c[at], spelled[at] = np.frombuffer(x, np.int64).reshape(-1, CLASSES), np.frombuffer(y, np.float32).reshape(-1, CLASSES)
     length = np.diff(first)
     text = np.repeat(np.arange(rows), length)
 
