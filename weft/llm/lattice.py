@@ -14,8 +14,10 @@ import numpy as np
 
 from weft.llm.textops import U64, prefix_sums, span_hash
 
+#: How the vocabulary writes a space. Lattices are built over texts with plain spaces, so that a text that
+#: has this character itself spells it in byte pieces and stays distinct.
 MARK = "▁"
-MARK_BYTES = MARK.encode()
+MARK_BYTES = b" "
 ZIPF_SHIFT = 10.0
 NONE = -np.inf
 
@@ -31,6 +33,9 @@ class Vocabulary:
     byte_ids: np.ndarray
     longest: int
     pieces: list[str]
+    body: np.ndarray
+    begin: np.ndarray
+    lengths: np.ndarray
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece ids of span hashes, -1 where no piece spells the span."""
@@ -72,7 +77,7 @@ def vocabulary(model_file: str) -> Vocabulary:
     with np.errstate(divide="ignore"):
         log_p = np.log(weight / weight.sum())
     usable = np.flatnonzero(plain)
-    body = [pieces[i].encode() for i in usable]
+    body = [pieces[i].replace(MARK, " ").encode() for i in usable]
     ends = np.cumsum([len(b) for b in body])
     data = np.frombuffer(b"".join(body), np.uint8)
     h = span_hash(prefix_sums(data), np.concatenate([[0], ends[:-1]]), ends)
@@ -80,7 +85,14 @@ def vocabulary(model_file: str) -> Vocabulary:
     seen = np.zeros(1 << 20, bool)
     seen[(h >> U64(44)).astype(np.int64)] = True
     longest = max(len(pieces[i]) for i in usable)
-    return Vocabulary(h[order], usable[order].astype(np.int32), seen, log_p, byte_ids, longest, pieces)
+    of_byte = {int(i): bytes([b]) for b, i in enumerate(byte_ids) if i >= 0}
+    spelled = [of_byte.get(i, p.replace(MARK, " ").encode() if plain[i] else b"") for i, p in enumerate(pieces)]
+    lengths = np.array([len(x) for x in spelled], np.int64)
+    bodies = np.frombuffer(b"".join(spelled), np.uint8)
+    return Vocabulary(
+        h[order], usable[order].astype(np.int32), seen, log_p, byte_ids, longest, pieces,
+        bodies, np.cumsum(lengths) - lengths, lengths,
+    )
 
 
 @dataclass
@@ -101,9 +113,13 @@ class Lattices:
 
 
 def build(words: list[bytes], vocab: Vocabulary) -> Lattices:
-    """Lattices of byte strings in UTF-8 (spaces already written as the mark)."""
+    """Lattices of byte strings in UTF-8."""
     lengths = np.array([len(w) for w in words], np.int64)
-    data = np.frombuffer(b"".join(words), np.uint8)
+    return build_spans(np.frombuffer(b"".join(words), np.uint8), lengths, vocab)
+
+
+def build_spans(data: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> Lattices:
+    """Lattices of words of the given lengths that lie one behind the other in data."""
     begin = np.cumsum(lengths) - lengths
     lead = (data & 0xC0) != 0x80
     upto = np.concatenate([[0], np.cumsum(lead)])

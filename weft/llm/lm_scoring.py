@@ -112,7 +112,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(words) -> list[bytes]:
-    return [lattice.MARK_BYTES + w.replace(b" ", lattice.MARK_BYTES) for w in words]
+    return [lattice.MARK_BYTES + w for w in words]
 
 
 def piece_log_p(words: DataFrame, vocab_file: str) -> np.ndarray:

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, lm_scoring, mixing, ngram_join, toxicity
+from weft.llm import exact_dedup, lm_scoring, mixing, ngram_join, sentencepiece_sampling, token_counts, toxicity
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
 #: Vocabulary files of public tokenizers, on every machine; WEFT_TOKENIZERS names another folder.
 TOKENIZERS = os.environ.get("WEFT_TOKENIZERS", "/opt/tokenizers")
+BPE_RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 UNIGRAM_VOCABULARY = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +54,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every sentence of every document; a token across a sentence's end goes where most of it lies."""
+    return token_counts.section_tokens(
+        table(spark, sf_dir, "documents"), BPE_RANKS, rule="majority", borders_of=token_counts.sentence_borders
+    )
+
+
+@query
+def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document; the pieces themselves are in the operator's output."""
+    encoded = sentencepiece_sampling.encode(table(spark, sf_dir, "documents"), UNIGRAM_VOCABULARY, samples=2)
+    return encoded.select(
+        "doc_id", "sample", "n_pieces", "log_prob", "gumbel", "inclusion", "restored",
+        F.sha2(F.col("pieces"), 256).alias("pieces_sha256"),
+    )
+
+
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
