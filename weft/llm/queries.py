@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, lm_scoring, mixing, ngram_join, sentencepiece_sampling, token_counts, toxicity
+from weft.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, ngram_join, sentencepiece_sampling, token_counts, toxicity
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
@@ -72,6 +72,20 @@ def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_path() -> Column:
+    """Documents as files: source/number of the 64 around it/name; each directory's first one is its LICENSE."""
+    folder = F.floor(F.col("doc_id") / 64).cast("long").cast("string")
+    name = F.when(F.col("doc_id") % 64 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), folder, name)
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("path", document_path())
+    found = license_scan.scan(docs, Workspace(spark, "op4"))
+    return found.select("doc_id", "path", "license", "how", "from_directory", F.round("score", 9).alias("score"), "line")
+
+
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -99,3 +113,24 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, Workspace(spark, "op10"), ~held_out, UNIGRAM_VOCABULARY).select(
         "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, with the text model fitted on documents."""
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages")
+    body = F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-zA-Z]+)", 1))
+    found = language_id.identify(
+        pages.select("page_id", "url", body.alias("body"), declared.alias("d"), host.alias("h")),
+        model,
+        Workspace(spark, "op9"),
+        key_cols=("page_id",),
+        text_col="body",
+        declared=F.nullif(F.col("d"), F.lit("")),
+        suffix=F.nullif(F.substring_index("h", ".", -1), F.lit("")),
+        host=F.nullif(F.col("h"), F.lit("")),
+    )
+    return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "declared", "rejected")
