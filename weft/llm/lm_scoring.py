@@ -8,8 +8,8 @@ training corpus has it. With c its count among N training tokens, V distinct one
     P(word | k) = max(c - d, 0) / N + d V / N * P_pieces(word | k),
 
 where P_pieces sums all segmentations by a forward recursion in log space, an end piece included. Counts
-and pieces are those of the training texts of class k; classes are the CLASSES - 1 most frequent values
-of a column (the language) and one for the rest. In a text,
+and pieces are those of the training texts of class k; classes are the MAX_CLASSES - 1 most frequent
+values of a column (the language) and, if there is a rest, one for it. In a text,
 P(word | k) is the prior of a cache: the i-th token has (m + M P(token | k)) / (i - 1 + M) if it came m
 times before in the same text. The score is the log10 of the text's probability, its end included,
 summed over the classes; the class of a scored text is not looked at.
@@ -43,24 +43,28 @@ from weft.llm import lattice
 from weft.llm.textops import LOWER, blocks, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
-CHUNK_BYTES = 12 << 20
-EM_STEPS = 3
+CHUNK_BYTES = 20 << 20
+EM_STEPS = 2
 DISCOUNT = 0.75
-CLASSES = 6
+MAX_CLASSES = 6
 CACHE_MASS = 300.0
 PIECE_FLOOR = 1e-2
-COUNTS = [f"c{k}" for k in range(CLASSES)]
-CHUNK_SCHEMA = "chunk long, texts binary, local int, word binary, " + ", ".join(f"{c} long" for c in COUNTS)
 
 
-def _chunk(parts: list, number: int) -> Iterator[pa.RecordBatch]:
+def _columns(classes: int) -> list[str]:
+    """Count columns of the classes."""
+    return [f"c{k}" for k in range(classes)]
+
+
+
+def _chunk(parts: list, number: int, classes: int) -> Iterator[pa.RecordBatch]:
     """One chunk from its blocks: the row of texts, then the dictionary."""
-    names = ["chunk", "texts", "local", "word", *COUNTS]
+    names = ["chunk", "texts", "local", "word", *_columns(classes)]
     hashes = np.concatenate([p[0] for p in parts])
     _, at, local = np.unique(hashes, return_index=True, return_inverse=True)
-    per_text = np.concatenate([p[5] for p in parts])  # the class of a training text, else CLASSES
+    per_text = np.concatenate([p[5] for p in parts])  # the class of a training text, else `classes`
     owner = np.repeat(per_text, np.concatenate([np.diff(p[3]) for p in parts]))
-    count = np.bincount(local * (CLASSES + 1) + owner, minlength=len(at) * (CLASSES + 1)).reshape(-1, CLASSES + 1)
+    count = np.bincount(local * (classes + 1) + owner, minlength=len(at) * (classes + 1)).reshape(-1, classes + 1)
     block = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])[at]
     base = np.cumsum([0, *[len(p[0]) for p in parts]])
     words = []
@@ -82,60 +86,64 @@ def _chunk(parts: list, number: int) -> Iterator[pa.RecordBatch]:
     )
     yield pa.record_batch(
         [pa.array([number]), pa.array([texts], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-         *[pa.array([int((per_text == k).sum())]) for k in range(CLASSES)]], names=names,
+         *[pa.array([int((per_text == k).sum())]) for k in range(classes)]], names=names,
     )
     for lo in range(0, len(at), 50_000):
         n = min(50_000, len(at) - lo)
         yield pa.record_batch(
             [pa.array(np.full(n, number)), pa.nulls(n, pa.binary()), pa.array(np.arange(lo, lo + n, dtype=np.int32)),
-             pa.array(words[lo : lo + n], pa.binary()), *[pa.array(count[lo : lo + n, k]) for k in range(CLASSES)]], names=names,
+             pa.array(words[lo : lo + n], pa.binary()), *[pa.array(count[lo : lo + n, k]) for k in range(classes)]], names=names,
         )
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, class, text) to chunks and their dictionaries; the class of a row that is not learned is CLASSES."""
-    number, parts, held = TaskContext.get().partitionId() << 32, [], 0
-    for batch in batches:
-        rows = batch.column(0).to_numpy(zero_copy_only=False)
-        classes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo, hi, data, at in blocks(batch.column(2)):
-            data = LOWER[data]
-            starts, ends, first = spans(data, at)
-            h = span_hash(prefix_sums(data), starts, ends)
-            parts.append((h, starts, ends, first, rows[lo:hi], classes[lo:hi], data))
-            held += len(data)
-            if held >= CHUNK_BYTES:
-                yield from _chunk(parts, number)
-                number, parts, held = number + 1, [], 0
-    if parts:
-        yield from _chunk(parts, number)
+def _chunks(classes: int):
+    """(row, class, text) to chunks and their dictionaries; the class of a row that is not learned is `classes`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts, held = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            rows = batch.column(0).to_numpy(zero_copy_only=False)
+            learned = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi, data, at in blocks(batch.column(2)):
+                data = LOWER[data]
+                starts, ends, first = spans(data, at)
+                h = span_hash(prefix_sums(data), starts, ends)
+                parts.append((h, starts.astype(np.int32), ends.astype(np.int32), first, rows[lo:hi], learned[lo:hi], data))
+                held += len(data)
+                if held >= CHUNK_BYTES:
+                    yield from _chunk(parts, number, classes)
+                    number, parts, held = number + 1, [], 0
+        if parts:
+            yield from _chunk(parts, number, classes)
+
+    return run
 
 
 def _marked(words) -> list[bytes]:
     return [lattice.MARK_BYTES + w for w in words]
 
 
-def piece_log_p(words: DataFrame, vocab_file: str) -> np.ndarray:
+def piece_log_p(words: DataFrame, vocab_file: str, classes: int) -> np.ndarray:
     """Log probabilities of the pieces in each class, re-estimated over its distinct training words.
 
     What reaches the driver is one number per class and piece of the vocabulary. An end follows each word.
     """
     spark = words.sparkSession
     start = lattice.vocabulary(vocab_file).log_p
-    log_p = np.tile(start, (CLASSES, 1))
+    log_p = np.tile(start, (classes, 1))
 
     def counted(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocab = lattice.vocabulary(vocab_file)
-            total, n = np.zeros((CLASSES, len(vocab.log_p))), np.zeros(CLASSES, np.int64)
+            total, n = np.zeros((classes, len(vocab.log_p))), np.zeros(classes, np.int64)
             for batch in batches:
                 found = _marked(batch.column(0).to_pylist())
-                for k in range(CLASSES):
+                for k in range(classes):
                     own = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
                     total[k] += lattice.expected_counts([found[i] for i in own], vocab, shared.value[k])
                     n[k] += len(own)
             yield pa.record_batch(
-                [pa.array(range(CLASSES)), pa.array([t.tobytes() for t in total], pa.binary()), pa.array(n)],
+                [pa.array(range(classes)), pa.array([t.tobytes() for t in total], pa.binary()), pa.array(n)],
                 names=["k", "counts", "n"],
             )
 
@@ -147,7 +155,7 @@ def piece_log_p(words: DataFrame, vocab_file: str) -> np.ndarray:
 
     for _ in range(EM_STEPS):
         schema = "k long, counts binary, n long"
-        partial = words.select("word", *COUNTS).mapInArrow(counted(spark.sparkContext.broadcast(log_p)), schema)
+        partial = words.select("word", *_columns(classes)).mapInArrow(counted(spark.sparkContext.broadcast(log_p)), schema)
         for row in partial.groupBy("k").applyInPandas(add, schema).collect():
             if row["n"]:
                 counts = np.frombuffer(row["counts"], np.float64) + PIECE_FLOOR * (start > -np.inf)
@@ -162,16 +170,17 @@ def _end_log_p(log_p: np.ndarray) -> float:
     return float(np.log(left)) if left > 1e-9 else float(np.log(1 / 3))
 
 
-def _class_column(docs: DataFrame, learned: Column, class_col: str | None) -> Column:
-    """Number of a row's class: by frequency among training rows, which are at most CLASSES - 1 values."""
+def _class_column(docs: DataFrame, learned: Column, class_col: str | None) -> tuple[Column, int]:
+    """Number of a row's class and how many there are: the most frequent values of training rows, and the rest."""
     if class_col is None:
-        return F.lit(0)
-    seen = docs.where(learned & F.col(class_col).isNotNull()).groupBy(F.col(class_col).cast("string").alias("k")).count()
-    top = [r["k"] for r in seen.orderBy(F.desc("count"), "k").limit(CLASSES - 1).collect()]
-    number = F.lit(CLASSES - 1)
+        return F.lit(0), 1
+    named = F.col(class_col).cast("string").alias("k")
+    seen = docs.where(learned).groupBy(named).count().orderBy(F.desc("count"), "k").limit(MAX_CLASSES + 1).collect()
+    top = [r["k"] for r in seen if r["k"] is not None][: MAX_CLASSES - 1]
+    number = F.lit(len(top))
     for i, k in enumerate(top):
         number = F.when(F.col(class_col).cast("string") == k, F.lit(i)).otherwise(number)
-    return number
+    return number, max(1, len(top) + (len(seen) > len(top)))
 
 
 def score(
@@ -188,45 +197,52 @@ def score(
     spark = docs.sparkSession
     learned = F.coalesce(learned, F.lit(False))
     null_id = -(1 << 63)
-    number = F.when(learned, _class_column(docs, learned, class_col)).otherwise(F.lit(CLASSES))
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("row"), number.alias("k"), F.col(text_col).alias("text"))
-    chunks = workspace.save(plain.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks")
-    entries = chunks.where("texts IS NULL").select("chunk", "local", "word", *COUNTS)
-    words = workspace.save(entries.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS]), "words")
-    known = sum((F.col(c) for c in COUNTS), F.lit(0)) > 0
+    number, classes = _class_column(docs, learned, class_col)
+    counts = _columns(classes)
+    plain = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("row"),
+        F.when(learned, F.least(number, F.lit(classes - 1))).otherwise(F.lit(classes)).alias("k"),
+        F.col(text_col).alias("text"),
+    )
+    schema = "chunk long, texts binary, local int, word binary, " + ", ".join(f"{c} long" for c in counts)
+    chunks = workspace.save(plain.mapInArrow(_chunks(classes), schema), "chunks")
+    entries = chunks.where("texts IS NULL").select("chunk", "local", "word", *counts)
+    words = workspace.save(entries.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]), "words")
+    known = sum((F.col(c) for c in counts), F.lit(0)) > 0
     totals = words.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"n_{c}") for c in COUNTS],
-        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"v_{c}") for c in COUNTS],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"n_{c}") for c in counts],
+        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"v_{c}") for c in counts],
         F.count(F.when(known, 1)).alias("v"),
     ).first()
-    ends = chunks.where("texts IS NOT NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS]).first()
+    ends = chunks.where("texts IS NOT NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]).first()
     facts = Facts(
-        np.array([totals[f"n_{c}"] + ends[c] for c in COUNTS], float),
-        np.array([totals[f"v_{c}"] + (ends[c] > 0) for c in COUNTS], float),
-        np.array([ends[c] for c in COUNTS], float),
+        np.array([totals[f"n_{c}"] + ends[c] for c in counts], float),
+        np.array([totals[f"v_{c}"] + (ends[c] > 0) for c in counts], float),
+        np.array([ends[c] for c in counts], float),
         totals["v"] + (sum(ends) > 0),
     )
-    log_p = piece_log_p(words.where(known), vocab_file)
+    log_p = piece_log_p(words.where(known), vocab_file, classes)
     shared = spark.sparkContext.broadcast(log_p)
 
-    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words with their counts to words with their count and log probability in each class."""
         vocab = lattice.vocabulary(vocab_file)
-        ends_log_p = [_end_log_p(p) for p in shared.value]
+        ends_log_p = np.array([_end_log_p(p) for p in shared.value])
         for batch in batches:
             found = lattice.log_likelihoods(_marked(batch.column(0).to_pylist()), vocab, shared.value)
-            by_word = np.stack([x + e for x, e in zip(found, ends_log_p, strict=True)], axis=1).astype(np.float32)
-            packed = pa.array([x.tobytes() for x in by_word], pa.binary())
-            yield pa.record_batch([*batch.columns, packed], names=["word", *COUNTS, "spelled"])
+            c = np.stack([x.to_numpy(zero_copy_only=False) for x in batch.columns[1:]], axis=1)
+            prices = class_prices(c, found.T + ends_log_p, facts).astype(np.float32)
+            packed = pa.array([x.tobytes() for x in prices], pa.binary())
+            yield pa.record_batch([batch.column(0), pa.array(c.sum(axis=1)), packed], names=["word", "c", "prices"])
 
-    schema = "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", spelled binary"
-    priced = workspace.save(words.mapInArrow(spelled, schema), "priced")
+    priced = workspace.save(words.mapInArrow(price, "word binary, c long, prices binary"), "priced")
+    workspace.drop("words")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Dictionary rows to one row of arrays per chunk and batch."""
         for batch in batches:
-            chunk, local, *c = (x.to_numpy(zero_copy_only=False) for x in batch.columns[:-1])
-            c = np.stack(c, axis=1)
-            s = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.float32).reshape(-1, CLASSES)
+            chunk, local, c = (x.to_numpy(zero_copy_only=False) for x in batch.columns[:3])
+            prices = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.float32).reshape(len(chunk), -1)
             order = np.argsort(chunk, kind="stable")
             edges = np.flatnonzero(np.concatenate(([True], np.diff(chunk[order]) != 0, [True])))
             runs = [order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)] if len(order) else []
@@ -234,12 +250,12 @@ def score(
                 [pa.array([chunk[r[0]] for r in runs], pa.int64()),
                  pa.array([local[r].astype(np.int32).tobytes() for r in runs], pa.binary()),
                  pa.array([c[r].astype(np.int64).tobytes() for r in runs], pa.binary()),
-                 pa.array([s[r].tobytes() for r in runs], pa.binary())],
-                names=["chunk", "local", "c", "spelled"],
+                 pa.array([prices[r].tobytes() for r in runs], pa.binary())],
+                names=["chunk", "local", "c", "prices"],
             )
 
-    back = entries.select("chunk", "local", "word").join(priced, "word").select("chunk", "local", *COUNTS, "spelled")
-    back = back.mapInArrow(packed, "chunk long, local binary, c binary, spelled binary")
+    back = entries.select("chunk", "local", "word").join(priced, "word").select("chunk", "local", "c", "prices")
+    back = back.mapInArrow(packed, "chunk long, local binary, c binary, prices binary")
     texts = chunks.where("texts IS NOT NULL").select("chunk", "texts")
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -273,39 +289,39 @@ class Facts:
 
 
 def class_prices(c: np.ndarray, spelled: np.ndarray, facts: Facts) -> np.ndarray:
-    """Natural log of P(word | class), one row per class with training texts (one row if there are none)."""
-
-    if not facts.tokens:
-        return spelled[:, 0][None].astype(float)
-    rows = []
-    for k in np.flatnonzero(facts.ends):
-        n = facts.by_class[k]
+    """Natural log of P(word | class), a column per class; a class without training texts has its pieces alone."""
+    columns = []
+    for k, n in enumerate(facts.by_class):
+        if not facts.ends[k]:
+            columns.append(spelled[:, k])
+            continue
         with np.errstate(divide="ignore"):
             whole = np.log(np.maximum(c[:, k] - DISCOUNT, 0) / n)
-        rows.append(np.logaddexp(whole, np.log(DISCOUNT * facts.distinct_by_class[k] / n) + spelled[:, k]))
-    return np.stack(rows)
+        columns.append(np.logaddexp(whole, np.log(DISCOUNT * facts.distinct_by_class[k] / n) + spelled[:, k]))
+    return np.stack(columns, axis=1)
 
 
 def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.DataFrame:
     """Scores of a chunk's texts."""
     rows, types = np.frombuffer(blob, np.int64, 2)
     ids = np.frombuffer(blob, np.int64, rows, 16)
-    learned = np.frombuffer(blob, np.int64, rows, 16 + 8 * rows) < CLASSES
+    classes = len(facts.ends)
+    learned = np.frombuffer(blob, np.int64, rows, 16 + 8 * rows) < classes
     first = np.frombuffer(blob, np.int64, rows + 1, 16 + 16 * rows)
     local = np.frombuffer(blob, np.int32, -1, 16 + 16 * rows + 8 * (rows + 1))
-    c, spelled = np.zeros((types, CLASSES), np.int64), np.zeros((types, CLASSES), np.float32)
-    for at, x, y in zip(dictionary["local"], dictionary["c"], dictionary["spelled"], strict=True):
+    c, prices = np.zeros(types, np.int64), np.zeros((types, classes), np.float32)
+    for at, x, y in zip(dictionary["local"], dictionary["c"], dictionary["prices"], strict=True):
         at = np.frombuffer(at, np.int32)
-        c[at], spelled[at] = np.frombuffer(x, np.int64).reshape(-1, CLASSES), np.frombuffer(y, np.float32).reshape(-1, CLASSES)
+        c[at], prices[at] = np.frombuffer(x, np.int64), np.frombuffer(y, np.float32).reshape(-1, classes)
     length = np.diff(first)
     text = np.repeat(np.arange(rows), length)
 
     def total(per_token: np.ndarray) -> np.ndarray:
         return np.bincount(text, weights=per_token, minlength=rows)
 
-    all_c, ends = c.sum(axis=1), facts.ends.sum()
+    ends = facts.ends.sum()
     norm = facts.tokens + 0.5 * (facts.distinct + 1)
-    base = np.log10((all_c + 0.5) / norm)
+    base = np.log10((c + 0.5) / norm)
     # How often the word came before in its text: its rank among the text's rows of that word.
     key = text * np.int64(types) + local
     order = np.argsort(key, kind="stable")
@@ -319,10 +335,9 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
     spread = total(np.log(place + CACHE_MASS))
     some = np.flatnonzero(facts.ends) if ends else np.array([0])
     by_class = np.empty((len(some), rows))
-    for row, prices in enumerate(class_prices(c, spelled, facts)):
-        token = (prices + np.log(CACHE_MASS))[local]
+    for row, k in enumerate(some):
+        token = (prices[:, k] + np.log(CACHE_MASS)).astype(float)[local]
         token[again] = np.logaddexp(token[again], np.log(before[again]))
-        k = some[row]
         end = facts.ends[k] / facts.by_class[k] if ends else 1.0
         share = (facts.ends[k] + 1) / (ends + len(some))
         by_class[row] = total(token) - spread + np.log(CACHE_MASS * end / (length + CACHE_MASS)) + np.log(share)
@@ -333,7 +348,7 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
             "row": ids,
             "learned": learned,
             "n_tokens": length + 1,
-            "n_known": total((all_c[local] > 0).astype(float)).astype(np.int64) + int(ends > 0),
+            "n_known": total((c[local] > 0).astype(float)).astype(np.int64) + int(ends > 0),
             "base_score": total(base[local]) + np.log10((ends + 0.5) / norm),
             "score": score / np.log(10),
         }
