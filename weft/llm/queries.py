@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, ngram_join, sentencepiece_sampling, token_counts, toxicity
+from weft.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, ngram_join, sentencepiece_sampling, simhash, token_counts, toxicity
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
@@ -92,6 +92,32 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs, Workspace(spark, "op5"), words=4, percent=85)
 
 
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts; n_near counts other documents within 3 bits."""
+    work = Workspace(spark, "op7")
+    docs = table(spark, sf_dir, "documents")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = docs.select("doc_id", "text")
+    own = work.save(simhash.fingerprints(whole, ["doc_id"], "text").withColumn("fp", simhash.as_hex()), "own")
+    edited = simhash.edited_texts(docs, work, partitions).withColumn("edited_sha256", F.sha2("edited", 256))
+    votes = simhash.fingerprints(edited, ["doc_id", "next_id", "n_chars", "edited_sha256"], "edited")
+    edits = work.save(votes.select("doc_id", "next_id", "n_chars", "edited_sha256", *[F.col(f"w{i}").alias(f"e{i}") for i in range(2)]), "edits")
+    following = own.select(F.col("doc_id").alias("__n"), F.col("w0").alias("n0"), F.col("w1").alias("n1"))
+    near = work.save(simhash.neighbours(own, work), "near")
+    joined = edits.join(own, "doc_id").join(following, F.col("next_id") == F.col("__n")).join(near, "fp")
+    return joined.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.col("fp").alias("fingerprint"),
+        simhash.as_hex("e").alias("edited_fingerprint"),
+        simhash.likeness("w", "e").alias("near_edited"),
+        simhash.likeness("w", "n").alias("near_next"),
+        "n_near",
+    )
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
