@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from weft.llm.textops import U64, prefix_sums, span_hash
+from weft.llm.textops import U64, prefix_sums, span_code, span_hash
 
 #: How the vocabulary writes a space. Lattices are built over texts with plain spaces, so that a text that
 #: has this character itself spells it in byte pieces and stays distinct.
@@ -29,6 +29,7 @@ class Vocabulary:
     hashes: np.ndarray
     ids: np.ndarray
     seen: np.ndarray
+    begun: np.ndarray
     log_p: np.ndarray
     byte_ids: np.ndarray
     longest: int
@@ -37,16 +38,22 @@ class Vocabulary:
     begin: np.ndarray
     lengths: np.ndarray
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece ids of span hashes, -1 where no piece spells the span."""
-        out = np.full(len(h), -1, np.int32)
-        maybe = np.flatnonzero(self.seen[(h >> U64(44)).astype(np.int64)])
-        some = h[maybe]
+    def find(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which spans are pieces, their ids, and which spans may be the start of a longer piece.
+
+        Look-ups of a cheap code leave few spans to search; a code that is shared by chance only costs time.
+        """
+        cell = _cell(span_code(sums, starts, ends))
+        maybe = np.flatnonzero(self.seen[cell])
+        some = span_hash(sums, starts[maybe], ends[maybe])
         at = np.searchsorted(self.hashes, some)
         at[at == len(self.hashes)] = 0
         hit = self.hashes[at] == some
-        out[maybe[hit]] = self.ids[at[hit]]
-        return out
+        return maybe[hit], self.ids[at[hit]], self.begun[cell]
+
+
+def _cell(code: np.ndarray) -> np.ndarray:
+    return ((code * U64(0x9E3779B97F4A7C15)) >> U64(42)).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -80,17 +87,21 @@ def vocabulary(model_file: str) -> Vocabulary:
     body = [pieces[i].replace(MARK, " ").encode() for i in usable]
     ends = np.cumsum([len(b) for b in body])
     data = np.frombuffer(b"".join(body), np.uint8)
-    h = span_hash(prefix_sums(data), np.concatenate([[0], ends[:-1]]), ends)
+    sums, starts = prefix_sums(data), np.concatenate([[0], ends[:-1]])
+    h = span_hash(sums, starts, ends)
     order = np.argsort(h)
-    seen = np.zeros(1 << 20, bool)
-    seen[(h >> U64(44)).astype(np.int64)] = True
+    seen, begun = np.zeros(1 << 22, bool), np.zeros(1 << 22, bool)
+    seen[_cell(span_code(sums, starts, ends))] = True
+    for size in range(1, int((ends - starts).max())):  # bytes; a prefix that ends within a character is never looked up
+        longer = ends - starts > size
+        begun[_cell(span_code(sums, starts[longer], starts[longer] + size))] = True
     longest = max(len(pieces[i]) for i in usable)
     of_byte = {int(i): bytes([b]) for b, i in enumerate(byte_ids) if i >= 0}
     spelled = [of_byte.get(i, p.replace(MARK, " ").encode() if plain[i] else b"") for i, p in enumerate(pieces)]
     lengths = np.array([len(x) for x in spelled], np.int64)
     bodies = np.frombuffer(b"".join(spelled), np.uint8)
     return Vocabulary(
-        h[order], usable[order].astype(np.int32), seen, log_p, byte_ids, longest, pieces,
+        h[order], usable[order].astype(np.int32), seen, begun, log_p, byte_ids, longest, pieces,
         bodies, np.cumsum(lengths) - lengths, lengths,
     )
 
@@ -137,11 +148,18 @@ def build_spans(data: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> Lat
     node_byte[last] = begin[order] + lengths[order]
     sums = prefix_sums(data)
     arcs = np.full((total, vocab.longest), -1, np.int32)
+    room = np.repeat(chars[order], count) - pos
+    live, reach = np.arange(total), 1
     for size in range(1, vocab.longest + 1):
-        v = np.flatnonzero(pos >= size)
-        if not len(v):
+        live = live[room[live] >= size]
+        if not len(live):
             break
-        arcs[v, size - 1] = vocab.find(span_hash(sums, node_byte[v - size], node_byte[v]))
+        hit, ids, begun = vocab.find(sums, node_byte[live], node_byte[live + size])
+        if len(hit):
+            arcs[live[hit] + size, size - 1] = ids
+            reach = size
+        live = live[begun]
+    arcs = np.ascontiguousarray(arcs[:, :reach])
     lone = (arcs[:, 0] == -1) & (pos > 0)
     arcs[lone, 0] = -2
     return Lattices(order, first, chars[order], arcs, node_byte, data)

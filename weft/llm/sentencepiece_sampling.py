@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 8 << 20
+WALK_BYTES = 1 << 20
 SPACE = 0x20
 SCHEMA_TAIL = "sample int, pieces binary, n_pieces int, log_prob double, gumbel double, inclusion double, restored boolean"
 
@@ -58,15 +59,15 @@ def _truncated(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray
 class Lexicon:
     """Lattices of a chunk's distinct words: for each node the arcs that leave it, with their conditional probabilities.
 
-    Arc a of node v lies in arc_of[v] .. arc_of[v + 1] - 1 and has a piece, the node it leads to, q, the share of
+    Arc a of node v lies in arc_of[v] .. arc_of[v + 1] - 1 and has a piece, its number of nodes, q, the share of
     paths through v that take it, and upto, the sum of q from the node's first arc on, itself excluded. Longer
-    pieces, which are likely ones, come first. An arc of byte pieces has piece -2 and its byte_at in the data.
+    pieces, which are likely ones, come first. An arc of byte pieces has piece -2; byte_of is a node's place in the data.
     """
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray, vocab: lattice.Vocabulary, step: int = 20_000):
         self.root = np.zeros(len(lengths), np.int64)
         self.end = np.zeros(len(lengths), np.int64)
-        piece, to, q, byte_at, count, nodes = [], [], [], [], [], 0
+        piece, span, q, byte_of, count, nodes = [], [], [], [], [], 0
         self.data = data
         begin = np.cumsum(lengths) - lengths
         for lo in range(0, len(lengths), step):
@@ -83,23 +84,24 @@ class Lexicon:
             self.root[lo + lat.order] = nodes + lat.first
             self.end[lo + lat.order] = nodes + lat.first + lat.chars
             piece.append(leaving[at, place])
-            to.append((nodes + at + size).astype(np.int32))
-            q.append(np.exp(w[at + size, size - 1] + beta[at + size] - beta[at]))
-            byte_at.append((begin[lo] + lat.node_byte[at]).astype(np.int32))
+            span.append(size.astype(np.int8))
+            q.append(np.exp(w[at + size, size - 1] + beta[at + size] - beta[at]).astype(np.float32))
+            byte_of.append((begin[lo] + lat.node_byte).astype(np.int32))
             count.append(np.bincount(at, minlength=n))
             nodes += n
         join = lambda x, kind: np.concatenate(x).astype(kind, copy=False) if x else np.zeros(0, kind)
-        self.piece, self.to, self.q = join(piece, np.int32), join(to, np.int32), join(q, np.float64)
-        self.byte_at = join(byte_at, np.int32)
+        self.piece, self.span, self.q = join(piece, np.int32), join(span, np.int8), join(q, np.float32)
+        self.byte_of = join(byte_of, np.int32)
         self.arc_of = np.concatenate([[0], np.cumsum(join(count, np.int64))])
-        total = np.concatenate([[0.0], np.cumsum(self.q)])
-        self.upto = total[:-1] - np.repeat(total[self.arc_of[:-1]], np.diff(self.arc_of))
+        total = np.cumsum(self.q, dtype=np.float64)
+        first = total[self.arc_of[:-1] - (self.arc_of[:-1] > 0)] * (self.arc_of[:-1] > 0) if len(total) else total
+        self.upto = (total - self.q - np.repeat(first, np.diff(self.arc_of))).clip(0).astype(np.float32)
 
     def draw(self, lo: np.ndarray, hi: np.ndarray, u: np.ndarray) -> np.ndarray:
         """For each row one of the arcs lo .. hi - 1 of a node, by their probabilities."""
         start = self.upto[lo]
         aim = start + u * (self.upto[hi - 1] + self.q[hi - 1] - start)
-        arc = lo.copy()
+        arc = lo.astype(np.int64)
         open_ = np.flatnonzero((hi - lo > 1) & (aim >= self.upto[lo] + self.q[lo]))
         while len(open_):
             arc[open_] += 1
@@ -107,12 +109,12 @@ class Lexicon:
             open_ = open_[(at < hi[open_] - 1) & (aim[open_] >= self.upto[at] + self.q[at])]
         return arc
 
-    def spell(self, arcs: np.ndarray, vocab: lattice.Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    def spell(self, arcs: np.ndarray, nodes: np.ndarray, vocab: lattice.Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of arcs, and how many each arc has: one, or the bytes of a character that is no piece."""
         pieces = self.piece[arcs]
         loose = np.flatnonzero(pieces == -2)
         size = np.ones(len(arcs), np.int64)
-        at = self.byte_at[arcs[loose]]
+        at = self.byte_of[nodes[loose]]
         lead = self.data[at]
         size[loose] = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
         out = np.repeat(pieces, size)
@@ -140,8 +142,8 @@ class Walk:
             if not len(live):
                 break
             arc = lex.draw(a, b, _uniform(key[live], np.full(len(live), turn, U64)))
-            found.append((live, arc, a, b))
-            node[live] = lex.to[arc]
+            found.append((live, arc, a, b, here))
+            node[live] = here + lex.span[arc]
             turn += 1
         steps = np.zeros(walkers, np.int64)
         for x, *_ in found:
@@ -149,19 +151,19 @@ class Walk:
         offset = np.cumsum(steps) - steps
         total = int(steps.sum())
         self.walker, self.arc = np.empty(total, np.int32), np.empty(total, np.int32)
-        self.lo, self.hi = np.empty(total, np.int32), np.empty(total, np.int32)
-        for turn, (x, arc, a, b) in enumerate(found):
+        self.lo, self.hi, self.node = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
+        for turn, (x, arc, a, b, here) in enumerate(found):
             at = offset[x] + turn
-            self.walker[at], self.arc[at], self.lo[at], self.hi[at] = x, arc, a, b
+            self.walker[at], self.arc[at], self.lo[at], self.hi[at], self.node[at] = x, arc, a, b, here
         self.word = word[self.walker]
 
 
 def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: lattice.Vocabulary, k: int):
-    """For each text its samples: (pieces, log probability, Gumbel value, inclusion), best value first.
+    """For each text its samples: [pieces, log probability, Gumbel value, inclusion], best value first.
 
-    data has the texts, each with its leading space; keys are 64-bit row keys.
+    data has the texts, each with its leading space; keys are 64-bit row keys. The distinct words of the chunk
+    get their lattices once; texts walk them in blocks, so that the steps of a block fit in memory.
     """
-    texts = len(at) - 1
     blank = data == SPACE
     before = np.concatenate([[False], blank[:-1]])
     cut = blank & ~before
@@ -169,13 +171,24 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(data))
     first = np.searchsorted(starts, at)
-    text_of = np.repeat(np.arange(texts), np.diff(first))
-    hashes = np.concatenate([h for h in _hash_blocks(data, starts, ends)]) if len(starts) else np.zeros(0, U64)
+    hashes = np.concatenate(list(_hash_blocks(data, starts, ends))) if len(starts) else np.zeros(0, U64)
     _, example, kind = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends[example] - starts[example]
     place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     lex = Lexicon(data[np.repeat(starts[example], lengths) + place], lengths, vocab)
-    word_key = mix(keys[text_of] + (np.arange(len(starts)) - first[text_of]).astype(U64) * U64(0x9E3779B97F4A7C15))
+    lo, results = 0, []
+    while lo < len(at) - 1:
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + WALK_BYTES, "right")) - 1)
+        results += _sample_texts(lex, kind[first[lo] : first[hi]], first[lo : hi + 1] - first[lo], keys[lo:hi], vocab, k)
+        lo = hi
+    return results
+
+
+def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.ndarray, vocab: lattice.Vocabulary, k: int):
+    """Samples of a block of texts, given as the lexicon's numbers of their words."""
+    texts = len(first) - 1
+    text_of = np.repeat(np.arange(texts), np.diff(first))
+    word_key = mix(keys[text_of] + (np.arange(len(kind)) - first[text_of]).astype(U64) * U64(0x9E3779B97F4A7C15))
 
     results: list[list[tuple]] = [[] for _ in range(texts)]
     paths: list[dict[int, tuple]] = []  # per sample: text -> (parent sample, steps taken over from it, own steps)
@@ -184,8 +197,8 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
     value = -np.log(-np.log(_uniform(keys, np.full(texts, 1, U64))))
     from_step, parent = np.zeros(texts, np.int64), np.full(texts, -1)
     carried = np.zeros(texts)
-    words = np.arange(len(starts))
-    node, low, high = lex.root[kind], np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+    words = np.arange(len(kind))
+    node, low, high = lex.root[kind], np.zeros(len(kind), np.int64), np.zeros(len(kind), np.int64)
 
     for sample in range(k + 1):
         if sample == k:
@@ -193,7 +206,7 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
         walk = Walk(lex, words, node.copy(), low, high, lex.end[kind[words]], word_key[words] + U64((sample + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
         owner = text_of[walk.word]
         edge = np.searchsorted(owner, np.append(chosen, texts)) if len(owner) else np.zeros(len(chosen) + 1, np.int64)
-        log_q = np.log(lex.q[walk.arc])
+        log_q = np.log(lex.q[walk.arc], dtype=np.float64)
         running = np.cumsum(log_q)
         head = np.concatenate([[0.0], running])[edge[:-1]]
         count = np.diff(edge)
@@ -201,16 +214,20 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
         bound = np.repeat(value, count)
         number = np.arange(len(owner)) - np.repeat(edge[:-1], count) + np.repeat(from_step, count)
         # The arcs before and behind the one taken, as two open sets of each step.
-        below = np.maximum(lex.upto[walk.arc] - lex.upto[walk.lo], 0)
-        above = np.maximum(lex.upto[walk.hi - 1] + lex.q[walk.hi - 1] - lex.upto[walk.arc] - lex.q[walk.arc], 0)
-        below[walk.arc == walk.lo] = 0
-        above[walk.arc == walk.hi - 1] = 0
-        with np.errstate(divide="ignore"):
-            masses = prefix + np.log(below), prefix + np.log(above)
         values = []
-        for side, mass in enumerate(masses):
-            u = _uniform(keys[owner], (number * 2 + side).astype(U64), np.full(len(owner), 7 + sample, U64))
-            values.append(_truncated(mass, bound, u))
+        for side in (0, 1):
+            open_ = np.flatnonzero(walk.arc > walk.lo if side == 0 else walk.arc < walk.hi - 1)
+            arc = walk.arc[open_]
+            if side == 0:
+                mass = lex.upto[arc] - lex.upto[walk.lo[open_]]
+            else:
+                last = walk.hi[open_] - 1
+                mass = lex.upto[last] + lex.q[last] - lex.upto[arc] - lex.q[arc]
+            open_, mass = open_[mass > 0], mass[mass > 0]
+            u = _uniform(keys[owner[open_]], (number[open_] * 2 + side).astype(U64), np.full(len(open_), 7 + sample, U64))
+            value_of = np.full(len(owner), -np.inf)
+            value_of[open_] = _truncated(prefix[open_] + np.log(mass, dtype=np.float64), bound[open_], u)
+            values.append(value_of)
         total = np.add.reduceat(log_q, edge[:-1]) if len(log_q) else np.zeros(0)
         total = np.where(count > 0, total, 0.0) + carried
         for rank in range(k - sample):  # as many open sets can still be split or give the threshold
@@ -258,16 +275,18 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
 
     def steps(t: int, sample: int, until: int | None = None) -> np.ndarray:
         up, begin, walk, a, b = paths[sample][t]
-        own = walk.arc[a:b] if until is None else walk.arc[a : a + max(0, until - begin)]
+        b = b if until is None else a + max(0, until - begin)
+        own = np.stack([walk.arc[a:b], walk.node[a:b]])
         if up < 0:
             return own
-        return np.concatenate([steps(t, up, begin if until is None else min(begin, until)), own])
+        return np.concatenate([steps(t, up, begin if until is None else min(begin, until)), own], axis=1)
 
     for sample in range(len(paths)):
         own = list(paths[sample])
-        arcs = [steps(t, sample) for t in own]
-        pieces, size = lex.spell(np.concatenate(arcs) if arcs else np.zeros(0, np.int64), vocab)
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *[len(a) for a in arcs]])]
+        parts = [steps(t, sample) for t in own]
+        arcs, nodes = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
+        pieces, size = lex.spell(arcs, nodes, vocab)
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *[p.shape[1] for p in parts]])]
         for i, t in enumerate(own):
             results[t][sample][0] = pieces[ends[i] : ends[i + 1]]
     for t in range(texts):
@@ -295,6 +314,27 @@ def decode(pieces: np.ndarray, vocab: lattice.Vocabulary) -> np.ndarray:
     return vocab.body[np.repeat(vocab.begin[pieces], n) + place]
 
 
+def _restored(pieces: list[bytes], text: np.ndarray, data: np.ndarray, at: np.ndarray, vocab: lattice.Vocabulary) -> np.ndarray:
+    """For each row whether its pieces spell its text."""
+    out = np.zeros(len(pieces), bool)
+    lo = 0
+    while lo < len(pieces):
+        hi = max(lo + 1, int(np.searchsorted(at, at[text[lo]] + WALK_BYTES, "right")))
+        hi = max(lo + 1, int(np.searchsorted(text, hi)))
+        spelled = decode(np.frombuffer(b"".join(pieces[lo:hi]), np.int32), vocab)
+        sizes = np.array([vocab.lengths[np.frombuffer(p, np.int32)].sum() for p in pieces[lo:hi]])
+        wanted = at[text[lo:hi] + 1] - at[text[lo:hi]]
+        if (sizes == wanted).all() and (sizes > 0).all():
+            begin = np.cumsum(sizes) - sizes
+            source = data[np.repeat(at[text[lo:hi]] - begin, sizes) + np.arange(len(spelled))]
+            out[lo:hi] = np.logical_and.reduceat(spelled == source, begin)
+        else:
+            for i in range(lo, hi):
+                out[i] = np.array_equal(decode(np.frombuffer(pieces[i], np.int32), vocab), data[at[text[i]] : at[text[i] + 1]])
+        lo = hi
+    return out
+
+
 def _encode(vocab_file: str, k: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = lattice.vocabulary(vocab_file)
@@ -306,7 +346,7 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                 spaced[np.arange(len(data)) + np.repeat(np.arange(1, rows + 1), np.diff(at))] = data
                 begin = at + np.arange(rows + 1)
                 found = sample_chunk(spaced, begin, keys[lo:hi], vocab, k)
-                row, sample, pieces, size, log_prob, gumbel, inclusion, restored = ([] for _ in range(8))
+                row, sample, pieces, size, log_prob, gumbel, inclusion = ([] for _ in range(7))
                 for t, samples in enumerate(found):
                     for j, (ids, p, g, i) in enumerate(samples):
                         row.append(lo + t)
@@ -316,7 +356,7 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                         log_prob.append(p)
                         gumbel.append(g)
                         inclusion.append(i)
-                        restored.append(bool(np.array_equal(decode(ids, vocab), spaced[begin[t] : begin[t + 1]])))
+                restored = _restored(pieces, np.array(row, np.int64) - lo, spaced, begin, vocab)
                 kept = pa.array(row, pa.int64())
                 yield pa.record_batch(
                     [*[c.take(kept) for c in batch.columns[2:]], pa.array(sample, pa.int32()), pa.array(pieces, pa.binary()),
