@@ -41,6 +41,9 @@ def differences(spark, name: str, sf: str) -> str:
         return f"{name}: columns {sorted(ours.columns)} and {sorted(theirs.columns)}"
     if len(ours) != len(theirs):
         return f"{name}: {len(ours)} and {len(theirs)} rows"
+    kinds = [(c, ours[c].dtype, theirs[c].dtype) for c in ours.columns if str(ours[c].dtype) != str(theirs[c].dtype) and "object" not in (str(ours[c].dtype), str(theirs[c].dtype))]
+    if kinds:
+        return f"{name}: kinds {kinds}"
     a, b = canonical(ours), canonical(theirs)
     bad = [(x, y) for x, y in zip(a, b, strict=True) if repr(x) != repr(y) and x != y]
     return f"{name}: {len(bad)} rows differ, first {bad[:3]}" if bad else ""
@@ -53,7 +56,10 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     import __spark_entry__ as entry
 
-    for name in sys.argv[2:] or entry.queries():
+    wanted = sys.argv[2:] or list(entry.queries())
+    if len(sys.argv) == 3 and sys.argv[2].startswith("@"):
+        wanted = [k for k, f in entry.queries().items() if f.__module__.endswith(sys.argv[2][1:])]
+    for name in wanted:
         t = time.time()
         try:
             print(name, differences(spark, name, sys.argv[1]) or "ok", f"{time.time() - t:.1f}s", "" if name in entry.oracle_sql() else "(no SQL)", flush=True)
