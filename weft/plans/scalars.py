@@ -102,7 +102,7 @@ def labels_and_formats(spark, sf_dir):
 @query(
     "human_sizes",
     """WITH b AS (SELECT o_orderkey AS id, floor(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 0.001 WHEN 1 THEN 1 WHEN 2 THEN 1000 ELSE 100000 END) * 128 + 1 AS f FROM orders), c AS (SELECT id, f::BIGINT AS n FROM b)
-    SELECT id, n, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN format('{:.2f} KiB', n / 1024.0::DOUBLE) WHEN n < 1073741824 THEN format('{:.2f} MiB', n / 1048576.0::DOUBLE) ELSE format('{:.2f} GiB', n / 1073741824.0::DOUBLE) END AS size FROM c""",
+    SELECT id, n, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN format('{:.2f} KiB', n / 1024.0::DOUBLE) WHEN n < 1073741824 THEN format('{:.2f} MiB', n / 1048576.0::DOUBLE) WHEN n < 1099511627776 THEN format('{:.2f} GiB', n / 1073741824.0::DOUBLE) ELSE format('{:.2f} TiB', n / 1099511627776.0::DOUBLE) END AS size FROM c""",
 )
 def human_sizes(spark, sf_dir):
     """Readable sizes."""
