@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 19
 WALK_BYTES = 1 << 20
 SPACE = 0x20
 SCHEMA_TAIL = "sample int, pieces binary, n_pieces int, log_prob double, gumbel double, inclusion double, restored boolean"
