@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from weft.functions.text import uniform
 
@@ -59,7 +60,7 @@ def balanced(rows: DataFrame, house: str, category: str, instance: str, size: in
     keyed = rows.withColumn("__tie", F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in sorted(rows.columns)])))
     within = Window.partitionBy(house, category, instance).orderBy("__tie")
     ranked = keyed.withColumn("__r", F.row_number().over(within)).where(F.col("__r") <= size)
-    schema = ranked.drop("__r", "__tie").schema.add("picked", "long")
+    schema = StructType([*rows.schema.fields, StructField("picked", LongType())])
 
     def choose(frame: pd.DataFrame) -> pd.DataFrame:
         classes: dict[tuple, list] = {}
