@@ -28,7 +28,10 @@ class Vocabulary:
 
     hashes: np.ndarray
     ids: np.ndarray
-    seen: np.ndarray
+    slot: np.ndarray  # the first piece of each cell, -1 for none
+    crowded: np.ndarray  # whether another piece has the cell of this one
+    more: np.ndarray  # hashes of those other pieces
+    more_at: np.ndarray
     begun: np.ndarray
     log_p: np.ndarray
     byte_ids: np.ndarray
@@ -44,12 +47,17 @@ class Vocabulary:
         Look-ups of a cheap code leave few spans to search; a code that is shared by chance only costs time.
         """
         cell = _cell(span_code(sums, starts, ends))
-        maybe = np.flatnonzero(self.seen[cell])
-        some = span_hash(sums, starts[maybe], ends[maybe])
-        at = np.searchsorted(self.hashes, some)
-        at[at == len(self.hashes)] = 0
-        hit = self.hashes[at] == some
-        return maybe[hit], self.ids[at[hit]], self.begun[cell]
+        place = self.slot[cell >> 2]
+        maybe = np.flatnonzero(place >= 0)
+        place, some = place[maybe], span_hash(sums, starts[maybe], ends[maybe])
+        hit = self.hashes[place] == some
+        other = np.flatnonzero(~hit & self.crowded[place])
+        if len(other):
+            at = np.minimum(np.searchsorted(self.more, some[other]), len(self.more) - 1)
+            found = self.more[at] == some[other]
+            place[other[found]] = self.more_at[at[found]]
+            hit[other[found]] = True
+        return maybe[hit], self.ids[place[hit]], self.begun[cell]
 
 
 def _cell(code: np.ndarray) -> np.ndarray:
@@ -90,8 +98,12 @@ def vocabulary(model_file: str) -> Vocabulary:
     sums, starts = prefix_sums(data), np.concatenate([[0], ends[:-1]])
     h = span_hash(sums, starts, ends)
     order = np.argsort(h)
-    seen, begun = np.zeros(1 << 22, bool), np.zeros(1 << 22, bool)
-    seen[_cell(span_code(sums, starts, ends))] = True
+    slot, begun = np.full(1 << 20, -1, np.int32), np.zeros(1 << 22, bool)
+    cell = (_cell(span_code(sums, starts, ends)) >> 2)[order]
+    slot[cell[::-1]] = np.arange(len(order), dtype=np.int32)[::-1]
+    late = np.flatnonzero(slot[cell] != np.arange(len(order)))
+    crowded = np.zeros(len(order), bool)
+    crowded[slot[cell[late]]] = True
     for size in range(1, int((ends - starts).max())):  # bytes; a prefix that ends within a character is never looked up
         longer = ends - starts > size
         begun[_cell(span_code(sums, starts[longer], starts[longer] + size))] = True
@@ -101,7 +113,7 @@ def vocabulary(model_file: str) -> Vocabulary:
     lengths = np.array([len(x) for x in spelled], np.int64)
     bodies = np.frombuffer(b"".join(spelled), np.uint8)
     return Vocabulary(
-        h[order], usable[order].astype(np.int32), seen, begun, log_p, byte_ids, longest, pieces,
+        h[order], usable[order].astype(np.int32), slot, crowded, h[order][late], late, begun, log_p, byte_ids, longest, pieces,
         bodies, np.cumsum(lengths) - lengths, lengths,
     )
 
@@ -212,6 +224,33 @@ def backward(lat: Lattices, w: np.ndarray) -> np.ndarray:
     return beta[:n]
 
 
+def shares(lat: Lattices, vocab: Vocabulary, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of arcs given by the node they leave and their size, the share of all paths from there to the word's end.
+
+    Sums are taken of probabilities, and of logs where a word is so long that they come near the smallest double.
+    """
+    padded = np.concatenate([np.exp(vocab.log_p), [0.0, 0.0]])  # -2 and -1
+    w = padded[lat.arcs]
+    lone = np.flatnonzero(lat.arcs[:, 0] == -2)
+    if len(lone):
+        w[lone, 0] = np.exp(weights(lat, vocab, vocab.log_p)[lone, 0])
+    n, reach = w.shape
+    beta = np.zeros(n + reach)
+    end = lat.first + lat.chars
+    beta[end] = 1.0
+    sizes = np.arange(1, reach + 1)
+    for t in range(1, (int(lat.chars.max()) if len(lat.chars) else 0) + 1):
+        v = end[np.searchsorted(lat.chars, t) :] - t
+        k = min(t, reach)
+        to = v[:, None] + sizes[:k]
+        beta[v] = np.einsum("ij,ij->i", beta[to], w[to, sizes[:k] - 1])
+    if len(lat.first) and beta[lat.first].min() < 1e-250:
+        w = weights(lat, vocab, vocab.log_p)
+        beta = backward(lat, w)
+        return np.exp(w[at + size, size - 1] + beta[at + size] - beta[at])
+    return w[at + size, size - 1] * beta[at + size] / beta[at]
+
+
 def log_likelihoods(words: list[bytes], vocab: Vocabulary, models: np.ndarray, step: int = 20_000) -> np.ndarray:
     """Log of the probability of each word under each model (a row of piece probabilities), summed over all segmentations."""
     out = np.zeros((len(models), len(words)))

@@ -73,9 +73,7 @@ class Lexicon:
         for lo in range(0, len(lengths), step):
             own = lengths[lo : lo + step]
             lat = lattice.build_spans(data[begin[lo] : begin[lo] + own.sum()], own, vocab)
-            w = lattice.weights(lat, vocab, vocab.log_p)
-            beta = lattice.backward(lat, w)
-            n, reach = w.shape
+            n, reach = lat.arcs.shape
             leaving = np.full((n, reach), -1, np.int32)
             for size in range(1, min(reach, n - 1) + 1):
                 leaving[: n - size, reach - size] = lat.arcs[size:, size - 1]
@@ -85,7 +83,7 @@ class Lexicon:
             self.end[lo + lat.order] = nodes + lat.first + lat.chars
             piece.append(leaving[at, place])
             span.append(size.astype(np.int8))
-            q.append(np.exp(w[at + size, size - 1] + beta[at + size] - beta[at]).astype(np.float32))
+            q.append(lattice.shares(lat, vocab, at, size).astype(np.float32))
             byte_of.append((begin[lo] + lat.node_byte).astype(np.int32))
             count.append(np.bincount(at, minlength=n))
             nodes += n
@@ -131,19 +129,16 @@ class Walk:
     def __init__(self, lex: Lexicon, word: np.ndarray, node: np.ndarray, lo: np.ndarray, hi: np.ndarray, end: np.ndarray, key: np.ndarray):
         """One walker per word; lo, hi restrict its first step (all arcs where hi is 0)."""
         walkers = len(word)
-        live, found, turn = np.arange(walkers), [], 0
+        live, here, found, turn = np.arange(walkers), node, [], 0
         while len(live):
-            here = node[live]
             a, b = lex.arc_of[here], lex.arc_of[here + 1]
-            if turn == 0:
+            if turn == 0 and hi.any():
                 a, b = np.where(hi > 0, lo, a), np.where(hi > 0, hi, b)
-            more = here < end[live]
-            live, here, a, b = live[more], here[more], a[more], b[more]
-            if not len(live):
-                break
             arc = lex.draw(a, b, _uniform(key[live], np.full(len(live), turn, U64)))
             found.append((live, arc, a, b, here))
-            node[live] = here + lex.span[arc]
+            to = here + lex.span[arc]
+            more = np.flatnonzero(to < end[live])
+            live, here = live[more], to[more]
             turn += 1
         steps = np.zeros(walkers, np.int64)
         for x, *_ in found:
@@ -210,11 +205,9 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
         running = np.cumsum(log_q)
         head = np.concatenate([[0.0], running])[edge[:-1]]
         count = np.diff(edge)
-        prefix = running - log_q - np.repeat(head, count) + np.repeat(carried, count)
-        bound = np.repeat(value, count)
-        number = np.arange(len(owner)) - np.repeat(edge[:-1], count) + np.repeat(from_step, count)
+        nth = np.repeat(np.arange(len(chosen), dtype=np.int32), count)
         # The arcs before and behind the one taken, as two open sets of each step.
-        values = []
+        values, prefix_of = [], lambda at: running[at] - log_q[at] + (carried - head)[nth[at]]  # noqa: B023, E731
         for side in (0, 1):
             open_ = np.flatnonzero(walk.arc > walk.lo if side == 0 else walk.arc < walk.hi - 1)
             arc = walk.arc[open_]
@@ -224,27 +217,33 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
                 last = walk.hi[open_] - 1
                 mass = lex.upto[last] + lex.q[last] - lex.upto[arc] - lex.q[arc]
             open_, mass = open_[mass > 0], mass[mass > 0]
-            u = _uniform(keys[owner[open_]], (number[open_] * 2 + side).astype(U64), np.full(len(open_), 7 + sample, U64))
+            own = nth[open_]
+            number = open_ - edge[own] + from_step[own]
+            u = _uniform(keys[chosen[own]], (number * 2 + side).astype(U64), np.full(len(open_), 7 + sample, U64))
             value_of = np.full(len(owner), -np.inf)
-            value_of[open_] = _truncated(prefix[open_] + np.log(mass, dtype=np.float64), bound[open_], u)
+            value_of[open_] = _truncated(prefix_of(open_) + np.log(mass, dtype=np.float64), value[own], u)
             values.append(value_of)
         total = np.add.reduceat(log_q, edge[:-1]) if len(log_q) else np.zeros(0)
         total = np.where(count > 0, total, 0.0) + carried
-        for rank in range(k - sample):  # as many open sets can still be split or give the threshold
-            best = np.maximum(*values)
+        best = np.maximum(*values)
+        for _ in range(k - sample):  # as many open sets can still be split or give the threshold
             if not len(best):
                 break
             top = np.maximum.reduceat(best, edge[:-1])
-            hit = np.flatnonzero((best == np.repeat(top, count)) & np.isfinite(best))
+            hit = np.flatnonzero(best == top[nth])
+            hit = hit[np.isfinite(best[hit])]
             new, index = np.unique(owner[hit], return_index=True)
             hit = hit[index]
             side = (values[1][hit] == best[hit]).astype(int)
-            for t, h, s in zip(new.tolist(), hit.tolist(), side.tolist(), strict=True):
+            before_hit = prefix_of(hit)
+            for t, h, s, p in zip(new.tolist(), hit.tolist(), side.tolist(), before_hit.tolist(), strict=True):
                 arc = walk.arc[h]
                 span = (walk.lo[h], arc) if s == 0 else (arc + 1, walk.hi[h])
-                queue[t].append((best[h], sample, h, int(number[h]), span, prefix[h], walk.word[h]))
+                number = int(h - edge[nth[h]] + from_step[nth[h]])
+                queue[t].append((best[h], sample, h, number, span, p, walk.word[h]))
             for s in (0, 1):
                 values[s][hit[side == s]] = -np.inf
+            best[hit] = np.maximum(values[0][hit], values[1][hit])
         paths.append({})
         for i, t in enumerate(chosen.tolist()):
             paths[sample][t] = (int(parent[i]), int(from_step[i]), walk, edge[i], edge[i + 1])
