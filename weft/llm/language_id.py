@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm.textops import LOWER, U64, blocks, mix
 from weft.workspace import Workspace
 
@@ -105,7 +106,7 @@ def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_
         return pd.DataFrame({"language": [key[0]], "counts": [total.tobytes()]})
 
     schema = "language string, counts binary"
-    found = sample.mapInArrow(count, schema).groupBy("language").applyInPandas(add, schema).limit(MAX_LANGUAGES).collect()
+    found = sample.transform(map_arrow, count, schema).groupBy("language").applyInPandas(add, schema).limit(MAX_LANGUAGES).collect()
     found = sorted(found, key=lambda r: r["language"])
     table = np.zeros((len(found), 1 << TABLE_BITS), np.float32)
     for k, row in enumerate(found):
@@ -170,7 +171,7 @@ def identify(
         *[(none if c is None else c.cast("string")).alias(n) for c, n in ((declared, "declared"), (suffix, "suffix"), (host, "host"))],
     )
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[1:])
-    scored = workspace.save(slim.mapInArrow(_text_evidence(shared, names), f"{kinds}, logs array<double>, letters boolean"), "text")
+    scored = workspace.save(slim.transform(map_arrow, _text_evidence(shared, names), f"{kinds}, logs array<double>, letters boolean"), "text")
     languages = F.array(*[F.lit(x) for x in model.languages]) if size else F.array().cast("array<string>")
     if not size:
         return scored.select(

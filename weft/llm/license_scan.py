@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm.textops import LOWER, U64, blocks, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
@@ -110,7 +111,7 @@ def idf(docs: DataFrame, terms: Terms, text_col: str) -> tuple[np.ndarray, float
         return pd.DataFrame({"k": [0], "n": [frame["n"].sum()], "df": [total.tobytes()]})
 
     schema = "k long, n long, df binary"
-    found = docs.select(text_col).mapInArrow(count, schema).groupBy("k").applyInPandas(add, schema).collect()
+    found = docs.select(text_col).transform(map_arrow, count, schema).groupBy("k").applyInPandas(add, schema).collect()
     n = found[0]["n"] if found else 0
     df = np.frombuffer(found[0]["df"], np.int64) if found else np.zeros(len(terms.hashes))
     return np.log((n + 1) / (df + 1)) + 1, float(np.log(n + 1) + 1)
@@ -176,7 +177,7 @@ def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], temp
 
     slim = docs.select(F.col(text_col).alias("__text"), *carry)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[1:])
-    return slim.mapInArrow(run, f"{kinds}, own_license string, score double, line int, whole boolean")
+    return slim.transform(map_arrow, run, f"{kinds}, own_license string, score double, line int, whole boolean")
 
 
 def scan(docs: DataFrame, workspace: Workspace, *, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:

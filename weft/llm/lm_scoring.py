@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import LOWER, blocks, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
@@ -155,7 +156,7 @@ def piece_log_p(words: DataFrame, vocab_file: str, classes: int) -> np.ndarray:
 
     for _ in range(EM_STEPS):
         schema = "k long, counts binary, n long"
-        partial = words.select("word", *_columns(classes)).mapInArrow(counted(spark.sparkContext.broadcast(log_p)), schema)
+        partial = words.select("word", *_columns(classes)).transform(map_arrow, counted(spark.sparkContext.broadcast(log_p)), schema)
         for row in partial.groupBy("k").applyInPandas(add, schema).collect():
             if row["n"]:
                 counts = np.frombuffer(row["counts"], np.float64) + PIECE_FLOOR * (start > -np.inf)
@@ -205,7 +206,7 @@ def score(
         F.col(text_col).alias("text"),
     )
     schema = "chunk long, texts binary, local int, word binary, " + ", ".join(f"{c} long" for c in counts)
-    chunks = workspace.save(plain.mapInArrow(_chunks(classes), schema), "chunks")
+    chunks = workspace.save(plain.transform(map_arrow, _chunks(classes), schema), "chunks")
     entries = chunks.where("texts IS NULL").select("chunk", "local", "word", *counts)
     words = workspace.save(entries.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]), "words")
     known = sum((F.col(c) for c in counts), F.lit(0)) > 0
@@ -235,7 +236,7 @@ def score(
             packed = pa.array([x.tobytes() for x in prices], pa.binary())
             yield pa.record_batch([batch.column(0), pa.array(c.sum(axis=1)), packed], names=["word", "c", "prices"])
 
-    priced = workspace.save(words.mapInArrow(price, "word binary, c long, prices binary"), "priced")
+    priced = workspace.save(words.transform(map_arrow, price, "word binary, c long, prices binary"), "priced")
     workspace.drop("words")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +256,7 @@ def score(
             )
 
     back = entries.select("chunk", "local", "word").join(priced, "word").select("chunk", "local", "c", "prices")
-    back = back.mapInArrow(packed, "chunk long, local binary, c binary, prices binary")
+    back = back.transform(map_arrow, packed, "chunk long, local binary, c binary, prices binary")
     texts = chunks.where("texts IS NOT NULL").select("chunk", "texts")
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm import bitmaps
 from weft.llm.components import components
 from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
@@ -166,7 +167,7 @@ def frequencies(rows: DataFrame) -> np.ndarray:
                 names=["chunk", "counts"],
             )
 
-    parts = rows.where("chunk IS NOT NULL").select("chunk", "counts").mapInArrow(shrink, "chunk int, counts binary")
+    parts = rows.where("chunk IS NOT NULL").select("chunk", "counts").transform(map_arrow, shrink, "chunk int, counts binary")
     summed = parts.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect()
     table = np.zeros((CHUNKS, (1 << FREQUENCY_BITS) // CHUNKS), np.int64)
     for row in summed:
@@ -224,7 +225,7 @@ def _tiles(percent: int, shared):
                         others = np.arange(number, dtype=U64)
                         low, high = np.minimum(others, U64(mine)), np.maximum(others, U64(mine))
                         for b in (band, band + 1):
-                            cells = mix(mix(low * U64(0x9E3779B97F4A7C15) + high) + x + U64(b) * U64(0xC2B2AE3D27D4EB4F))
+                            cells = mix(mix(low * U64(0x9E3779B97F4A7C15) + high) + x + U64(b * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
                             tile.append(cells)
                             place.append(np.full(number, p, np.int64))
                 tile, place = np.concatenate(tile), np.concatenate(place)
@@ -359,15 +360,15 @@ def _verified(pairs, docs, marks, words, percent, workspace, name) -> DataFrame:
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     )
     close = workspace.save(
-        sized.select("a", "b", "na", "ma", "nb", "mb").mapInArrow(_bounded(percent), "a long, b long"), f"{name}-close"
+        sized.select("a", "b", "na", "ma", "nb", "mb").transform(map_arrow, _bounded(percent), "a long, b long"), f"{name}-close"
     )
     ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id")))
     needed = workspace.save(bitmaps.of_keys(ends, "id"), f"{name}-needed")
     wanted = bitmaps.flag(docs, needed, bitmaps.slot(F.col("id")), "__wanted").where("__wanted").select("id", "text")
-    sets = workspace.save(wanted.mapInArrow(_sets(words), "id long, items binary"), f"{name}-sets")
+    sets = workspace.save(wanted.transform(map_arrow, _sets(words), "id long, items binary"), f"{name}-sets")
     s, t = sets.select(F.col("id").alias("a"), F.col("items").alias("sa")), sets.select(F.col("id").alias("b"), F.col("items").alias("sb"))
     full = close.join(s, "a").join(t, "b").select("a", "b", "sa", "sb")
-    links = workspace.save(full.mapInArrow(_intersect(percent), "a long, b long").distinct(), f"{name}-links")
+    links = workspace.save(full.transform(map_arrow, _intersect(percent), "a long, b long").distinct(), f"{name}-links")
     workspace.drop(f"{name}-sets")
     return links
 
@@ -384,7 +385,7 @@ def jaccard_components(
     """One row per row of docs: id, n_shingles and component_id, the smallest id reachable by links."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = workspace.save(plain.mapInArrow(_classes(words), CLASS_SCHEMA), "classes")
+    rows = workspace.save(plain.transform(map_arrow, _classes(words), CLASS_SCHEMA), "classes")
     texts = rows.where("chunk IS NULL")
     shared = spark.sparkContext.broadcast(frequencies(rows))
 
@@ -410,13 +411,13 @@ def jaccard_components(
     near = _verified(stars, plain, marks, words, percent, workspace, "near")
     labels = components(near, workspace, "near-part")
 
-    prefixes = plain.mapInArrow(_postings(words, percent, shared), "id long, n int, prefix binary").where("n > 0")
+    prefixes = plain.transform(map_arrow, _postings(words, percent, shared), "id long, n int, prefix binary").where("n > 0")
     known = marks.select(F.col("id").alias("rep")).join(labels, F.col("rep") == labels["v"], "left")
     known = known.select("rep", F.coalesce("component", "rep").alias("comp"))
     placed = prefixes.join(known, prefixes["id"] == known["rep"]).select("id", "comp", "n", "prefix")
-    postings = placed.mapInArrow(_tiles(percent, shared), "tile long, id long, comp long, at long")
+    postings = placed.transform(map_arrow, _tiles(percent, shared), "tile long, id long, comp long, at long")
     sorted_tiles = postings.repartition("tile").sortWithinPartitions("tile")
-    candidates = workspace.save(sorted_tiles.mapInArrow(_pairs(percent), "a long, b long").distinct(), "candidates")
+    candidates = workspace.save(sorted_tiles.transform(map_arrow, _pairs(percent), "a long, b long").distinct(), "candidates")
     rest = _verified(candidates, plain, marks, words, percent, workspace, "rest")
     links = near.unionByName(rest)
     final = components(links, workspace, "part")

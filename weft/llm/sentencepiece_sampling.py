@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
@@ -378,7 +379,7 @@ def encode(docs: DataFrame, vocab_file: str, *, samples: int = 2, id_col: str =
         *[F.col(c).alias(f"__c{i}") for i, c in enumerate(names)],
     )
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return slim.mapInArrow(_encode(vocab_file, samples, names), f"{kinds}, {SCHEMA_TAIL}")
+    return slim.transform(map_arrow, _encode(vocab_file, samples, names), f"{kinds}, {SCHEMA_TAIL}")
 
 
 def decoded(encoded: DataFrame, vocab_file: str, pieces_col: str = "pieces", text_col: str = "text") -> DataFrame:
@@ -393,4 +394,4 @@ def decoded(encoded: DataFrame, vocab_file: str, pieces_col: str = "pieces", tex
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*columns, text_col])
 
     kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in columns)
-    return encoded.select(*columns).mapInArrow(run, f"{kinds}, `{text_col}` string")
+    return encoded.select(*columns).transform(map_arrow, run, f"{kinds}, `{text_col}` string")

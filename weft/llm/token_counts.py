@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.arrow import map_arrow
 from weft.llm.textops import WHITE
 
 STOP = np.zeros(256, bool)
@@ -146,4 +147,4 @@ def section_tokens(
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     slim = docs.select(F.col(text_col).alias("__text"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(names)])
     schema = f"{kinds}, section int, start_byte long, end_byte long, tokens double, crossing long, text_tokens long"
-    return slim.mapInArrow(_count(rank_file, rule, borders_of, names), schema)
+    return slim.transform(map_arrow, _count(rank_file, rule, borders_of, names), schema)
