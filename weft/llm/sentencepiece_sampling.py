@@ -34,8 +34,8 @@ from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 3 << 19
-WALK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 20
+WALK_BYTES = 1 << 19
 SPACE = 0x20
 SCHEMA_TAIL = "sample int, pieces binary, n_pieces int, log_prob double, gumbel double, inclusion double, restored boolean"
 
@@ -297,7 +297,7 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
     return results
 
 
-def _hash_blocks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 1 << 21):
+def _hash_blocks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 1 << 20):
     """Hashes of spans, by blocks, so that the tables of powers stay small."""
     lo = 0
     while lo < len(starts):

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
