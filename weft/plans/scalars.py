@@ -380,3 +380,20 @@ def relevant_objects(spark, sf_dir):
     return per_object.join(centre, "episode")
 
 
+
+
+@query("half_even_rounding", """SELECT l_orderkey, l_linenumber, l_quantity AS q, round_even(l_quantity / 8, 2) AS at_two, round_even(l_quantity / 2, 0) AS at_none FROM lineitem""")
+def half_even_rounding(spark, sf_dir):
+    """Halves to even, on values whose halves are exact in binary."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"), F.bround(F.col("l_quantity") / 8, 2).alias("at_two"), F.bround(F.col("l_quantity") / 2, 0).alias("at_none")
+    )
+
+
+@query("config_attributes", """SELECT event_id, path, coalesce(CASE path WHEN '$.k' THEN props->>'$.k' END, 'none') AS value FROM events, (SELECT unnest(['$.k', '$.a.b']) AS path)""")
+def config_attributes(spark, sf_dir):
+    """Attributes of JSON configurations by a list of paths."""
+    paths = ("$.k", "$.a.b")
+    doc = F.try_parse_json("props")
+    found = F.array(*[F.struct(F.lit(p).alias("path"), F.coalesce(F.try_variant_get(doc, p, "string"), F.lit("none")).alias("value")) for p in paths])
+    return table(spark, sf_dir, "events").select("event_id", F.explode(found).alias("f")).select("event_id", "f.path", "f.value")

@@ -223,3 +223,39 @@ def stream_reservoirs(spark, sf_dir):
 def steps_after_first(spark, sf_dir):
     """steps from the first on (what a consumer sees that skips the dummy)."""
     return steps(spark, sf_dir).where("t >= 1").groupBy("episode").agg(F.count(F.lit(1)).alias("kept"))
+
+
+@query(
+    "episode_rows",
+    f"""WITH {STEPS} SELECT episode, count(*) AS n_steps, max(t) + 1 AS length, coalesce(min(t) FILTER (success), 0) AS first_success, bool_or(success) AS success,
+      lower(arg_min(p_name, t)) AS object_name, 'Handle the ' || lower(arg_min(p_type, t)) AS description FROM steps JOIN part ON part = p_partkey GROUP BY episode""",
+)
+def episode_rows(spark, sf_dir):
+    """One row per trajectory of a file, from its step arrays and its scene document."""
+    s = steps(spark, sf_dir).join(table(spark, sf_dir, "part"), F.col("part") == F.col("p_partkey"))
+    return s.groupBy("episode").agg(
+        F.count(F.lit(1)).alias("n_steps"), (F.max("t") + 1).alias("length"), F.coalesce(F.min(F.when(F.col("success"), F.col("t"))), F.lit(0)).cast("long").alias("first_success"),
+        F.bool_or("success").alias("success"), F.lower(F.min_by("p_name", "t")).alias("object_name"), F.concat(F.lit("Handle the "), F.lower(F.min_by("p_type", "t"))).alias("description"),
+    )
+
+
+@query("connector_roundtrip", "SELECT kind, count(*) AS n, round(sum(s_acctbal), 2) AS balance FROM supplier, (SELECT unnest(['orc', 'csv', 'json', 'parquet']) AS kind) GROUP BY kind")
+def connector_roundtrip(spark, sf_dir):
+    """The same rows through several formats."""
+    work = Workspace(spark, "formats")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    out = None
+    for kind in ("orc", "csv", "json", "parquet"):
+        s.write.format(kind).save(work.path(kind))
+        back = spark.read.schema(s.schema).format(kind).load(work.path(kind)).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("s_acctbal"), 2).alias("balance"))
+        back = back.select(F.lit(kind).alias("kind"), "n", "balance")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("join_strategies", "SELECT strategy, c_nationkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey, (SELECT unnest(['broadcast', 'merge', 'shuffle_hash']) AS strategy) GROUP BY ALL")
+def join_strategies(spark, sf_dir):
+    """The same join by three physical strategies."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    parts = [c.join(n.hint(s), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n")).withColumn("strategy", F.lit(s)) for s in ("broadcast", "merge", "shuffle_hash")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
