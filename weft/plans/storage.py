@@ -154,10 +154,10 @@ def sliding_events(spark, sf_dir):
     return progress.tumbling(events(spark, sf_dir), "3 hours", "1 hour")
 
 
-@query("session_events", """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 hour THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+@query("session_events", """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 hour THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
   s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n, round(sum(value), 4) AS value FROM s GROUP BY user_id, session""")
 def session_events(spark, sf_dir):
-    """Sessions with pauses under six hours."""
+    """Sessions with pauses of six hours at most."""
     return progress.sessions(events(spark, sf_dir), "6 hours")
 
 

@@ -57,7 +57,7 @@ def tumbling(events: DataFrame, width: str, slide: str | None = None, late: str
 
 
 def sessions(events: DataFrame, gap: str, late: str | None = None) -> DataFrame:
-    """Sessions of a user: events with pauses under the gap."""
+    """Sessions of a user: events with pauses of the gap at most."""
     if late:
         events = events.withWatermark("ts", late)
     found = events.groupBy(F.session_window("ts", gap), "user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -17,12 +19,27 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        remove(spark, path)
+
+
 class Workspace:
-    """Tables of one run, under a folder of its own in the shared directory."""
+    """Tables of one run, under a folder of its own in the shared directory; it goes when the driver ends.
+
+    Frames that a run returns read from it, so it cannot go before.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/weft-{label}-{uuid.uuid4().hex[:12]}"
+        atexit.register(_remove_at_exit, spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -35,6 +52,4 @@ class Workspace:
 
     def drop(self, name: str) -> None:
         """Remove a table that nothing reads any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path(name))
