@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.arrow import map_arrow
+from weft.llm.arrow import map_arrow, release
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 1 << 20
-WALK_BYTES = 1 << 19
+CHUNK_BYTES = 3 << 18
+WALK_BYTES = 1 << 18
 SPACE = 0x20
 SCHEMA_TAIL = "sample int, pieces binary, n_pieces int, log_prob double, gumbel double, inclusion double, restored boolean"
 
@@ -65,7 +65,7 @@ class Lexicon:
     pieces, which are likely ones, come first. An arc of byte pieces has piece -2; byte_of is a node's place in the data.
     """
 
-    def __init__(self, data: np.ndarray, lengths: np.ndarray, vocab: lattice.Vocabulary, step: int = 20_000):
+    def __init__(self, data: np.ndarray, lengths: np.ndarray, vocab: lattice.Vocabulary, step: int = 2_000):
         self.root = np.zeros(len(lengths), np.int64)
         self.end = np.zeros(len(lengths), np.int64)
         piece, span, q, byte_of, count, nodes = [], [], [], [], [], 0
@@ -364,6 +364,8 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                      pa.array(inclusion, pa.float64()), pa.array(restored, pa.bool_())],
                     names=[*names, "sample", "pieces", "n_pieces", "log_prob", "gumbel", "inclusion", "restored"],
                 )
+                del found, pieces, spaced, kept
+                release()
 
     return run
 
