@@ -87,7 +87,7 @@ def tracking_bounds(spark, sf_dir):
 def tracking_ratio_outliers(spark, sf_dir):
     """Outliers grouped by episode."""
     r = ratios(spark, sf_dir)
-    found = seq.outside(r, F.broadcast(seq.deviation_bounds(r, "key", "ratio", 2.0)), "key", "ratio")
+    found = seq.outside(r, seq.deviation_bounds(r, "key", "ratio", 2.0), "key", "ratio")
     return found.groupBy("episode").agg(
         F.count(F.lit(1)).alias("outliers"), F.round(F.max("ratio"), 6).alias("worst"),
         F.array_join(F.transform(F.sort_array(F.collect_list("t")), lambda t: t.cast("string")), ",").alias("at"),
@@ -106,7 +106,7 @@ def gap_segments(spark, sf_dir):
     """Outlier steps merged across gaps of 20, padded by 5."""
     r = ratios(spark, sf_dir)
     bounds = seq.deviation_bounds(r, "key", "ratio", 1.5)
-    points = r.join(F.broadcast(bounds), "key").where("ratio > upper").groupBy("episode", "t").agg(F.max("ratio").alias("value"))
+    points = r.join(bounds, "key").where("ratio > upper").groupBy("episode", "t").agg(F.max("ratio").alias("value"))
     lengths = signals(spark, sf_dir).groupBy("episode").agg(F.count(F.lit(1)).alias("length"))
     return rounded(seq.merge_gaps(points, 20, 5, lengths), {"worst": 6})
 
