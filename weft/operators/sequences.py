@@ -97,3 +97,19 @@ def sigma_clip(values: DataFrame, key: str, value: str, sigmas: float = 4.0, mos
             if not state.where("NOT done").limit(1).count():
                 break
     return state.select(key, "mean", "std", "n", "lower", "upper")
+
+
+def global_rank(df: DataFrame, order: list[Column | str], workspace, name: str = "place") -> DataFrame:
+    """Number of each row in a total order, without one window over all rows.
+
+    Rows are dealt by range into written parts; a row's number is its number in its part and the sizes of the parts
+    before, of which there are as many as shuffle partitions.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = workspace.save(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), f"{name}-parts")
+    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("__part", before.alias("__before"))
+    numbered = dealt.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    joined = numbered.join(F.broadcast(offsets), "__part")  # one row per part
+    return joined.withColumn(name, (F.col("__before") + F.col("__in")).cast("long")).drop("__part", "__before", "__in")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weft.operators import relations as rel
+from weft.operators.sequences import global_rank
 from weft.plans.registry import query
 from weft.plans.standins import EPISODES, STEPS, episodes, steps
 from weft.sources.tables import table
+from weft.workspace import Workspace
 
 
 @query(
@@ -224,14 +225,10 @@ def neighbour_sets(spark, sf_dir):
     """SELECT row_number() OVER (ORDER BY file, i) AS trajectory, file, i FROM (SELECT 'a' AS file, c_custkey AS i FROM customer WHERE c_custkey <= 50 UNION ALL SELECT 'b', s_suppkey FROM supplier)""",
 )
 def union_renumbered(spark, sf_dir):
-    """Episodes of several files as one, renumbered by their order in each file (offsets of counts per file, so that
-    no window runs over all rows)."""
+    """Episodes of several files as one, renumbered by file and their order in it."""
     a = table(spark, sf_dir, "customer").where("c_custkey <= 50").select(F.lit("a").alias("file"), F.col("c_custkey").alias("i"))
     every = a.unionByName(table(spark, sf_dir, "supplier").select(F.lit("b").alias("file"), F.col("s_suppkey").alias("i")))
-    sizes = every.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("file").orderBy("i"))
-    return every.withColumn("r", within).join(offsets, "file").select((F.col("r") + F.col("before")).cast("long").alias("trajectory"), "file", "i")
+    return global_rank(every, [F.col("file"), F.col("i")], Workspace(spark, "union"), "trajectory").select("trajectory", "file", "i")
 
 
 @query("key_union", """SELECT user_id AS episode, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS keys, count(DISTINCT event_type) AS n FROM events GROUP BY user_id""")

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from weft.functions import geometry as geo
 from weft.functions import text as tx
 from weft.operators import sampling as smp
+from weft.operators.sequences import global_rank
 from weft.plans.registry import query
 from weft.plans.standins import EPISODES, STEPS, episodes, steps
 from weft.sources.tables import table
+from weft.workspace import Workspace
 
 U = "(('0x' || substr(md5({0}), 1, 12))::BIGINT / 281474976710656.0::DOUBLE)"
 
@@ -172,7 +174,7 @@ def weighted_cost_top(spark, sf_dir):
 def class_ranking(spark, sf_dir):
     """Classes by frequency, some excluded."""
     counts = table(spark, sf_dir, "part").where(~F.col("p_type").startswith("ECONOMY")).groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("p_type", "n", F.row_number().over(Window.orderBy(F.desc("n"), "p_type")).cast("long").alias("place"))
+    return global_rank(counts, [F.desc("n"), F.col("p_type")], Workspace(spark, "classes"))
 
 
 @query("failure_blacklist", f"""WITH {STEPS} SELECT part, count(*) AS failures FROM steps WHERE NOT success GROUP BY part HAVING count(*) >= 22""")

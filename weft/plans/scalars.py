@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from weft.functions import geometry as geo
 from weft.functions import text as tx
+from weft.operators.sequences import global_rank
 from weft.plans.registry import query
 from weft.plans.standins import STEPS, steps
 from weft.sources.tables import table
+from weft.workspace import Workspace
 
 NAMES = """names AS (SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN 'obja' || md5(p_partkey::VARCHAR) || '_1_0_' || (p_partkey % 7)
   WHEN 1 THEN 'mug_' || p_partkey || '_1_0_2' WHEN 2 THEN 'CoffeeTable' || p_partkey ELSE replace(p_type, ' ', '_') || '_' || (p_partkey % 9) END AS name FROM part)"""
@@ -140,7 +142,8 @@ def task_sentences(spark, sf_dir):
 def natural_sort_rank(spark, sf_dir):
     """Numbers in names sort as numbers."""
     n = table(spark, sf_dir, "part").select(F.concat(F.lit("traj_"), F.col("p_size").cast("string"), F.lit("_"), (F.col("p_partkey") % 12).cast("string")).alias("name")).distinct()
-    return n.select("name", F.row_number().over(Window.orderBy(tx.natural_key(F.col("name")))).cast("long").alias("place"))
+    ranked = global_rank(n.withColumn("key", tx.natural_key(F.col("name"))), ["key"], Workspace(spark, "natural"))
+    return ranked.select("name", "place")
 
 
 @query("episode_seeds", """SELECT o_orderkey, ('0x' || substr(sha256(o_orderkey || '|' || o_orderpriority || '|' || o_orderstatus), 1, 8))::BIGINT AS seed FROM orders""")
