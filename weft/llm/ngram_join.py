@@ -8,9 +8,10 @@ form one class and are represented by the smallest id, so copies are never paire
    hashed bitmap signature (bit = parity of the elements hashed to it, so the popcount of an XOR bounds
    the symmetric difference from below and the overlap from above) and the partial counts of a frequency
    table of fixed size over all shingles.
-2. *Near copies first.* Classes that share a band key are linked to the smallest of them and checked.
-   This is only a short cut: it makes large groups of near copies one component with a link per member,
-   so the complete search below need not pair them with each other.
+2. *Near copies first.* Classes that share a band key are paired with one of them and checked, in rounds with
+   another partner each, while groups still hold far more pairs of different components than rows. This is only a
+   short cut: it makes large groups of near copies one component with a few checks per member, so the complete
+   search below need not pair them with each other.
 3. *Complete search.* Two sets that link share an element among the first n - ceil(t n) + 1 of each in any
    common order (prefix filter). The order puts rare shingles first, by the frequency table, so shared
    passages lie behind the prefix. Tiles hold the texts that share a prefix element. Tiles of frequent
@@ -45,6 +46,7 @@ from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
 BANDS, ROWS = 5, 3
+ROUNDS, PAIRS_PER_ROW = 12, 8
 FREQUENCY_BITS = 18
 CHUNKS = 16
 TILE_ROWS = 4096
@@ -352,25 +354,59 @@ def _bounded(percent: int):
     return run
 
 
-def _verified(pairs, docs, marks, words, percent, workspace, name) -> DataFrame:
-    """Pairs (a, b) of class representatives that link: bitmap bound, then intersection of the sets."""
+def _sets_of(ids: DataFrame, docs: DataFrame, words: int, workspace: Workspace, name: str) -> DataFrame:
+    """(id, items): the sorted sets of some classes; a bitmap of their ids tells the scan which texts to read."""
+    needed = workspace.save(bitmaps.of_keys(ids, "id"), f"{name}-needed")
+    wanted = bitmaps.flag(docs, needed, bitmaps.slot(F.col("id")), "__wanted").where("__wanted").select("id", "text")
+    return workspace.save(wanted.transform(map_arrow, _sets(words), "id long, items binary"), f"{name}-sets")
+
+
+def _close(pairs: DataFrame, marks: DataFrame, percent: int, workspace: Workspace, name: str) -> DataFrame:
+    """Pairs (a, b) of classes that sizes and bitmaps leave."""
     one = marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
     two = marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
     sized = pairs.join(one, "a").join(two, "b").where(
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     )
-    close = workspace.save(
+    return workspace.save(
         sized.select("a", "b", "na", "ma", "nb", "mb").transform(map_arrow, _bounded(percent), "a long, b long"), f"{name}-close"
     )
-    ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id")))
-    needed = workspace.save(bitmaps.of_keys(ends, "id"), f"{name}-needed")
-    wanted = bitmaps.flag(docs, needed, bitmaps.slot(F.col("id")), "__wanted").where("__wanted").select("id", "text")
-    sets = workspace.save(wanted.transform(map_arrow, _sets(words), "id long, items binary"), f"{name}-sets")
+
+
+def _links(close: DataFrame, sets: DataFrame, percent: int, workspace: Workspace, name: str) -> DataFrame:
+    """Pairs (a, b) that link, by the intersection of their sets."""
     s, t = sets.select(F.col("id").alias("a"), F.col("items").alias("sa")), sets.select(F.col("id").alias("b"), F.col("items").alias("sb"))
     full = close.join(s, "a").join(t, "b").select("a", "b", "sa", "sb")
-    links = workspace.save(full.transform(map_arrow, _intersect(percent), "a long, b long").distinct(), f"{name}-links")
-    workspace.drop(f"{name}-sets")
-    return links
+    return workspace.save(full.transform(map_arrow, _intersect(percent), "a long, b long").distinct(), f"{name}-links")
+
+
+def _near_links(marks: DataFrame, docs: DataFrame, words: int, percent: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Links among classes that share a band key, and the components (v, component) they make."""
+    banded = marks.select("id", F.explode("bands").alias("key"))
+    shared = workspace.save(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "near-keys")
+    rows = workspace.save(banded.join(shared, "key"), "near-rows")
+    sets = _sets_of(rows.select("id").distinct(), docs, words, workspace, "near")
+    total, links, labels = rows.count(), None, None
+    for step in range(ROUNDS):
+        if labels is None:
+            placed = rows.withColumn("comp", F.col("id"))
+        else:
+            placed = rows.join(labels, rows["id"] == labels["v"], "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+        sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
+        spread = sizes.groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+        spread = workspace.save(spread.where("k * k > same"), f"near-spread-{step}")
+        left = spread.agg(F.sum((F.col("k") * F.col("k") - F.col("same")) / 2)).first()[0] or 0
+        if step and left <= PAIRS_PER_ROW * total:
+            break
+        partner = placed.groupBy("key").agg(F.min_by(F.struct("id", "comp"), F.struct(F.xxhash64("id", F.lit(step)), "id")).alias("p"))
+        partner = workspace.save(partner.join(spread.select("key"), "key", "left_semi"), f"near-partner-{step}")
+        pairs = placed.join(partner, "key").where(F.col("comp") != F.col("p.comp"))
+        pairs = pairs.select(F.least("id", F.col("p.id")).alias("a"), F.greatest("id", F.col("p.id")).alias("b")).distinct()
+        found = _links(_close(pairs, marks, percent, workspace, f"near-{step}"), sets, percent, workspace, f"near-{step}")
+        links = found if links is None else workspace.save(links.unionByName(found), f"near-all-{step}")
+        labels = components(links, workspace, f"near-part-{step}")
+    workspace.drop("near-sets")
+    return links, labels
 
 
 def jaccard_components(
@@ -402,14 +438,7 @@ def jaccard_components(
     )
     marks = workspace.save(marks.select("id", "n", "bands", "mark").dropDuplicates(["id"]), "marks")
 
-    banded = marks.select("id", "n", F.explode("bands").alias("key"))
-    leaders = workspace.save(
-        banded.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "a"),
-        "leaders",
-    )
-    stars = banded.join(leaders, "key").where("a < id").select("a", F.col("id").alias("b")).distinct()
-    near = _verified(stars, plain, marks, words, percent, workspace, "near")
-    labels = components(near, workspace, "near-part")
+    near, labels = _near_links(marks, plain, words, percent, workspace)
 
     prefixes = plain.transform(map_arrow, _postings(words, percent, shared), "id long, n int, prefix binary").where("n > 0")
     known = marks.select(F.col("id").alias("rep")).join(labels, F.col("rep") == labels["v"], "left")
@@ -418,7 +447,9 @@ def jaccard_components(
     postings = placed.transform(map_arrow, _tiles(percent, shared), "tile long, id long, comp long, at long")
     sorted_tiles = postings.repartition("tile").sortWithinPartitions("tile")
     candidates = workspace.save(sorted_tiles.transform(map_arrow, _pairs(percent), "a long, b long").distinct(), "candidates")
-    rest = _verified(candidates, plain, marks, words, percent, workspace, "rest")
+    close = _close(candidates, marks, percent, workspace, "rest")
+    ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
+    rest = _links(close, _sets_of(ends, plain, words, workspace, "rest"), percent, workspace, "rest")
     links = near.unionByName(rest)
     final = components(links, workspace, "part")
 
