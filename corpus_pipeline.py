@@ -45,11 +45,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     words = mixing.word_count(F.col("text"))
     plain = F.length(F.coalesce("text", F.lit(""))).between(3 * words, 12 * words)
-    mixed = mixing.mix(
-        docs, Workspace(spark, "mix"), size=words, weight=F.when(plain, 2.0).otherwise(0.5), carry=[c for c in docs.columns if c not in ("doc_id", "source")]
-    )
-    repeated = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
+    mixed = mixing.mix(rows, Workspace(spark, "mix"), size=words, weight=F.when(plain, 2.0).otherwise(0.5), carry=["__row"])
+    repeated = mixed.where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select("__row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,15 +94,17 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
 
 
 def test_stages_keep_the_columns_and_bear_edges(spark, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    names = ["doc_id", "text", "lang", "source", "n_chars", "size", "copies", "keep_id", "id"]  # the last ones clash
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, copies string, keep_id string, id string"
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "word " * 20_000, "en", "a", None), (3, "word " * 20_000, "en", "a", None), (None, "some words here", "en", None, 1), (4, "words", "en", "a", 1)]
+    rows = [(*r, "s", "c", "k", "i") for r in rows]
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, data in (("full", rows), ("empty", [])):
         docs = spark.createDataFrame(data, schema)
         for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
             docs = Workspace(spark, "t").save(stage(spark, docs, str(tmp_path)), f"{name}-{number}")
             if number < len(corpus_pipeline.STAGES) - 1:
-                assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+                assert docs.columns == names and docs.where("size <> 's' OR copies <> 'c' OR keep_id <> 'k' OR id <> 'i'").count() == 0
         assert (docs.count() > 0) == bool(data)
 
 
