@@ -9,7 +9,7 @@ form one class and are represented by the smallest id, so copies are never paire
    the symmetric difference from below and the overlap from above) and the partial counts of a frequency
    table of fixed size over all shingles.
 2. *Near copies first.* Classes that share a band key are paired with one of them and checked, in rounds with
-   another partner each, while groups still hold far more pairs of different components than rows. This is only a
+   another partner each, in groups that still hold far more pairs of different components than rows. This is only a
    short cut: it makes large groups of near copies one component with a few checks per member, so the complete
    search below need not pair them with each other.
 3. *Complete search.* Two sets that link share an element among the first n - ceil(t n) + 1 of each in any
@@ -46,7 +46,7 @@ from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
 BANDS, ROWS = 5, 3
-ROUNDS, PAIRS_PER_ROW = 12, 8
+ROUNDS, PAIRS_PER_ROW = 5, 16
 FREQUENCY_BITS = 18
 CHUNKS = 16
 TILE_ROWS = 4096
@@ -380,31 +380,44 @@ def _links(close: DataFrame, sets: DataFrame, percent: int, workspace: Workspace
     return workspace.save(full.transform(map_arrow, _intersect(percent), "a long, b long").distinct(), f"{name}-links")
 
 
+def _lowered(links: DataFrame, labels: DataFrame | None, workspace: Workspace, name: str) -> DataFrame:
+    """Labels (v, component) after one step along the links: equal labels are connected, connected ones may still differ."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if labels is None:
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        return workspace.save(least.select(F.col("a").alias("v"), F.least("a", "m").alias("component")), name)
+    known = labels.select(F.col("v").alias("__v"), F.col("component").alias("__c"))
+    seen = both.join(known, F.col("b") == F.col("__v"), "left").select("a", F.least("a", F.coalesce("__c", "b")).alias("c"))
+    every = seen.unionByName(labels.select(F.col("v").alias("a"), F.col("component").alias("c")))
+    return workspace.save(every.groupBy("a").agg(F.min("c").alias("component")).withColumnRenamed("a", "v"), name)
+
+
 def _near_links(marks: DataFrame, docs: DataFrame, words: int, percent: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Links among classes that share a band key, and the components (v, component) they make."""
+    """Links among classes that share a band key, and labels (v, component) of them: equal ones are connected."""
     banded = marks.select("id", F.explode("bands").alias("key"))
     shared = workspace.save(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "near-keys")
     rows = workspace.save(banded.join(shared, "key"), "near-rows")
     sets = _sets_of(rows.select("id").distinct(), docs, words, workspace, "near")
-    total, links, labels = rows.count(), None, None
+    links, labels = None, None
     for step in range(ROUNDS):
         if labels is None:
             placed = rows.withColumn("comp", F.col("id"))
-        else:
+        else:  # only groups that still hold many pairs of different components go on
             placed = rows.join(labels, rows["id"] == labels["v"], "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
         sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
         spread = sizes.groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
-        spread = workspace.save(spread.where("k * k > same"), f"near-spread-{step}")
-        left = spread.agg(F.sum((F.col("k") * F.col("k") - F.col("same")) / 2)).first()[0] or 0
-        if step and left <= PAIRS_PER_ROW * total:
+        spread = workspace.save(spread.where(F.col("k") * F.col("k") - F.col("same") > (PAIRS_PER_ROW * F.col("k") if step else 0)), f"near-spread-{step}")
+        if step and not spread.limit(1).count():
             break
+        placed = workspace.save(placed.join(spread.select("key"), "key", "left_semi"), f"near-placed-{step}")
+        rows = placed.select("key", "id")
         partner = placed.groupBy("key").agg(F.min_by(F.struct("id", "comp"), F.struct(F.xxhash64("id", F.lit(step)), "id")).alias("p"))
-        partner = workspace.save(partner.join(spread.select("key"), "key", "left_semi"), f"near-partner-{step}")
+        partner = workspace.save(partner, f"near-partner-{step}")
         pairs = placed.join(partner, "key").where(F.col("comp") != F.col("p.comp"))
         pairs = pairs.select(F.least("id", F.col("p.id")).alias("a"), F.greatest("id", F.col("p.id")).alias("b")).distinct()
         found = _links(_close(pairs, marks, percent, workspace, f"near-{step}"), sets, percent, workspace, f"near-{step}")
         links = found if links is None else workspace.save(links.unionByName(found), f"near-all-{step}")
-        labels = components(links, workspace, f"near-part-{step}")
+        labels = _lowered(links, labels, workspace, f"near-part-{step}")
     workspace.drop("near-sets")
     return links, labels
 
