@@ -46,9 +46,9 @@ from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
 BANDS, ROWS = 5, 3
-ROUNDS, PAIRS_PER_ROW = 5, 16
-FREQUENCY_BITS = 18
-CHUNKS = 16
+ROUNDS, PAIRS_PER_ROW = 7, 16
+FREQUENCY_BITS = 19
+CHUNKS = 32
 TILE_ROWS = 4096
 SIGNATURE_MIN, SIGNATURE_MAX = 64, 1 << 16
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=U64)) | U64(1)
@@ -149,7 +149,7 @@ CLASS_SCHEMA = "id long, n int, low long, high long, bands array<long>, mark bin
 def frequencies(rows: DataFrame) -> np.ndarray:
     """Sum of the partial frequency tables: an upper bound on the number of texts with a shingle, by bucket.
 
-    The table has 2**FREQUENCY_BITS numbers (2 MB) at any input size.
+    The table has 2**FREQUENCY_BITS numbers (4 MB) at any input size.
     """
 
     def add(key, frame):  # one group per chunk
