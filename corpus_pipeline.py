@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import bitmaps, exact_dedup, language_id, mixing, ngram_join, sentencepiece_sampling
-from weft.llm.queries import UNIGRAM_VOCABULARY
+from weft.llm.queries import UNIGRAM_VOCABULARY, label_weights
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
@@ -40,13 +40,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources meet their targets: a document is left out, stays, or comes up to three times.
 
-    Its quality weight is 2 if its words have 3 to 12 characters on average (white space included) and 0.5 else: a
-    function of the text, so that keys are computed where the text is and no text is shuffled.
+    Labelled quality weighs the exponential keys, as in op1_mix_sources.
     """
-    words = mixing.word_count(F.col("text"))
-    plain = F.length(F.coalesce("text", F.lit(""))).between(3 * words, 12 * words)
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
-    mixed = mixing.mix(rows, Workspace(spark, "mix"), size=words, weight=F.when(plain, 2.0).otherwise(0.5), carry=["__row"])
+    mixed = mixing.weighed_copies(
+        rows, label_weights(spark, sf_dir), Workspace(spark, "mix"), size=mixing.word_count(F.col("text")), row="__row"
+    )
     repeated = mixed.where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select("__row.*")
 

@@ -8,11 +8,12 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_llm import brute_components, lower, words
-from weft.llm import lattice, sentencepiece_sampling
-from weft.llm.queries import UNIGRAM_VOCABULARY
+from weft.llm import lattice, mixing, sentencepiece_sampling
+from weft.llm.queries import UNIGRAM_VOCABULARY, label_weights
 from weft.workspace import Workspace
 
 SAMPLES = {
@@ -108,5 +109,21 @@ def test_stages_keep_the_columns_and_bear_edges(spark, tmp_path):
         assert (docs.count() > 0) == bool(data)
 
 
+def test_mixing_stage_draws_by_labelled_quality(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(SAMPLES["en"]) for _ in range(10)) for _ in range(4000)]
+    rows = [(i if i else None, t, "en", "a" if i < 2000 else rng.choice(["b", None]), None) for i, t in enumerate(texts)]
+    rows += [(7, "a row with the same id", "en", "b", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 3 // 2, 0) for i in range(4000) if i % 3], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stage = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.mix_sources(spark, df, str(tmp_path)).collect())
+    weighed = df.join(label_weights(spark, str(tmp_path)).withColumnRenamed("__labelled", "l"), F.col("doc_id") == F.col("l"), "left")
+    mixed = mixing.mix(weighed, Workspace(spark, "t"), size=mixing.word_count(F.col("text")), weight=F.col("weight"), carry=["text"])
+    assert stage == {(r.doc_id, r.text): r.copies for r in mixed.collect() if r.copies}
+    drawn = [sum(stage[i, texts[i]] for i in range(2001, 4000) if i % 3 == k and rows[i][3] is None) for k in (1, 2)]
+    assert drawn[1] > 1.5 * drawn[0]
+
+
 def test_words_helper():
     assert words("A b\x0bC") == [b"a", b"b", b"c"]

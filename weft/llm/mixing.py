@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.llm import bitmaps
 from weft.workspace import Workspace
 
 KEY_BUCKETS = 4096
@@ -125,6 +126,15 @@ def _copies() -> Column:
     return F.col("epochs") + F.coalesce(chosen, F.lit(False)).cast("long")
 
 
+def _planned(slim: DataFrame, workspace: Workspace, shares: Sequence[int], max_epochs: int) -> DataFrame:
+    sources = workspace.save(plan(slim, workspace, shares, max_epochs), "plan").withColumnRenamed("source", "__source")
+    return F.broadcast(sources) if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else sources
+
+
+def _with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    return rows.join(sources, rows["source"].eqNullSafe(F.col("__source")))
+
+
 def mix(
     docs: DataFrame,
     workspace: Workspace,
@@ -152,11 +162,9 @@ def mix(
         *[F.col(c).alias(f"__c_{c}") for c in carry],
     )
     slim = workspace.save(plain.select("id", "source", "size", "key"), "keyed")
-    sources = workspace.save(plan(slim, workspace, shares, max_epochs), "plan")
-    if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        sources = F.broadcast(sources)
+    sources = _planned(slim, workspace, shares, max_epochs)
     rows = plain if carry else slim
-    joined = rows.join(sources.withColumnRenamed("source", "__source"), rows["source"].eqNullSafe(F.col("__source")))
+    joined = _with_source(rows, sources)
     return joined.select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
@@ -164,3 +172,48 @@ def mix(
         "size", "source_size", "target", "epochs",
         _copies().alias("copies"),
     )
+
+
+def weighed_copies(
+    docs: DataFrame,
+    weights: DataFrame,
+    workspace: Workspace,
+    *,
+    size: Column,
+    row: str,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    shares: Sequence[int] = (5, 2, 1),
+    max_epochs: int = 3,
+    seed: int = 17,
+) -> DataFrame:
+    """Column row of docs and its copies, as mix decides them with weights (id, weight; one row for an id, none is 1).
+
+    Weights are joined to ids, sources and sizes only. Most ids are decided alike with and without their weight; the
+    last scan decides these where the text is, and only rows of the other ids move to be joined with their weight.
+    """
+    named = weights.toDF("__of", "weight")
+    sizes = workspace.save(
+        docs.select(
+            F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+            F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("size"),
+        ),
+        "sizes",
+    )
+
+    def key(weight: Column) -> Column:
+        return es_key(F.col("id"), F.coalesce(weight, F.lit(1.0)), seed)
+
+    weighed = sizes.join(named, sizes["id"] == named["__of"], "left").drop("__of")
+    slim = workspace.save(weighed.withColumn("key", key(F.col("weight"))), "keyed")
+    sources = _planned(slim.drop("weight"), workspace, shares, max_epochs)
+    decided = _with_source(slim.where("weight IS NOT NULL"), sources).withColumn("__with", _copies())
+    decided = decided.withColumn("key", key(F.lit(1.0))).where(F.col("__with") != _copies())
+    changed = workspace.save(decided.select(F.col("id").alias("__of"), "weight").distinct(), "changed")
+    bitmap = workspace.save(bitmaps.of_keys(changed, "__of"), "changed-bits")
+    plain = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(row).alias("__row"))
+    flagged = bitmaps.flag(plain, bitmap, bitmaps.slot(F.col("id")), "__maybe")
+    maybe = flagged.where("__maybe").drop("__maybe")
+    maybe = maybe.join(changed, maybe["id"] == changed["__of"], "left").drop("__of")
+    rows = flagged.where("NOT __maybe").drop("__maybe").withColumn("weight", F.lit(None).cast("double")).unionByName(maybe)
+    return _with_source(rows.withColumn("key", key(F.col("weight"))), sources).select(F.col("__row").alias(row), _copies().alias("copies"))
