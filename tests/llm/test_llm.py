@@ -446,6 +446,27 @@ def test_block_tables_find_all_within_the_radius(spark):
             assert near[f"{p:032x}"] == sum((p ^ q).bit_count() <= radius for q in prints) - 1
 
 
+def test_wide_radius_finds_every_pair_and_planted_near_copies(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(128) for _ in range(15)]
+    prints = [0, (1 << 128) - 1, *base] + [x ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(1, 20))) for x in base for _ in range(15)] + base[:3]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    df = spark.createDataFrame([(f"{p:032x}", signed(p >> 64), signed(p & (1 << 64) - 1)) for p in prints], "fp string, w0 long, w1 long")
+    near = {r.fp: r.n_near for r in simhash.neighbours(df, work(spark)).collect()}
+    assert near == {f"{p:032x}": sum((p ^ q).bit_count() <= simhash.RADIUS for q in prints) - 1 for p in prints}
+    pairs = sorted((r.fp_a, r.fp_b, r.distance) for r in simhash.within_radius(df, work(spark)).collect())
+    plain = itertools.combinations(sorted(set(prints)), 2)
+    assert pairs == sorted((f"{p:032x}", f"{q:032x}", (p ^ q).bit_count()) for p, q in plain if (p ^ q).bit_count() <= simhash.RADIUS)
+
+    names = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(2000)]
+    texts = [[rng.choice(names) for _ in range(200)] for _ in range(60)]
+    edited = [t[:50] + [rng.choice(names)] + t[51:150] + [rng.choice(names)] + t[151:] for t in texts]  # Jaccard about 0.9
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts + edited)], "doc_id long, text string")
+    own = simhash.fingerprints(df, ["doc_id"], "text").withColumn("fp", simhash.as_hex())
+    found = simhash.neighbours(work(spark).save(own, "own"), work(spark)).collect()
+    assert sum(r.n_near >= 1 for r in found) >= 0.95 * len(found)
+
+
 # 8 toxicity
 
 

@@ -94,7 +94,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts; n_near counts other documents within 3 bits."""
+    """Fingerprints of all documents and of their edited texts; n_near counts other documents within simhash.RADIUS bits."""
     work = Workspace(spark, "op7")
     docs = table(spark, sf_dir, "documents")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

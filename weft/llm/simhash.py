@@ -1,4 +1,4 @@
-"""Document fingerprints: SimHash in DataFrame operations only, and permuted block tables to search them.
+"""Document fingerprints: SimHash in DataFrame operations only, and tables of blocks to search them.
 
 A text's terms are its words (runs without white space). Each term's hash of BITS bits votes on every bit,
 for it where the hash has a 1 and against it where it has a 0, with the term's weight: the square of its
@@ -8,11 +8,17 @@ A bit is set if the votes for it are a majority.
 Votes are sums of exploded words, grouped by document and combined on the map side. Two counters of 32
 bits share each sum, so a fingerprint needs BITS / 2 sums and a text may have 2**32 / MAX_WEIGHT words.
 
-Search: with r the radius, fingerprints are cut into r + 2 blocks. Two fingerprints within r bits of each
-other agree on two blocks at least, so each pair of blocks is the leading key of one permuted table, and
-the tables together hold every pair within the radius. Only distinct fingerprints enter the tables; copies
+Search: with r the radius, fingerprints are cut into blocks, more than r / 3 of them and of 32 bits at most, so
+two fingerprints within r bits of each other have a block in which they differ by 2 bits at most. Each distinct
+value of a block is listed under itself and under all values one bit away; values that share a key are at most
+2 bits apart, and a key's list is a bit mask of the bits turned, so no list is long. The pairs of values, equal
+ones included, are then joined with their fingerprints, and a pair of fingerprints counts at the first block
+that finds it. So every pair within the radius is found once. Only distinct fingerprints are searched; copies
 are counted, not paired.
 
+RADIUS is chosen from the distances of different texts whose five-word shingles have a Jaccard index of 0.8 or
+more: on documents of sf0.1 36 of 40 such pairs are within 14 bits, 34 within 13, and 3 within 3.
+
 Nulls, ties, repeats: a null text is an empty one; an empty text's fingerprint is all zeros. Equal texts
 have equal fingerprints. Rows are keyed by id; a null id is dropped by the fingerprint query's order but
 kept here as a group of its own. Rows that repeat an id and a text add their votes and so keep the
@@ -21,8 +27,6 @@ fingerprint. An empty table gives no rows.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,7 @@ BITS = 128
 MAX_WEIGHT = 64
 WHITE = r"[\x20\x09-\x0D]+"
 LANES = (1 << 32) | 1
+RADIUS = 14
 
 
 def fingerprints(texts: DataFrame, key: list[str], text_col: str) -> DataFrame:
@@ -76,38 +81,73 @@ def likeness(a: str, b: str) -> Column:
     return F.lit(1.0) - distance(a, b) / F.lit(float(BITS))
 
 
-def _block_keys(radius: int) -> list[tuple[int, list[Column]]]:
-    """For each permuted table its number and its leading blocks, cut from the hexadecimal fingerprint."""
-    blocks = radius + 2
-    digits = BITS // 4
-    cuts = [digits * k // blocks for k in range(blocks + 1)]
-    part = [F.substring("fp", cuts[k] + 1, cuts[k + 1] - cuts[k]) for k in range(blocks)]
-    return [(n, [part[a], part[b]]) for n, (a, b) in enumerate(combinations(range(blocks), 2))]
+def _block(number: int, blocks: int, words: list[Column]) -> tuple[Column, int]:
+    """A block of the fingerprint in two words, the high one first, as a long, and how many bits it has."""
+    low, high = BITS * number // blocks, BITS * (number + 1) // blocks
+    if low >= 64:
+        value = F.shiftrightunsigned(words[0], low - 64)
+    else:
+        value = F.shiftrightunsigned(words[1], low)
+        if high > 64:
+            value = value.bitwiseOR(F.shiftleft(words[0], 64 - low))
+    return value.bitwiseAND(F.lit((1 << (high - low)) - 1)), high - low
+
+
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
+
+
+def _value_pairs(values: DataFrame) -> DataFrame:
+    """(key_a, key_b), key_a < key_b, of block values (key, bits) that are 1 or 2 bits apart, each pair once."""
+
+    def value(place: Column) -> Column:
+        """The value listed at place 0 of a key is the key itself, at place i the key with bit i - 1 turned."""
+        return F.when(place == 0, F.col("at")).otherwise(F.col("at").bitwiseXOR(_bit(F.greatest(place - 1, F.lit(0)))))
+
+    listed = values.select(F.col("key").alias("at"), F.explode(F.sequence(F.lit(0), F.col("bits"))).alias("place"))
+    lists = listed.select(value(F.col("place")).alias("at"), _bit(F.col("place")).alias("place"))
+    lists = lists.groupBy("at").agg(F.bit_or("place").alias("places")).where("bit_count(places) > 1")
+    places = F.filter(F.sequence(F.lit(0), F.lit(32)), lambda i: F.col("places").bitwiseAND(_bit(i)) != 0)
+    first = lists.select("at", places.alias("places")).select("at", "places", F.explode("places").alias("a"))
+    both = first.select("at", "a", F.explode("places").alias("b")).where("a < b")
+    return both.select(value(F.col("a")).alias("key_a"), value(F.col("b")).alias("key_b")).where("key_a < key_b")
+
+
+def _near(distinct: DataFrame, workspace: Workspace, radius: int, extra: tuple[str, ...]) -> DataFrame:
+    """Pairs of rows (w0, w1 and extra columns, suffixed _a and _b) of distinct fingerprints within the radius, each once."""
+    blocks = max(4, radius // 3 + 1)
+    cut = [_block(k, blocks, [F.col("w0"), F.col("w1")]) for k in range(blocks)]
+    keys = F.array(*[F.struct(value.bitwiseOR(F.lit(k << 32)).alias("key"), F.lit(bits).alias("bits")) for k, (value, bits) in enumerate(cut)])
+    names = ("w0", "w1", *extra)
+    members = workspace.save(distinct.select(*names, F.inline(keys)), "members")
+    values = workspace.save(members.groupBy("key", "bits").agg(F.count(F.lit(1)).alias("n")), "values")
+    pairs = _value_pairs(values).unionByName(values.where("n > 1").select(F.col("key").alias("key_a"), F.col("key").alias("key_b")))
+    pairs = workspace.save(pairs, "value-pairs")
+    a = members.select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in names])
+    b = members.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in names])
+    x = [F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b")) for i in range(2)]
+    differ = [F.bit_count(_block(k, blocks, x)[0]) for k in range(blocks)]
+    at = F.coalesce(*[F.when(d <= 2, F.lit(k)) for k, d in enumerate(differ)])
+    once = (F.col("key_a") < F.col("key_b")) | (F.struct("w0_a", "w1_a") < F.struct("w0_b", "w1_b"))
+    within = F.bit_count(x[0]) + F.bit_count(x[1]) <= radius
+    found = pairs.join(a, "key_a").join(b, "key_b").where(once & within & (at == F.shiftright("key_a", 32)))
+    return found.select(*[f"{c}_{side}" for side in "ab" for c in names])
+
+
+def within_radius(prints: DataFrame, workspace: Workspace, radius: int = RADIUS) -> DataFrame:
+    """Pairs (fp_a, fp_b, distance), fp_a < fp_b, of distinct fingerprints (column fp, hexadecimal) within the radius."""
+    near = _near(prints.select("fp", "w0", "w1").distinct(), workspace, radius, ("fp",))
+    bits = F.bit_count(F.col("w0_a").bitwiseXOR(F.col("w0_b"))) + F.bit_count(F.col("w1_a").bitwiseXOR(F.col("w1_b")))
+    return near.select(F.least("fp_a", "fp_b").alias("fp_a"), F.greatest("fp_a", "fp_b").alias("fp_b"), bits.alias("distance"))
 
 
-def within_radius(prints: DataFrame, workspace: Workspace, radius: int = 3) -> DataFrame:
-    """Pairs (fp_a, fp_b, distance), fp_a < fp_b, of distinct fingerprints (column fp, hexadecimal) within the radius."""
-    distinct = workspace.save(prints.select("fp", *[f"w{i}" for i in range(BITS // 64)]).distinct(), "distinct")
-    keys = F.array(*[F.xxhash64(F.lit(n), *blocks) for n, blocks in _block_keys(radius)])
-    tables = distinct.withColumn("key", F.explode(keys))
-    shared = workspace.save(tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared")
-    rows = workspace.save(tables.join(shared, "key"), "tables")
-    names = [f"w{i}" for i in range(BITS // 64)]
-    a = rows.select("key", F.col("fp").alias("fp_a"), *[F.col(w).alias(w.replace("w", "a")) for w in names])
-    b = rows.select("key", F.col("fp").alias("fp_b"), *[F.col(w).alias(w.replace("w", "b")) for w in names])
-    near = a.join(b, "key").where("fp_a < fp_b").withColumn("distance", distance("a", "b"))
-    return near.where(F.col("distance") <= radius).select("fp_a", "fp_b", "distance").distinct()
-
-
-def neighbours(prints: DataFrame, workspace: Workspace, radius: int = 3) -> DataFrame:
+def neighbours(prints: DataFrame, workspace: Workspace, radius: int = RADIUS) -> DataFrame:
     """fp with n_near: how many other documents (rows of prints) have a fingerprint within the radius."""
-    copies = workspace.save(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("copies")), "copies")
-    pairs = within_radius(prints, workspace, radius)
-    both = pairs.select(F.col("fp_a").alias("fp"), F.col("fp_b").alias("other")).unionByName(
-        pairs.select(F.col("fp_b").alias("fp"), F.col("fp_a").alias("other"))
-    )
-    others = both.join(copies.select(F.col("fp").alias("other"), "copies"), "other").groupBy("fp").agg(F.sum("copies").alias("more"))
-    return copies.join(others, "fp", "left").select("fp", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_near"))
+    copies = workspace.save(prints.groupBy("fp", "w0", "w1").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    near = _near(copies, workspace, radius, ("copies",))
+    sides = F.array(*[F.struct(*[F.col(f"w{i}_{x}").alias(f"w{i}") for i in range(2)], F.col(f"copies_{y}").alias("more")) for x, y in ("ab", "ba")])
+    others = near.select(F.inline(sides)).groupBy("w0", "w1").agg(F.sum("more").alias("more"))
+    return copies.join(others, ["w0", "w1"], "left").select("fp", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_near"))
 
 
 def next_ids(ids: DataFrame, workspace: Workspace, partitions: int) -> DataFrame:
