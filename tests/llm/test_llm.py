@@ -282,6 +282,29 @@ def test_licenses_by_header_file_and_directory(spark):
     assert license_scan.scan(df.limit(0), work(spark)).count() == 0
 
 
+def test_licenses_in_wrapped_headers_full_texts_and_tags(spark):
+    full = dict(license_scan.full_texts())
+    mit = full["MIT"].replace("\n", "\nCopyright (c) 2021 Some Body and others\n", 1)
+    code = "\nint main(void) { return answer(41); }\nfloat other = value * scale;\n" * 15
+    gpl = "".join(f" * {line}\n" for line in (
+        "This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+        "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version.",
+    ))
+    bsd = "// Redistribution and use in source and binary forms, with or without modification, are\n// permitted provided that the following conditions are met:\n"
+    rows = [
+        ("m/LICENSE", mit), ("m/deep/x.c", code), ("g/x.c", "int before = 1;\n/*\n" + gpl + " */" + code), ("b/x.c", "#pragma once\n" + bsd + code),
+        ("s/x.c", "first\n/* SPDX-License-Identifier: GPL-2.0-or-later */" + code), ("s/y.c", "# SPDX-License-Identifier: (MIT OR Zlib)"), ("n/x.c", code), ("n/y.c", "the license of this program\nis free software\n" + code),
+        ("s/z.c", "SPDX-License-Identifier:\nMIT"), *[(f"{name}/COPYING", text) for name, text in full.items()],
+    ]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r.path: (r.license, r.how, r.line) for r in license_scan.scan(df, work(spark)).collect()}
+    assert got["m/LICENSE"][:2] == ("MIT", "file") and got["m/deep/x.c"][:2] == ("MIT", "inherited")
+    assert got["g/x.c"] == ("GPL-3.0", "header", 2) and got["b/x.c"] == ("BSD-3-Clause", "header", 1)
+    assert got["s/x.c"] == ("GPL-2.0", "header", 1) and got["s/y.c"][:2] == ("(MIT OR Zlib)", "header")
+    assert got["n/x.c"][:2] == got["n/y.c"][:2] == (None, "none")
+    assert {p: r[:2] for p, r in got.items() if p and p.endswith("COPYING")} == {f"{name}/COPYING": (name, "file") for name in full}
+
+
 def test_license_cosine_against_brute_force():
     templates = (("A", "alpha beta beta"), ("B", "beta gamma"))
     terms = license_scan.Terms(templates)

@@ -1,10 +1,14 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
-Units of a text are each of its lines (a header, wherever it stands) and the whole text (a licence file).
+Units of a text are each of its lines, the whole text (a licence file), and windows of consecutive lines, for headers
+wrapped over lines: from each line on, as many lines as come nearest to a template's number of words from below and
+from above, for templates of WINDOW_WORDS words at most; longer licences are found as whole texts and by their titles.
+Comment marks are no words and so do not count. Templates are notices, titles, and the full texts in the folder licenses.
 A unit is a sparse vector over words: count times idf, with the document frequency of every template word
 counted over all texts (a table as long as the templates have words); a word outside the templates is a
 dimension of its own with the idf of a word never seen. A unit's license is the template of the largest
-cosine if that reaches THRESHOLD; a text's is that of its best unit, first line and template of equals.
+cosine if that reaches THRESHOLD; a text's is that of its best unit, first line and template of equals. An SPDX tag
+names its license (without -only, -or-later, +) with score 1. The line of a window is its first.
 
 A text is a licence file if its name says so (LICENSE, LICENCE, COPYING, NOTICE) or if its whole text
 reaches the threshold. A directory has the license of its best licence file. A text without a license of its own inherits
@@ -18,8 +22,10 @@ alike. An empty table gives no rows. Clashing names of carried columns are left
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +37,19 @@ from weft.llm.textops import LOWER, U64, blocks, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
 THRESHOLD = 0.75
+WINDOW_WORDS = 300
+SPDX = re.compile(rb"(?i:SPDX-License-Identifier):[ \t]*(\(*[A-Za-z0-9.+-]*[A-Za-z0-9+]\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9.+-]*[A-Za-z0-9+]\)*)*)")
 NO_WORD = np.ones(256, bool)
 NO_WORD[48:58] = NO_WORD[65:91] = NO_WORD[97:123] = NO_WORD[128:] = False
 LICENCE_NAME = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 
 #: Notices of public licenses, as their texts recommend them or as they are commonly shortened.
 TEMPLATES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -47,10 +57,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MIT", "Released under the MIT License."),
@@ -59,6 +73,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """Full licence texts, read by the driver."""
+    folder = Path(__file__).parent / "licenses"
+    return tuple((f.stem, f.read_text(encoding="utf-8")) for f in sorted(folder.glob("*.txt")))
+
+
 class Terms:
     """Words of the templates: hash look-up, counts by template."""
 
@@ -69,6 +89,7 @@ class Terms:
             starts, ends, _ = spans(data, np.array([0, len(data)]), NO_WORD)
             vectors.append(Counter(span_hash(prefix_sums(LOWER[data]), starts, ends).tolist()))
         self.names = [name for name, _ in templates]
+        self.sizes = [sum(v.values()) for v in vectors]
         self.hashes = np.array(sorted(set().union(*vectors)), U64)
         self.counts = np.array([[v.get(int(h), 0) for v in vectors] for h in self.hashes], float)
         self.seen = np.zeros(1 << 16, bool)
@@ -136,9 +157,57 @@ def unit_scores(data, at, units: np.ndarray, terms: Terms, weight: np.ndarray, u
     return best, template
 
 
-def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def window_scores(data, at, terms: Terms, weight: np.ndarray, unseen: float, matrix: np.ndarray, threshold: float) -> dict[int, tuple[float, int, int]]:
+    """By text: best cosine, template and first byte of a window of two or more lines, where that reaches the threshold.
+
+    A window's dot product is a difference of sums over words; its norm is at least that with every word counted once
+    for each occurrence, so the cosine is computed only where this bound reaches the threshold.
+    """
+    starts, first, term = _terms_of(data, at, terms)
+    if not len(starts):
+        return {}
+    breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])[starts]
+    text = np.searchsorted(first, np.arange(len(starts)), "right") - 1
+    begin = np.flatnonzero(np.concatenate([[True], (np.diff(breaks) != 0) | (np.diff(text) != 0)]))
+    edge = np.append(begin, len(starts))
+    of = text[begin]
+    last = np.searchsorted(edge, first[of + 1])
+    hit = term >= 0
+    each = np.where(hit, weight[term], unseen)
+    norms = np.concatenate([[0.0], np.cumsum(each * each)])
+    found: dict[int, tuple[float, int, int]] = {}
+    for t in range(len(terms.sizes)):
+        if terms.sizes[t] > WINDOW_WORDS:
+            continue
+        dots = np.concatenate([[0.0], np.cumsum(np.where(hit, weight[term] * matrix[term, t], 0.0))])
+        above = np.searchsorted(edge, begin + terms.sizes[t])
+        for end in (np.minimum(above - 1, last), np.minimum(above, last)):
+            stop = edge[end]
+            bound = (dots[stop] - dots[begin]) / np.sqrt(np.maximum(norms[stop] - norms[begin], 1e-300))
+            for i in np.flatnonzero((end >= np.arange(len(begin)) + 2) & (bound >= threshold - 1e-9)):
+                inside = term[begin[i] : stop[i]]
+                own = inside[inside >= 0]
+                which, count = np.unique(own, return_counts=True)
+                w = count * weight[which]
+                score = float(w @ matrix[which, t] / np.sqrt(w @ w + (len(inside) - len(own)) * unseen * unseen))
+                if score >= threshold and score > found.get(int(of[i]), (0.0,))[0]:
+                    found[int(of[i])] = score, t, int(starts[begin[i]])
+    return found
+
+
+def spdx_tags(data: np.ndarray, at: np.ndarray) -> dict[int, tuple[str, int]]:
+    """By text: the first SPDX tag's license and its place."""
+    found: dict[int, tuple[str, int]] = {}
+    for tag in SPDX.finditer(data.tobytes()):
+        i = int(np.searchsorted(at, tag.start(), "right")) - 1
+        if tag.end() <= at[i + 1]:
+            found.setdefault(i, (re.sub(r"(-only|-or-later|\+)$", "", tag[1].decode()), tag.start()))
+    return found
+
+
+def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """Carried columns with own_license, score, line (null: the whole text) and whole (the whole text matches)."""
-    templates = tuple(sorted(templates))
+    templates = tuple(sorted(TEMPLATES + full_texts() if templates is None else templates))
     terms = Terms(templates)
     weight, unseen = idf(docs, terms, text_col)
     matrix = terms.counts * weight[:, None]
@@ -154,6 +223,8 @@ def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], temp
                 full = at[:-1][np.diff(at) > 0]
                 of_whole, whole_template = unit_scores(data, at, full, terms, weight, unseen, matrix)
                 place = {int(s): i for i, s in enumerate(full)}
+                windows = window_scores(data, at, terms, weight, unseen, matrix, threshold)
+                tags = spdx_tags(data, at)
                 for i in range(hi - lo):
                     a, b = np.searchsorted(lead, [at[i], at[i + 1]])
                     if at[i + 1] == at[i]:
@@ -166,6 +237,12 @@ def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], temp
                         score, name, line = of_whole[p], terms.names[whole_template[p]], None
                     else:
                         score, name, line = best[k], terms.names[template[k]], k - a
+                    if i in windows and windows[i][0] > score + 1e-9:
+                        score, name = windows[i][0], terms.names[windows[i][1]]
+                        line = int(np.searchsorted(lead, windows[i][2], "right")) - 1 - a
+                    if i in tags and score < 1 - 1e-9:
+                        score, name = 1.0, tags[i][0]
+                        line = int(np.searchsorted(lead, tags[i][1], "right")) - 1 - a
                     names.append(name if score >= threshold else None)
                     scores.append(float(score))
                     lines.append(line if score >= threshold else None)
