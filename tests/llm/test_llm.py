@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -22,6 +23,7 @@ from weft.llm import (
     lm_scoring,
     mixing,
     ngram_join,
+    queries,
     sentencepiece_sampling,
     simhash,
     textops,
@@ -108,7 +110,9 @@ def mixed(spark, rows, **options):
 def test_mix_targets_by_hand_and_whole_epochs(spark):
     rng = random.Random(5)
     rows = [(i, s, rng.randrange(0, 50), rng.choice([0.5, 1.0, 2.0, None, -1.0]), "c") for i, s in enumerate(["a"] * 50 + ["b"] * 400 + [None] * 300 + ["d"] * 20)]
+    rows += [(1000 + i, "d", 0, None, "c") for i in range(5)]  # empty rows of a source at its cap
     got = mixed(spark, rows)
+    assert {r.copies for r in got if r.source == "d"} == {3}
     size, taken, target = collections.Counter(), collections.Counter(), {}
     for r in got:
         size[r.source] += r.size
@@ -141,6 +145,12 @@ def test_mix_prefers_weight(spark):
     assert heavy > 2 * light
 
 
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e9])
+def test_mix_cuts_any_scale_of_weights_into_small_buckets(spark, scale):
+    keyed = spark.range(100_000).select(mixing._bucket(mixing.es_key(F.col("id"), F.lit(scale), 17)).alias("bucket"))
+    assert keyed.groupBy("bucket").count().agg(F.max("count")).first()[0] < 100
+
+
 def test_mix_edges(spark):
     assert mixed(spark, []) == []
     got = mixed(spark, [(None, None, None, None, None), (1, "a", 0, 1.0, None), (1, "a", 0, 1.0, None)])
@@ -217,7 +227,7 @@ def test_samples_without_replacement_follow_the_lattice():
     exact, _ = segmentations(" ab ti", vocab)
     n, body = 4000, b" ab ti"
     keys = textops.mix(np.arange(n, dtype=np.uint64))
-    got = sentencepiece_sampling.sample_chunk(np.frombuffer(body * n, np.uint8), np.arange(n + 1) * len(body), keys, vocab, 3)
+    got = sentencepiece_sampling.sample_chunk(np.frombuffer(body * n, np.uint8), np.arange(n + 1) * len(body), keys, sentencepiece_sampling.Lexicon(vocab), 3)
     first, second = collections.Counter(), collections.Counter()
     for r in got:
         ids = [tuple(x[0].tolist()) for x in r]
@@ -233,6 +243,24 @@ def test_samples_without_replacement_follow_the_lattice():
     assert np.mean([sum(math.exp(x[1]) / x[3] for x in r) for r in got]) == pytest.approx(1, abs=0.02)
 
 
+def test_samples_do_not_depend_on_the_lexicon(monkeypatch):
+    """Small chunks, a lexicon that is dropped again and again, and words whose hashes share a cell change nothing."""
+    import pyarrow as pa
+
+    texts = [t or "" for t in random_texts(80, seed=71, most=60)]
+    batch = pa.record_batch([pa.array(range(80), pa.int64()), pa.array(texts), pa.array(range(80), pa.int64())], names=["k", "t", "doc_id"])
+
+    def run():
+        return pa.Table.from_batches(list(sentencepiece_sampling._encode(UNIGRAM_VOCABULARY, 3, ["doc_id"])(iter([batch.slice(0, 30), batch.slice(30)])))).to_pylist()
+
+    whole = run()
+    for name, value in (("CHUNK_BYTES", 500), ("LEXICON_BYTES", 20_000), ("CELL_BITS", 3), ("LATTICE_WORDS", 7), ("WALK_BYTES", 300)):
+        monkeypatch.setattr(sentencepiece_sampling, name, value)
+        again = run()
+        for a, b in zip(whole, again, strict=True):
+            assert a["pieces"] == b["pieces"] and a["doc_id"] == b["doc_id"] and a["inclusion"] == pytest.approx(b["inclusion"])
+
+
 def test_few_segmentations_and_round_trips(spark):
     encoded = sentencepiece_sampling.encode(docs(spark), UNIGRAM_VOCABULARY, samples=3, carry=("text", "keep_id"))
     back = sentencepiece_sampling.decoded(encoded.withColumnRenamed("text", "was"), UNIGRAM_VOCABULARY).collect()
@@ -366,25 +394,63 @@ def test_jaccard_components_against_brute_force(spark, w, percent):
     assert got == brute_components(rows, w, percent)
 
 
-def test_hot_tiles_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "TILE_ROWS", 3)
+@pytest.mark.parametrize("table", ["rare", "frequent"])
+def test_long_tiles_lose_no_link(spark, monkeypatch, table):
+    """Families of near copies around the threshold, all through long tiles, cut into many blocks, with and without forest rounds."""
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "SHORT_TILE", 2)
     monkeypatch.setattr(ngram_join, "BANDS", 0)
+    monkeypatch.setattr(ngram_join, "_ODD", ngram_join._ODD[:0])
+    if table == "frequent":
+        monkeypatch.setattr(ngram_join, "_cells", lambda items, table: np.full(len(items), 255, np.uint8))
+    rng = random.Random(3)
+    texts = []
+    for base in random_texts(4, seed=41, most=120):
+        for _ in range(35):
+            x = base.split()
+            for _ in range(rng.randrange(0, 1 + len(x) // 25)):
+                x[rng.randrange(len(x))] = rng.choice(["edited", "changed", "other"])
+            texts.append(" ".join(x[: len(x) - rng.randrange(0, 4)]))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, work(spark), words=3, percent=80).collect()}
+    assert got == brute_components(rows, 3, 80)
+
+
+def postings(tiles):
+    """An Arrow batch of postings of {tile: ids}, all of one size, cold ones sorted by tile and some dealt ones first."""
     import pyarrow as pa
 
-    class Shared:
-        value = np.ones(1 << ngram_join.FREQUENCY_BITS, np.int64)
+    rows = [(t, i) for t, ids in sorted(tiles.items()) for i in ids]
+    return pa.record_batch(
+        [pa.array([t for t, _ in rows], pa.int64()), pa.array([5 if t < 0 else None for t, _ in rows], pa.int64()), pa.array([i for _, i in rows], pa.int64()),
+         pa.array([i for _, i in rows], pa.int64()), pa.array([20 << 32 for _ in rows], pa.int64())], names=["tile", "deal", "id", "comp", "at"],
+    )
 
-    rng = np.random.default_rng(0)
-    n = rng.integers(5, 40, 60)
-    batch = pa.record_batch([pa.array(np.arange(60)), pa.array(np.arange(60)), pa.array(n, pa.int32()), pa.array([np.array([7], np.uint64).tobytes()] * 60, pa.binary())], names=["id", "comp", "n", "prefix"])
-    Shared.value[0] = 60
-    tiles = pa.Table.from_batches(list(ngram_join._tiles(85, Shared)(iter([batch])))).to_pandas()
-    met = set()
-    for _, g in tiles.groupby("tile"):
-        ids = sorted(g["id"].unique().tolist())
-        met |= set(itertools.combinations(ids, 2))
-    wanted = {(a, b) for a, b in itertools.combinations(range(60), 2) if 100 * min(n[a], n[b]) >= 85 * max(n[a], n[b])}
-    assert wanted <= met and tiles.groupby("tile").size().max() < 60
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_tiles_are_paired_or_passed_on_whole(size):
+    import pyarrow as pa
+
+    tiles = {-3: [1, 2], 4: [1], 5: [1, 2, 3], 6: list(range(40)), 7: [7, 8], 8: list(range(100, 100 + ngram_join.SHORT_TILE)), 9: list(range(17, 50))}
+    batch = postings(tiles)
+    cut = [batch.slice(i, size) for i in range(0, batch.num_rows, size)]
+    got = pa.Table.from_batches(list(ngram_join._pairs(80)(iter(cut)))).to_pylist()
+    pairs = {(r["a"], r["b"]) for r in got if r["tile"] is None}
+    assert pairs == {p for t in (4, 5, 7, 8) for p in itertools.combinations(tiles[t], 2)}
+    passed = collections.Counter((r["tile"], r["a"]) for r in got if r["tile"] is not None)
+    assert passed == collections.Counter((t, i) for t in (-3, 6, 9) for i in tiles[t])
+
+
+def test_frequency_table_grows_with_the_input(spark, tmp_path):
+    assert ngram_join.frequency_bits(docs(spark, []).select("text")) == ngram_join.FREQUENCY_BITS[0]
+    texts = [f"w{i % 7} x{i} y{i} z" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = df.repartition(3).mapInArrow(ngram_join._classes(2, 19), ngram_join.CLASS_SCHEMA)
+    counts = np.zeros(1 << 19)
+    for s in (ngram_join.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 2)[0] for t in texts):
+        counts[(s >> np.uint64(64 - 19)).astype(int)] += 1
+    assert (ngram_join.frequencies(rows, 19) == np.rint(8 * np.log2(1 + counts))).all()
 
 
 def test_bitmap_bound_is_an_upper_bound():
@@ -442,7 +508,7 @@ def test_exact_edges(spark):
 def test_fingerprint_votes_and_edits(spark):
     texts = ["alpha beta beta", "", None, "é" * 40 + " z", "one two three four", LONG]
     df = spark.createDataFrame([(i * 3, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    edited = {r.doc_id: r for r in simhash.edited_texts(df, work(spark), 3).collect()}
+    edited = {r.id: r for r in simhash.edited_texts(simhash.rows_of(df), work(spark), 3).collect()}
     plain = [t or "" for t in texts]
     for i, t in enumerate(plain):
         following = plain[(i + 1) % len(plain)]
@@ -450,11 +516,55 @@ def test_fingerprint_votes_and_edits(spark):
         assert r.edited == t[: len(t) - len(t) // 4] + following[: len(t) // 4] and r.n_chars == len(t)
     prints = {r.doc_id: (r.w0, r.w1) for r in simhash.fingerprints(df, ["doc_id"], "text").collect()}
     assert prints[3] == prints[6] == (0, 0)
-    hashed = spark.createDataFrame([("alpha",), ("beta",)], "w string").select("w", F.xxhash64("w", F.lit(0)).alias("h")).collect()
-    h = {r.w: r.h & (1 << 64) - 1 for r in hashed}
-    votes = [sum(n * min(len(w) ** 2, simhash.MAX_WEIGHT) * (1 if h[w] >> b & 1 else -1) for w, n in (("alpha", 1), ("beta", 2))) for b in range(64)]
-    assert prints[0][0] & (1 << 64) - 1 == sum(1 << b for b, v in enumerate(votes) if v > 0)
-    assert simhash.edited_texts(df.limit(0), work(spark), 3).count() == 0
+    assert prints == {r.doc_id: (r.w0, r.w1) for r in simhash.fingerprints(df, ["doc_id"], "text", wide=True).collect()}
+    assert simhash.edited_texts(simhash.rows_of(df.limit(0)), work(spark), 3).count() == 0
+
+
+def brute_print(text, hashes):
+    """The fingerprint of a text as 128 bits, from hashes (word, number of 64 bits) -> hash."""
+    votes, total = [0] * 128, 0
+    for w in re.split(r"[\x20\x09-\x0D]+", text):
+        weight = min(len(w.encode()) ** 2, simhash.MAX_WEIGHT)
+        total += weight
+        for b in range(128):
+            votes[b] += weight * (hashes[w, 1 - b // 64] >> b % 64 & 1)
+    return sum(1 << b for b in range(128) if 2 * votes[b] > total)
+
+
+@pytest.mark.parametrize("lane_bytes", [simhash.LANE_BYTES, 10])
+def test_fingerprint_query_against_brute_force(spark, tmp_path, monkeypatch, lane_bytes):
+    """Every column of op7, with null ids, ids that repeat with the same and with another text, and near copies."""
+    monkeypatch.setattr(simhash, "LANE_BYTES", lane_bytes)
+    rng = random.Random(12)
+    texts = [t for t in random_texts(30, seed=14, most=60)]
+    texts += [" ".join(w if rng.random() > 0.04 else "changed" for w in t.split()) for t in texts]
+    rows = [(20 * (i // 2) + i % 2, t, "clash") for i, t in enumerate(texts)] + [(20, "again\twith other text", "c"), (40, texts[4], "c"), (None, "no id", "c"), (None, None, "c"), (None, "no id", "c"), (999, "", "c")]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string, id string").withColumn("hash", F.lit(1)).withColumn("fp", F.lit(2)).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op7_simhash"](spark, str(tmp_path)).collect()
+
+    known = [(i is None, i or 0, t or "") for i, t, _ in rows]
+    of_text = {r.t: r.h for r in spark.createDataFrame([(t,) for t in {k[2] for k in known}], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    order = sorted(set(known), key=lambda k: (k[0], k[1], of_text[k[2]]))
+    edited = {}
+    for k, after in zip(order, order[1:] + order[:1], strict=True):
+        n = len(k[2]) // 4
+        edited[k] = (k[2][: len(k[2]) - n] + after[2][:n], after)
+    words_of = {w for t in [*of_text, *(e for e, _ in edited.values())] for w in re.split(r"[\x20\x09-\x0D]+", t)}
+    hashed = spark.createDataFrame([(w,) for w in words_of], "w string").select("w", F.xxhash64("w", F.lit(0)).alias("a"), F.xxhash64("w", F.lit(1)).alias("b")).collect()
+    hashes = {(r.w, k): h & (1 << 64) - 1 for r in hashed for k, h in ((0, r.a), (1, r.b))}
+    prints = {t: brute_print(t, hashes) for t in {*of_text, *(e for e, _ in edited.values())}}
+    want = []
+    for k in known:
+        e, after = edited[k]
+        p, q, r = prints[k[2]], prints[e], prints[after[2]]
+        near = sum((p ^ prints[o[2]]).bit_count() <= simhash.RADIUS for o in known) - 1
+        asks = not k[0] and k[1] % 20 == 0
+        want.append((None if k[0] else k[1], len(k[2]), hashlib.sha256(e.encode()).hexdigest(), f"{p:032x}", f"{q:032x}", 1 - (p ^ q).bit_count() / 128, 1 - (p ^ r).bit_count() / 128, near if asks else None))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+    assert sum((w[-1] or 0) > 0 for w in want) > 10
+    plan = queries.QUERIES["op7_simhash"](spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
 
 
 def test_block_tables_find_all_within_the_radius(spark):
@@ -464,8 +574,9 @@ def test_block_tables_find_all_within_the_radius(spark):
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(f"{p:032x}", signed(p >> 64), signed(p & (1 << 64) - 1)) for p in prints], "fp string, w0 long, w1 long")
     for radius in (1, 3, 5):
-        near = {r.fp: r.n_near for r in simhash.neighbours(df, work(spark), radius).collect()}
-        for p in set(prints):
+        near = {r.fp: r.n_near for r in simhash.neighbours(df, work(spark), F.col("w0") % 2 == 0, radius).collect()}
+        assert len(near) > 20
+        for p in {p for p in prints if (p >> 64) % 2 == 0}:
             assert near[f"{p:032x}"] == sum((p ^ q).bit_count() <= radius for q in prints) - 1
 
 
@@ -475,7 +586,7 @@ def test_wide_radius_finds_every_pair_and_planted_near_copies(spark):
     prints = [0, (1 << 128) - 1, *base] + [x ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(1, 20))) for x in base for _ in range(15)] + base[:3]
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(f"{p:032x}", signed(p >> 64), signed(p & (1 << 64) - 1)) for p in prints], "fp string, w0 long, w1 long")
-    near = {r.fp: r.n_near for r in simhash.neighbours(df, work(spark)).collect()}
+    near = {r.fp: r.n_near for r in simhash.neighbours(df, work(spark), F.lit(True)).collect()}
     assert near == {f"{p:032x}": sum((p ^ q).bit_count() <= simhash.RADIUS for q in prints) - 1 for p in prints}
     pairs = sorted((r.fp_a, r.fp_b, r.distance) for r in simhash.within_radius(df, work(spark)).collect())
     plain = itertools.combinations(sorted(set(prints)), 2)
@@ -486,7 +597,7 @@ def test_wide_radius_finds_every_pair_and_planted_near_copies(spark):
     edited = [t[:50] + [rng.choice(names)] + t[51:150] + [rng.choice(names)] + t[151:] for t in texts]  # Jaccard about 0.9
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts + edited)], "doc_id long, text string")
     own = simhash.fingerprints(df, ["doc_id"], "text").withColumn("fp", simhash.as_hex())
-    found = simhash.neighbours(work(spark).save(own, "own"), work(spark)).collect()
+    found = simhash.neighbours(work(spark).save(own, "own"), work(spark), F.lit(True)).collect()
     assert sum(r.n_near >= 1 for r in found) >= 0.95 * len(found)
 
 

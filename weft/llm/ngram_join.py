@@ -7,22 +7,27 @@ form one class and are represented by the smallest id, so copies are never paire
 1. *Classes.* One pass gives each text its set size, a 128-bit hash of its set, min-hash band keys, a
    hashed bitmap signature (bit = parity of the elements hashed to it, so the popcount of an XOR bounds
    the symmetric difference from below and the overlap from above) and the partial counts of a frequency
-   table of fixed size over all shingles.
+   table over all shingles, whose size follows the input's.
 2. *Near copies first.* Classes that share a band key are paired with one of them and checked, in rounds with
-   another partner each, in groups that still hold far more pairs of different components than rows. This is only a
-   short cut: it makes large groups of near copies one component with a few checks per member, so the complete
-   search below need not pair them with each other.
+   another partner each, as long as a round joins a fair part of the rows in groups that still hold far more pairs of
+   different components than rows. This is only a short cut: it makes large groups of near copies one component
+   with a few checks per member, so the complete search below need not compare them with each other.
 3. *Complete search.* Two sets that link share an element among the first n - ceil(t n) + 1 of each in any
    common order (prefix filter). The order puts rare shingles first, by the frequency table, so shared
-   passages lie behind the prefix. Tiles hold the texts that share a prefix element. Tiles of frequent
-   elements are cut by size band (a ratio of t per band; linked texts are at most one band apart) and into
-   blocks, so that no tile outgrows a task. Within a tile pairs of the same component are skipped, and the
-   size and position bounds of the prefix filter apply. What is left passes the bitmap bound and then the
-   exact intersection of the sorted sets.
+   passages lie behind the prefix. Tiles hold the texts that share a prefix element. A tile of few rows is
+   paired at once. Rows of longer tiles are counted by tile and size band (a ratio of t per band; linked texts
+   are at most one band apart), tiles of one component are dropped, and the rest get their signatures and are
+   dealt to cells of a band and its next, cut into blocks by the exact counts, so that no cell outgrows a task.
+   Within a cell pairs of the same component are skipped, and size, position and bitmap bounds are taken in
+   numpy, so only pairs that pass the bitmap become rows; at first only those that would connect the cell, in the
+   end all that are left between different components. The exact intersection of the sorted sets decides.
 4. *Components* of all links that were verified.
 
 Nothing is sampled or capped: steps 1 and 2 choose order and short cuts, step 3 misses no link.
 
+Very long texts: a text's words are hashed in windows (textops), its set is one array of 8 bytes per distinct
+shingle and its signature has SIGNATURE_MAX bits at most; a longer set has a looser bound.
+
 Nulls, ties, repeats: null and empty texts have an empty set and no links; their component is their own
 id. Rows that repeat an id are one document. Rows with a null id get the component of their class, null
 if no row of the class has an id. An empty table gives no rows. Columns of docs that are not carried
@@ -36,7 +41,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
@@ -46,9 +51,14 @@ from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
 BANDS, ROWS = 5, 3
-ROUNDS, PAIRS_PER_ROW = 7, 16
-FREQUENCY_BITS = 19
-CHUNKS = 32
+PAIRS_PER_ROW = 16
+#: A round of near copies is followed by another if it finds a link for one in so many rows at least.
+ROWS_PER_LINK = 12
+#: The frequency table has about one cell for so many bytes of the input, between the two sizes (2**bits).
+BYTES_PER_CELL, FREQUENCY_BITS = 256, (19, 24)
+UNKNOWN_BYTES = 1 << 60
+CHUNK_BITS = 14
+SHORT_TILE = 16
 TILE_ROWS = 4096
 SIGNATURE_MIN, SIGNATURE_MAX = 64, 1 << 16
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=U64)) | U64(1)
@@ -76,8 +86,8 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, words: int) -> list[np.ndarra
 
 
 def signature_bits(n: int) -> int:
-    """Bits of the signature of a set of size n: a power of two of at least half of it, so it stays sparse enough."""
-    return int(min(SIGNATURE_MAX, max(SIGNATURE_MIN, 1 << max(0, math.ceil(math.log2(max(n, 1)))))))
+    """Bits of the signature of a set of size n: a power of two of at least twice n, so that few differences cancel out."""
+    return int(min(SIGNATURE_MAX, max(SIGNATURE_MIN, 1 << max(0, math.ceil(math.log2(max(2 * n, 1)))))))
 
 
 def signature(items: np.ndarray) -> bytes:
@@ -101,31 +111,43 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def _classes(words: int):
-    """Arrow batches of (id, text) to class rows; each task ends with its partial frequency table."""
+def frequency_bits(docs: DataFrame) -> int:
+    """Size of the frequency table, as a power of two, from the planner's estimate of the input's bytes, or their sum where it has none."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= UNKNOWN_BYTES:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(FREQUENCY_BITS[1], max(FREQUENCY_BITS[0], (size // BYTES_PER_CELL).bit_length()))
+
+
+def _band_keys(items: np.ndarray) -> list[int]:
+    """Min-hash keys of a set, one for each band."""
+    least = [(items * k).min() for k in _ODD] if len(items) else []
+    keys = []
+    for j in range(0, len(least), ROWS):
+        h = np.full(1, j + 1, U64)
+        for x in least[j : j + ROWS]:
+            h = mix(h * U64(0x2545F4914F6CDD1D) + x)
+        keys.append(int(h[0].astype(np.int64)))
+    return keys
+
+
+def _classes(words: int, table_bits: int):
+    """Arrow batches of (id, text) to class rows; each task ends with its partial frequency table, without empty chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+        counts = np.zeros(1 << table_bits, np.int32)
         for batch in batches:
             n, low, high, bands, marks = [], [], [], [], []
             for _, _, data, at in blocks(batch.column(1)):
                 sets = shingle_sets(data, at, words)
                 if sets:
-                    counts += np.bincount(
-                        (np.concatenate(sets) >> U64(64 - FREQUENCY_BITS)).astype(np.int64), minlength=len(counts)
-                    )
+                    cell, times = np.unique(np.concatenate(sets) >> U64(64 - table_bits), return_counts=True)
+                    counts[cell.astype(np.int64)] += times.astype(np.int32)
                 for s in sets:
                     n.append(len(s))
                     low.append(int(s.sum(dtype=U64).astype(np.int64)))
                     high.append(int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else 0)
-                    least = [(s * k).min() for k in _ODD] if len(s) else []
-                    keys = []
-                    for j in range(0, len(least), ROWS):
-                        h = np.full(1, j + 1, U64)
-                        for x in least[j : j + ROWS]:
-                            h = mix(h * U64(0x2545F4914F6CDD1D) + x)
-                        keys.append(int(h[0].astype(np.int64)))
-                    bands.append(keys)
+                    bands.append(_band_keys(s))
                     marks.append(signature(s))
             rows = len(n)
             yield pa.record_batch(
@@ -133,64 +155,76 @@ def _classes(words: int):
                  pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
                 names=["id", "n", "low", "high", "bands", "mark", "chunk", "counts"],
             )
-        parts = counts.reshape(CHUNKS, -1)
-        yield pa.record_batch(
-            [pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int32()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()),
-             pa.nulls(CHUNKS, pa.list_(pa.int64())), pa.nulls(CHUNKS, pa.binary()), pa.array(range(CHUNKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-            names=["id", "n", "low", "high", "bands", "mark", "chunk", "counts"],
-        )
+        parts = counts.reshape(-1, 1 << CHUNK_BITS)
+        filled = np.flatnonzero(parts.any(axis=1))
+        for some in np.split(filled, range(32, len(filled), 32)):
+            k = len(some)
+            yield pa.record_batch(
+                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+                 pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.binary()), pa.array(some, pa.int32()),
+                 pa.array([parts[i].astype(np.int64).tobytes() for i in some], pa.binary())],
+                names=["id", "n", "low", "high", "bands", "mark", "chunk", "counts"],
+            )
 
     return run
 
 
 CLASS_SCHEMA = "id long, n int, low long, high long, bands array<long>, mark binary, chunk int, counts binary"
+#: Partial tables are summed within a task, then in so many groups of tasks, then over these.
+SUM_GROUPS = 64
 
 
-def frequencies(rows: DataFrame) -> np.ndarray:
-    """Sum of the partial frequency tables: an upper bound on the number of texts with a shingle, by bucket.
-
-    The table has 2**FREQUENCY_BITS numbers (4 MB) at any input size.
-    """
+def _sum_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, counts) of a partition to one row for each chunk."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(counts.as_buffer(), np.int64)
+            sums[chunk] = sums[chunk] + x if chunk in sums else x
+    for chunk, counts in sums.items():
+        yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["chunk", "counts"])
 
-    def add(key, frame):  # one group per chunk
-        import pandas as pd
 
-        total = np.sum([np.frombuffer(x, np.int64) for x in frame["counts"]], axis=0)
-        return pd.DataFrame({"chunk": [key[0]], "counts": [total.tobytes()]})
+def frequencies(rows: DataFrame, table_bits: int) -> np.ndarray:
+    """Level of each cell of the frequency table: 8 log2(1 + count), one byte.
 
-    def shrink(batches):
-        for batch in batches:  # several tables of a partition become one per chunk before they are shuffled
-            sums: dict[int, np.ndarray] = {}
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(counts, np.int64)
-                sums[chunk] = sums[chunk] + x if chunk in sums else x
-            yield pa.record_batch(
-                [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                names=["chunk", "counts"],
-            )
+    The count bounds the number of texts with a shingle of the cell from above. Tables are summed in three steps, none
+    of which holds more than one table and one chunk of another: within a task, in groups of tasks, and over the groups.
+    What reaches the driver is one byte per cell.
+    """
 
-    parts = rows.where("chunk IS NOT NULL").select("chunk", "counts").transform(map_arrow, shrink, "chunk int, counts binary")
-    summed = parts.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect()
-    table = np.zeros((CHUNKS, (1 << FREQUENCY_BITS) // CHUNKS), np.int64)
-    for row in summed:
-        table[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _sum_tables(batches):
+            packed = [np.rint(8 * np.log2(1.0 + np.frombuffer(x.as_buffer(), np.int64))).astype(np.uint8).tobytes() for x in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["chunk", "levels"])
+
+    kind = "chunk int, counts binary"
+    parts = rows.where("chunk IS NOT NULL").select("chunk", "counts").transform(map_arrow, _sum_tables, kind)
+    grouped = parts.repartition(F.col("chunk"), F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS))).transform(map_arrow, _sum_tables, kind)
+    table = np.zeros((1 << (table_bits - CHUNK_BITS), 1 << CHUNK_BITS), np.uint8)
+    for row in grouped.repartition("chunk").transform(map_arrow, levels, "chunk int, levels binary").toLocalIterator():
+        table[row["chunk"]] = np.frombuffer(row["levels"], np.uint8)
     return table.reshape(-1)
 
 
+def _cells(items: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Levels of elements in the frequency table."""
+    return table[(items >> U64(64 - (len(table).bit_length() - 1))).astype(np.int64)]
+
+
 def _postings(words: int, percent: int, shared):
     """Arrow batches of (id, text) to (id, n, prefix): the first elements in the order rare first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        table = shared.value
         for batch in batches:
             n, prefixes = [], []
             for _, _, data, at in blocks(batch.column(1)):
                 for s in shingle_sets(data, at, words):
                     n.append(len(s))
                     k = prefix_length(len(s), percent)
-                    rank = counts[(s >> U64(64 - FREQUENCY_BITS)).astype(np.int64)]
-                    # Elements of one rank keep the order of the hashes, in which s already is.
-                    prefixes.append(s[np.argsort(rank, kind="stable")[:k]].tobytes())
+                    # Elements of one level keep the order of the hashes, in which s already is.
+                    prefixes.append(s[np.argsort(_cells(s, table), kind="stable")[:k]].tobytes())
             yield pa.record_batch(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(prefixes, pa.binary())], names=["id", "n", "prefix"]
             )
@@ -198,119 +232,237 @@ def _postings(words: int, percent: int, shared):
     return run
 
 
-def _tiles(percent: int, shared):
-    """Arrow batches of (id, comp, n, prefix) to postings (tile, id, comp, at), at = n << 32 | position."""
-    step = -math.log(percent / 100)
+def _tiles(shared):
+    """Arrow batches of (id, comp, n, prefix) to postings (tile, deal, id, comp, at), at = n << 32 | position.
+
+    deal is null, or a number that deals out the postings of an element that the frequency table calls frequent:
+    they need not meet before they are counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
-        load = TILE_ROWS + 8 * max(1.0, counts.mean())
+        table = shared.value
+        often = 8 * math.log2(1 + TILE_ROWS + 8 * float(np.exp2(table / 8.0).mean()))
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            held = 0
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             comps = batch.column(1).to_numpy(zero_copy_only=False)
-            sizes = batch.column(2).to_numpy(zero_copy_only=False)
-            for i, prefix in enumerate(batch.column(3)):
-                items = np.frombuffer(prefix.as_buffer(), U64)
-                at = (np.int64(sizes[i]) << np.int64(32)) | np.arange(len(items), dtype=np.int64)
-                seen = counts[(items >> U64(64 - FREQUENCY_BITS)).astype(np.int64)]
-                hot = seen > load
-                tile = [items[~hot]]
-                place = [at[~hot]]
-                if hot.any():
-                    band = int(math.log(max(1, sizes[i])) / step)
-                    own = int(mix(np.full(1, ids[i], np.int64).astype(U64))[0])
-                    for x, p, c in zip(items[hot], at[hot], seen[hot], strict=True):
-                        number = math.ceil(c / TILE_ROWS)
-                        mine = own % number
-                        others = np.arange(number, dtype=U64)
-                        low, high = np.minimum(others, U64(mine)), np.maximum(others, U64(mine))
-                        for b in (band, band + 1):
-                            cells = mix(mix(low * U64(0x9E3779B97F4A7C15) + high) + x + U64(b * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
-                            tile.append(cells)
-                            place.append(np.full(number, p, np.int64))
-                tile, place = np.concatenate(tile), np.concatenate(place)
-                for to, x in zip(out, (tile, np.full(len(tile), ids[i]), np.full(len(tile), comps[i]), place), strict=True):
-                    to.append(x)
-                held += len(tile)
-                if held > 200_000 or i == len(sizes) - 1:
-                    arrays = [np.concatenate(x).astype(np.int64, copy=False) for x in out]
-                    yield pa.record_batch([pa.array(x) for x in arrays], names=["tile", "id", "comp", "at"])
-                    out, held = [[], [], [], []], 0
+            sizes = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            items = [np.frombuffer(x.as_buffer(), U64) for x in batch.column(3)]
+            length = np.array([len(x) for x in items], np.int64)
+            lo = 0
+            while lo < len(ids):
+                hi = max(lo + 1, int(np.searchsorted(np.cumsum(length[lo:]), 200_000, "right")) + lo)
+                own = length[lo:hi]
+                tile = np.concatenate(items[lo:hi])
+                place = np.arange(len(tile)) - np.repeat(np.cumsum(own) - own, own)
+                deal = mix(np.repeat(ids[lo:hi].astype(U64), own) + U64(1)).astype(np.int64)
+                yield pa.record_batch(
+                    [pa.array(tile.astype(np.int64)), pa.array(deal, mask=_cells(tile, table) <= often), pa.array(np.repeat(ids[lo:hi], own)),
+                     pa.array(np.repeat(comps[lo:hi], own)), pa.array((np.repeat(sizes[lo:hi], own) << np.int64(32)) | place)],
+                    names=["tile", "deal", "id", "comp", "at"],
+                )
+                lo = hi
 
     return run
 
 
+def _possible(percent: int, n: np.ndarray, pos: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (i, j) may link by their sizes and by what follows the shared element in their order."""
+    need = -(-percent * (n[i] + n[j]) // (100 + percent))
+    most = np.minimum(n[i] - pos[i], n[j] - pos[j])
+    return (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (most >= need)
+
+
 def _pairs(percent: int):
-    """Postings sorted by tile to candidate pairs (a, b) of different components that pass the bounds."""
-
-    def test(ids, comps, n, pos, i, j):
-        """Which of the pairs of rows (i, j) may link."""
-        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        need = -(-percent * (n[i] + n[j]) // (100 + percent))
-        most = np.minimum(n[i] - pos[i], n[j] - pos[j])
-        ok = (comps[i] != comps[j]) & (ids[i] != ids[j]) & (100 * small >= percent * large) & (most >= need)
-        return i[ok], j[ok]
-
-    def emit(ids, i, j):
-        a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-        if len(a):
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            yield pa.record_batch([pa.array(a[new]), pa.array(b[new])], names=["a", "b"])
+    """Postings sorted by deal and tile to rows (tile, a, b, at): pairs (a, b) of different components of short tiles that pass
+    the bounds, with a null tile, and the postings of other tiles, with a the id and b the component."""
 
-    def tiles(rows):
-        """Pairs within runs of equal tile of sorted rows."""
+    def pairs(rows):
+        """Pairs within runs of equal tile, of SHORT_TILE rows at most."""
         tile, ids, comps, at = rows
         n, pos = at >> 32, at & 0xFFFFFFFF
         edges = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1], [True])))
         length = np.diff(edges)
-        one = np.minimum.reduceat(comps, edges[:-1]) == np.maximum.reduceat(comps, edges[:-1])
-        live = (length > 1) & ~one
-        short = live & (length <= 16)
-        found_i, found_j = [], []
-        for d in range(1, 16):
-            run = short & (length > d)
+        found = [[], []]
+        for d in range(1, SHORT_TILE):
+            run = length > d
             if not run.any():
                 break
             count = length[run] - d
-            base = np.repeat(edges[:-1][run], count)
-            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            i, j = test(ids, comps, n, pos, base + step, base + step + d)
-            found_i.append(i)
-            found_j.append(j)
-        if found_i:
-            yield from emit(ids, np.concatenate(found_i), np.concatenate(found_j))
-        for lo, hi in zip(edges[:-1][live & (length > 16)], edges[1:][live & (length > 16)], strict=True):
-            order = lo + np.argsort(n[lo:hi], kind="stable")
-            size = n[order]
-            for k in range(len(order) - 1):
-                end = np.searchsorted(size, size[k] * 100 // percent, "right")
-                if end > k + 1:
-                    i, j = test(ids, comps, n, pos, np.full(end - k - 1, order[k]), order[k + 1 : end])
-                    yield from emit(ids, i, j)
+            i = np.repeat(edges[:-1][run], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            j = i + d
+            ok = (comps[i] != comps[j]) & (ids[i] != ids[j]) & _possible(percent, n, pos, i, j)
+            found[0].append(np.minimum(ids[i[ok]], ids[j[ok]]))
+            found[1].append(np.maximum(ids[i[ok]], ids[j[ok]]))
+        if found[0]:
+            a, b = np.concatenate(found[0]), np.concatenate(found[1])
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            if len(a):
+                k = int(new.sum())
+                yield pa.record_batch([pa.nulls(k, pa.int64()), pa.array(a[new]), pa.array(b[new]), pa.nulls(k, pa.int64())], names=["tile", "a", "b", "at"])
+
+    def split(rows, long: bool):
+        """Rows of whole tiles; the first of them may be the rest of a long one."""
+        if long or not len(rows[0]):
+            return rows, np.full(len(rows[0]), long)
+        tile = rows[0]
+        edges = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1], [True])))
+        return rows, np.repeat(np.diff(edges) > SHORT_TILE, np.diff(edges))
+
+    def emit(rows, long: np.ndarray):
+        if long.any():
+            yield pa.record_batch([pa.array(x[long]) for x in rows], names=["tile", "a", "b", "at"])
+        yield from pairs([x[~long] for x in rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, going = None, None  # rows of the last tile, which may go on; the tile that is known to be long
         for batch in batches:
-            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            dealt = np.asarray(batch.column(1).is_valid())
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 3, 4)]
+            if dealt.any():
+                yield pa.record_batch([pa.array(x[dealt]) for x in columns], names=["tile", "a", "b", "at"])
+                columns = [x[~dealt] for x in columns]
             if rest is not None:
-                rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
-            if not len(rows[0]):
+                columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
+            rest = None
+            if not len(columns[0]):
                 continue
-            cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))  # the last tile may go on
-            if cut:
-                yield from tiles([x[:cut] for x in rows])
-            rest = [x[cut:] for x in rows]
-        if rest is not None and len(rest[0]):
-            yield from tiles(rest)
+            if going is not None:
+                more = columns[0] == going
+                yield from emit([x[more] for x in columns], np.ones(int(more.sum()), bool))
+                columns = [x[~more] for x in columns]
+                if not len(columns[0]):
+                    continue
+            cut = int(np.searchsorted(columns[0], columns[0][-1], "left"))
+            last = [x[cut:] for x in columns]
+            yield from emit(*split([x[:cut] for x in columns], False))
+            going = None
+            if len(last[0]) > SHORT_TILE:  # a long tile is passed on as it comes and never held
+                going = last[0][0]
+                yield from emit(last, np.ones(len(last[0]), bool))
+            else:
+                rest = last
+        if rest is not None:
+            yield from emit(*split(rest, False))
 
     return run
 
 
+POSTING_SCHEMA = "tile long, deal long, id long, comp long, at long"
+PAIR_SCHEMA = "tile long, a long, b long, at long"
+
+
+def _band(n: Column, percent: int) -> Column:
+    """Size band; a step is a little more than the ratio of linked sizes, so rounding never puts those two bands apart."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-math.log(percent / 100) * (1 + 1e-9))).cast("int")
+
+
+def _dense(percent: int, forest: bool):
+    """Rows (cell, own, id, comp, at, mark) sorted by cell to pairs (a, b) that pass the bounds of size, position and bitmap.
+
+    own says that a row is of the cell's band; the smaller row of a pair must be, so a pair meets in one cell of a tile.
+    With forest, a cell gives only pairs that connect all that its pairs connect, fewer than it has rows: of the rows
+    that one row may link with, the one of the best bound in each component.
+    """
+
+    def cell(rows, marks):
+        own, ids, comps, at = rows
+        n, pos = at >> 32, at & 0xFFFFFFFF
+        order = np.lexsort((ids, n))
+        own, ids, comps, n, pos = own[order], ids[order], comps[order], n[order], pos[order]
+        size = np.array([len(marks[i]) for i in order])
+        out = [[], []]
+        upto = np.searchsorted(n, n * 100 // percent, "right")
+        root = np.unique(comps, return_inverse=True)[1]
+        for width in np.unique(size):
+            # Sizes and so widths rise along the rows; a partner's signature is at most twice as long and is folded.
+            lo, hi, last = np.searchsorted(size, [width, width + 1, 2 * width + 1])
+            bits = np.frombuffer(b"".join(marks[i] for i in order[lo:hi]), np.uint64).reshape(hi - lo, -1)
+            if last > hi:
+                wide = np.frombuffer(b"".join(marks[i] for i in order[hi:last]), np.uint64).reshape(last - hi, 2, -1)
+                bits = np.concatenate([bits, wide[:, 0] ^ wide[:, 1]])
+            for k in np.flatnonzero(own[lo:hi]) + lo:
+                end = min(upto[k], last)
+                j = np.flatnonzero(root[k + 1 : end] != root[k]) + k + 1
+                if len(j):
+                    j = j[_possible(percent, n, pos, np.full(len(j), k), j)]
+                if len(j):
+                    differ = np.bitwise_count(bits[j - lo] ^ bits[k - lo]).sum(axis=1, dtype=np.int64)
+                    ok = (n[k] + n[j] - differ) // 2 >= -(-percent * (n[k] + n[j]) // (100 + percent))
+                    j, differ = j[ok], differ[ok]
+                    if forest and len(j):
+                        j = j[np.argsort(differ / (n[k] + n[j]), kind="stable")]
+                        met, best = np.unique(root[j], return_index=True)
+                        j = j[best]
+                        root[np.isin(root, met)] = root[k]
+                    out[0].append(np.minimum(ids[j], ids[k]))
+                    out[1].append(np.maximum(ids[j], ids[k]))
+        if out[0]:
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, rest, marks = np.zeros(0, np.int64), [np.zeros(0, t) for t in (bool, np.int64, np.int64, np.int64)], []
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
+            keys = np.concatenate([keys, columns[0]])
+            rest = [np.concatenate(x) for x in zip(rest, columns[1:], strict=True)]
+            marks += batch.column(5).to_pylist()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                yield from cell([x[lo:hi] for x in rest], marks[lo:hi])
+            keys, rest, marks = keys[edges[-1] :], [x[edges[-1] :] for x in rest], marks[edges[-1] :]
+        if len(keys):
+            yield from cell(rest, marks)
+
+    return run
+
+
+def _dealt(found: DataFrame, marks: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
+    """The postings (tile, a = id, b = component, at) of long tiles as rows (cell, own, id, at, mark) of cells to compare."""
+    rows = found.where("tile IS NOT NULL").select("tile", F.col("a").alias("id"), F.col("b").alias("comp"), "at", _band(F.shiftright("at", 32), percent).alias("band"))
+    bands = workspace.save(rows.groupBy("tile", "band").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("least"), F.max("comp").alias("most")), "tile-bands")
+    # A cell holds a band and the next one, if they are not of one component; what comes from the next one has a negative k.
+    both = bands.unionByName(bands.withColumn("band", F.col("band") - 1).withColumn("k", -F.col("k")))
+    cells = both.groupBy("tile", "band").agg(F.sum(F.abs("k")).alias("rows"), F.max("k").alias("own"), (F.min("least") < F.max("most")).alias("spread"))
+    number = F.ceil(F.col("rows") / F.lit(TILE_ROWS)).cast("int")
+    cells = workspace.save(cells.where("spread AND own > 0").select(F.col("tile").alias("t"), F.col("band").alias("c"), number.alias("number")), "cells")
+    placed = rows.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("of"))
+    placed = placed.join(cells, F.expr("tile = t AND of = c"))
+    mine = F.pmod(F.xxhash64("id"), F.col("number")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("other")
+    placed = placed.select("tile", "of", (F.col("band") == F.col("of")).alias("own"), "id", "at", mine.alias("mine"), other)
+    key = F.xxhash64("tile", "of", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell")
+    marked = placed.select(key, "own", "id", "at").join(marks.select(F.col("id").alias("of_id"), "mark"), F.col("id") == F.col("of_id"))
+    return workspace.save(marked.select("cell", "own", "id", "at", "mark"), "dealt")
+
+
+def _long_links(
+    dealt: DataFrame, links: DataFrame, docs: DataFrame, words: int, percent: int, workspace: Workspace
+) -> DataFrame:
+    """links, and all that the cells of long tiles add to their components.
+
+    Rounds check only what would connect each cell (see _dense), so a group of near copies costs a few pairs a row. They go
+    on while a fair part of their pairs links. Then all pairs whose ends are still in different components are checked.
+    """
+    step, forest = 0, True
+    while True:
+        labels = components(links, workspace, f"long-part-{step}")
+        known = labels.select(F.col("v"), F.col("component").alias("comp"))
+        placed = dealt.join(known, F.col("id") == F.col("v"), "left").select("cell", "own", "id", F.coalesce("comp", "id").alias("comp"), "at", "mark")
+        rows = placed.repartition("cell").sortWithinPartitions("cell").transform(map_arrow, _dense(percent, forest), "a long, b long")
+        close = workspace.save(rows.distinct(), f"long-{step}-close")
+        ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
+        found = _links(close, _sets_of(ends, docs, words, workspace, f"long-{step}"), percent, workspace, f"long-{step}")
+        links = links.unionByName(found)
+        pairs, joined = close.count(), found.count()
+        if not forest or joined == pairs:  # connecting pairs that all link leave nothing open in any cell
+            return links
+        forest = joined * ROWS_PER_LINK >= pairs
+        step += 1
+
+
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,8 +550,8 @@ def _near_links(marks: DataFrame, docs: DataFrame, words: int, percent: int, wor
     shared = workspace.save(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "near-keys")
     rows = workspace.save(banded.join(shared, "key"), "near-rows")
     sets = _sets_of(rows.select("id").distinct(), docs, words, workspace, "near")
-    links, labels = None, None
-    for step in range(ROUNDS):
+    links, labels, step = None, None, 0
+    while True:
         if labels is None:
             placed = rows.withColumn("comp", F.col("id"))
         else:  # only groups that still hold many pairs of different components go on
@@ -418,6 +570,9 @@ def _near_links(marks: DataFrame, docs: DataFrame, words: int, percent: int, wor
         found = _links(_close(pairs, marks, percent, workspace, f"near-{step}"), sets, percent, workspace, f"near-{step}")
         links = found if links is None else workspace.save(links.unionByName(found), f"near-all-{step}")
         labels = _lowered(links, labels, workspace, f"near-part-{step}")
+        if found.count() * ROWS_PER_LINK < placed.count():
+            break
+        step += 1
     workspace.drop("near-sets")
     return links, labels
 
@@ -434,9 +589,10 @@ def jaccard_components(
     """One row per row of docs: id, n_shingles and component_id, the smallest id reachable by links."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = workspace.save(plain.transform(map_arrow, _classes(words), CLASS_SCHEMA), "classes")
+    table_bits = frequency_bits(plain)
+    rows = workspace.save(plain.transform(map_arrow, _classes(words, table_bits), CLASS_SCHEMA), "classes")
     texts = rows.where("chunk IS NULL")
-    shared = spark.sparkContext.broadcast(frequencies(rows))
+    shared = spark.sparkContext.broadcast(frequencies(rows, table_bits))
 
     classes = (
         texts.where("n > 0")
@@ -457,13 +613,13 @@ def jaccard_components(
     known = marks.select(F.col("id").alias("rep")).join(labels, F.col("rep") == labels["v"], "left")
     known = known.select("rep", F.coalesce("component", "rep").alias("comp"))
     placed = prefixes.join(known, prefixes["id"] == known["rep"]).select("id", "comp", "n", "prefix")
-    postings = placed.transform(map_arrow, _tiles(percent, shared), "tile long, id long, comp long, at long")
-    sorted_tiles = postings.repartition("tile").sortWithinPartitions("tile")
-    candidates = workspace.save(sorted_tiles.transform(map_arrow, _pairs(percent), "a long, b long").distinct(), "candidates")
-    close = _close(candidates, marks, percent, workspace, "rest")
-    ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-    rest = _links(close, _sets_of(ends, plain, words, workspace, "rest"), percent, workspace, "rest")
-    links = near.unionByName(rest)
+    postings = placed.transform(map_arrow, _tiles(shared), POSTING_SCHEMA)
+    sorted_tiles = postings.repartition("tile", "deal").sortWithinPartitions(F.col("deal").isNull(), "tile")
+    found = workspace.save(sorted_tiles.transform(map_arrow, _pairs(percent), PAIR_SCHEMA), "candidates")
+    short = _close(found.where("tile IS NULL").select("a", "b").distinct(), marks, percent, workspace, "short")
+    ends = short.select(F.col("a").alias("id")).unionByName(short.select(F.col("b").alias("id"))).distinct()
+    links = near.unionByName(_links(short, _sets_of(ends, plain, words, workspace, "short"), percent, workspace, "short"))
+    links = _long_links(_dealt(found, marks, percent, workspace), links, plain, words, percent, workspace)
     final = components(links, workspace, "part")
 
     named = classes.join(final, classes["rep"] == final["v"], "left").select(
