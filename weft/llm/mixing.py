@@ -7,12 +7,14 @@ gets the exponential key -ln(u) / weight; keys are sorted within the source, siz
 that order, and documents are taken as long as their midpoint lies within what is left, so the last
 one is taken if that comes nearer to the target.
 
-The sum along the order is not one window per source. Keys fall into KEY_BUCKETS ordered buckets; the
-buckets' sums (a grouped aggregation) find the one bucket of each source that holds the threshold,
-and only that bucket's rows are sorted. A source with a third of all rows is so split 4096 ways.
+The sum along the order is not one window per source. Keys fall into ordered buckets, KEY_BUCKETS for each
+factor of two; the buckets' sums (a grouped aggregation) find the one bucket of each source that holds the
+threshold, and only that bucket's rows are sorted. Whatever the scale of the weights, the densest bucket has
+some 0.03 % of the rows of a weight, so a source with a third of all rows is split thousands of ways.
 
 Nulls, ties, repeats: a null source is a source (last in order); a null or negative size counts 0; a
-null, zero or negative weight counts as 1. Equal keys are ordered by id; rows with the same id share
+null, zero or negative weight counts as 1. Rows of size 0 are taken as often as the epochs say, and once
+more if their key comes before the end of a fractional selection that is not empty. Equal keys are ordered by id; rows with the same id share
 one decision. A source of size 0 gets target 0. An empty table gives no rows. The key is a function of
 seed and id, so reruns agree.
 """
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from weft.llm import bitmaps
 from weft.workspace import Workspace
 
-KEY_BUCKETS = 4096
+KEY_BUCKETS = 1024
 BROADCAST_SOURCES = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,8 +46,8 @@ def es_key(id_col: Column, weight: Column, seed: int) -> Column:
 
 
 def _bucket(key: Column) -> Column:
-    """Bucket number, never falling as the key grows (each step is a correctly rounded operation)."""
-    return F.floor(F.lit(float(KEY_BUCKETS)) * (F.lit(1.0) - F.lit(1.0) / (F.lit(1.0) + key))).cast("int")
+    """Bucket number, never falling as the key grows (the JVM's logarithm does not fall either)."""
+    return F.floor(F.lit(float(KEY_BUCKETS)) * F.log2(key)).cast("int")
 
 
 def source_targets(sizes: DataFrame, shares: Sequence[int], max_epochs: int = 3) -> DataFrame:
@@ -93,7 +95,7 @@ def plan(keyed: DataFrame, workspace: Workspace, shares: Sequence[int], max_epoc
     edge = (
         running.join(targets, running["source"].eqNullSafe(targets["source"]))
         .select(running["source"].alias("source"), "bucket", "bucket_size", "__upto", left.alias("__left"))
-        .where(F.col("__upto") - F.col("bucket_size") <= F.col("__left"))
+        .where((F.col("__left") > 0) & (F.col("__upto") - F.col("bucket_size") <= F.col("__left")))
         .groupBy("source")
         .agg(F.max_by(F.struct("bucket", (F.col("__upto") - F.col("bucket_size")).alias("start"), "__left"), "bucket").alias("e"))
         .select("source", F.col("e.bucket").alias("bucket"), F.col("e.start").alias("start"), F.col("e.__left").alias("left"))

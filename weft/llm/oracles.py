@@ -36,8 +36,8 @@ t AS (
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
 )
 SELECT doc_id, size, source_size, target,
-  (size * (epochs + (2 * upto - size <= 2 * (target - epochs * source_size))::INT))::BIGINT AS taken,
-  (epochs + (2 * upto - size <= 2 * (target - epochs * source_size))::INT)::BIGINT AS copies
+  (size * (epochs + (target > epochs * source_size AND 2 * upto - size <= 2 * (target - epochs * source_size))::INT))::BIGINT AS taken,
+  (epochs + (target > epochs * source_size AND 2 * upto - size <= 2 * (target - epochs * source_size))::INT)::BIGINT AS copies
 FROM r
 """
 
