@@ -45,7 +45,7 @@ def test_sampled_segmentations_spell_their_texts(texts, k):
     bodies = [b" " + t.encode() for t in texts]
     at = np.cumsum([0, *[len(b) for b in bodies]])
     keys = textops.mix(np.arange(len(texts), dtype=np.uint64))
-    found = sentencepiece_sampling.sample_chunk(np.frombuffer(b"".join(bodies), np.uint8), at, keys, vocab, k)
+    found = sentencepiece_sampling.sample_chunk(np.frombuffer(b"".join(bodies), np.uint8), at, keys, sentencepiece_sampling.Lexicon(vocab), k)
     for body, samples in zip(bodies, found, strict=True):
         ids = [tuple(s[0].tolist()) for s in samples]
         assert 1 <= len(ids) == len(set(ids)) <= k

@@ -9,8 +9,9 @@ lattice's conditional probabilities. The values at the ends are those of perturb
 segmentation independently, so the first k are a sample without replacement. With the (k+1)-th value t
 as threshold, a segmentation of log probability p has the inclusion probability 1 - exp(-exp(p - t)).
 
-Pieces do not cross into a new word, so lattices of the distinct words of a chunk of texts are built and
-summed once (backward recursion in log space) and all words of the chunk walk them together in numpy.
+Pieces do not cross into a new word, so the lattice of a distinct word is built and summed once (backward
+recursion) and kept in a lexicon of bounded size for the texts of a task, and all words of a block of texts
+walk their lattices together in numpy.
 
 Every draw is a hash of the row's key, the sample's number and the place in the text: reruns agree, and
 neither chunks nor partitions matter. Decoding joins the pieces and drops the first space; texts are
@@ -30,12 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.arrow import map_arrow, release
+from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
 CHUNK_BYTES = 3 << 18
-WALK_BYTES = 1 << 18
+WALK_BYTES = 1 << 16
+#: A worker's lexicon is dropped when it has grown beyond this; a chunk adds at most some 50 bytes for each of its own.
+LEXICON_BYTES = 96 << 20
+LATTICE_WORDS = 1_000
+CELL_BITS = 18
 SPACE = 0x20
 SCHEMA_TAIL = "sample int, pieces binary, n_pieces int, log_prob double, gumbel double, inclusion double, restored boolean"
 
@@ -58,43 +63,94 @@ def _truncated(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray
 
 
 class Lexicon:
-    """Lattices of a chunk's distinct words: for each node the arcs that leave it, with their conditional probabilities.
+    """Lattices of the words a worker has met: for each node the arcs that leave it, with their conditional probabilities.
 
     Arc a of node v lies in arc_of[v] .. arc_of[v + 1] - 1 and has a piece, its number of nodes, q, the share of
     paths through v that take it, and upto, the sum of q from the node's first arc on, itself excluded. Longer
-    pieces, which are likely ones, come first. An arc of byte pieces has piece -2; byte_of is a node's place in the data.
+    pieces, which are likely ones, come first. An arc of byte pieces has piece -2; byte_of is a node's place in data.
+    What a word gets does not depend on the words before it, so it does not matter which are known already.
+
+    Words are found by their 64-bit hash: `cell` has the first word of each range of hashes, `known` all in order.
     """
 
-    def __init__(self, data: np.ndarray, lengths: np.ndarray, vocab: lattice.Vocabulary, step: int = 2_000):
-        self.root = np.zeros(len(lengths), np.int64)
-        self.end = np.zeros(len(lengths), np.int64)
-        piece, span, q, byte_of, count, nodes = [], [], [], [], [], 0
-        self.data = data
-        begin = np.cumsum(lengths) - lengths
-        for lo in range(0, len(lengths), step):
-            own = lengths[lo : lo + step]
-            lat = lattice.build_spans(data[begin[lo] : begin[lo] + own.sum()], own, vocab)
-            n, reach = lat.arcs.shape
-            leaving = np.full((n, reach), -1, np.int32)
-            for size in range(1, min(reach, n - 1) + 1):
-                leaving[: n - size, reach - size] = lat.arcs[size:, size - 1]
-            at, place = np.nonzero(leaving != -1)
-            size = reach - place
-            self.root[lo + lat.order] = nodes + lat.first
-            self.end[lo + lat.order] = nodes + lat.first + lat.chars
-            piece.append(leaving[at, place])
-            span.append(size.astype(np.int8))
-            q.append(lattice.shares(lat, vocab, at, size).astype(np.float32))
-            byte_of.append((begin[lo] + lat.node_byte).astype(np.int32))
-            count.append(np.bincount(at, minlength=n))
-            nodes += n
-        join = lambda x, kind: np.concatenate(x).astype(kind, copy=False) if x else np.zeros(0, kind)
-        self.piece, self.span, self.q = join(piece, np.int32), join(span, np.int8), join(q, np.float32)
-        self.byte_of = join(byte_of, np.int32)
-        self.arc_of = np.concatenate([[0], np.cumsum(join(count, np.int64))])
-        total = np.cumsum(self.q, dtype=np.float64)
-        first = total[self.arc_of[:-1] - (self.arc_of[:-1] > 0)] * (self.arc_of[:-1] > 0) if len(total) else total
-        self.upto = (total - self.q - np.repeat(first, np.diff(self.arc_of))).clip(0).astype(np.float32)
+    ARRAYS = (("root", np.int64), ("end", np.int64), ("hash_of", U64), ("piece", np.int32), ("span", np.int8), ("q", np.float32), ("upto", np.float32),
+              ("byte_of", np.int32), ("arc_of", np.int64), ("data", np.uint8))
+
+    def __init__(self, vocab: lattice.Vocabulary):
+        self.vocab = vocab
+        self.used = dict.fromkeys((name for name, _ in self.ARRAYS), 0)
+        for name, kind in self.ARRAYS:
+            setattr(self, name, np.zeros(1 << 12, kind))
+        self._append("arc_of", np.zeros(1, np.int64))
+        self.cell = np.full(1 << CELL_BITS, -1, np.int32)
+        self.known, self.number = np.zeros(0, U64), np.zeros(0, np.int32)
+
+    def _append(self, name: str, values: np.ndarray) -> None:
+        old, n = getattr(self, name), self.used[name]
+        if n + len(values) > len(old):
+            grown = np.zeros(max(n + len(values), 2 * len(old)), old.dtype)
+            grown[:n] = old[:n]
+            setattr(self, name, grown)
+            old = grown
+        old[n : n + len(values)] = values
+        self.used[name] = n + len(values)
+
+    @property
+    def bytes(self) -> int:
+        return sum(self.used[name] * np.dtype(kind).itemsize for name, kind in self.ARRAYS)
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the words at spans of data; new ones get their lattices."""
+        found = self.cell[hashes >> U64(64 - CELL_BITS)]
+        miss = np.flatnonzero((found < 0) | (self.hash_of[found] != hashes))
+        if len(miss):
+            new, example, kind = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            at = np.searchsorted(self.known, new)
+            number = np.full(len(new), -1, np.int32)
+            old = np.flatnonzero(at < len(self.known))
+            old = old[self.known[at[old]] == new[old]]
+            number[old] = self.number[at[old]]
+            add = np.flatnonzero(number < 0)
+            if len(add):
+                number[add] = self.used["root"] + np.arange(len(add), dtype=np.int32)
+                self.known, self.number = np.insert(self.known, at[add], new[add]), np.insert(self.number, at[add], number[add])
+                self._append("hash_of", new[add])
+                place = new[add] >> U64(64 - CELL_BITS)
+                free = self.cell[place] < 0
+                self.cell[place[free][::-1]] = number[add[free]][::-1]
+                first, last = starts[miss[example[add]]], ends[miss[example[add]]]
+                for lo in range(0, len(add), LATTICE_WORDS):
+                    self._build(data, first[lo : lo + LATTICE_WORDS], last[lo : lo + LATTICE_WORDS])
+            found[miss] = number[kind]
+        return found
+
+    def _build(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        own = ends - starts
+        body = data[np.repeat(starts, own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)]
+        lat = lattice.build_spans(body, own, self.vocab)
+        n, reach = lat.arcs.shape
+        leaving = np.full((n, reach), -1, np.int32)
+        for size in range(1, min(reach, n - 1) + 1):
+            leaving[: n - size, reach - size] = lat.arcs[size:, size - 1]
+        at, place = np.nonzero(leaving != -1)
+        size = reach - place
+        nodes = self.used["byte_of"]
+        root, end = np.empty(len(own), np.int64), np.empty(len(own), np.int64)
+        root[lat.order], end[lat.order] = nodes + lat.first, nodes + lat.first + lat.chars
+        q = lattice.shares(lat, self.vocab, at, size).astype(np.float32)
+        count = np.bincount(at, minlength=n)
+        first = np.cumsum(count) - count
+        upto, running = np.zeros(len(q), np.float32), np.zeros(n, np.float32)
+        for nth in range(1, int(count.max()) if len(count) else 0):  # in the order of each node's arcs
+            v = np.flatnonzero(count > nth)
+            arc = first[v] + nth
+            running[v] += q[arc - 1]
+            upto[arc] = running[v]
+        for name, values in (
+            ("root", root), ("end", end), ("piece", leaving[at, place]), ("span", size.astype(np.int8)), ("q", q), ("upto", upto),
+            ("byte_of", self.used["data"] + lat.node_byte), ("arc_of", self.used["piece"] + np.cumsum(count)), ("data", body),
+        ):
+            self._append(name, values)
 
     def draw(self, lo: np.ndarray, hi: np.ndarray, u: np.ndarray) -> np.ndarray:
         """For each row one of the arcs lo .. hi - 1 of a node, by their probabilities."""
@@ -108,7 +164,7 @@ class Lexicon:
             open_ = open_[(at < hi[open_] - 1) & (aim[open_] >= self.upto[at] + self.q[at])]
         return arc
 
-    def spell(self, arcs: np.ndarray, nodes: np.ndarray, vocab: lattice.Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    def spell(self, arcs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of arcs, and how many each arc has: one, or the bytes of a character that is no piece."""
         pieces = self.piece[arcs]
         loose = np.flatnonzero(pieces == -2)
@@ -120,7 +176,7 @@ class Lexicon:
         begin = np.cumsum(size) - size
         n = size[loose]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(begin[loose], n) + step] = vocab.byte_ids[self.data[np.repeat(at, n) + step]]
+        out[np.repeat(begin[loose], n) + step] = self.vocab.byte_ids[self.data[np.repeat(at, n) + step]]
         return out, size
 
 
@@ -154,11 +210,11 @@ class Walk:
         self.word = word[self.walker]
 
 
-def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: lattice.Vocabulary, k: int):
+def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, lex: Lexicon, k: int):
     """For each text its samples: [pieces, log probability, Gumbel value, inclusion], best value first.
 
-    data has the texts, each with its leading space; keys are 64-bit row keys. The distinct words of the chunk
-    get their lattices once; texts walk them in blocks, so that the steps of a block fit in memory.
+    data has the texts, each with its leading space; keys are 64-bit row keys. Words that the lexicon has not met
+    get their lattices; texts walk them in blocks, so that the steps of a block fit in memory.
     """
     blank = data == SPACE
     before = np.concatenate([[False], blank[:-1]])
@@ -168,19 +224,16 @@ def sample_chunk(data: np.ndarray, at: np.ndarray, keys: np.ndarray, vocab: latt
     ends = np.append(starts[1:], len(data))
     first = np.searchsorted(starts, at)
     hashes = np.concatenate(list(_hash_blocks(data, starts, ends))) if len(starts) else np.zeros(0, U64)
-    _, example, kind = np.unique(hashes, return_index=True, return_inverse=True)
-    lengths = ends[example] - starts[example]
-    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    lex = Lexicon(data[np.repeat(starts[example], lengths) + place], lengths, vocab)
+    kind = lex.words(data, starts, ends, hashes)
     lo, results = 0, []
     while lo < len(at) - 1:
         hi = max(lo + 1, int(np.searchsorted(at, at[lo] + WALK_BYTES, "right")) - 1)
-        results += _sample_texts(lex, kind[first[lo] : first[hi]], first[lo : hi + 1] - first[lo], keys[lo:hi], vocab, k)
+        results += _sample_texts(lex, kind[first[lo] : first[hi]], first[lo : hi + 1] - first[lo], keys[lo:hi], k)
         lo = hi
     return results
 
 
-def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.ndarray, vocab: lattice.Vocabulary, k: int):
+def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.ndarray, k: int):
     """Samples of a block of texts, given as the lexicon's numbers of their words."""
     texts = len(first) - 1
     text_of = np.repeat(np.arange(texts), np.diff(first))
@@ -271,7 +324,7 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
         at_branch = np.cumsum(tail) - tail
         low[at_branch] = [x[4][0] for _, x in picked]
         high[at_branch] = [x[4][1] for _, x in picked]
-        node[at_branch] = np.searchsorted(lex.arc_of, low[at_branch], "right") - 1
+        node[at_branch] = np.searchsorted(lex.arc_of[: lex.used["arc_of"]], low[at_branch], "right") - 1
 
     def steps(t: int, sample: int, until: int | None = None) -> np.ndarray:
         up, begin, walk, a, b = paths[sample][t]
@@ -285,7 +338,7 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
         own = list(paths[sample])
         parts = [steps(t, sample) for t in own]
         arcs, nodes = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
-        pieces, size = lex.spell(arcs, nodes, vocab)
+        pieces, size = lex.spell(arcs, nodes)
         ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *[p.shape[1] for p in parts]])]
         for i, t in enumerate(own):
             results[t][sample][0] = pieces[ends[i] : ends[i + 1]]
@@ -338,6 +391,7 @@ def _restored(pieces: list[bytes], text: np.ndarray, data: np.ndarray, at: np.nd
 def _encode(vocab_file: str, k: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = lattice.vocabulary(vocab_file)
+        lex = Lexicon(vocab)
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).astype(U64)
             for lo, hi, data, at in blocks(batch.column(1), CHUNK_BYTES):
@@ -345,7 +399,9 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                 spaced = np.full(len(data) + rows, SPACE, np.uint8)
                 spaced[np.arange(len(data)) + np.repeat(np.arange(1, rows + 1), np.diff(at))] = data
                 begin = at + np.arange(rows + 1)
-                found = sample_chunk(spaced, begin, keys[lo:hi], vocab, k)
+                if lex.bytes > LEXICON_BYTES:  # begin again; frequent words are soon back
+                    lex = Lexicon(vocab)
+                found = sample_chunk(spaced, begin, keys[lo:hi], lex, k)
                 row, sample, pieces, size, log_prob, gumbel, inclusion = ([] for _ in range(7))
                 for t, samples in enumerate(found):
                     for j, (ids, p, g, i) in enumerate(samples):
@@ -365,7 +421,6 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                     names=[*names, "sample", "pieces", "n_pieces", "log_prob", "gumbel", "inclusion", "restored"],
                 )
                 del found, pieces, spaced, kept
-                release()
 
     return run
 
