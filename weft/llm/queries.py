@@ -94,27 +94,33 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts; n_near counts other documents within simhash.RADIUS bits."""
+    """Fingerprints of all documents and of their edited texts.
+
+    n_near counts the other documents within simhash.RADIUS bits, for documents whose id is divisible by 20 (else null).
+    """
     work = Workspace(spark, "op7")
-    docs = table(spark, sf_dir, "documents")
+    texts = simhash.rows_of(table(spark, sf_dir, "documents"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    whole = docs.select("doc_id", "text")
-    own = work.save(simhash.fingerprints(whole, ["doc_id"], "text").withColumn("fp", simhash.as_hex()), "own")
-    edited = simhash.edited_texts(docs, work, partitions).withColumn("edited_sha256", F.sha2("edited", 256))
-    votes = simhash.fingerprints(edited, ["doc_id", "next_id", "n_chars", "edited_sha256"], "edited")
-    edits = work.save(votes.select("doc_id", "next_id", "n_chars", "edited_sha256", *[F.col(f"w{i}").alias(f"e{i}") for i in range(2)]), "edits")
-    following = own.select(F.col("doc_id").alias("__n"), F.col("w0").alias("n0"), F.col("w1").alias("n1"))
-    near = work.save(simhash.neighbours(own, work), "near")
-    joined = edits.join(own, "doc_id").join(following, F.col("next_id") == F.col("__n")).join(near, "fp")
+    row, following = list(simhash.ROW), [f"next_{c}" for c in simhash.ROW]
+    edited = simhash.edited_texts(texts, work, partitions).withColumn("edited_sha256", F.sha2("edited", 256))
+    wide = 2 * simhash.longest(work, spark) > simhash.LANE_BYTES
+    own = work.save(simhash.fingerprints(texts, row, "text", wide).withColumn("fp", simhash.as_hex()), "own")
+    votes = simhash.fingerprints(edited, [*row, *following, "n_chars", "copies", "edited_sha256"], "edited", wide)
+    edits = work.save(votes.withColumnsRenamed({"w0": "e0", "w1": "e1"}), "edits")
+    after = own.select(*[F.col(c).alias(f"next_{c}") for c in row], F.col("w0").alias("n0"), F.col("w1").alias("n1"))
+    asks = ~F.col("no_id") & (F.col("id") % 20 == 0)
+    near = work.save(simhash.neighbours(own.join(edits.select(*row, "copies"), row).select("*", F.explode(F.sequence(F.lit(1), "copies"))), work, asks), "near")
+    joined = edits.join(own, row).join(after, following).join(near, "fp", "left")
+    joined = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return joined.select(
-        "doc_id",
+        F.when(~F.col("no_id"), F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
         F.col("fp").alias("fingerprint"),
         simhash.as_hex("e").alias("edited_fingerprint"),
         simhash.likeness("w", "e").alias("near_edited"),
         simhash.likeness("w", "n").alias("near_next"),
-        "n_near",
+        F.when(asks, F.col("n_near")).alias("n_near"),
     )
 
 
