@@ -34,12 +34,12 @@ def corpus():
     return [(i, t, lang, rng.choice(["s1", "s1", "s1", "s2", "s3", None]), None) for i, (lang, t) in enumerate(texts)]
 
 
-def plain_mix(rows):
-    """Copies of each id, by Efraimidis-Spirakis keys and water-filled targets."""
+def plain_mix(rows, labels):
+    """Copies of each id, by Efraimidis-Spirakis keys over labelled quality and water-filled targets."""
     shares = (5, 2, 1)
     sources = sorted({s for _, _, _, s, _ in rows}, key=lambda s: (s is None, s or ""))
     size = {r[0]: len((r[1] or "").encode().split()) for r in rows}
-    quality = {r[0]: 2.0 if 3 * size[r[0]] <= len(r[1] or "") <= 12 * size[r[0]] else 0.5 for r in rows}
+    quality = {i: 2.0 if q else 0.5 for i, q, _ in labels}
     total = {s: sum(size[r[0]] for r in rows if r[3] == s) for s in sources}
     weight = {s: shares[k % 3] for k, s in enumerate(sources)}
     target, open_ = {}, set(sources)
@@ -60,11 +60,11 @@ def plain_mix(rows):
         key = {}
         for i in own:
             u = (int(hashlib.md5(f"17:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-            key[i] = -math.log(u) / quality[i]
-        upto = 0
+            key[i] = -math.log(u) / quality.get(i, 1.0)
+        upto, left = 0, target[s] - epochs * total[s]
         for i in sorted(own, key=lambda i: (key[i], i)):
             upto += size[i]
-            copies[i] = epochs + (2 * upto - size[i] <= 2 * (target[s] - epochs * total[s]))
+            copies[i] = epochs + (left > 0 and 2 * upto - size[i] <= 2 * left)
     return copies
 
 
@@ -82,7 +82,7 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
     kept = [r for r in kept if last[lower(r[1])] == r[0]]
     linked = brute_components([(r[0], r[1]) for r in kept], 5, 80)
     kept = [r for r in kept if linked[r[0]][1] == r[0]]
-    copies = plain_mix(kept)
+    copies = plain_mix(kept, labels)
     text = {r[0]: r[1] for r in kept}
     assert len(kept) < len(rows) - 30 and set(copies.values()) - {1}
 
