@@ -14,11 +14,12 @@ from weft.workspace import Workspace
 def closure(edges: DataFrame, workspace: Workspace, name: str = "closure", with_self: bool = False) -> DataFrame:
     """(node, ancestor, distance) of edges (child, parent): the smallest distance of each pair.
 
-    Rounds join only pairs that are new, so cycles end; loops of a node to itself are left out first.
+    Rounds join only pairs that are new, so cycles end; loops of a node to itself are left out first. A round writes
+    its new pairs only.
     """
     edges = workspace.save(edges.select("child", "parent").where("child <> parent").distinct(), f"{name}-edges")
-    known = workspace.save(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance")), f"{name}-1")
-    fresh, step = known, 1
+    fresh = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
+    known, step = fresh, 1
     while True:
         step += 1
         further = (
@@ -29,13 +30,32 @@ def closure(edges: DataFrame, workspace: Workspace, name: str = "closure", with_
         fresh = workspace.save(further.join(known, ["node", "ancestor"], "left_anti"), f"{name}-new-{step}")
         if not fresh.limit(1).count():
             break
-        known = workspace.save(known.unionByName(fresh), f"{name}-{step}")
+        known = known.unionByName(fresh)
     if with_self:
         nodes = edges.select(F.col("child").alias("node")).unionByName(edges.select(F.col("parent").alias("node"))).distinct()
         known = known.unionByName(nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance")))
     return known
 
 
+def roots(parents: DataFrame, workspace: Workspace, name: str = "roots") -> DataFrame:
+    """(node, root, links) of a forest (node, parent): the end of each node's chain and its length.
+
+    Pointers are doubled, so a chain of n links takes log2(n) rounds of one row per node.
+    """
+    at = workspace.save(parents.select("node", F.col("parent").alias("root"), F.lit(1).cast("long").alias("links")), f"{name}-0")
+    step = 0
+    while True:
+        step += 1
+        onward = at.select(F.col("node").alias("__n"), F.col("root").alias("__r"), F.col("links").alias("__l"))
+        moved = at.join(onward, F.col("root") == F.col("__n"), "left").select(
+            "node", F.coalesce("__r", "root").alias("root"), (F.col("links") + F.coalesce("__l", F.lit(0))).alias("links"), F.col("__r").isNotNull().alias("moved")
+        )
+        saved = workspace.save(moved, f"{name}-{step}")
+        at = saved.select("node", "root", "links")
+        if not saved.where("moved").limit(1).count():
+            return at
+
+
 def drop_dominated(nodes: DataFrame, closed: DataFrame) -> DataFrame:
     """Nodes without those that have an ancestor in the set."""
     within = closed.join(nodes.select(F.col("node").alias("ancestor")), "ancestor", "left_semi")
@@ -83,15 +103,68 @@ def grid_components(cells: DataFrame, workspace: Workspace) -> DataFrame:
     return numbered.join(labels, numbered["id"] == labels["v"]).select("r", "c", "component")
 
 
-def dilate(cells: DataFrame, radius: int) -> DataFrame:
-    """(r, c) of all cells within the radius (in rows and columns) of an occupied one."""
+def _square(cells: DataFrame, radius: int) -> DataFrame:
+    """(r, c) of the cells within the radius, in rows and columns, of each cell."""
     shift = F.sequence(F.lit(-radius), F.lit(radius))
     rows = cells.select(F.explode(F.transform(shift, lambda i: F.col("r") + i)).alias("r"), "c")
-    return rows.select("r", F.explode(F.transform(shift, lambda i: F.col("c") + i)).alias("c")).distinct()
+    return rows.select("r", F.explode(F.transform(shift, lambda i: F.col("c") + i)).alias("c"))
+
+
+def dilate(cells: DataFrame, radius: int) -> DataFrame:
+    """(r, c) of all cells within the radius (in rows and columns) of an occupied one."""
+    return _square(cells, radius).distinct()
+
+
+def erode(cells: DataFrame, radius: int) -> DataFrame:
+    """(r, c) of the occupied cells (distinct) whose whole square of the radius is occupied."""
+    whole = (2 * radius + 1) ** 2
+    return _square(cells, radius).groupBy("r", "c").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") == whole).select("r", "c")
+
+
+def distances(free: DataFrame, obstacles: DataFrame, most: int) -> DataFrame:
+    """(r, c, distance) of free cells: the Euclidean distance to the nearest obstacle, `most` if none is nearer.
+
+    Obstacles reach the cells of a disk of constant size; there is no join of all cells with all obstacles.
+    """
+    disk = [(i, j, i * i + j * j) for i in range(-most, most + 1) for j in range(-most, most + 1) if i * i + j * j < most * most]
+    shifts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(d).alias("d")) for i, j, d in disk])
+    reached = obstacles.select("r", "c", F.explode(shifts).alias("s")).groupBy((F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c")).agg(F.min("s.d").alias("d"))
+    return free.join(reached, ["r", "c"], "left").select("r", "c", F.coalesce(F.sqrt("d"), F.lit(float(most))).alias("distance"))
+
+
+def line_cells(a: tuple[int, int], b: tuple[int, int]) -> list[tuple[int, int]]:
+    """Cells of the straight line between two cells, both included."""
+    n = max(abs(b[0] - a[0]), abs(b[1] - a[1]))
+    return [(round(a[0] + (b[0] - a[0]) * k / n), round(a[1] + (b[1] - a[1]) * k / n)) for k in range(n + 1)] if n else [a]
+
+
+def simplified(path: list[tuple[int, int]], cost: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """Waypoints of a path: from each one the straight line goes on as long as it costs no more than the path so far
+    and its dearest cell is no dearer; a line over a cell that is not free costs without limit."""
+    if len(path) < 3:
+        return list(path)
+
+    def price(a, b) -> tuple[float, float]:
+        over = [cost.get(x, float("inf")) for x in line_cells(a, b)]
+        return sum(over), max(over)
+
+    out, end = [path[0]], path[1]
+    total, peak = price(path[0], path[1])
+    for to in path[2:]:
+        whole, dearest = price(out[-1], to)
+        further, high = price(end, to)
+        if whole <= total + further and dearest <= max(peak, high):
+            total, peak = whole, dearest
+        else:
+            out.append(end)
+            total, peak = further, high
+        end = to
+    return [*out, end]
 
 
 def shortest_paths(maps: DataFrame, start: tuple[int, int], goal: tuple[int, int]) -> DataFrame:
-    """Per map (column map; free cells r, c with a cost) the cheapest 4-neighbour path from start to goal by A*.
+    """Per map (column map; free cells r, c with a cost) the cheapest 4-neighbour path from start to goal by A*, and the
+    waypoints ("r,c" by spaces) to which it is simplified.
 
     A path search is sequential: each map is one group of an applyInPandas, so a map must fit in a task.
     """
@@ -112,11 +185,11 @@ def shortest_paths(maps: DataFrame, start: tuple[int, int], goal: tuple[int, int
                     if g < best.get(to, float("inf")):
                         best[to], came[to] = g, at
                         heapq.heappush(queue, (g + least * (abs(to[0] - goal[0]) + abs(to[1] - goal[1])), to))
-        found = goal in best
-        steps, at = 0, goal
-        while found and at != start:
-            at, steps = came[at], steps + 1
-        return pd.DataFrame({"map": [name], "reached": [found], "cost": [best.get(goal)], "steps": [steps if found else None]})
+        found, path = goal in best, [goal]
+        while found and path[-1] != start:
+            path.append(came[path[-1]])
+        points = " ".join(f"{r},{c}" for r, c in simplified(path[::-1], cost)) if found else None
+        return pd.DataFrame({"map": [name], "reached": [found], "cost": [best.get(goal)], "steps": [len(path) - 1 if found else None], "waypoints": [points]})
 
     kind = maps.schema["map"].dataType.simpleString()
-    return maps.groupBy("map").applyInPandas(search, f"map {kind}, reached boolean, cost double, steps long")
+    return maps.groupBy("map").applyInPandas(search, f"map {kind}, reached boolean, cost double, steps long, waypoints string")

@@ -82,6 +82,27 @@ def rotation_angle(m: Column) -> Column:
     return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (trace - 1) / 2)))
 
 
+def rotation_log(m: Column) -> Column:
+    """Rotation vector (axis times angle) of a matrix whose rotation is less than half a turn."""
+    at = lambda i: F.get(m, F.lit(i))
+    angle = rotation_angle(m)
+    scale = F.when(angle < 1e-6, F.lit(0.5)).otherwise(angle / (2 * F.sin(angle)))
+    return F.array(scale * (at(9) - at(6)), scale * (at(2) - at(8)), scale * (at(4) - at(1)))
+
+
+def rotation_exp(v: Column) -> Column:
+    """Row-major 3 x 3 rotation of a rotation vector (Rodrigues)."""
+    x, y, z = (F.get(v, F.lit(i)) for i in range(3))
+    angle = F.sqrt(x * x + y * y + z * z)
+    a = F.when(angle < 1e-6, F.lit(1.0)).otherwise(F.sin(angle) / angle)
+    b = F.when(angle < 1e-6, F.lit(0.5)).otherwise((1 - F.cos(angle)) / (angle * angle))
+    return F.array(
+        1 - b * (y * y + z * z), b * x * y - a * z, b * x * z + a * y,
+        b * x * y + a * z, 1 - b * (x * x + z * z), b * y * z - a * x,
+        b * x * z - a * y, b * y * z + a * x, 1 - b * (x * x + y * y),
+    )
+
+
 def hull(points: np.ndarray) -> np.ndarray:
     """Convex hull, counter-clockwise (Andrew's chains)."""
     points = np.unique(points, axis=0)

@@ -264,7 +264,7 @@ def failure_category(spark, sf_dir):
     FROM steps GROUP BY episode""",
 )
 def lift_and_tilt_success(spark, sf_dir):
-    """Success from state: height gained without foreign contact, largest share of a joint's range
+    """Success from state: height gained without foreign contact, largest share of a joint's range
     (joints without a range are skipped), reward of the nearest candidate."""
     share = F.max(F.try_divide(F.abs("d"), F.when(F.col("x") > 0, F.col("x"))))
     return steps(spark, sf_dir).groupBy("episode").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weft.operators import episodes as eps
@@ -12,7 +13,7 @@ from weft.plans.standins import STEPS, steps
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
-EDGES = """edges AS (SELECT DISTINCT p_name AS child, p_type AS parent FROM part WHERE p_partkey < 400 UNION SELECT DISTINCT p_name, p_brand FROM part WHERE p_partkey < 400
+EDGES = """edges AS (SELECT p_partkey::VARCHAR AS child, p_name AS parent FROM part UNION SELECT DISTINCT p_name, p_type FROM part UNION SELECT DISTINCT p_name, p_brand FROM part
   UNION SELECT DISTINCT p_type, 'ROOT' FROM part UNION SELECT DISTINCT p_brand, 'ROOT' FROM part)"""
 CLOSED = f"""WITH RECURSIVE {EDGES}, walk AS (SELECT child AS node, parent AS ancestor, 1 AS distance FROM edges UNION SELECT w.node, e.parent, w.distance + 1 FROM walk w JOIN edges e ON e.child = w.ancestor),
   closed AS (SELECT node, ancestor, min(distance) AS distance FROM walk GROUP BY ALL)"""
@@ -20,13 +21,11 @@ EXCLUDED = "excluded AS (SELECT 'ROOT' AS node UNION SELECT DISTINCT p_brand FRO
 
 
 def edges(spark, sf_dir):
+    """A taxonomy that grows with the table: parts below names, names below types and brands, these below the root."""
     p = table(spark, sf_dir, "part")
-    some = p.where("p_partkey < 400")
-    pairs = [
-        some.select(F.col("p_name").alias("child"), F.col("p_type").alias("parent")), some.select(F.col("p_name").alias("child"), F.col("p_brand").alias("parent")),
-        p.select(F.col("p_type").alias("child"), F.lit("ROOT").alias("parent")), p.select(F.col("p_brand").alias("child"), F.lit("ROOT").alias("parent")),
-    ]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).unionByName(pairs[3]).distinct()
+    leaf, name, kind, brand, root = F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_type"), F.col("p_brand"), F.lit("ROOT")
+    pairs = F.array(*[F.struct(a.alias("child"), b.alias("parent")) for a, b in ((leaf, name), (name, kind), (name, brand), (kind, root), (brand, root))])
+    return p.select(F.inline(pairs)).distinct()
 
 
 def closed(spark, sf_dir, with_self=False):
@@ -57,12 +56,14 @@ def hyponym_counts(spark, sf_dir):
     return closed(spark, sf_dir, with_self=True).groupBy(F.col("ancestor").alias("root")).agg(F.count(F.lit(1)).alias("descendants"))
 
 
-SET = "s AS (SELECT DISTINCT p_name AS node FROM part WHERE p_partkey < 100 UNION SELECT DISTINCT p_type FROM part WHERE p_size < 10)"
+SET = "s AS (SELECT p_partkey::VARCHAR AS node FROM part WHERE p_size > 40 UNION SELECT DISTINCT p_name FROM part WHERE p_retailprice < 950 UNION SELECT DISTINCT p_type FROM part WHERE p_type LIKE '%O%')"
 
 
 def node_set(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return p.where("p_partkey < 100").select(F.col("p_name").alias("node")).unionByName(p.where("p_size < 10").select(F.col("p_type").alias("node"))).distinct()
+    leaves = p.where("p_size > 40").select(F.col("p_partkey").cast("string").alias("node"))
+    names = p.where("p_retailprice < 950").select(F.col("p_name").alias("node"))
+    return leaves.unionByName(names).unionByName(p.where("p_type LIKE '%O%'").select(F.col("p_type").alias("node"))).distinct()
 
 
 @query("drop_hyponyms", f"{CLOSED}, {SET} SELECT node FROM s WHERE NOT EXISTS (SELECT 1 FROM closed c WHERE c.node = s.node AND c.ancestor IN (SELECT node FROM s))")
@@ -105,20 +106,21 @@ def body_tree(spark, sf_dir):
 @query("support_chain", """WITH RECURSIVE b AS (SELECT s_suppkey AS box, s_acctbal AS h, s_nationkey AS room FROM supplier), up AS (SELECT a.box, arg_max(c.box, (c.h, -c.box)) AS support FROM b a JOIN b c ON a.room = c.room AND c.h < a.h GROUP BY a.box),
     walk AS (SELECT box, support, 1 AS d FROM up UNION ALL SELECT w.box, u.support, d + 1 FROM walk w JOIN up u ON u.box = w.support) SELECT box, max(d) AS links, arg_max(support, d) AS ground FROM walk GROUP BY box""")
 def support_chain(spark, sf_dir):
-    """The chain of best supports down to the ground."""
+    """The chain of best supports down to the ground. A box rests on the first box of the next lower height in its room."""
     b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("box"), F.col("s_acctbal").alias("h"), F.col("s_nationkey").alias("room"))
-    other = b.select(F.col("box").alias("c"), F.col("h").alias("ch"), "room")
-    up = b.join(other, "room").where("ch < h").groupBy("box").agg(F.max_by("c", F.struct("ch", -F.col("c"))).alias("support"))
-    found = graphs.closure(up.select(F.col("box").alias("child"), F.col("support").alias("parent")), Workspace(spark, "support"))
-    return found.groupBy(F.col("node").alias("box")).agg(F.max("distance").alias("links"), F.max_by("ancestor", "distance").alias("ground"))
+    heights = b.groupBy("room", "h").agg(F.min("box").alias("top"))
+    below = heights.withColumn("support", F.lag("top").over(Window.partitionBy("room").orderBy("h"))).where("support IS NOT NULL")
+    up = b.join(below, ["room", "h"]).select(F.col("box").alias("node"), F.col("support").alias("parent"))
+    return graphs.roots(up, Workspace(spark, "support")).select(F.col("node").alias("box"), F.col("links").cast("int").alias("links"), F.col("root").alias("ground"))
 
 
-CELLS = "cells AS (SELECT DISTINCT (c_custkey % 40)::INT AS r, (c_custkey // 40 % 40)::INT AS c FROM customer WHERE c_acctbal > 1500)"
+CELLS = "cells AS (SELECT DISTINCT (c_custkey // 40)::INT AS r, (c_custkey % 40)::INT AS c FROM customer WHERE c_acctbal > 1500)"
 
 
 def cells(spark, sf_dir):
+    """A map of 40 columns whose rows grow with the table; customers with money are free cells."""
     k = F.col("c_custkey")
-    free = table(spark, sf_dir, "customer").where("c_acctbal > 1500").select((k % 40).cast("int").alias("r"), (F.floor(k / 40) % 40).cast("int").alias("c")).distinct()
+    free = table(spark, sf_dir, "customer").where("c_acctbal > 1500").select(F.floor(k / 40).cast("int").alias("r"), (k % 40).cast("int").alias("c")).distinct()
     return free.select("r", "c", (F.col("r") % 5 + F.col("c") % 3 + 1).cast("double").alias("cost"), (F.col("r") * 100 + F.col("c")).cast("long").alias("id"))
 
 
@@ -137,18 +139,33 @@ def largest_free_area(spark, sf_dir):
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("area")).orderBy(F.desc("area"), "component").limit(3)
 
 
-@query("dilated_cells", f"WITH {CELLS} SELECT DISTINCT (r + i)::INT AS r, (c + j)::INT AS c FROM cells, range(-1, 2) AS a(i), range(-1, 2) AS b(j) WHERE r < 8")
+@query("dilated_cells", f"WITH {CELLS} SELECT DISTINCT (r + i)::INT AS r, (c + j)::INT AS c FROM cells, range(-1, 2) AS a(i), range(-1, 2) AS b(j)")
 def dilated_cells(spark, sf_dir):
     """Occupied cells grown by a radius."""
-    return graphs.dilate(cells(spark, sf_dir).where("r < 8").select("r", "c"), 1)
+    return graphs.dilate(cells(spark, sf_dir).select("r", "c"), 1)
 
 
-@query("mask_overlap", f"""WITH {CELLS}, a AS (SELECT r, c FROM cells WHERE r < 25), b AS (SELECT r, c FROM cells WHERE r > 10)
+@query("eroded_cells", f"WITH {CELLS} SELECT a.r, a.c FROM cells a JOIN cells b ON abs(a.r - b.r) <= 1 AND b.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY a.r, a.c HAVING count(*) = 9")
+def eroded_cells(spark, sf_dir):
+    """Occupied cells shrunk by a radius."""
+    return graphs.erode(cells(spark, sf_dir).select("r", "c"), 1)
+
+
+@query("obstacle_distances", f"""WITH {CELLS}, o AS (SELECT (c_custkey // 40)::INT AS r, (c_custkey % 40)::INT AS c FROM customer WHERE c_acctbal <= 1500)
+    SELECT f.r, f.c, coalesce(round(sqrt(min((f.r - o.r) ** 2 + (f.c - o.c) ** 2)), 6), 4.0)::DOUBLE AS distance FROM cells f LEFT JOIN o ON o.r BETWEEN f.r - 3 AND f.r + 3 AND o.c BETWEEN f.c - 3 AND f.c + 3 AND (f.r - o.r) ** 2 + (f.c - o.c) ** 2 < 16 GROUP BY f.r, f.c""")
+def obstacle_distances(spark, sf_dir):
+    """The distance of free cells to the nearest obstacle, four at most."""
+    k = F.col("c_custkey")
+    obstacles = table(spark, sf_dir, "customer").where("c_acctbal <= 1500").select(F.floor(k / 40).cast("int").alias("r"), (k % 40).cast("int").alias("c")).distinct()
+    return graphs.distances(cells(spark, sf_dir).select("r", "c"), obstacles, 4).select("r", "c", F.round("distance", 6).alias("distance"))
+
+
+@query("mask_overlap", f"""WITH {CELLS}, a AS (SELECT r, c FROM cells WHERE c < 25), b AS (SELECT r, c FROM cells WHERE c > 10)
     SELECT count(*) FILTER (a.r IS NOT NULL AND b.r IS NOT NULL) AS both, count(*) AS any, round(count(*) FILTER (a.r IS NOT NULL AND b.r IS NOT NULL) / count(*), 9) AS iou FROM a FULL JOIN b ON a.r = b.r AND a.c = b.c""")
 def mask_overlap(spark, sf_dir):
     """Intersection over union of two masks."""
     g = cells(spark, sf_dir)
-    a, b = g.where("r < 25").select("r", "c", F.lit(1).alias("a")), g.where("r > 10").select("r", "c", F.lit(1).alias("b"))
+    a, b = g.where("c < 25").select("r", "c", F.lit(1).alias("a")), g.where("c > 10").select("r", "c", F.lit(1).alias("b"))
     both = F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull())
     return a.join(b, ["r", "c"], "full_outer").agg(both.alias("both"), F.count(F.lit(1)).alias("any"), F.round(both / F.count(F.lit(1)), 9).alias("iou"))
 
@@ -162,13 +179,11 @@ def region_boxes(spark, sf_dir):
 
 @query("shortest_paths")
 def shortest_paths(spark, sf_dir):
-    """A* on two maps; tests compare with a plain search."""
-    g = cells(spark, sf_dir).select("r", "c", "cost")
-    ends = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("r"), F.lit(0).alias("c")), F.struct(F.lit(20).alias("r"), F.lit(20).alias("c")))).alias("p")).select("p.r", "p.c", F.lit(1.0).alias("cost"))
-    every = g.unionByName(ends).groupBy("r", "c").agg(F.max("cost").alias("cost"))
-    maps = every.select(F.explode(F.array(F.lit("plain"), F.lit("weighted"))).alias("map"), "r", "c", "cost")
-    maps = maps.select("map", "r", "c", F.when(F.col("map") == "plain", 1.0).otherwise(F.col("cost")).alias("cost"))
-    return graphs.shortest_paths(maps, (0, 0), (20, 20))
+    """A* on maps of 40 x 40 cells, as many as the table gives, with simplified paths; tests compare with a plain search."""
+    g = cells(spark, sf_dir).select(F.floor(F.col("r") / 40).alias("map"), (F.col("r") % 40).alias("r"), "c", "cost")
+    ends = g.select("map").distinct().select("map", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in ((0, 0), (20, 20))])).alias("p")).select("map", "p.r", "p.c", F.lit(1.0).alias("cost"))
+    every = g.unionByName(ends).groupBy("map", "r", "c").agg(F.max("cost").alias("cost"))
+    return graphs.shortest_paths(every, (0, 0), (20, 20))
 
 
 @query("beta_intervals")
@@ -185,15 +200,18 @@ def smallest_boxes(spark, sf_dir):
     return numeric.smallest_boxes(p, "l_returnflag", "px", "py")
 
 
-@query("rigid_transforms", f"""WITH {STEPS} SELECT episode, t, round(2 * acos(least(1, greatest(-1, cos(d)))), 6) AS angle, round(q, 6) AS x, 0.0::DOUBLE AS error FROM steps WHERE t < 2""")
+@query("rigid_transforms", f"""WITH {STEPS} SELECT episode, t, round(2 * acos(least(1, greatest(-1, cos(d)))), 6) AS angle, round(q, 6) AS x, 0.0::DOUBLE AS error, round(2 * d, 6) AS turn, 0.0::DOUBLE AS back FROM steps""")
 def rigid_transforms(spark, sf_dir):
-    """A pose as a matrix, times its inverse, and the length of its rotation."""
+    """A pose as a matrix, times its inverse, the length of its rotation, its rotation vector (log) and back (exp)."""
     half = F.col("d")
     pose = F.array(F.col("q"), F.lit(1.0), F.lit(2.0), F.cos(half), F.lit(0.0), F.lit(0.0), F.sin(half))
-    m = steps(spark, sf_dir).where("t < 2").select("episode", "t", numeric.pose_matrix(pose).alias("m"))
-    m = m.withColumn("product", numeric.compose(F.col("m"), numeric.inverse(F.col("m"))))
+    m = steps(spark, sf_dir).select("episode", "t", numeric.pose_matrix(pose).alias("m"))
+    m = m.withColumn("product", numeric.compose(F.col("m"), numeric.inverse(F.col("m")))).withColumn("log", numeric.rotation_log(F.col("m")))
+    m = m.withColumn("exp", numeric.rotation_exp(F.col("log")))
     identity = F.array(*[F.lit(1.0 if i % 5 == 0 else 0.0) for i in range(16)])
-    error = F.aggregate(F.zip_with("product", identity, lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: s + x)
-    return m.select("episode", "t", F.round(numeric.rotation_angle(F.col("m")), 6).alias("angle"), F.round(F.get("m", F.lit(3)), 6).alias("x"), F.round(error, 6).alias("error"))
-
-
+    turned = F.array(*[F.get("m", F.lit(4 * i + j)) for i in range(3) for j in range(3)])
+    apart = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: s + v)
+    return m.select(
+        "episode", "t", F.round(numeric.rotation_angle(F.col("m")), 6).alias("angle"), F.round(F.get("m", F.lit(3)), 6).alias("x"), F.round(apart("product", identity), 6).alias("error"),
+        F.round(F.get("log", F.lit(2)), 6).alias("turn"), F.round(apart("exp", turned), 6).alias("back"),
+    )

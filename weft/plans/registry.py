@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-FAMILIES: tuple[str, ...] = ("episodes", "sequences", "relations", "scalars", "samples", "graphs", "storage")
+FAMILIES: tuple[str, ...] = ("episodes", "sequences", "relations", "scalars", "samples", "graphs", "storage", "reports", "candidates")
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}

@@ -27,7 +27,7 @@ def lookup_fallback(spark, sf_dir):
 
 @query("blacklist_anti", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def blacklist_anti(spark, sf_dir):
-    """Rows that are not blacklisted."""
+    """Rows that are not blacklisted."""
     black = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(black, "doc_id", "left_anti")
 
@@ -131,7 +131,7 @@ def support_below(spark, sf_dir):
     FROM a FULL JOIN b ON a.path = b.path WHERE a.path IS NULL OR b.path IS NULL OR abs(a.v - b.v) > 0.001 + 0.00001 * abs(b.v)""",
 )
 def structural_diff(spark, sf_dir):
-    """Both one-sided differences, and mismatches beyond a tolerance."""
+    """Both one-sided differences, and mismatches beyond a tolerance."""
     p = table(spark, sf_dir, "part")
     a = p.where("p_partkey % 10 <> 1").select(F.col("p_partkey").alias("path"), F.col("p_retailprice").alias("v"))
     b = p.where("p_partkey % 10 <> 2").select(
@@ -292,7 +292,7 @@ def version_mismatches(spark, sf_dir):
     """SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN p_size + 100 ELSE p_size END AS size, p_brand AS brand FROM part""",
 )
 def layer_overlay(spark, sf_dir):
-    """Settings of a later layer replace those of an earlier one, leaf by leaf."""
+    """Settings of a later layer replace those of an earlier one, leaf by leaf."""
     p = table(spark, sf_dir, "part")
     base = p.select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
     late = p.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("k"), (F.col("p_size") + 100).alias("size"))
@@ -346,12 +346,6 @@ def scene_index(spark, sf_dir):
     return every.join(wide, "i", "left").select("i", "base", "ceiling")
 
 
-@query("conversion_split", """SELECT l_quantity > 45 AS failed, count(*) AS n, min(l_orderkey) AS first FROM lineitem GROUP BY 1""")
-def conversion_split(spark, sf_dir):
-    """Results split into successes and failures."""
-    return table(spark, sf_dir, "lineitem").groupBy((F.col("l_quantity") > 45).alias("failed")).agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first"))
-
-
 @query(
     "cube_and_pivot",
     """SELECT l_returnflag AS flag, l_linestatus AS status, grouping_id(l_returnflag, l_linestatus)::BIGINT AS level, count(*) AS n, count(*) FILTER (l_quantity <= 25) AS small, count(*) FILTER (l_quantity > 25) AS large

@@ -78,7 +78,7 @@ def capped_subset(spark, sf_dir):
     SELECT p_type, p_partkey FROM n JOIN g USING (p_type) WHERE n <= 100 // groups + (rank <= 100 % groups)::INT""",
 )
 def quota_sample(spark, sf_dir):
-    """A budget shared by groups, the remainder to the first ones."""
+    """A budget shared by groups, the remainder to the first ones."""
     return smp.quota(table(spark, sf_dir, "part"), "p_type", ["p_size", "p_partkey"], 100).select("p_type", "p_partkey")
 
 
@@ -108,7 +108,7 @@ def cluster_interleave(spark, sf_dir):
     WHERE s_acctbal / 1000 * d * cos(r) >= 0.2""",
 )
 def candidate_cross(spark, sf_dir):
-    """Candidates from points, distances and angles, labelled and filtered by quality (both lists are constants)."""
+    """Candidates from points, distances and angles, labelled and filtered by quality (both lists are constants)."""
     grid = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", F.explode(F.array(F.lit(0.1), F.lit(0.2), F.lit(0.3))).alias("d"))
     grid = grid.select("*", F.explode(F.array(F.lit(0.0), F.lit(1.0), F.lit(2.0))).alias("r"))
     raw = F.col("s_acctbal") / 1000 * F.col("d") * F.cos("r")
@@ -179,7 +179,7 @@ def class_ranking(spark, sf_dir):
 
 @query("failure_blacklist", f"""WITH {STEPS} SELECT part, count(*) AS failures FROM steps WHERE NOT success GROUP BY part HAVING count(*) >= 22""")
 def failure_blacklist(spark, sf_dir):
-    """Assets with too many failures."""
+    """Assets with too many failures."""
     return steps(spark, sf_dir).where("NOT success").groupBy("part").agg(F.count(F.lit(1)).alias("failures")).where("failures >= 22")
 
 
@@ -214,7 +214,7 @@ def queries_and_all(spark, sf_dir):
     SELECT query, vec_id, round(sim, 6) AS sim, rank FROM r WHERE rank <= 10""",
 )
 def topk_similarity(spark, sf_dir):
-    """The ten nearest above a threshold for each query vector."""
+    """The ten nearest above a threshold for each query vector."""
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "vec_id"))
     found = queries_and_all(spark, sf_dir).where("sim >= 0.1").withColumn("rank", rank).where("rank <= 10")
     return found.select("query", "vec_id", F.round("sim", 6).alias("sim"), F.col("rank").cast("long").alias("rank"))
@@ -236,7 +236,7 @@ def runner_up_margin(spark, sf_dir):
 
 @query("nearest_candidate", f"""WITH {STEPS} SELECT episode, arg_min(part, (abs(q - 25), t)) AS nearest, min(abs(q - 25)) AS distance FROM steps GROUP BY episode""")
 def nearest_candidate(spark, sf_dir):
-    """The nearest candidate of each episode."""
+    """The nearest candidate of each episode."""
     distance = F.abs(F.col("q") - 25)
     return steps(spark, sf_dir).groupBy("episode").agg(F.min_by("part", F.struct(distance, F.col("t"))).alias("nearest"), F.min(distance).alias("distance"))
 

@@ -115,7 +115,7 @@ def human_sizes(spark, sf_dir):
 
 @query("task_types", """SELECT doc_id, CASE WHEN contains(lower(source), 'src1') THEN 'pick' WHEN contains(lower(source), '2') THEN 'place' WHEN contains(lower(source), 'src') THEN 'open' ELSE 'other' END AS task FROM documents""")
 def task_types(spark, sf_dir):
-    """A type by ordered substrings."""
+    """A type by ordered substrings."""
     return table(spark, sf_dir, "documents").select("doc_id", tx.task_type(F.col("source"), [("src1", "pick"), ("2", "place"), ("src", "open")], "other").alias("task"))
 
 
@@ -327,7 +327,7 @@ def spec_errors(spark, sf_dir):
     """SELECT source, CASE source WHEN 'src0' THEN 'CC-BY-4.0' WHEN 'src1' THEN 'MIT' ELSE CASE WHEN length(source) > 4 THEN 'Apache-2.0' ELSE 'unknown' END END AS license, count(*) AS n, count(DISTINCT lang) AS langs FROM documents GROUP BY source""",
 )
 def license_ladder(spark, sf_dir):
-    """Licenses by source with their attributions grouped."""
+    """Licenses by source with their attributions grouped."""
     s = F.col("source")
     license = F.when(s == "src0", "CC-BY-4.0").when(s == "src1", "MIT").when(F.length(s) > 4, "Apache-2.0").otherwise("unknown")
     return table(spark, sf_dir, "documents").groupBy("source").agg(F.first(license).alias("license"), F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("langs"))
@@ -342,7 +342,7 @@ def value_mapping(spark, sf_dir):
 
 @query("conditional_exclusion", """SELECT doc_id FROM documents WHERE NOT (contains(source, '1') AND lang = 'de') AND (lang = 'en' OR lang = 'fr' OR lang IS NULL)""")
 def conditional_exclusion(spark, sf_dir):
-    """An exclusion that depends on the path, and admission of a split."""
+    """an exclusion that depends on the path."""
     d = table(spark, sf_dir, "documents")
     return d.where(~(F.col("source").contains("1") & (F.col("lang") == "de"))).where(F.col("lang").isin("en", "fr") | F.col("lang").isNull()).select("doc_id")
 
@@ -353,7 +353,7 @@ def conditional_exclusion(spark, sf_dir):
     SELECT doc_id, CASE WHEN ids IS NULL THEN false WHEN len(ids) = 0 THEN true ELSE list_contains(ids, lang) END AS valid FROM w""",
 )
 def membership_tristate(spark, sf_dir):
-    """No list admits nothing, an empty one everything."""
+    """no list admits nothing, an empty one everything."""
     k = F.col("doc_id") % 3
     ids = F.when(k == 0, F.lit(None).cast("array<string>")).when(k == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("de"), F.lit("fr")))
     d = table(spark, sf_dir, "documents").withColumn("ids", ids)

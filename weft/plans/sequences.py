@@ -52,7 +52,7 @@ def merged_stats(spark, sf_dir):
     UNION ALL SELECT 'customer/' || c_nationkey, count(*), round(avg(c_acctbal), 6) FROM customer WHERE 'customer/' || c_nationkey LIKE 'customer/%' GROUP BY 1""",
 )
 def group_leaf_stats(spark, sf_dir):
-    """A group key stands for all leaves below it."""
+    """A group key stands for all leaves below it."""
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("supplier/"), "s_nationkey").alias("leaf"), F.col("s_acctbal").alias("v"))
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("customer/"), "c_nationkey").alias("leaf"), F.col("c_acctbal").alias("v"))
     every = s.unionByName(c)
@@ -194,7 +194,7 @@ def stride_subsample(spark, sf_dir):
       coalesce(abs(q - last_value(CASE WHEN success THEN q END IGNORE NULLS) OVER (PARTITION BY episode ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) <= 5, false) AS near FROM steps""",
 )
 def supported_pose_carry(spark, sf_dir):
-    """The last supported pose is carried forward and compared with the present one."""
+    """The last supported pose is carried forward and compared with the present one."""
     w = Window.partitionBy("episode").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = F.last(F.when(F.col("success"), F.col("q")), ignorenulls=True).over(w)
     return steps(spark, sf_dir).select(

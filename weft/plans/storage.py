@@ -35,7 +35,7 @@ def replaced_partitions(spark, sf_dir):
 
 @query("staged_write", "SELECT r_regionkey, r_name FROM region")
 def staged_write(spark, sf_dir):
-    """Written beside the target and renamed; a failed second write changes nothing."""
+    """Written beside the target and renamed; a failed second write changes nothing."""
     work = Workspace(spark, "staged")
     r = table(spark, sf_dir, "region")
     files.write_staged(r, work.path("t"))
@@ -100,7 +100,7 @@ def key_values(spark, sf_dir):
 
 @query("file_discovery", "SELECT c_nationkey::VARCHAR AS house, 1::BIGINT AS files FROM customer GROUP BY c_nationkey")
 def file_discovery(spark, sf_dir):
-    """Files found below a root, without reading them."""
+    """Files found below a root, without reading them."""
     work = Workspace(spark, "discovery")
     files.write_partitioned(table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey"), work.path("t"), "c_nationkey")
     found = files.discover(spark, work.path("t"), "part-*.parquet")

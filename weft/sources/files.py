@@ -91,16 +91,40 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 
 def write_staged(df: DataFrame, path: str) -> None:
-    """Write beside the target and rename when all is written; a failure leaves the target as it was."""
+    """Write beside the target, move the old table aside, rename, then drop the old one.
+
+    A failure of the write leaves the target as it was; one between the renames leaves the old table as `path`.old,
+    which the next call puts back before it begins.
+    """
     spark = df.sparkSession
-    staged = f"{path}.staged"
-    df.write.mode("overwrite").parquet(staged)
     jvm = spark._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    staged, target, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.staged", path, f"{path}.old"))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not rename {staged}")
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
+    df.write.mode("overwrite").parquet(f"{path}.staged")
+    fs.delete(old, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(staged, target):
+        fs.rename(old, target)
+        raise OSError(f"could not rename {path}.staged")
+    fs.delete(old, True)
+
+
+MODES = {"all": ("data", "index", "totals"), "dry-run": (), "index-only": ("index",), "aggregate-only": ("totals",)}
+
+
+def publish(df: DataFrame, path: str, mode: str, *index: str) -> DataFrame:
+    """Write what a mode says of a table: its data, its index (rows by the index columns), its totals (rows).
+
+    Returns the totals, which in a dry run are all that happens; nothing is counted before they are read.
+    """
+    counts = F.count(F.lit(1)).alias("rows")
+    parts = {"data": df, "index": df.groupBy(*index).agg(counts), "totals": df.agg(counts)}
+    for part in MODES[mode]:
+        parts[part].write.mode("overwrite").parquet(f"{path}/{part}")
+    return parts["totals"]
 
 
 def write_report(df: DataFrame, path: str, notes: list[str]) -> None:
