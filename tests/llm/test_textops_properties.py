@@ -59,3 +59,24 @@ def test_sentences_cover_the_text(text):
     body = np.frombuffer(text.encode(), np.uint8)
     borders = token_counts.sentence_borders(body)
     assert borders[0] == 0 and borders[-1] == len(body) and (np.diff(borders) > 0).all() or len(body) == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(TEXTS, st.integers(1, 30))
+def test_windows_change_no_word(texts, size):
+    bodies = [(t or "").encode() for t in texts]
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    at = np.cumsum([0, *map(len, bodies)])
+    parts = list(textops.windows(data, at, size=size))
+    assert [a for a, _ in parts] == [0, *[b for _, b in parts]][: len(parts)] and (not len(data) or parts[-1][1] == len(data))
+    starts, ends, first = textops.spans(data, at)
+    cut = set(at.tolist()) | {int(s) for s in starts} | {int(i) for i in np.flatnonzero(textops.WHITE[data])}
+    assert all(a == 0 or a in cut for a, _ in parts)
+    old = textops.windows
+    textops.windows = lambda d, a, apart=textops.WHITE, s=size: old(d, a, apart, size)
+    try:
+        hashes, begin, end, index = textops.hashed_words(data, at)
+    finally:
+        textops.windows = old
+    assert begin.tolist() == starts.tolist() and end.tolist() == ends.tolist() and index.tolist() == first.tolist()
+    assert hashes.tolist() == textops.span_hash(textops.prefix_sums(data), starts, ends).tolist()

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
-from weft.llm.textops import LOWER, U64, blocks, prefix_sums, span_hash, spans
+from weft.llm.textops import LOWER, U64, blocks, hashed_words, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
 THRESHOLD = 0.75
@@ -106,8 +106,8 @@ class Terms:
 
 
 def _terms_of(data: np.ndarray, at: np.ndarray, terms: Terms):
-    starts, ends, first = spans(data, at, NO_WORD)
-    return starts, first, terms.find(span_hash(prefix_sums(LOWER[data]), starts, ends))
+    hashes, starts, _, first = hashed_words(LOWER[data], at, NO_WORD)
+    return starts, first, terms.find(hashes)
 
 
 def idf(docs: DataFrame, terms: Terms, text_col: str) -> tuple[np.ndarray, float]:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
 from weft.llm import lattice
-from weft.llm.textops import LOWER, blocks, prefix_sums, span_hash, spans
+from weft.llm.textops import LOWER, blocks, hashed_words
 from weft.workspace import Workspace
 
 CHUNK_BYTES = 20 << 20
@@ -107,8 +107,7 @@ def _chunks(classes: int):
             learned = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, data, at in blocks(batch.column(2)):
                 data = LOWER[data]
-                starts, ends, first = spans(data, at)
-                h = span_hash(prefix_sums(data), starts, ends)
+                h, starts, ends, first = hashed_words(data, at)
                 parts.append((h, starts.astype(np.int32), ends.astype(np.int32), first, rows[lo:hi], learned[lo:hi], data))
                 held += len(data)
                 if held >= CHUNK_BYTES:

@@ -610,6 +610,7 @@ def jaccard_components(
     near, labels = _near_links(marks, plain, words, percent, workspace)
 
     prefixes = plain.transform(map_arrow, _postings(words, percent, shared), "id long, n int, prefix binary").where("n > 0")
+    prefixes = workspace.save(prefixes, "prefixes")  # also keeps two Python steps out of one task
     known = marks.select(F.col("id").alias("rep")).join(labels, F.col("rep") == labels["v"], "left")
     known = known.select("rep", F.coalesce("component", "rep").alias("comp"))
     placed = prefixes.join(known, prefixes["id"] == known["rep"]).select("id", "comp", "n", "prefix")

@@ -38,7 +38,7 @@ from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 CHUNK_BYTES = 3 << 18
 WALK_BYTES = 1 << 16
 #: A worker's lexicon is dropped when it has grown beyond this; a chunk adds at most some 50 bytes for each of its own.
-LEXICON_BYTES = 96 << 20
+LEXICON_BYTES = 64 << 20
 LATTICE_WORDS = 1_000
 CELL_BITS = 18
 SPACE = 0x20

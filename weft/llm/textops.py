@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,7 +25,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash's base and of its inverse modulo 2**64, at least n of each."""
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, 2 * len(_powers), BLOCK_BYTES + 1)
+        size = max(n, BLOCK_BYTES + 1)
         for base, name in ((_BASE, "_powers"), (pow(_BASE, -1, 1 << 64), "_inverses")):
             table = np.full(size, base, U64)
             table[0] = 1
@@ -108,7 +108,43 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(U64))
 
 
+def windows(data: np.ndarray, at: np.ndarray, apart: np.ndarray = WHITE, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of data of about `size` bytes that cut no word; only a word longer than that makes a longer one."""
+    lo, n = 0, len(data)
+    while n - lo > 2 * size:
+        hi = lo + size
+        while True:
+            white = np.flatnonzero(apart[data[lo + 1 : hi]])
+            edge = at[np.searchsorted(at, lo, "right") : np.searchsorted(at, hi, "right")]
+            cut = max(lo + 1 + int(white[-1]) if len(white) else lo, int(edge[-1]) if len(edge) else lo)
+            if cut > lo or hi >= n:
+                break
+            hi = min(n, hi + size)
+        if cut <= lo:
+            break
+        yield lo, cut
+        lo = cut
+    if lo < n:
+        yield lo, n
+
+
+def hashed_words(data: np.ndarray, at: np.ndarray, apart: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words, and the index of each text's first word.
+
+    A long text is hashed in windows, so what is needed beside the result does not grow with it.
+    """
+    hashes, starts, ends = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in windows(data, at, apart):
+        own = np.unique(np.concatenate([[lo], at[(at > lo) & (at < hi)], [hi]])) - lo
+        a, b, _ = spans(data[lo:hi], own, apart)
+        hashes.append(span_hash(prefix_sums(data[lo:hi]), a, b))
+        starts.append(a + lo)
+        ends.append(b + lo)
+    begin = np.concatenate(starts)
+    return np.concatenate(hashes), begin, np.concatenate(ends), np.searchsorted(begin, at)
+
+
 def word_hashes(data: np.ndarray, at: np.ndarray, apart: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and the index of each text's first word."""
-    starts, ends, first = spans(data, at, apart)
-    return span_hash(prefix_sums(data), starts, ends), first
+    hashes, _, _, first = hashed_words(data, at, apart)
+    return hashes, first
