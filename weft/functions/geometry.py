@@ -83,3 +83,17 @@ def interpolate(x: Column, knots: list[tuple[float, float]]) -> Column:
     for (x0, y0), (x1, y1) in reversed(list(zip(knots, knots[1:], strict=False))):
         out = F.when(x < x1, y0 + (x - x0) * ((y1 - y0) / (x1 - x0))).otherwise(out)
     return F.when(x <= knots[0][0], F.lit(knots[0][1])).otherwise(out)
+
+
+def occluded(depth: Column, seen: Column, slack: float) -> Column:
+    """Whether a point lies behind what the depth map has at its pixel."""
+    return depth > seen + slack
+
+
+def to_metres(pixel: Column, origin: float, per_metre: float) -> Column:
+    return (pixel - origin) / per_metre
+
+
+def to_pixel(metres: Column, origin: float, per_metre: float) -> Column:
+    """The nearest pixel."""
+    return F.floor(metres * per_metre + origin + 0.5)

@@ -105,6 +105,46 @@ def move_into(docs: DataFrame, key: str, part: str, name: str) -> DataFrame:
     return docs.withColumn(part, F.col(part).withField(name, value)).drop(key)
 
 
+def replace_target(docs: DataFrame, target: str, objects: str, removed: str, new: Column, value: Column) -> DataFrame:
+    """docs whose target object is taken out of the map `objects` and listed as removed; a new one takes its place."""
+    old = F.col(target)
+    kept = F.map_filter(F.col(objects), lambda k, v: k != old)
+    gone = F.when(F.map_contains_key(F.col(objects), old), F.array_union(F.col(removed), F.array(old))).otherwise(F.col(removed))
+    return docs.withColumns({objects: F.map_concat(kept, F.map_from_arrays(F.array(new), F.array(value))), removed: gone, target: new})
+
+
+def by_index(rows: DataFrame, group: str, order: str, first: int, last: int) -> DataFrame:
+    """Rows first .. last of each group in an order, and in `whole` whether the group has as many; a range that is none is an error."""
+    if not 0 <= first <= last:
+        raise ValueError(f"no range of indices: {first} to {last}")
+    of = Window.partitionBy(group)
+    numbered = rows.withColumn("__i", F.row_number().over(of.orderBy(order)) - 1).withColumn("whole", F.count(F.lit(1)).over(of) > last)
+    return numbered.where(F.col("__i").between(first, last)).drop("__i")
+
+
+def clusters(rows: DataFrame, key: str, dims: list[str], k: int, seed: int = 42) -> DataFrame:
+    """rows with cluster: k-means over dims / (their deviation + 1e-6); rows number modulo k where that fails.
+
+    Fewer distinct rows than k give fewer clusters. The seed fixes the start; labels are numbered by their centre, in
+    order, so they do not depend on the library's numbering.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    scale = rows.agg(*[F.stddev_pop(c).alias(f"__s_{c}") for c in dims])
+    scaled = rows.join(F.broadcast(scale)).select(*rows.columns, *[(F.col(c) / (F.col(f"__s_{c}") + 1e-6)).alias(f"__x_{c}") for c in dims])
+    names = [f"__x_{c}" for c in dims]
+    try:
+        ready = VectorAssembler(inputCols=names, outputCol="__v", handleInvalid="error").transform(scaled)
+        model = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="__p", maxIter=100).fit(ready)
+        order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
+        place = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
+        return model.transform(ready).select(*rows.columns, F.get(place, F.col("__p")).cast("long").alias("cluster"))
+    except Exception:  # noqa: BLE001  what the features or the library do not allow
+        numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64(key), F.lit(64))).orderBy(key)))
+        return numbered.withColumn("cluster", F.pmod(F.col("__n") - 1, F.lit(k)).cast("long")).drop("__n")
+
+
 def navigation(candidates: DataFrame, threshold: float) -> DataFrame:
     """distance, visible, reward and success of each episode by its nearest candidate (episode, distance, visible, t)."""
     nearest = candidates.groupBy("episode").agg(F.min_by("visible", F.struct("distance", "t")).alias("visible"), F.min("distance").alias("distance"))
@@ -134,38 +174,82 @@ def two_quotas(rows: DataFrame, group: str, foreground: str, order: list[Column]
     return numbered.where(F.col("__n") <= share).drop("__n", "__back")
 
 
-def fused_top(queries: DataFrame, vectors: DataFrame, text_weight: float, least: float, most: int) -> DataFrame:
-    """(query, vec_id, score, rank): for each query (query, image, text) the best vectors (vec_id, views, text).
+def _blocks(queries: DataFrame, vectors: DataFrame, run, schema: str) -> DataFrame:
+    """run(queries, vectors) over blocks of at most some QUERY_BLOCK by VECTOR_BLOCK rows, in which all vectors meet all queries.
 
-    The score is the best cosine of the image over the views plus text_weight times the cosine of the texts. All
-    vectors meet all queries in blocks of at most some QUERY_BLOCK by VECTOR_BLOCK rows, one matrix product each; a
-    block gives its best `most` for each query, so what moves on is small. Queries are a stated set, not all rows.
+    Queries are a stated set, not all rows; what a block returns must be few rows for each query.
     """
     blocks = lambda df, size: max(1, -(-df.count() // size))
     across, down = blocks(queries, QUERY_BLOCK), blocks(vectors, VECTOR_BLOCK)
-    q = queries.withColumn("__q", F.pmod(F.xxhash64("query"), F.lit(across))).select("*", F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("__v"))
-    v = vectors.withColumn("__v", F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))).alias("__q"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    q = queries.withColumn("__q", F.pmod(F.xxhash64("query"), F.lit(across))).select("*", every(down).alias("__v"))
+    v = vectors.withColumn("__v", F.pmod(F.xxhash64("vec_id"), F.lit(down))).select("*", every(across).alias("__q"))
+    names = [part.split()[0] for part in schema.split(",")]
 
-    def unit(rows) -> np.ndarray:
-        x = np.array([np.asarray(r, float) for r in rows])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.nan_to_num(x / np.sqrt((x * x).sum(axis=-1, keepdims=True)))
+    def both(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return run(left, right) if len(left) and len(right) else pd.DataFrame({n: [] for n in names})
 
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query": [], "vec_id": [], "score": []})
-        image, text = unit(left["image"]), unit(left["text"])
-        views = unit([np.stack(r) for r in right["views"]])
-        score = (np.stack([image @ views[:, k].T for k in range(views.shape[1])]).max(axis=0) + text_weight * (text @ unit(right["text"]).T)).round(9)
-        ids, out = right["vec_id"].to_numpy(), []
-        for name, row in zip(left["query"], score, strict=True):
-            some = np.flatnonzero(row >= least)
-            some = some[np.lexsort((ids[some], -row[some]))[:most]]
-            out.append(pd.DataFrame({"query": name, "vec_id": ids[some], "score": row[some]}))
-        return pd.concat(out)
-
-    kind = lambda df, c: df.schema[c].dataType.simpleString()
-    found = q.groupBy("__q", "__v").cogroup(v.groupBy("__q", "__v")).applyInPandas(best, f"query {kind(queries, 'query')}, vec_id {kind(vectors, 'vec_id')}, score double")
+    return q.groupBy("__q", "__v").cogroup(v.groupBy("__q", "__v")).applyInPandas(both, schema)
+
+
+def _matrix(rows) -> np.ndarray:
+    return np.array([np.asarray(r, float) for r in rows])
+
+
+def _unit(rows) -> np.ndarray:
+    x = _matrix(rows)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num(x / np.sqrt((x * x).sum(axis=-1, keepdims=True)))
+
+
+def _best_rows(names: pd.Series, ids: np.ndarray, score: np.ndarray, least: float, most: int) -> pd.DataFrame:
+    out = []
+    for name, row in zip(names, score, strict=True):
+        some = np.flatnonzero(row >= least)
+        some = some[np.lexsort((ids[some], -row[some]))[:most]]
+        out.append(pd.DataFrame({"query": name, "vec_id": ids[some], "score": row[some]}))
+    return pd.concat(out)
+
+
+def _ranked(found: DataFrame, most: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
-    ranked = found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
-    return ranked.select("query", "vec_id", F.round("score", 6).alias("score"), "rank")
+    return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
+
+
+def fused_top(queries: DataFrame, vectors: DataFrame, text_weight: float, least: float, most: int) -> DataFrame:
+    """(query, vec_id, score, rank): for each query (query, image, text) the best vectors (vec_id, views, text).
+
+    The score is the best cosine of the image over the views plus text_weight times the cosine of the texts.
+    """
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        image, views = _unit(left["image"]), _unit([np.stack(r) for r in right["views"]])
+        score = np.stack([image @ views[:, k].T for k in range(views.shape[1])]).max(axis=0) + text_weight * (_unit(left["text"]) @ _unit(right["text"]).T)
+        return _best_rows(left["query"], right["vec_id"].to_numpy(), score.round(9), least, most)
+
+    found = _blocks(queries, vectors, best, "query long, vec_id long, score double")
+    return _ranked(found, most).select("query", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
+def top_dot(queries: DataFrame, vectors: DataFrame, least: float, most: int) -> DataFrame:
+    """(query, vec_id, sim, rank): for each query (query, q) the best vectors (vec_id, e) by their dot product."""
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _best_rows(left["query"], right["vec_id"].to_numpy(), _matrix(left["q"]) @ _matrix(right["e"]).T, least, most)
+
+    found = _blocks(queries, vectors, best, "query long, vec_id long, score double")
+    return _ranked(found, most).select("query", "vec_id", F.round("score", 6).alias("sim"), "rank")
+
+
+def label_best(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(query, label, sim): for each query the best dot product with another vector of each label."""
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        score = _matrix(left["q"]) @ _matrix(right["e"]).T
+        score[left["query"].to_numpy()[:, None] == right["vec_id"].to_numpy()[None, :]] = -np.inf
+        labels, place = np.unique(right["label"].to_numpy(), return_inverse=True)
+        top = np.stack([score[:, place == k].max(axis=1) for k in range(len(labels))], axis=1)
+        rows = pd.DataFrame({"query": np.repeat(left["query"].to_numpy(), len(labels)), "label": np.tile(labels, len(left)), "sim": top.ravel()})
+        return rows[np.isfinite(rows["sim"])]
+
+    return _blocks(queries, vectors, best, "query long, label int, sim double").groupBy("query", "label").agg(F.max("sim").alias("sim"))

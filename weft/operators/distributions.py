@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,15 @@ def identity_r2(pairs: DataFrame, x: str, y: str) -> DataFrame:
         (F.lit(1.0) - F.sum(F.pow(F.col(x) - F.col(y), F.lit(2))) / (F.var_pop(x) * F.count(x))).alias("r2"),
         F.count(F.lit(1)).alias("n"),
     )
+
+
+def largest(df: DataFrame, group: str, value: str, key: str, most: int) -> DataFrame:
+    """group and top: the keys of its largest values, ties by key.
+
+    A row can only be among them if it is among the largest of its slice (a hash of the key), so no task sorts a whole group.
+    """
+    rows = df.where(F.col(value).isNotNull()).withColumn("__slice", F.pmod(F.xxhash64(key), F.lit(64)))
+    order = [F.desc(value), F.col(key)]
+    some = rows.withColumn("__n", F.row_number().over(Window.partitionBy(group, "__slice").orderBy(*order))).where(F.col("__n") <= most)
+    best = some.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__n") <= most)
+    return best.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", key))), lambda x: x[key]).alias("top"))

@@ -16,6 +16,13 @@ def reservoir(rows: DataFrame, key: str, weight: str, size: int, seed: str = "r"
     return rows.withColumn("score", score).orderBy(F.desc("score"), key).limit(size)
 
 
+def softmax(score: str, temperature: float, group: str, coldest: float = 1e-3) -> Column:
+    """Share of each row of a group by exp(score / temperature); scores are taken relative to the group's largest."""
+    whole = Window.partitionBy(group)
+    e = F.exp((F.col(score) - F.max(score).over(whole)) / max(temperature, coldest))
+    return e / F.sum(e).over(whole)
+
+
 def gumbel_choice(rows: DataFrame, group: str, key: str, score: str, temperature: float, seed: str = "g") -> DataFrame:
     """One row per group with probability in proportion to exp(score / temperature)."""
     u = F.greatest(uniform(F.lit(seed), F.col(group).cast("string"), F.col(key).cast("string")), F.lit(1e-12))

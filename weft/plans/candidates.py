@@ -246,3 +246,10 @@ def attributed_includes(spark, sf_dir):
     licensed = i.select("scene", F.col("p_brand").alias("source"), F.col("p_partkey").alias("asset"), cand.license_of(F.col("p_type"), rules).alias("license"))
     counted = licensed.groupBy("scene", "source", "license").agg(F.count(F.lit(1)).alias("n"))
     return counted.groupBy("scene", "source").agg(F.sum("n").alias("assets"), F.array_join(F.array_sort(F.collect_set("license")), "; ").alias("attribution"))
+
+
+@query("feature_clusters")
+def feature_clusters(spark, sf_dir):
+    """Standardised features by k-means with a fixed start; tests check its labels against the nearest centre, and the fallback."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
+    return cand.clusters(e, "vec_id", [f"x{i}" for i in range(64)], 8).select("vec_id", "cluster")

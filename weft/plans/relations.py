@@ -131,7 +131,7 @@ def support_below(spark, sf_dir):
     FROM a FULL JOIN b ON a.path = b.path WHERE a.path IS NULL OR b.path IS NULL OR abs(a.v - b.v) > 0.001 + 0.00001 * abs(b.v)""",
 )
 def structural_diff(spark, sf_dir):
-    """Both one-sided differences, and mismatches beyond a tolerance."""
+    """Both one-sided differences, and mismatches beyond a tolerance."""
     p = table(spark, sf_dir, "part")
     a = p.where("p_partkey % 10 <> 1").select(F.col("p_partkey").alias("path"), F.col("p_retailprice").alias("v"))
     b = p.where("p_partkey % 10 <> 2").select(
@@ -222,11 +222,11 @@ def neighbour_sets(spark, sf_dir):
 
 @query(
     "union_renumbered",
-    """SELECT row_number() OVER (ORDER BY file, i) AS trajectory, file, i FROM (SELECT 'a' AS file, c_custkey AS i FROM customer WHERE c_custkey <= 50 UNION ALL SELECT 'b', s_suppkey FROM supplier)""",
+    """SELECT row_number() OVER (ORDER BY file, i) AS trajectory, file, i FROM (SELECT 'a' AS file, c_custkey AS i FROM customer UNION ALL SELECT 'b', s_suppkey FROM supplier)""",
 )
 def union_renumbered(spark, sf_dir):
     """Episodes of several files as one, renumbered by file and their order in it."""
-    a = table(spark, sf_dir, "customer").where("c_custkey <= 50").select(F.lit("a").alias("file"), F.col("c_custkey").alias("i"))
+    a = table(spark, sf_dir, "customer").select(F.lit("a").alias("file"), F.col("c_custkey").alias("i"))
     every = a.unionByName(table(spark, sf_dir, "supplier").select(F.lit("b").alias("file"), F.col("s_suppkey").alias("i")))
     return global_rank(every, [F.col("file"), F.col("i")], Workspace(spark, "union"), "trajectory").select("trajectory", "file", "i")
 
@@ -328,19 +328,19 @@ def broken_archives(spark, sf_dir):
     WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment = n.kind AND c.c_nationkey = n.source AND c.c_nationkey < 10)""",
 )
 def manifest_merge(spark, sf_dir):
-    """Entries are added where they are absent."""
+    """Entries are added where they are absent."""
     c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("kind"), F.col("c_nationkey").alias("source")).distinct()
     old = c.where("source < 10").withColumn("version", F.lit("v1"))
     new = c.where("source >= 5").withColumn("version", F.lit("v2"))
     return old.unionByName(new.join(old.select("kind", "source"), ["kind", "source"], "left_anti"))
 
 
-@query("scene_index", """WITH h AS (SELECT c_custkey % 40 AS i, c_nationkey % 2 AS variant, min(c_name) AS path FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey < 60 GROUP BY 1, 2)
+@query("scene_index", """WITH h AS (SELECT c_custkey // 2 AS i, c_nationkey % 2 AS variant, min(c_name) AS path FROM customer WHERE c_acctbal > 0 GROUP BY 1, 2)
     SELECT r.i, max(path) FILTER (variant = 0) AS base, max(path) FILTER (variant = 1) AS ceiling FROM range(0, (SELECT max(i) + 1 FROM h)) r(i) LEFT JOIN h ON h.i = r.i GROUP BY r.i""")
 def scene_index(spark, sf_dir):
-    """An index over a range with gaps filled by nulls, variants side by side."""
-    c = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0 AND c_custkey < 60")
-    h = c.groupBy((F.col("c_custkey") % 40).alias("i"), (F.col("c_nationkey") % 2).alias("variant")).agg(F.min("c_name").alias("path"))
+    """An index over a range with gaps filled by nulls, variants side by side."""
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    h = c.groupBy(F.floor(F.col("c_custkey") / 2).alias("i"), (F.col("c_nationkey") % 2).alias("variant")).agg(F.min("c_name").alias("path"))
     wide = h.groupBy("i").pivot("variant", [0, 1]).agg(F.first("path")).withColumnsRenamed({"0": "base", "1": "ceiling"})
     every = h.agg(F.explode(F.sequence(F.lit(0).cast("long"), F.max("i"))).alias("i"))
     return every.join(wide, "i", "left").select("i", "base", "ceiling")
@@ -352,8 +352,34 @@ def scene_index(spark, sf_dir):
     FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
 )
 def cube_and_pivot(spark, sf_dir):
-    """All grouping sets of two columns, and a pivot by conditional counts."""
+    """All grouping sets of two columns, and a pivot by conditional counts."""
     small = F.col("l_quantity") <= 25
     return table(spark, sf_dir, "lineitem").cube(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(
         F.grouping_id().cast("long").alias("level"), F.count(F.lit(1)).alias("n"), F.count_if(small).alias("small"), F.count_if(~small).alias("large")
     )
+
+
+@query(
+    "natural_and_lateral",
+    """SELECT n_name, r_name, top.c_custkey AS first_customer, coalesce(top.c_acctbal, 0) AS balance FROM nation JOIN region ON n_regionkey = r_regionkey
+    LEFT JOIN LATERAL (SELECT c_custkey, c_acctbal FROM customer WHERE c_nationkey = n_nationkey ORDER BY c_custkey LIMIT 1) top ON true""",
+)
+def natural_and_lateral(spark, sf_dir):
+    """A natural join by the shared name, and a lateral one that looks up the first customer of each nation."""
+    n, r = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "regionkey"), table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "regionkey")
+    work = {"nations": n, "regions": r, "customers": table(spark, sf_dir, "customer")}
+    return spark.sql(
+        """SELECT n_name, r_name, top.c_custkey AS first_customer, coalesce(top.c_acctbal, 0) AS balance FROM {nations} NATURAL JOIN {regions}
+        LEFT JOIN LATERAL (SELECT min(c_custkey) AS c_custkey, min_by(c_acctbal, c_custkey) AS c_acctbal FROM {customers} WHERE c_nationkey = n_nationkey) top""",
+        **work,
+    )
+
+
+@query("sketches", "SELECT l_returnflag, count(DISTINCT l_partkey) AS distinct_parts, true AS distinct_close, true AS median_close FROM lineitem GROUP BY l_returnflag")
+def sketches(spark, sf_dir):
+    """Exact distinct counts beside an approximate count and quantile, and whether these are within their bounds."""
+    exact = F.count_distinct("l_partkey")
+    median, close = F.percentile("l_extendedprice", F.lit(0.5)), F.approx_percentile("l_extendedprice", 0.5, 1000)
+    spread = F.max("l_extendedprice") - F.min("l_extendedprice")
+    found = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(exact.alias("distinct_parts"), F.approx_count_distinct("l_partkey", 0.02).alias("a"), median.alias("m"), close.alias("q"), spread.alias("s"))
+    return found.select("l_returnflag", "distinct_parts", (F.abs(F.col("a") - F.col("distinct_parts")) <= 0.1 * F.col("distinct_parts")).alias("distinct_close"), (F.abs(F.col("m") - F.col("q")) <= 0.02 * F.col("s")).alias("median_close"))

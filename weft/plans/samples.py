@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from weft.functions import geometry as geo
 from weft.functions import text as tx
+from weft.operators import candidates as cand
 from weft.operators import sampling as smp
 from weft.operators.sequences import global_rank
 from weft.plans.registry import query
@@ -30,12 +30,13 @@ def reservoir_sample(spark, sf_dir):
 
 @query(
     "softmax_probs",
-    """SELECT p_type, p_partkey, round(exp(p_size / 10.0) / sum(exp(p_size / 10.0)) OVER (PARTITION BY p_type), 9) AS p FROM part""",
+    """WITH m AS (SELECT *, exp((p_size - max(p_size) OVER (PARTITION BY p_type)) / greatest(0.02, 0.001)) AS cold, exp((p_size - max(p_size) OVER (PARTITION BY p_type)) / 10.0) AS e FROM part)
+    SELECT p_type, p_partkey, round(e / sum(e) OVER (PARTITION BY p_type), 9) AS p, round(cold / sum(cold) OVER (PARTITION BY p_type), 9) AS coldest FROM m""",
 )
 def softmax_probs(spark, sf_dir):
-    """Softmax with a temperature within each group."""
-    e = F.exp(F.col("p_size") / 10.0)
-    return table(spark, sf_dir, "part").select("p_type", "p_partkey", F.round(e / F.sum(e).over(Window.partitionBy("p_type")), 9).alias("p"))
+    """Softmax with a temperature (0.001 at least) within each group, shifted by its maximum so that nothing overflows."""
+    p = table(spark, sf_dir, "part")
+    return p.select("p_type", "p_partkey", F.round(smp.softmax("p_size", 10.0, "p_type"), 9).alias("p"), F.round(smp.softmax("p_size", 0.02, "p_type"), 9).alias("coldest"))
 
 
 @query(
@@ -136,7 +137,7 @@ def antipodal_quality(spark, sf_dir):
     SELECT floor(l_quantity / (sq + 1e-6))::BIGINT AS cluster, count(*) AS n, round(avg(l_discount / (sd + 1e-6)), 6) AS mean FROM lineitem, m GROUP BY 1""",
 )
 def standardised_clusters(spark, sf_dir):
-    """Features over their deviation, dealt to cells of one deviation."""
+    """Features over their deviation, dealt to cells of one deviation."""
     items = table(spark, sf_dir, "lineitem")
     scale = items.agg(F.stddev_pop("l_quantity").alias("sq"), F.stddev_pop("l_discount").alias("sd"))
     x = items.crossJoin(F.broadcast(scale)).select(F.floor(F.col("l_quantity") / (F.col("sq") + 1e-6)).alias("cluster"), (F.col("l_discount") / (F.col("sd") + 1e-6)).alias("y"))
@@ -200,35 +201,33 @@ def quality_rollup(spark, sf_dir):
 VECTORS = "v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)"
 
 
-def queries_and_all(spark, sf_dir):
-    """Similarities of five query vectors (a constant number of rows) to all vectors."""
-    e = table(spark, sf_dir, "embeddings")
-    q = e.where("vec_id < 5").select(F.col("vec_id").alias("query"), F.col("embedding").alias("q"))
-    return e.crossJoin(F.broadcast(q)).select("query", "vec_id", "label", geo.dot(F.col("q"), F.col("embedding")).alias("sim"))
+def asked_and_all(spark, sf_dir):
+    """Query vectors (ids divisible by 20) and all vectors."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
+    return e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("e").alias("q")), e
 
 
 @query(
     "topk_similarity",
-    f"""WITH {VECTORS}, s AS (SELECT q.vec_id AS query, v.vec_id, list_dot_product(q.e, v.e) AS sim FROM v q, v WHERE q.vec_id < 5),
+    f"""WITH {VECTORS}, s AS (SELECT q.vec_id AS query, v.vec_id, list_dot_product(q.e, v.e) AS sim FROM v q, v WHERE q.vec_id % 20 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sim DESC, vec_id) AS rank FROM s WHERE sim >= 0.1)
     SELECT query, vec_id, round(sim, 6) AS sim, rank FROM r WHERE rank <= 10""",
 )
 def topk_similarity(spark, sf_dir):
     """The ten nearest above a threshold for each query vector."""
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "vec_id"))
-    found = queries_and_all(spark, sf_dir).where("sim >= 0.1").withColumn("rank", rank).where("rank <= 10")
-    return found.select("query", "vec_id", F.round("sim", 6).alias("sim"), F.col("rank").cast("long").alias("rank"))
+    asked, every = asked_and_all(spark, sf_dir)
+    return cand.top_dot(asked, every, 0.1, 10)
 
 
 @query(
     "runner_up_margin",
-    f"""WITH {VECTORS}, s AS (SELECT q.vec_id AS query, v.label, max(list_dot_product(q.e, v.e)) AS sim FROM v q, v WHERE q.vec_id < 5 AND v.vec_id <> q.vec_id GROUP BY ALL),
+    f"""WITH {VECTORS}, s AS (SELECT q.vec_id AS query, v.label, max(list_dot_product(q.e, v.e)) AS sim FROM v q, v WHERE q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sim DESC, label) AS rank FROM s)
     SELECT query, arg_min(label, rank)::INT AS label, round(max(sim) FILTER (rank = 1) - coalesce(max(sim) FILTER (rank = 2), 0), 6) AS margin FROM r GROUP BY query""",
 )
 def runner_up_margin(spark, sf_dir):
     """How far the best label is ahead of the next one."""
-    s = queries_and_all(spark, sf_dir).where("vec_id <> query").groupBy("query", "label").agg(F.max("sim").alias("sim"))
+    s = cand.label_best(*asked_and_all(spark, sf_dir))
     r = s.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "label")))
     first, second = F.max(F.when(F.col("rank") == 1, F.col("sim"))), F.max(F.when(F.col("rank") == 2, F.col("sim")))
     return r.where("rank <= 2").groupBy("query").agg(F.min_by("label", "rank").alias("label"), F.round(first - F.coalesce(second, F.lit(0.0)), 6).alias("margin"))

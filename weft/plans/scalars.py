@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weft.functions import geometry as geo
 from weft.functions import text as tx
 from weft.operators.sequences import global_rank
+from weft.operators import candidates as cand
 from weft.plans.registry import query
 from weft.plans.standins import STEPS, steps
 from weft.sources.tables import table
@@ -181,13 +182,22 @@ def depth_codec_roundtrip(spark, sf_dir):
 
 @query(
     "pinhole_roundtrip",
-    f"""WITH {STEPS} SELECT episode, t, round(500 * d / q + 320, 6) AS u, round(500 * x / q + 240, 6) AS v, (500 * d / q + 320) BETWEEN 0 AND 325 AS visible, round((500 * d / q + 320 - 320) * q / 500, 6) AS back, round((500 * d / q + 320) / 640, 4) AS share FROM steps""",
+    f"""WITH {STEPS}, p AS (SELECT episode, t, q, 500 * d / q + 320 AS u, 500 * x / q + 240 AS v FROM steps),
+    n AS (SELECT floor(u / 4)::BIGINT AS pu, floor(v / 4)::BIGINT AS pv, min(q) AS depth FROM p GROUP BY ALL)
+    SELECT episode, t, round(u, 6) AS u, round(v, 6) AS v, u BETWEEN 0 AND 325 AS visible, q > depth + 0.5 AS occluded, round((u - 320) * q / 500, 6) AS back, round(u / 640, 4) AS share,
+      round_even((u - 20) / 64, 3) AS metres, floor((u - 20) / 64 * 64 + 20 + 0.5)::BIGINT AS pixel FROM p JOIN n ON pu = floor(u / 4) AND pv = floor(v / 4)""",
 )
 def pinhole_roundtrip(spark, sf_dir):
-    """Projection to pixels and back, in-frame test, normalised pixels."""
+    """Projection to pixels and back, in-frame and occlusion test against a depth map, pixels as metres and shares."""
     u, v = geo.project(F.col("d"), F.col("x"), F.col("q"), 500.0, 320.0, 240.0)
-    back, _ = geo.unproject(u, v, F.col("q"), 500.0, 320.0, 240.0)
-    return steps(spark, sf_dir).select("episode", "t", F.round(u, 6).alias("u"), F.round(v, 6).alias("v"), u.between(0, 325).alias("visible"), F.round(back, 6).alias("back"), F.round(u / 640, 4).alias("share"))
+    p = steps(spark, sf_dir).select("episode", "t", "q", u.alias("u"), v.alias("v"), F.floor(u / 4).alias("pu"), F.floor(v / 4).alias("pv"))
+    depths = p.groupBy("pu", "pv").agg(F.min("q").alias("depth"))
+    back, _ = geo.unproject(F.col("u"), F.col("v"), F.col("q"), 500.0, 320.0, 240.0)
+    metres = geo.to_metres(F.col("u"), 20.0, 64.0)
+    return p.join(depths, ["pu", "pv"]).select(
+        "episode", "t", F.round("u", 6).alias("u"), F.round("v", 6).alias("v"), F.col("u").between(0, 325).alias("visible"), geo.occluded(F.col("q"), F.col("depth"), 0.5).alias("occluded"),
+        F.round(back, 6).alias("back"), F.round(F.col("u") / 640, 4).alias("share"), F.bround(metres, 3).alias("metres"), geo.to_pixel(metres, 20.0, 64.0).alias("pixel"),
+    )
 
 
 @query(
@@ -288,14 +298,19 @@ def doc_patch(spark, sf_dir):
 
 @query(
     "target_replacement",
-    """SELECT o_orderkey, 'b=2,c=3,new=' || o_custkey AS poses, 'a' AS removed, 'new' AS target FROM orders""",
+    """WITH d AS (SELECT o_orderkey, o_custkey, o_orderkey % 3 = 0 AS has, 'obj_' || o_custkey AS target FROM orders)
+    SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'cup=2,new=' || o_custkey || ',obj=3' ELSE 'cup=2,new=' || o_custkey END AS poses,
+      CASE WHEN has THEN 'gone,' || target ELSE target END AS removed, 'new' AS task_target FROM d""",
 )
 def target_replacement(spark, sf_dir):
-    """An object is removed from the maps, listed as removed, and a new one takes its place."""
-    poses = F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2"), F.lit("c"), F.lit("3"))
-    kept = F.map_concat(F.map_filter(poses, lambda k, v: k != "a"), F.create_map(F.lit("new"), F.col("o_custkey").cast("string")))
-    flat = F.array_join(F.transform(F.array_sort(F.map_entries(kept)), lambda e: F.concat(e.key, F.lit("="), e.value)), ",")
-    return table(spark, sf_dir, "orders").select("o_orderkey", flat.alias("poses"), F.array_join(F.array_union(F.array().cast("array<string>"), F.array(F.lit("a"))), ",").alias("removed"), F.lit("new").alias("target"))
+    """The target of a document is taken out of its maps and listed as removed, and a new one is put in and pointed at."""
+    name, other = F.concat(F.lit("obj_"), F.col("o_custkey").cast("string")), F.col("o_custkey") % 2 == 0
+    poses = F.map_filter(F.map_from_arrays(F.array(name, F.lit("cup"), F.lit("obj")), F.array(F.lit("1"), F.lit("2"), F.lit("3"))), lambda k, v: (k != "obj") | other)
+    removed = F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("gone"))).otherwise(F.array().cast("array<string>"))
+    docs = table(spark, sf_dir, "orders").select("o_orderkey", poses.alias("poses"), removed.alias("removed"), name.alias("task_target"), F.col("o_custkey").cast("string").alias("pose"))
+    done = cand.replace_target(docs, "task_target", "poses", "removed", F.lit("new"), F.col("pose"))
+    flat = F.array_join(F.transform(F.array_sort(F.map_entries("poses")), lambda e: F.concat(e.key, F.lit("="), e.value)), ",")
+    return done.select("o_orderkey", flat.alias("poses"), F.array_join("removed", ",").alias("removed"), "task_target")
 
 
 @query(
@@ -363,12 +378,13 @@ def membership_tristate(spark, sf_dir):
 
 @query(
     "indexed_selection",
-    """SELECT c_nationkey AS house, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i BETWEEN 2 AND 4""",
+    """WITH n AS (SELECT c_nationkey AS house, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer)
+    SELECT house, c_custkey, n > 4 AS whole FROM n WHERE i BETWEEN 2 AND 4""",
 )
 def indexed_selection(spark, sf_dir):
-    """A range of episodes of each house by index."""
-    i = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
-    return table(spark, sf_dir, "customer").withColumn("i", i).where("i BETWEEN 2 AND 4").select(F.col("c_nationkey").alias("house"), "c_custkey")
+    """A range of episodes of each house by index, and whether the house has all of them; a bad range is an error."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("house"), "c_custkey")
+    return cand.by_index(c, "house", "c_custkey", 2, 4).select("house", "c_custkey", "whole")
 
 
 @query(

@@ -113,14 +113,14 @@ def gap_segments(spark, sf_dir):
 
 @query(
     "cumulative_phase",
-    f"""WITH {SIGNALS}, c AS (SELECT episode, t, key, sum(value) OVER (PARTITION BY episode ORDER BY t) AS upto FROM signals WHERE t < 20)
+    f"""WITH {SIGNALS}, c AS (SELECT episode, t, key, sum(value) OVER (PARTITION BY episode ORDER BY t) AS upto FROM signals)
     SELECT episode, min(t) AS phase, round(min(upto), 6) AS reached FROM c WHERE upto >= 300 GROUP BY episode""",
 )
 def cumulative_phase(spark, sf_dir):
     """Cumulative durations, and the first phase that reaches a time."""
     upto = F.sum("value").over(Window.partitionBy("episode").orderBy("t"))
     return (
-        signals(spark, sf_dir).where("t < 20").withColumn("upto", upto).where("upto >= 300").groupBy("episode")
+        signals(spark, sf_dir).withColumn("upto", upto).where("upto >= 300").groupBy("episode")
         .agg(F.min("t").alias("phase"), F.round(F.min("upto"), 6).alias("reached"))
     )
 
@@ -265,7 +265,7 @@ def rank_functions(spark, sf_dir):
     FROM signals GROUP BY ROLLUP (key, (episode % 10)::VARCHAR)""",
 )
 def timing_rollup(spark, sf_dir):
-    """A timing profile at three levels."""
+    """A timing profile by operation and worker."""
     s = signals(spark, sf_dir).withColumn("worker", (F.col("episode") % 10).cast("string"))
     return s.rollup("key", "worker").agg(
         F.grouping_id().cast("long").alias("level"), F.round(F.avg("value"), 6).alias("mean"), F.count(F.lit(1)).alias("n"),
@@ -274,6 +274,31 @@ def timing_rollup(spark, sf_dir):
     )
 
 
+@query(
+    "running_profile",
+    f"""WITH {SIGNALS}, p AS (SELECT episode % 10 AS worker, episode AS house, t, value, floor(t / 5)::BIGINT AS episode FROM signals)
+    SELECT worker, house, episode, t, round(avg(value) OVER w, 6) AS mean, count(*) OVER w AS n FROM p WINDOW w AS (PARTITION BY worker, house, episode ORDER BY t ROWS UNBOUNDED PRECEDING)""",
+)
+def running_profile(spark, sf_dir):
+    """The running mean of a profile that is reset with every episode of a house."""
+    s = signals(spark, sf_dir).select((F.col("episode") % 10).alias("worker"), F.col("episode").alias("house"), "t", "value", F.floor(F.col("t") / 5).alias("episode"))
+    w = Window.partitionBy("worker", "house", "episode").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return s.select("worker", "house", "episode", "t", F.round(F.avg("value").over(w), 6).alias("mean"), F.count(F.lit(1)).over(w).alias("n"))
+
+
+@query(
+    "profile_levels",
+    f"""WITH {SIGNALS}, p AS (SELECT (episode % 10)::VARCHAR AS worker, episode::VARCHAR AS house, (t // 5)::VARCHAR AS episode, value FROM signals)
+    SELECT worker, house, episode, grouping_id(worker, house, episode)::BIGINT AS level, count(*) AS n, round(avg(value), 6) AS mean, round(sum(value), 3) AS total FROM p GROUP BY ROLLUP (worker, house, episode)""",
+)
+def profile_levels(spark, sf_dir):
+    """Timings by episode, house, worker and over all; each level starts anew, so nothing of another house is in it."""
+    s = signals(spark, sf_dir).select(*[c.cast("string").alias(n) for c, n in ((F.col("episode") % 10, "worker"), (F.col("episode"), "house"), (F.floor(F.col("t") / 5), "episode"))], "value")
+    return s.rollup("worker", "house", "episode").agg(
+        F.grouping_id().cast("long").alias("level"), F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.sum("value"), 3).alias("total")
+    )
+
+
 @query(
     "latency_percentiles",
     """SELECT event_type, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99,
@@ -318,13 +343,17 @@ def identity_r2(spark, sf_dir):
     return rounded(dist.identity_r2(pairs, "l_quantity", "y"), {"r2": 9})
 
 
-@query("describe_values", "SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, arg_max(event_id, value) AS at_max, arg_min(event_id, value) AS at_min FROM events GROUP BY event_type")
+@query("describe_values", """WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place FROM events WHERE value IS NOT NULL),
+  t AS (SELECT event_type, string_agg(event_id::VARCHAR, ',' ORDER BY place) AS top FROM r WHERE place <= 10 GROUP BY event_type)
+  SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, arg_max(event_id, value) AS at_max, arg_min(event_id, value) AS at_min, any_value(top) AS top FROM events JOIN t USING (event_type) GROUP BY event_type""")
 def describe_values(spark, sf_dir):
-    """A summary with the sample deviation, and where the extremes are."""
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(
+    """A summary with the sample deviation, where the extremes are, and the ten largest."""
+    top = dist.largest(table(spark, sf_dir, "events"), "event_type", "value", "event_id", 10).select("event_type", F.array_join(F.transform("top", lambda x: x.cast("string")), ",").alias("top"))
+    summary = table(spark, sf_dir, "events").groupBy("event_type").agg(
         F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_samp("value"), 6).alias("std"),
         F.max_by("event_id", "value").alias("at_max"), F.min_by("event_id", "value").alias("at_min"),
     )
+    return summary.join(top, "event_type")
 
 
 def clip_sql(passes: int = 8) -> str:

@@ -70,12 +70,26 @@ def benchmark_layouts(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("item_id", F.length("text").cast("long").alias("size"), "layout")
 
 
-@query("gzipped_lines", "SELECT p_partkey, p_size FROM part WHERE p_partkey < 500")
+@query("gzipped_lines", "SELECT p_partkey, p_size, CASE WHEN vec_id IS NULL THEN 0 ELSE 64 END::INT AS dims FROM part LEFT JOIN embeddings ON vec_id = p_partkey")
 def gzipped_lines(spark, sf_dir):
-    """Gzipped lines of JSON."""
+    """Gzipped lines of JSON, joined with feature vectors by their key (not by position)."""
     work = Workspace(spark, "lines")
-    table(spark, sf_dir, "part").where("p_partkey < 500").select("p_partkey", "p_size").write.option("compression", "gzip").json(work.path("t"))
-    return files.json_lines(spark, work.path("t"), "p_partkey long, p_size int")
+    table(spark, sf_dir, "part").select("p_partkey", "p_size").write.option("compression", "gzip").json(work.path("t"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("dims"))
+    lines = files.json_lines(spark, work.path("t"), "p_partkey long, p_size int")
+    return lines.join(vectors, F.col("p_partkey") == F.col("vec_id"), "left").select("p_partkey", "p_size", F.coalesce("dims", F.lit(0)).alias("dims"))
+
+
+@query(
+    "capped_houses",
+    """WITH h AS (SELECT c_mktsegment AS split, c_custkey AS house, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS n FROM customer) SELECT split, house FROM h WHERE n <= 7""",
+)
+def capped_houses(spark, sf_dir):
+    """The first houses of each split's gzipped lines, as many as a cap on rows of a split says."""
+    work = Workspace(spark, "splits")
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("split"), F.col("c_custkey").alias("house"))
+    c.write.partitionBy("split").option("compression", "gzip").json(work.path("t"))
+    return files.first_of_each(spark.read.schema("house long, split string").json(work.path("t")), "split", "house", 7).select("split", "house")
 
 
 @query("manifest_parts", "SELECT p_partkey % 3 AS shard, count(*) AS n, sum(CASE WHEN p_partkey % 2 = 0 THEN p_size END)::BIGINT AS inflated FROM part GROUP BY 1")
@@ -88,14 +102,24 @@ def manifest_parts(spark, sf_dir):
     return files.manifests(spark, work.path("a"), work.path("b")).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("p_size").alias("inflated"))
 
 
-@query("key_values", "SELECT c_custkey AS key, c_name AS value, (SELECT count(*) FROM customer) AS stored FROM customer WHERE c_custkey IN (1, 7, 100)")
+@query("key_values", """SELECT c_custkey AS key, c_name AS value, (SELECT count(*) FROM customer) AS stored, c_custkey IN (7, 100) AS known, (SELECT sum(length(c_name))::BIGINT FROM customer) AS letters FROM customer WHERE c_custkey IN (1, 7, 100)""")
 def key_values(spark, sf_dir):
-    """A key-value table with a completion marker."""
-    store = files.KeyValues(spark, Workspace(spark, "kv").path("t"))
-    store.put(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("value")))
+    """A key-value table with a codec and a completion marker: get, length, contains, values through an iterator."""
+    store = files.KeyValues(spark, Workspace(spark, "kv").path("t"), codec=files.json_codec("name string"))
+    store.put(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.struct(F.col("c_name").alias("name")).alias("value")))
     if not store.complete:
         raise OSError("the store was not written whole")
-    return store.get(1, 7, 100).select("key", "value", F.lit(len(store)).cast("long").alias("stored"))
+
+    def letters(frames):
+        for frame in frames:
+            yield frame[[]].assign(letters=[len(v["name"]) for v in frame["value"]])
+
+    total = store.iterator(letters, "letters long").agg(F.sum("letters").alias("letters"))
+    known = F.lit(False)
+    for key in (7, 100):
+        known = known | ((F.col("key") == key) & F.lit(key in store))
+    found = store.get(1, 7, 100).select("key", F.col("value.name").alias("value"), F.lit(len(store)).cast("long").alias("stored"), known.alias("known"))
+    return found.join(F.broadcast(total))
 
 
 @query("file_discovery", "SELECT c_nationkey::VARCHAR AS house, 1::BIGINT AS files FROM customer GROUP BY c_nationkey")
@@ -110,21 +134,58 @@ def file_discovery(spark, sf_dir):
 
 @query(
     "scene_prefixes",
-    """WITH k AS (SELECT DISTINCT replace(p_name, ' ', '_') AS key FROM part WHERE p_partkey < 300), n AS (SELECT DISTINCT split_part(replace(p_name, ' ', '_'), '_', 1) AS name FROM part WHERE p_partkey % 2 = 0)
+    """WITH k AS (SELECT DISTINCT replace(p_name, ' ', '_') AS key FROM part), n AS (SELECT DISTINCT split_part(replace(p_name, ' ', '_'), '_', 1) AS name FROM part WHERE p_partkey % 2 = 0)
     SELECT key, arg_max(name, length(name)) AS name FROM k LEFT JOIN n ON key = name OR starts_with(key, name || '_') GROUP BY key""",
 )
 def scene_prefixes(spark, sf_dir):
     """Metadata under the longest known start of a name."""
     name = F.replace("p_name", F.lit(" "), F.lit("_"))
     p = table(spark, sf_dir, "part")
-    keys = p.where("p_partkey < 300").select(name.alias("key")).distinct()
+    keys = p.select(name.alias("key")).distinct()
     known = p.where("p_partkey % 2 = 0").select(F.split_part(name, F.lit("_"), F.lit(1)).alias("name")).distinct()
     return files.longest_prefix(keys, "key", known, "name").select("key", "name")
 
 
+@query("written_once", "SELECT s_nationkey, count(*) AS n, false AS second_wrote FROM supplier GROUP BY s_nationkey")
+def written_once(spark, sf_dir):
+    """A table that is there whole is not written again."""
+    work = Workspace(spark, "once")
+    s = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    files.write_once(s, work.path("t"))
+    again = files.write_once(s.withColumn("n", F.lit(-1).cast("long")), work.path("t"))
+    return spark.read.parquet(work.path("t")).withColumn("second_wrote", F.lit(again))
+
+
+@query("appended_blacklist", "SELECT s_suppkey AS uid, CASE WHEN s_acctbal < 0 THEN 'first' ELSE 'second' END AS reason FROM supplier WHERE s_acctbal < 2000")
+def appended_blacklist(spark, sf_dir):
+    """Entries are appended under a lock, if they are absent."""
+    work = Workspace(spark, "black")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("uid"), "s_acctbal")
+    for most, reason in ((0, "first"), (2000, "second")):
+        files.append_absent(s.where(F.col("s_acctbal") < most).select("uid", F.lit(reason).alias("reason")), work.path("t"), "uid")
+    return spark.read.parquet(work.path("t"))
+
+
+@query(
+    "listed_houses",
+    """WITH r AS (SELECT i, v FROM range(0, 30) AS r(i), (SELECT unnest(['', '_ceiling']) AS v))
+    SELECT i, v AS variant, EXISTS (SELECT 1 FROM nation WHERE n_nationkey = i) AND (v = '' OR i % 2 = 0) AS found FROM r""",
+)
+def listed_houses(spark, sf_dir):
+    """The files of a range of houses in both variants, whether they are there, without those whose names are to be skipped."""
+    work = Workspace(spark, "houses")
+    keys = [r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    fs, at = files.folder(spark, work.path("t"))
+    for k in keys:
+        for name in (f"house_{k}.json", f"house_{k}.json.tmp", *([f"house_{k}_ceiling.json"] if k % 2 == 0 else [])):
+            fs.create(at(name)).close()
+    found = files.numbered_paths(spark, work.path("t"), "house_%d%s.json", 0, 29, r"\.tmp$", ("", "_ceiling"))
+    return found.select("i", "variant", F.col("path").isNotNull().alias("found"))
+
+
 @query("resumed_work", "SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 3 AND o_orderstatus = 'F'")
 def resumed_work(spark, sf_dir):
-    """Only shards without a record of completion are processed."""
+    """Only shards without a record of completion are processed."""
     o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
     return files.pending(o, o.where("o_orderkey % 10 = 3"), "o_orderkey")
 

@@ -5,7 +5,9 @@ Everything goes through Spark's readers and writers, so any file system that Spa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +22,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def folder(spark: SparkSession, root: str) -> tuple:
+    """The file system of a folder, and a function from a name in it to its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: path(f"{root}/{name}")
+
+
 def documents(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Documents of a benchmark: the single list file if there is one, else the older layout of a file per episode."""
     single = f"{root}/benchmark.json"
@@ -33,6 +41,13 @@ def json_lines(spark: SparkSession, path: str, schema: str, most: int | None = N
     return found if most is None else found.limit(most)
 
 
+def first_of_each(rows: DataFrame, group: str, order: str, most: int) -> DataFrame:
+    """The first rows of each group; `most` is a small cap. Slices of a group are cut first, so no task sorts a whole one."""
+    sliced = rows.withColumn("__slice", F.pmod(F.xxhash64(order), F.lit(64)))
+    some = sliced.withColumn("__n", F.row_number().over(Window.partitionBy(group, "__slice").orderBy(order))).where(F.col("__n") <= most)
+    return some.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(order))).where(F.col("__n") <= most).drop("__n", "__slice")
+
+
 def manifests(spark: SparkSession, *paths: str) -> DataFrame:
     """Parts of a Parquet manifest as one table; columns that a part lacks are null."""
     return spark.read.option("mergeSchema", "true").parquet(*paths)
@@ -54,30 +69,56 @@ def longest_prefix(keys: DataFrame, key: str, known: DataFrame, name: str) -> Da
 
 
 class KeyValues:
-    """A table of unique keys: get, keys, items and length, with a marker that says it was written whole."""
+    """A table of unique keys with a codec for its values, and a marker that says it was written whole.
+
+    A codec is a pair of functions from a column to a column; values are stored encoded. get and contains push their
+    keys into the scan of sorted files.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "key"):
-        self.spark, self.path, self.key = spark, path, key
+    def __init__(self, spark: SparkSession, path: str, key: str = "key", value: str = "value", codec: tuple | None = None):
+        self.spark, self.path, self.key, self.value = spark, path, key, value
+        self.encode, self.decode = codec or (lambda c: c, lambda c: c)
 
     def put(self, rows: DataFrame) -> None:
+        if self.value in rows.columns:
+            rows = rows.withColumn(self.value, self.encode(F.col(self.value)))
         rows.repartition(F.col(self.key)).sortWithinPartitions(self.key).write.mode("overwrite").parquet(self.path)
 
     @property
     def complete(self) -> bool:
         return exists(self.spark, f"{self.path}/_SUCCESS")
 
-    def items(self) -> DataFrame:
+    def stored(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
+    def items(self) -> DataFrame:
+        rows = self.stored()
+        return rows.withColumn(self.value, self.decode(F.col(self.value))) if self.value in rows.columns else rows
+
     def get(self, *keys) -> DataFrame:
-        """Rows of some keys; the filter is pushed into the scan of sorted files."""
+        """Rows of some keys."""
         return self.items().where(F.col(self.key).isin(*keys))
 
     def keys(self) -> DataFrame:
-        return self.items().select(self.key)
+        return self.stored().select(self.key)
+
+    def values(self) -> DataFrame:
+        return self.items().select(self.value)
+
+    def iterator(self, f, schema: str) -> DataFrame:
+        """f over pandas frames of key and value, one after the other, as in mapInPandas."""
+        return self.items().mapInPandas(f, schema)
+
+    def __contains__(self, key) -> bool:
+        return bool(self.stored().where(F.col(self.key) == key).limit(1).count())
 
     def __len__(self) -> int:
-        return self.items().count()
+        return self.stored().count()
+
+
+def json_codec(schema: str) -> tuple:
+    """Values kept as JSON text."""
+    return F.to_json, lambda c: F.from_json(c, schema)
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
@@ -145,6 +186,57 @@ def pending(wanted: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     return wanted.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def connect(spark: SparkSession, kind: str, **options: str) -> DataFrame:
-    """Any source that Spark or a package on its class path registers: jdbc, kafka, orc, avro, iceberg, ..."""
-    return spark.read.format(kind).options(**options).load()
+def write_once(df: DataFrame, path: str) -> bool:
+    """Write a table unless it is there whole; returns whether it was written."""
+    if exists(df.sparkSession, f"{path}/_SUCCESS"):
+        return False
+    df.write.mode("overwrite").parquet(path)
+    return True
+
+
+class Locked:
+    """Mutual exclusion through a folder that only one can create; a lock older than `stale` seconds counts as left behind."""
+
+    def __init__(self, spark: SparkSession, path: str, patience: float = 60.0, stale: float = 3600.0):
+        self.jvm, self.patience, self.stale = spark._jvm, patience, stale
+        self.lock = self.jvm.org.apache.hadoop.fs.Path(f"{path}.lock")
+        self.fs = self.lock.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def __enter__(self) -> Locked:
+        until = time.monotonic() + self.patience
+        while True:
+            try:
+                self.fs.create(self.lock, False).close()
+                return self
+            except Exception as e:  # noqa: BLE001  file systems name it differently
+                if not self.fs.exists(self.lock):
+                    if time.monotonic() > until:
+                        raise
+                elif time.time() - self.fs.getFileStatus(self.lock).getModificationTime() / 1000 > self.stale:
+                    self.fs.delete(self.lock, False)
+                elif time.monotonic() > until:
+                    raise TimeoutError(f"{self.lock} is held") from e
+            time.sleep(0.05)
+
+    def __exit__(self, *_) -> None:
+        self.fs.delete(self.lock, False)
+
+
+def append_absent(rows: DataFrame, path: str, key: str) -> None:
+    """Append the rows whose key a table does not have yet, one writer at a time. Rows that repeat a key count once."""
+    spark = rows.sparkSession
+    with Locked(spark, path):
+        if exists(spark, path):
+            rows = rows.join(spark.read.parquet(path).select(F.col(key).alias("__k")), F.col(key) == F.col("__k"), "left_anti")
+        rows.dropDuplicates([key]).write.mode("append").parquet(path)
+
+
+def numbered_paths(spark: SparkSession, root: str, pattern: str, first: int, last: int, skip: str, variants: tuple[str, ...] = ("",)) -> DataFrame:
+    """(i, variant, path) of numbers first .. last: the path of pattern % (i, variant) below root, null where no such file is.
+
+    Files whose names match the regular expression `skip` are not seen.
+    """
+    wanted = spark.range(first, last + 1).select(F.col("id").alias("i"), F.explode(F.array(*map(F.lit, variants))).alias("variant"))
+    wanted = wanted.withColumn("__name", F.format_string(pattern, "i", "variant"))
+    there = discover(spark, root, "*").select("path", F.element_at(F.split("path", "/"), -1).alias("__file")).where(~F.col("__file").rlike(skip))
+    return wanted.join(there, F.col("__name") == F.col("__file"), "left").select("i", "variant", "path")
