@@ -680,11 +680,67 @@ def test_languages_from_text_and_evidence(spark):
     assert got[900].rejected and got[901].rejected and got[902].language == "fr" and not any(got[r[0]].rejected for r in rows)
 
 
-def test_hierarchical_prior_by_hand(spark):
-    model = language_id.TextModel(["a", "b"], np.zeros((2, 1 << language_id.TABLE_BITS), np.float32))
-    p = spark.createDataFrame([(i, "xx", "h1" if i < 3 else "h2") for i in range(4)], "page_id long, body string, host string")
-    got = language_id.identify(p, model, work(spark), key_cols=("page_id",), text_col="body", host=F.col("host")).collect()
-    assert all(r.posterior == pytest.approx(0.5) and r.language == "a" for r in got)
+def test_fusion_against_brute_force(spark):
+    """Posteriors of rows with all kinds of evidence, recomputed in Python from the text model's log likelihoods."""
+    rng = random.Random(21)
+    table = np.log(np.random.default_rng(2).dirichlet(np.full(1 << language_id.TABLE_BITS, 0.5), 3)).astype(np.float32)
+    model = language_id.TextModel(["a", "b", "c"], table)
+    bodies = [t or "1 2" for t in random_texts(120, seed=22, most=6)] + ["12 34", None, "!"]
+    rows = [(i, t, rng.choice(["a", "b", "zz", None]), rng.choice(["org", "de", None]), rng.choice(["h1", "h1", "h1", "h2", "h3", None])) for i, t in enumerate(bodies)]
+    p = spark.createDataFrame(rows, "page_id long, body string, d string, s string, h string")
+    got = {r.page_id: r for r in language_id.identify(p, model, work(spark), key_cols=("page_id",), text_col="body", declared=F.col("d"), suffix=F.col("s"), host=F.col("h")).collect()}
+
+    def soft(x):
+        e = np.exp(np.array(x) - max(x))
+        return e / e.sum()
+
+    logs, own = {}, {}
+    for i, t, *_ in rows:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        logs[i] = np.zeros(3) if not len(data) else table[:, language_id.trigram_slots(data, np.array([len(data)]))].astype(float).sum(axis=1) / math.sqrt(len(data))
+        if any(c.isalpha() for c in t or ""):
+            own[i] = soft(logs[i])
+    k, n = language_id.SMOOTHING, len(own)
+    everyone = (sum(own.values()) + 1) / (n + 3)
+
+    def level(keep, above):
+        mine = [own[i] for i in own if keep(rows[i])]
+        return (sum(mine) + k * above) / (len(mine) + k) if mine else None
+
+    for i, t, d, s, h in rows:
+        prior = everyone
+        if s is not None or h is not None:
+            same = [r for r in rows if r[0] in own and r[3] == s and r[4] == h]
+            if same:
+                if s is not None:
+                    prior = level(lambda r: r[3] == s, everyone)  # noqa: B023
+                if h is not None:
+                    prior = level(lambda r: r[3] == s and r[4] == h, prior)  # noqa: B023
+        x = logs[i] + np.log(prior)
+        declared = [own[j] for j in own if rows[j][2] == d]
+        if d is not None and declared:
+            x = x + np.log((sum(declared) + k * len(declared) / n) / (sum(own.values()) + k))
+        want = soft(x)
+        assert got[i].posterior == pytest.approx(want.max(), abs=1e-6) and got[i].language == "abc"[int(want.argmax())]
+        assert got[i].rejected == (i not in own or want.max() < language_id.MIN_POSTERIOR)
+
+
+def test_every_language_is_fitted_from_rows_of_its_own(spark):
+    rows = [(i, f"w{i} text", f"l{i % 230:03d}" if i < 2000 else "huge") for i in range(6000)] + [(9999, "only row", "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, rows=300)
+    assert len(model.languages) == 232 and {"rare", "huge", "l229"} <= set(model.languages)
+
+
+def test_windows_of_trigrams_change_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = language_id.TextModel(["a", "b"], np.log(rng.dirichlet(np.ones(1 << language_id.TABLE_BITS), 2)).astype(np.float32))
+    data = rng.integers(60, 130, 1000).astype(np.uint8)
+    at = np.array([0, 0, 7, 500, 500, 998, 1000])
+    whole = model.log_likelihoods(data, at)
+    cut = language_id._slot_windows
+    monkeypatch.setattr(language_id, "_slot_windows", lambda d, a, size=37: cut(d, a, size))
+    assert np.allclose(model.log_likelihoods(data, at), whole)
 
 
 def test_language_edges(spark):
@@ -700,50 +756,80 @@ def test_language_edges(spark):
 # 10 language-model scores
 
 
-def test_scores_against_a_direct_computation(spark):
+def spellings(word, units):
+    """Sum over all ways to spell a word with units {string: probability}."""
+    total = [1.0] + [0.0] * len(word)
+    for j in range(1, len(word) + 1):
+        total[j] = sum(total[i] * units.get(word[i:j], 0.0) for i in range(j))
+    return total[-1]
+
+
+@pytest.mark.parametrize("classes", [1, 2, 6])
+def test_scores_against_a_direct_computation(spark, classes):
     texts = [t or "empty" for t in random_texts(30, seed=4, vocabulary=40, most=25)]
-    rows = [(i, t, "en" if i % 2 else "de") for i, t in enumerate(texts)]
+    rows = [(i, t, ["en", "de", None, "fr"][i % 4]) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    learned = F.col("doc_id") % 5 != 1
-    got = {r.doc_id: r for r in lm_scoring.score(df, work(spark), learned, UNIGRAM_VOCABULARY).collect()}
-    count, ends = {"en": collections.Counter(), "de": collections.Counter()}, collections.Counter()
+    got = {r.doc_id: r for r in lm_scoring.score(df, work(spark), F.col("doc_id") % 5 != 1, UNIGRAM_VOCABULARY, classes=classes).collect()}
+    seen = collections.Counter(lang for i, _, lang in rows if i % 5 != 1)
+    top = [k for k in sorted(seen, key=lambda k: (-seen[k], k or "")) if k][: classes - 1]
+    name = lambda lang: lang if lang in top else "rest"
+    count, ends = collections.defaultdict(collections.Counter), collections.Counter()
     for i, t, lang in rows:
         if i % 5 != 1:
-            count[lang].update(words(t))
-            ends[lang] += 1
-    every = count["en"] + count["de"]
-    tokens, distinct = sum(every.values()) + sum(ends.values()), len(every) + 1
+            count[name(lang)].update(words(t))
+            ends[name(lang)] += 1
+    every, texts_learned = sum(count.values(), collections.Counter()), sum(ends.values())
+    tokens, distinct = sum(every.values()) + texts_learned, len(every) + 1
     for i, t, _ in rows:
         x = words(t)
-        base = sum(math.log10((every[w] + 0.5) / (tokens + 0.5 * (distinct + 1))) for w in x) + math.log10((sum(ends.values()) + 0.5) / (tokens + 0.5 * (distinct + 1)))
+        base = sum(math.log10((every[w] + 0.5) / (tokens + 0.5 * (distinct + 1))) for w in x) + math.log10((texts_learned + 0.5) / (tokens + 0.5 * (distinct + 1)))
         assert got[i].base_score == pytest.approx(base) and got[i].n_tokens == len(x) + 1 and got[i].train_tokens == tokens
         assert got[i].n_known == sum(every[w] > 0 for w in x) + 1
-    classes = sorted(ends, key=lambda k: (-ends[k], k))
     vocab = lattice.vocabulary(UNIGRAM_VOCABULARY)
     pieces = {}
-    for k in classes:
+    for k in count:
         log_p = vocab.log_p
         for _ in range(lm_scoring.EM_STEPS):
             c = lattice.expected_counts([b" " + w for w in count[k]], vocab, log_p) + lm_scoring.PIECE_FLOOR * (vocab.log_p > -np.inf)
             with np.errstate(divide="ignore"):
                 log_p = np.log(c / (c.sum() + len(count[k])))
         pieces[k] = log_p
-    for i in (0, 1, 6):
-        x, per_class = words(texts[i]), []
-        for k in classes:
-            n = sum(count[k].values()) + ends[k]
-            end_of_word = math.log(1 - np.exp(pieces[k]).sum())
-            p, seen = 0.0, collections.Counter()
-            for at, w in enumerate(x):
-                spelled = math.exp(lattice.log_likelihoods([b" " + w], vocab, pieces[k][None])[0, 0] + end_of_word)
-                prior = max(count[k][w] - lm_scoring.DISCOUNT, 0) / n + lm_scoring.DISCOUNT * (len(count[k]) + 1) / n * spelled
-                p += math.log((seen[w] + lm_scoring.CACHE_MASS * prior) / (at + lm_scoring.CACHE_MASS))
-                seen[w] += 1
-            p += math.log(lm_scoring.CACHE_MASS * ends[k] / n / (len(x) + lm_scoring.CACHE_MASS)) + math.log((ends[k] + 1) / (sum(ends.values()) + 2))
+    for i in (0, 1, 6, 11):
+        per_class = []
+        for k in count:
+            n, closed = sum(count[k].values()) + ends[k], 1 - np.exp(pieces[k]).sum()
+            units = {vocab.pieces[j].replace("\u2581", " ").encode(): math.exp(pieces[k][j]) for j in np.flatnonzero(np.isfinite(pieces[k])) if not vocab.pieces[j].startswith("<0x")}
+            p = math.log(ends[k] / n) + math.log(ends[k] / texts_learned)
+            for w in words(texts[i]):
+                p += math.log(max(count[k][w] - lm_scoring.DISCOUNT, 0) / n + lm_scoring.DISCOUNT * len(count[k]) / n * closed * spellings(b" " + w, units))
             per_class.append(p)
         assert got[i].score == pytest.approx(np.logaddexp.reduce(per_class) / math.log(10), abs=1e-3)
 
 
+def spellings(word, units):
+    """Sum over all ways to spell a word with units {string: probability}."""
+    total = [1.0] + [0.0] * len(word)
+    for j in range(1, len(word) + 1):
+        total[j] = sum(total[i] * units.get(word[i:j], 0.0) for i in range(j))
+    return total[-1]
+
+
+def test_arcs_of_a_word_and_the_end_sum_to_one():
+    """Over known words, the arc into the pieces (whose spellings sum to one) and the end; with and without training."""
+    vocab = lattice.vocabulary(UNIGRAM_VOCABULARY)
+    counts = np.array([[1], [5], [2], [100]])
+    facts = lm_scoring.Facts(np.array([counts.sum() + 9.0]), np.array([4.0]), np.array([9.0]), 5)
+    names = [b"the", b"house", b"gardening", b"x"]
+    log_p = np.log(np.exp(vocab.log_p[None]) * 0.7)
+    with_words, without = (np.exp(facts.prices(names, c, vocab, log_p))[0] for c in (counts, 0 * counts))
+    spelled = np.exp(lattice.log_likelihoods([b" " + w for w in names], vocab, log_p))[0] * 0.3
+    into = without / spelled
+    assert np.allclose(into, into[0]) and (with_words - without).sum() + into[0] + math.exp(facts.end_log_p(0)) == pytest.approx(1)
+    nothing = lm_scoring.Facts(np.zeros(1), np.zeros(1), np.zeros(1), 0)
+    into = np.exp(nothing.prices(names, 0 * counts, vocab, log_p))[0] / spelled
+    assert into[0] + math.exp(nothing.end_log_p(0)) == pytest.approx(1)
+
+
 def test_score_edges(spark):
     got = lm_scoring.score(docs(spark), work(spark), F.col("doc_id") != 9, UNIGRAM_VOCABULARY).collect()
     assert len(got) == len(EDGES) and sum(r.doc_id is None for r in got) == 1 and all(math.isfinite(r.score) for r in got)

@@ -1,7 +1,8 @@
 """Language identification by Bayesian fusion of text, declared markup language, address suffix and host.
 
 Text likelihood: a naive Bayes model over hashed byte trigrams, one table of log probabilities per
-language, fitted on a bounded sample (FIT_ROWS labelled rows with the smallest hashes, whole texts).
+language, fitted on a bounded sample (of each language the FIT_ROWS labelled rows with the smallest hashes, whole
+texts). Every language that any row is labelled with is in the model, which takes 256 KB for each.
 Every text is scored whole; its log likelihoods are divided by the square root of its length, since
 trigrams that overlap are not independent evidence.
 
@@ -20,7 +21,8 @@ third of all rows is one group of them, and its rows join a written table, so a
 
 Nulls, ties, repeats: null evidence counts as none (its own group is not built). A null or empty text
 has equal likelihoods and is rejected. Equal posteriors go to the language first in code-point order.
-Without labelled rows every row is rejected with a null language. An empty table gives no rows.
+Without labelled rows every row is rejected with a null language. An empty table gives no rows. Repeated rows
+are answered alike. Very long texts are read in windows. Of the input only the key columns are returned.
 """
 
 from __future__ import annotations
@@ -30,29 +32,41 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
+from weft.llm.sums import summed
 from weft.llm.textops import LOWER, U64, blocks, mix
 from weft.workspace import Workspace
 
 TABLE_BITS = 16
-FIT_ROWS = 4000
+FIT_ROWS = 2000
 SMOOTHING = 5.0
 MIN_POSTERIOR = 0.5
-MAX_LANGUAGES = 200
 
 
-def trigram_slots(data: np.ndarray) -> np.ndarray:
-    """Table slots of the byte trigrams that start at each byte (the last two wrap into zeros)."""
+def trigram_slots(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Table slots of the byte trigrams that start at each byte; behind the ends of texts lie separators."""
     x = LOWER[data].astype(np.uint32)
     x[(x < 0x41)] = 0x20  # white space, digits and punctuation are one separator
     y = np.append(x, [0x20, 0x20]).astype(np.uint32)
-    code = y[:-2] | (y[1:-1] << np.uint32(8)) | (y[2:] << np.uint32(16))
+    second, third = y[1:-1].copy(), y[2:].copy()
+    ends = ends[ends > 0]
+    second[ends - 1] = third[ends - 1] = 0x20
+    third[ends[ends > 1] - 2] = 0x20
+    code = y[:-2] | (second << np.uint32(8)) | (third << np.uint32(16))
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - TABLE_BITS)).astype(np.int64)
 
 
+def _slot_windows(data: np.ndarray, at: np.ndarray, size: int = 1 << 19) -> Iterator[np.ndarray]:
+    """trigram_slots in windows: what is needed at once does not grow with a text."""
+    for lo in range(0, len(data), size):
+        part = data[lo : lo + size + 2]
+        ends = at[(at > lo) & (at <= lo + len(part))] - lo
+        yield trigram_slots(part, ends)[: min(size, len(data) - lo)]
+
+
 @dataclass
 class TextModel:
     """Languages and, for each, the log probability of each slot."""
@@ -66,23 +80,25 @@ class TextModel:
         if not len(self.languages):
             return np.zeros((len(n), 0))
         out = np.zeros((len(n), len(self.languages)))
-        if len(data):
-            slots = trigram_slots(data)
-            full = np.flatnonzero(n)
+        edge, done = np.flatnonzero(n), 0
+        for slots in _slot_windows(data, at):  # a text may lie in several windows
+            own = edge[(at[edge] < done + len(slots)) & (at[edge + 1] > done)]
+            begin = np.maximum(at[own], done) - done
             for k, row in enumerate(self.table):
-                out[full, k] = np.add.reduceat(row[slots], at[:-1][full], dtype=np.float64)
+                out[own, k] += np.add.reduceat(row[slots], begin, dtype=np.float64)
+            done += len(slots)
         return out / np.sqrt(np.maximum(n, 1))[:, None]
 
 
 def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", rows: int = FIT_ROWS) -> TextModel:
-    """Fit the trigram tables on a bounded sample of labelled rows; counts are summed by language on the executors."""
-    chosen = (
-        docs.where(F.col(language_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("__id"))
-        .orderBy(F.xxhash64("__id"), "__id")
-        .limit(rows)
-    )
-    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi").where(F.col(language_col).isNotNull())
+    """Fit the trigram tables on a bounded sample of labelled rows of each language; counts are summed on the executors."""
+    labelled = docs.where(F.col(language_col).isNotNull() & F.col(id_col).isNotNull())
+    named = labelled.select(F.col(id_col).alias("__id"), F.col(language_col).cast("string").alias("__language"))
+    order, of = [F.xxhash64("__id"), F.col("__id")], [F.col("__language")]
+    for slices in (64, 1):  # the first ids of slices of a language, then those of the language: no task sorts all of a language
+        within = Window.partitionBy(*of, F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(slices))).orderBy(*order)
+        named = named.withColumn("__n", F.row_number().over(within)).where(F.col("__n") <= rows).drop("__n")
+    sample = labelled.join(named.distinct(), (F.col(id_col) == F.col("__id")) & (F.col(language_col).cast("string") == F.col("__language")), "left_semi")
     sample = sample.select(F.col(language_col).cast("string").alias("language"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,29 +106,20 @@ def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_
         for batch in batches:
             names = batch.column(0).to_pylist()
             for lo, hi, data, at in blocks(batch.column(1)):
-                slots = trigram_slots(data)
                 for i in range(hi - lo):
-                    own = np.bincount(slots[at[i] : at[i + 1]], minlength=1 << TABLE_BITS)
-                    sums[names[lo + i]] = sums.get(names[lo + i], 0) + own
-        yield pa.record_batch(
-            [pa.array(list(sums), pa.string()), pa.array([v.astype(np.int64).tobytes() for v in sums.values()], pa.binary())],
-            names=["language", "counts"],
-        )
-
-    def add(key, frame):
-        import pandas as pd
-
-        total = np.sum([np.frombuffer(x, np.int64) for x in frame["counts"]], axis=0)
-        return pd.DataFrame({"language": [key[0]], "counts": [total.tobytes()]})
-
-    schema = "language string, counts binary"
-    found = sample.transform(map_arrow, count, schema).groupBy("language").applyInPandas(add, schema).limit(MAX_LANGUAGES).collect()
-    found = sorted(found, key=lambda r: r["language"])
-    table = np.zeros((len(found), 1 << TABLE_BITS), np.float32)
-    for k, row in enumerate(found):
-        counts = np.frombuffer(row["counts"], np.int64) + 0.5
-        table[k] = np.log(counts / counts.sum())
-    return TextModel([r["language"] for r in found], table)
+                    own = sums.setdefault(names[lo + i], np.zeros(1 << TABLE_BITS, np.int64))
+                    for slots in _slot_windows(data[at[i] : at[i + 1]], at[i : i + 2] - at[i]):
+                        own += np.bincount(slots, minlength=1 << TABLE_BITS)
+        for language, counts in sums.items():
+            yield pa.record_batch([pa.array([language]), pa.array([counts.tobytes()], pa.binary())], names=["key", "values"])
+
+    found = summed(sample.transform(map_arrow, count, "key string, values binary"), np.int64).toLocalIterator()
+    rows_of = {row["key"]: np.frombuffer(row["values"], np.int64) + 0.5 for row in found}
+    languages = sorted(rows_of)
+    table = np.zeros((len(languages), 1 << TABLE_BITS), np.float32)
+    for k, name in enumerate(languages):
+        table[k] = np.log(rows_of[name] / rows_of[name].sum())
+    return TextModel(languages, table)
 
 
 def _text_evidence(shared, names: list[str]):

@@ -195,16 +195,22 @@ def _logsumexp(x: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(x - safe[:, None]).sum(axis=1))
 
 
-def forward(lat: Lattices, w: np.ndarray) -> np.ndarray:
-    """Log of the summed probability of all paths from a word's start to each node."""
+def forward(lat: Lattices, w: np.ndarray, into: float = 0.0, whole: np.ndarray | None = None) -> np.ndarray:
+    """Log of the summed probability of all paths from a word's start to each node.
+
+    `into` is that of the arc before a word's first piece, `whole` that of an arc beside the pieces to each word's end.
+    """
     alpha = np.full(len(w) + w.shape[1], NONE)  # the tail stands for what lies before a word
-    alpha[lat.first] = 0.0
+    alpha[lat.first] = into
     reach = np.arange(1, w.shape[1] + 1)
     longest = int(lat.chars.max()) if len(lat.chars) else 0
     for t in range(1, longest + 1):
         v = lat.first[np.searchsorted(lat.chars, t) :] + t
         k = min(t, w.shape[1])
         alpha[v] = _logsumexp(alpha[v[:, None] - reach[:k]] + w[v, :k])
+        if whole is not None:
+            done = np.arange(np.searchsorted(lat.chars, t), np.searchsorted(lat.chars, t, "right"))
+            alpha[lat.first[done] + t] = np.logaddexp(alpha[lat.first[done] + t], whole[done])
     return alpha[: len(w)]
 
 
@@ -251,13 +257,16 @@ def shares(lat: Lattices, vocab: Vocabulary, at: np.ndarray, size: np.ndarray) -
     return w[at + size, size - 1] * beta[at + size] / beta[at]
 
 
-def log_likelihoods(words: list[bytes], vocab: Vocabulary, models: np.ndarray, step: int = 20_000) -> np.ndarray:
-    """Log of the probability of each word under each model (a row of piece probabilities), summed over all segmentations."""
+def log_likelihoods(words: list[bytes], vocab: Vocabulary, models: np.ndarray, step: int = 20_000, into: np.ndarray | None = None, whole: np.ndarray | None = None) -> np.ndarray:
+    """Log of the probability of each word under each model (a row of piece probabilities), summed over all segmentations.
+
+    `into` has the log weight of each model's arc into the pieces, `whole` that of one arc from start to end, by model and word.
+    """
     out = np.zeros((len(models), len(words)))
     for lo in range(0, len(words), step):
         lat = build(words[lo : lo + step], vocab)
         for k, log_p in enumerate(models):
-            alpha = forward(lat, weights(lat, vocab, log_p))
+            alpha = forward(lat, weights(lat, vocab, log_p), 0.0 if into is None else into[k], None if whole is None else whole[k, lo + lat.order])
             out[k, lo + lat.order] = alpha[lat.first + lat.chars]
     return out
 

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
+from weft.llm.sums import summed
 from weft.llm.textops import LOWER, U64, blocks, hashed_words, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
@@ -114,27 +115,21 @@ def idf(docs: DataFrame, terms: Terms, text_col: str) -> tuple[np.ndarray, float
     """idf of the template words over all texts, and of a word never seen."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, df = 0, np.zeros(len(terms.hashes), np.int64)
+        found = np.zeros(1 + len(terms.hashes), np.int64)  # texts, then texts with each term
         for batch in batches:
             for lo, hi, data, at in blocks(batch.column(0)):
                 _, first, term = _terms_of(data, at, terms)
                 text = np.repeat(np.arange(hi - lo), np.diff(first))
                 hit = term >= 0
-                pairs = np.unique(text[hit] * len(df) + term[hit])
-                df += np.bincount(pairs % len(df), minlength=len(df))
-                texts += hi - lo
-        yield pa.record_batch([pa.array([0]), pa.array([texts]), pa.array([df.tobytes()], pa.binary())], names=["k", "n", "df"])
-
-    def add(frame):
-        import pandas as pd
-
-        total = np.sum([np.frombuffer(x, np.int64) for x in frame["df"]], axis=0)
-        return pd.DataFrame({"k": [0], "n": [frame["n"].sum()], "df": [total.tobytes()]})
-
-    schema = "k long, n long, df binary"
-    found = docs.select(text_col).transform(map_arrow, count, schema).groupBy("k").applyInPandas(add, schema).collect()
-    n = found[0]["n"] if found else 0
-    df = np.frombuffer(found[0]["df"], np.int64) if found else np.zeros(len(terms.hashes))
+                pairs = np.unique(text[hit] * len(terms.hashes) + term[hit])
+                found[1:] += np.bincount(pairs % len(terms.hashes), minlength=len(terms.hashes))
+                found[0] += hi - lo
+        yield pa.record_batch([pa.array([0]), pa.array([found.tobytes()], pa.binary())], names=["key", "values"])
+
+    parts = docs.select(text_col).transform(map_arrow, count, "key long, values binary")
+    found = summed(parts, np.int64).collect()
+    n, df = (found[0][1][:8], found[0][1][8:]) if found else (bytes(8), bytes(8 * len(terms.hashes)))
+    n, df = int(np.frombuffer(n, np.int64)[0]), np.frombuffer(df, np.int64)
     return np.log((n + 1) / (df + 1)) + 1, float(np.log(n + 1) + 1)
 
 

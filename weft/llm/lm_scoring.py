@@ -1,18 +1,20 @@
 """Language-model scoring with subword lattices: the marginal probability of a text over all segmentations.
 
-Each word is a lattice. Its arcs are the pieces of an existing tokenizer's vocabulary, weighed by
-probabilities that start at the vocabulary's own scores and are re-estimated by EM_STEPS steps of
-expectation maximisation over all distinct training words, and one arc for the whole word if the
-training corpus has it. With c its count among N training tokens, V distinct ones and a discount d,
+Each word, in lower case and behind a space, is a lattice. From its start one arc leads to its end if the training
+corpus has the word, and one arc leads into the pieces of an existing tokenizer's vocabulary that spell it; an end piece
+closes a spelling. With c the word's count among the N training tokens (ends of texts included) of a class, V its
+distinct words and d the DISCOUNT,
 
-    P(word | k) = max(c - d, 0) / N + d V / N * P_pieces(word | k),
+    P(whole-word arc) = max(c - d, 0) / N,  P(arc into the pieces) = d V / N,  P(end of the text) = texts / N,
 
-where P_pieces sums all segmentations by a forward recursion in log space, an end piece included. Counts
-and pieces are those of the training texts of class k; classes are the MAX_CLASSES - 1 most frequent
-values of a column (the language) and, if there is a rest, one for it. In a text,
-P(word | k) is the prior of a cache: the i-th token has (m + M P(token | k)) / (i - 1 + M) if it came m
-times before in the same text. The score is the log10 of the text's probability, its end included,
-summed over the classes; the class of a scored text is not looked at.
+which sum to one: of each distinct word's count d goes to the pieces, which is what unseen words live on. Pieces start at
+the vocabulary's own scores and are re-estimated by EM_STEPS steps of expectation maximisation over the distinct training
+words of the class. One forward recursion in log space sums all paths, the whole-word arc among them.
+
+Classes are values of a column (the language): the most frequent ones, `classes` - 1 of them, and the rest as one. The
+probability of a text is the sum over the classes of their share of the training texts times the product of its words'
+probabilities and its end's; the class of a scored text is not looked at. The score is its log10. The probabilities
+of all texts sum to less than one only by what the pieces give to sequences that are no word (a space within).
 
 Corpus counts are exact and cover every training text. A text of counts per row is never exploded:
 
@@ -22,9 +24,11 @@ Corpus counts are exact and cover every training text. A text of counts per row
 3. Each word gets its lattice probability once, returns to the chunks that have it, and the chunks'
    texts are scored with it.
 
-Nulls, ties, repeats: a null text is an empty one: its end alone is scored. A null id is hashed as the
-text null. Repeated rows are scored alike. Without training rows only the pieces remain. An empty
-table gives no rows.
+Nulls, ties, repeats: a null text is an empty one: its end alone is scored. Null ids are kept; a null in the condition
+that marks training rows is no; a null class is in the rest. Repeated rows are scored alike, and train as often as they
+occur. Without training rows the pieces have the vocabulary's own scores, and each token is the end with EMPTY_END. An
+empty table gives no rows. Very long texts are hashed in windows; one text is never cut into several chunks. Other
+columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -41,15 +45,16 @@ from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
 from weft.llm import lattice
+from weft.llm.sums import summed
 from weft.llm.textops import LOWER, blocks, hashed_words
 from weft.workspace import Workspace
 
 CHUNK_BYTES = 20 << 20
 EM_STEPS = 2
 DISCOUNT = 0.75
-MAX_CLASSES = 6
-CACHE_MASS = 300.0
+CLASSES = 6
 PIECE_FLOOR = 1e-2
+EMPTY_END = 1e-2
 
 
 def _columns(classes: int) -> list[str]:
@@ -57,7 +62,6 @@ def _columns(classes: int) -> list[str]:
     return [f"c{k}" for k in range(classes)]
 
 
-
 def _chunk(parts: list, number: int, classes: int) -> Iterator[pa.RecordBatch]:
     """One chunk from its blocks: the row of texts, then the dictionary."""
     names = ["chunk", "texts", "local", "word", *_columns(classes)]
@@ -135,32 +139,25 @@ def piece_log_p(words: DataFrame, vocab_file: str, classes: int) -> np.ndarray:
     def counted(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocab = lattice.vocabulary(vocab_file)
-            total, n = np.zeros((classes, len(vocab.log_p))), np.zeros(classes, np.int64)
+            total = np.zeros((classes, 1 + len(vocab.log_p)))  # words, then uses of the pieces
             for batch in batches:
                 found = _marked(batch.column(0).to_pylist())
                 for k in range(classes):
                     own = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
-                    total[k] += lattice.expected_counts([found[i] for i in own], vocab, shared.value[k])
-                    n[k] += len(own)
-            yield pa.record_batch(
-                [pa.array(range(classes)), pa.array([t.tobytes() for t in total], pa.binary()), pa.array(n)],
-                names=["k", "counts", "n"],
-            )
+                    total[k, 1:] += lattice.expected_counts([found[i] for i in own], vocab, shared.value[k])
+                    total[k, 0] += len(own)
+            yield pa.record_batch([pa.array(range(classes)), pa.array([t.tobytes() for t in total], pa.binary())], names=["key", "values"])
 
         return run
 
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.float64) for x in frame["counts"]], axis=0)
-        return pd.DataFrame({"k": frame["k"][:1], "counts": [total.tobytes()], "n": [frame["n"].sum()]})
-
     for _ in range(EM_STEPS):
-        schema = "k long, counts binary, n long"
-        partial = words.select("word", *_columns(classes)).transform(map_arrow, counted(spark.sparkContext.broadcast(log_p)), schema)
-        for row in partial.groupBy("k").applyInPandas(add, schema).collect():
-            if row["n"]:
-                counts = np.frombuffer(row["counts"], np.float64) + PIECE_FLOOR * (start > -np.inf)
+        partial = words.select("word", *_columns(classes)).transform(map_arrow, counted(spark.sparkContext.broadcast(log_p)), "key long, values binary")
+        for row in summed(partial, np.float64).collect():
+            found = np.frombuffer(row["values"], np.float64)
+            if found[0]:
+                counts = found[1:] + PIECE_FLOOR * (start > -np.inf)
                 with np.errstate(divide="ignore"):
-                    log_p[row["k"]] = np.log(counts / (counts.sum() + row["n"]))
+                    log_p[row["key"]] = np.log(counts / (counts.sum() + found[0]))
     return log_p
 
 
@@ -170,13 +167,13 @@ def _end_log_p(log_p: np.ndarray) -> float:
     return float(np.log(left)) if left > 1e-9 else float(np.log(1 / 3))
 
 
-def _class_column(docs: DataFrame, learned: Column, class_col: str | None) -> tuple[Column, int]:
+def _class_column(docs: DataFrame, learned: Column, class_col: str | None, classes: int) -> tuple[Column, int]:
     """Number of a row's class and how many there are: the most frequent values of training rows, and the rest."""
-    if class_col is None:
+    if class_col is None or classes < 2:
         return F.lit(0), 1
     named = F.col(class_col).cast("string").alias("k")
-    seen = docs.where(learned).groupBy(named).count().orderBy(F.desc("count"), "k").limit(MAX_CLASSES + 1).collect()
-    top = [r["k"] for r in seen if r["k"] is not None][: MAX_CLASSES - 1]
+    seen = docs.where(learned).groupBy(named).count().orderBy(F.desc("count"), "k").limit(classes + 1).collect()
+    top = [r["k"] for r in seen if r["k"] is not None][: classes - 1]
     number = F.lit(len(top))
     for i, k in enumerate(top):
         number = F.when(F.col(class_col).cast("string") == k, F.lit(i)).otherwise(number)
@@ -192,12 +189,16 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     class_col: str | None = "lang",
+    classes: int = CLASSES,
 ) -> DataFrame:
-    """id, learned, n_tokens, n_known, train_tokens, base_score and score of each row; learned marks training rows."""
+    """id, learned, n_tokens, n_known, train_tokens, base_score and score of each row; learned marks training rows.
+
+    classes is how many models there are at most, the one for the rest of the values included.
+    """
     spark = docs.sparkSession
     learned = F.coalesce(learned, F.lit(False))
     null_id = -(1 << 63)
-    number, classes = _class_column(docs, learned, class_col)
+    number, classes = _class_column(docs, learned, class_col, classes)
     counts = _columns(classes)
     plain = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("row"),
@@ -217,7 +218,7 @@ def score(
     ends = chunks.where("texts IS NOT NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]).first()
     facts = Facts(
         np.array([totals[f"n_{c}"] + ends[c] for c in counts], float),
-        np.array([totals[f"v_{c}"] + (ends[c] > 0) for c in counts], float),
+        np.array([totals[f"v_{c}"] for c in counts], float),
         np.array([ends[c] for c in counts], float),
         totals["v"] + (sum(ends) > 0),
     )
@@ -227,12 +228,10 @@ def score(
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words with their counts to words with their count and log probability in each class."""
         vocab = lattice.vocabulary(vocab_file)
-        ends_log_p = np.array([_end_log_p(p) for p in shared.value])
         for batch in batches:
-            found = lattice.log_likelihoods(_marked(batch.column(0).to_pylist()), vocab, shared.value)
             c = np.stack([x.to_numpy(zero_copy_only=False) for x in batch.columns[1:]], axis=1)
-            prices = class_prices(c, found.T + ends_log_p, facts).astype(np.float32)
-            packed = pa.array([x.tobytes() for x in prices], pa.binary())
+            prices = facts.prices(batch.column(0).to_pylist(), c, vocab, shared.value).T.astype(np.float32)
+            packed = pa.array([np.ascontiguousarray(x).tobytes() for x in prices], pa.binary())
             yield pa.record_batch([batch.column(0), pa.array(c.sum(axis=1)), packed], names=["word", "c", "prices"])
 
     priced = workspace.save(words.transform(map_arrow, price, "word binary, c long, prices binary"), "priced")
@@ -276,7 +275,7 @@ def score(
 
 @dataclass
 class Facts:
-    """Training tokens, distinct tokens and texts by class, and distinct tokens of all."""
+    """Training tokens, distinct words and texts by class, and distinct tokens of all."""
 
     by_class: np.ndarray
     distinct_by_class: np.ndarray
@@ -287,18 +286,18 @@ class Facts:
     def tokens(self) -> float:
         return self.by_class.sum()
 
+    def end_log_p(self, k: int) -> float:
+        return float(np.log(self.ends[k] / self.by_class[k])) if self.ends[k] else float(np.log(EMPTY_END))
 
-def class_prices(c: np.ndarray, spelled: np.ndarray, facts: Facts) -> np.ndarray:
-    """Natural log of P(word | class), a column per class; a class without training texts has its pieces alone."""
-    columns = []
-    for k, n in enumerate(facts.by_class):
-        if not facts.ends[k]:
-            columns.append(spelled[:, k])
-            continue
+    def prices(self, words: list[bytes], c: np.ndarray, vocab: lattice.Vocabulary, log_p: np.ndarray) -> np.ndarray:
+        """Log of P(word | class), a row per class, of words with their counts (a column per class)."""
+        known = self.ends > 0
+        n = np.where(known, self.by_class, 1.0)
         with np.errstate(divide="ignore"):
-            whole = np.log(np.maximum(c[:, k] - DISCOUNT, 0) / n)
-        columns.append(np.logaddexp(whole, np.log(DISCOUNT * facts.distinct_by_class[k] / n) + spelled[:, k]))
-    return np.stack(columns, axis=1)
+            spell = np.where(known, np.log(DISCOUNT * self.distinct_by_class / n), np.log(1 - EMPTY_END))
+            whole = np.where(known[:, None], np.log(np.maximum(c.T - DISCOUNT, 0) / n[:, None]), -np.inf)
+        closed = spell + np.array([_end_log_p(p) for p in log_p])
+        return lattice.log_likelihoods(_marked(words), vocab, log_p, into=closed, whole=whole)
 
 
 def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.DataFrame:
@@ -322,25 +321,11 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
     ends = facts.ends.sum()
     norm = facts.tokens + 0.5 * (facts.distinct + 1)
     base = np.log10((c + 0.5) / norm)
-    # How often the word came before in its text: its rank among the text's rows of that word.
-    key = text * np.int64(types) + local
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate(([True], np.diff(key[order]) != 0)) if len(order) else np.zeros(0, bool)
-    begin = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    before = np.empty(len(order), np.int64)
-    before[order] = np.arange(len(order)) - begin
-    del key, order, new, begin
-    again = np.flatnonzero(before)
-    place = np.arange(len(local)) - np.repeat(first[:-1], length)
-    spread = total(np.log(place + CACHE_MASS))
     some = np.flatnonzero(facts.ends) if ends else np.array([0])
     by_class = np.empty((len(some), rows))
     for row, k in enumerate(some):
-        token = (prices[:, k] + np.log(CACHE_MASS)).astype(float)[local]
-        token[again] = np.logaddexp(token[again], np.log(before[again]))
-        end = facts.ends[k] / facts.by_class[k] if ends else 1.0
-        share = (facts.ends[k] + 1) / (ends + len(some))
-        by_class[row] = total(token) - spread + np.log(CACHE_MASS * end / (length + CACHE_MASS)) + np.log(share)
+        share = facts.ends[k] / ends if ends else 1.0
+        by_class[row] = total(prices[:, k].astype(float)[local]) + facts.end_log_p(k) + np.log(share)
     top = by_class.max(axis=0)
     score = top + np.log(np.exp(by_class - top).sum(axis=0))
     return pd.DataFrame(

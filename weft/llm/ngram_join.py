@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from weft.llm.arrow import map_arrow
 from weft.llm import bitmaps
 from weft.llm.components import components
+from weft.llm.sums import summed
 from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
@@ -170,39 +171,22 @@ def _classes(words: int, table_bits: int):
 
 
 CLASS_SCHEMA = "id long, n int, low long, high long, bands array<long>, mark binary, chunk int, counts binary"
-#: Partial tables are summed within a task, then in so many groups of tasks, then over these.
-SUM_GROUPS = 64
-
-
-def _sum_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, counts) of a partition to one row for each chunk."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = np.frombuffer(counts.as_buffer(), np.int64)
-            sums[chunk] = sums[chunk] + x if chunk in sums else x
-    for chunk, counts in sums.items():
-        yield pa.record_batch([pa.array([chunk], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["chunk", "counts"])
 
 
 def frequencies(rows: DataFrame, table_bits: int) -> np.ndarray:
     """Level of each cell of the frequency table: 8 log2(1 + count), one byte.
 
-    The count bounds the number of texts with a shingle of the cell from above. Tables are summed in three steps, none
-    of which holds more than one table and one chunk of another: within a task, in groups of tasks, and over the groups.
-    What reaches the driver is one byte per cell.
+    The count bounds the number of texts with a shingle of the cell from above. What reaches the driver is one byte per cell.
     """
 
     def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _sum_tables(batches):
+        for batch in batches:
             packed = [np.rint(8 * np.log2(1.0 + np.frombuffer(x.as_buffer(), np.int64))).astype(np.uint8).tobytes() for x in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["chunk", "levels"])
 
-    kind = "chunk int, counts binary"
-    parts = rows.where("chunk IS NOT NULL").select("chunk", "counts").transform(map_arrow, _sum_tables, kind)
-    grouped = parts.repartition(F.col("chunk"), F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS))).transform(map_arrow, _sum_tables, kind)
+    parts = rows.where("chunk IS NOT NULL").select(F.col("chunk").alias("key"), F.col("counts").alias("values"))
     table = np.zeros((1 << (table_bits - CHUNK_BITS), 1 << CHUNK_BITS), np.uint8)
-    for row in grouped.repartition("chunk").transform(map_arrow, levels, "chunk int, levels binary").toLocalIterator():
+    for row in summed(parts, np.int64).transform(map_arrow, levels, "chunk int, levels binary").toLocalIterator():
         table[row["chunk"]] = np.frombuffer(row["levels"], np.uint8)
     return table.reshape(-1)
 
