@@ -179,15 +179,13 @@ def frequencies(rows: DataFrame, table_bits: int) -> np.ndarray:
     The count bounds the number of texts with a shingle of the cell from above. What reaches the driver is one byte per cell.
     """
 
-    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.rint(8 * np.log2(1.0 + np.frombuffer(x.as_buffer(), np.int64))).astype(np.uint8).tobytes() for x in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["chunk", "levels"])
+    def levels(counts: np.ndarray) -> np.ndarray:
+        return np.rint(8 * np.log2(1.0 + counts)).astype(np.uint8)
 
     parts = rows.where("chunk IS NOT NULL").select(F.col("chunk").alias("key"), F.col("counts").alias("values"))
     table = np.zeros((1 << (table_bits - CHUNK_BITS), 1 << CHUNK_BITS), np.uint8)
-    for row in summed(parts, np.int64).transform(map_arrow, levels, "chunk int, levels binary").toLocalIterator():
-        table[row["chunk"]] = np.frombuffer(row["levels"], np.uint8)
+    for row in summed(parts, np.int64, levels).toLocalIterator():
+        table[row["key"]] = np.frombuffer(row["values"], np.uint8)
     return table.reshape(-1)
 
 

@@ -35,9 +35,9 @@ from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 3 << 18
+CHUNK_BYTES = 1 << 19
 WALK_BYTES = 1 << 16
-#: A worker's lexicon is dropped when it has grown beyond this; a chunk adds at most some 50 bytes for each of its own.
+#: A task's lexicon begins again when it has grown beyond this; a chunk adds at most some 50 bytes for each of its own.
 LEXICON_BYTES = 64 << 20
 LATTICE_WORDS = 1_000
 CELL_BITS = 18
@@ -78,11 +78,16 @@ class Lexicon:
 
     def __init__(self, vocab: lattice.Vocabulary):
         self.vocab = vocab
+        for name, kind in self.ARRAYS:  # room for all that may be kept; memory is taken when it is written to
+            setattr(self, name, np.zeros((LEXICON_BYTES + 64 * CHUNK_BYTES) // np.dtype(kind).itemsize, kind))
+        self.cell = np.empty(1 << CELL_BITS, np.int32)
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin again without any word; frequent ones are soon back."""
         self.used = dict.fromkeys((name for name, _ in self.ARRAYS), 0)
-        for name, kind in self.ARRAYS:
-            setattr(self, name, np.zeros(1 << 12, kind))
         self._append("arc_of", np.zeros(1, np.int64))
-        self.cell = np.full(1 << CELL_BITS, -1, np.int32)
+        self.cell.fill(-1)
         self.known, self.number = np.zeros(0, U64), np.zeros(0, np.int32)
 
     def _append(self, name: str, values: np.ndarray) -> None:
@@ -326,13 +331,17 @@ def _sample_texts(lex: Lexicon, kind: np.ndarray, first: np.ndarray, keys: np.nd
         high[at_branch] = [x[4][1] for _, x in picked]
         node[at_branch] = np.searchsorted(lex.arc_of[: lex.used["arc_of"]], low[at_branch], "right") - 1
 
-    def steps(t: int, sample: int, until: int | None = None) -> np.ndarray:
-        up, begin, walk, a, b = paths[sample][t]
-        b = b if until is None else a + max(0, until - begin)
-        own = np.stack([walk.arc[a:b], walk.node[a:b]])
-        if up < 0:
-            return own
-        return np.concatenate([steps(t, up, begin if until is None else min(begin, until)), own], axis=1)
+    def steps(t: int, sample: int) -> np.ndarray:
+        """Arcs and nodes of a sample: its own steps behind those it took over. No recursion: a closure that refers to
+        itself would keep a block's walks until the cycle is found."""
+        parts, until = [], None
+        while sample >= 0:
+            up, begin, walk, a, b = paths[sample][t]
+            b = b if until is None else a + max(0, until - begin)
+            parts.append(np.stack([walk.arc[a:b], walk.node[a:b]]))
+            until = begin if until is None else min(begin, until)
+            sample = up
+        return np.concatenate(parts[::-1], axis=1)
 
     for sample in range(len(paths)):
         own = list(paths[sample])
@@ -399,8 +408,8 @@ def _encode(vocab_file: str, k: int, names: list[str]):
                 spaced = np.full(len(data) + rows, SPACE, np.uint8)
                 spaced[np.arange(len(data)) + np.repeat(np.arange(1, rows + 1), np.diff(at))] = data
                 begin = at + np.arange(rows + 1)
-                if lex.bytes > LEXICON_BYTES:  # begin again; frequent words are soon back
-                    lex = Lexicon(vocab)
+                if lex.bytes > LEXICON_BYTES:
+                    lex.forget()
                 found = sample_chunk(spaced, begin, keys[lo:hi], lex, k)
                 row, sample, pieces, size, log_prob, gumbel, inclusion = ([] for _ in range(7))
                 for t, samples in enumerate(found):

@@ -6,7 +6,7 @@ than one array of each of its keys and one more, however many tasks there were.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +31,18 @@ def add_up(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordB
         yield pa.record_batch([pa.array([key], schema.field(0).type), pa.array([values.tobytes()], pa.binary())], names=["key", "values"])
 
 
-def summed(parts: DataFrame, kind: type) -> DataFrame:
-    """One row (key, values) for each key of parts (key, values)."""
+def summed(parts: DataFrame, kind: type, finish: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """One row (key, values) for each key of parts (key, values), with `finish` of the sum if it is given."""
     schema = f"key {parts.schema['key'].dataType.simpleString()}, values binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return add_up(batches, kind)
 
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in add_up(batches, kind):
+            done = batch.column(1) if finish is None else pa.array([finish(np.frombuffer(x.as_buffer(), kind)).tobytes() for x in batch.column(1)], pa.binary())
+            yield pa.record_batch([batch.column(0), done], names=["key", "values"])
+
     own = parts.select("key", "values").transform(map_arrow, run, schema)
     grouped = own.repartition(F.col("key"), F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS))).transform(map_arrow, run, schema)
-    return grouped.repartition("key").transform(map_arrow, run, schema)
+    return grouped.repartition("key").transform(map_arrow, last, schema)
