@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Rows hold whole texts or sets, so batches are bounded by bytes; a larger row is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

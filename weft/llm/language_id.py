@@ -36,12 +36,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
-from weft.llm.sums import summed
+from weft.llm.sums import pack, summed, unpack
 from weft.llm.textops import LOWER, U64, blocks, mix
 from weft.workspace import Workspace
 
 TABLE_BITS = 16
 FIT_ROWS = 2000
+BROADCAST_IDS = 200_000
 SMOOTHING = 5.0
 MIN_POSTERIOR = 0.5
 
@@ -98,7 +99,10 @@ def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_
     for slices in (64, 1):  # the first ids of slices of a language, then those of the language: no task sorts all of a language
         within = Window.partitionBy(*of, F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(slices))).orderBy(*order)
         named = named.withColumn("__n", F.row_number().over(within)).where(F.col("__n") <= rows).drop("__n")
-    sample = labelled.join(named.distinct(), (F.col(id_col) == F.col("__id")) & (F.col(language_col).cast("string") == F.col("__language")), "left_semi")
+    named = named.distinct()
+    if named.count() <= BROADCAST_IDS:
+        named = F.broadcast(named)
+    sample = labelled.join(named, (F.col(id_col) == F.col("__id")) & (F.col(language_col).cast("string") == F.col("__language")), "left_semi")
     sample = sample.select(F.col(language_col).cast("string").alias("language"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,10 +115,10 @@ def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_
                     for slots in _slot_windows(data[at[i] : at[i + 1]], at[i : i + 2] - at[i]):
                         own += np.bincount(slots, minlength=1 << TABLE_BITS)
         for language, counts in sums.items():
-            yield pa.record_batch([pa.array([language]), pa.array([counts.tobytes()], pa.binary())], names=["key", "values"])
+            yield pa.record_batch([pa.array([language]), pa.array([pack(counts)], pa.binary())], names=["key", "values"])
 
     found = summed(sample.transform(map_arrow, count, "key string, values binary"), np.int64).toLocalIterator()
-    rows_of = {row["key"]: np.frombuffer(row["values"], np.int64) + 0.5 for row in found}
+    rows_of = {row["key"]: unpack(row["values"], np.int64) + 0.5 for row in found}
     languages = sorted(rows_of)
     table = np.zeros((len(languages), 1 << TABLE_BITS), np.float32)
     for k, name in enumerate(languages):

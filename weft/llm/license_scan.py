@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
-from weft.llm.sums import summed
+from weft.llm.sums import pack, summed, unpack
 from weft.llm.textops import LOWER, U64, blocks, hashed_words, prefix_sums, span_hash, spans
 from weft.workspace import Workspace
 
@@ -124,12 +124,12 @@ def idf(docs: DataFrame, terms: Terms, text_col: str) -> tuple[np.ndarray, float
                 pairs = np.unique(text[hit] * len(terms.hashes) + term[hit])
                 found[1:] += np.bincount(pairs % len(terms.hashes), minlength=len(terms.hashes))
                 found[0] += hi - lo
-        yield pa.record_batch([pa.array([0]), pa.array([found.tobytes()], pa.binary())], names=["key", "values"])
+        yield pa.record_batch([pa.array([0]), pa.array([pack(found)], pa.binary())], names=["key", "values"])
 
     parts = docs.select(text_col).transform(map_arrow, count, "key long, values binary")
     found = summed(parts, np.int64).collect()
-    n, df = (found[0][1][:8], found[0][1][8:]) if found else (bytes(8), bytes(8 * len(terms.hashes)))
-    n, df = int(np.frombuffer(n, np.int64)[0]), np.frombuffer(df, np.int64)
+    found = unpack(found[0]["values"], np.int64) if found else np.zeros(1 + len(terms.hashes), np.int64)
+    n, df = int(found[0]), found[1:]
     return np.log((n + 1) / (df + 1)) + 1, float(np.log(n + 1) + 1)
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.arrow import map_arrow
 from weft.llm import lattice
-from weft.llm.sums import summed
+from weft.llm.sums import pack, summed, unpack
 from weft.llm.textops import LOWER, blocks, hashed_words
 from weft.workspace import Workspace
 
@@ -146,14 +146,14 @@ def piece_log_p(words: DataFrame, vocab_file: str, classes: int) -> np.ndarray:
                     own = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
                     total[k, 1:] += lattice.expected_counts([found[i] for i in own], vocab, shared.value[k])
                     total[k, 0] += len(own)
-            yield pa.record_batch([pa.array(range(classes)), pa.array([t.tobytes() for t in total], pa.binary())], names=["key", "values"])
+            yield pa.record_batch([pa.array(range(classes)), pa.array([pack(t) for t in total], pa.binary())], names=["key", "values"])
 
         return run
 
     for _ in range(EM_STEPS):
         partial = words.select("word", *_columns(classes)).transform(map_arrow, counted(spark.sparkContext.broadcast(log_p)), "key long, values binary")
         for row in summed(partial, np.float64).collect():
-            found = np.frombuffer(row["values"], np.float64)
+            found = unpack(row["values"], np.float64)
             if found[0]:
                 counts = found[1:] + PIECE_FLOOR * (start > -np.inf)
                 with np.errstate(divide="ignore"):

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from weft.llm.arrow import map_arrow
 from weft.llm import bitmaps
 from weft.llm.components import components
-from weft.llm.sums import summed
+from weft.llm.sums import pack, summed, unpack
 from weft.llm.textops import LOWER, U64, blocks, mix, word_hashes
 from weft.workspace import Workspace
 
@@ -60,6 +60,7 @@ BYTES_PER_CELL, FREQUENCY_BITS = 256, (19, 24)
 UNKNOWN_BYTES = 1 << 60
 CHUNK_BITS = 14
 SHORT_TILE = 16
+POSTING_ROWS = 25_000  # of an Arrow batch, 1 MB
 TILE_ROWS = 4096
 SIGNATURE_MIN, SIGNATURE_MAX = 64, 1 << 16
 _ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=U64)) | U64(1)
@@ -163,7 +164,7 @@ def _classes(words: int, table_bits: int):
             yield pa.record_batch(
                 [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                  pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.binary()), pa.array(some, pa.int32()),
-                 pa.array([parts[i].astype(np.int64).tobytes() for i in some], pa.binary())],
+                 pa.array([pack(parts[i].astype(np.int64)) for i in some], pa.binary())],
                 names=["id", "n", "low", "high", "bands", "mark", "chunk", "counts"],
             )
 
@@ -185,7 +186,7 @@ def frequencies(rows: DataFrame, table_bits: int) -> np.ndarray:
     parts = rows.where("chunk IS NOT NULL").select(F.col("chunk").alias("key"), F.col("counts").alias("values"))
     table = np.zeros((1 << (table_bits - CHUNK_BITS), 1 << CHUNK_BITS), np.uint8)
     for row in summed(parts, np.int64, levels).toLocalIterator():
-        table[row["key"]] = np.frombuffer(row["values"], np.uint8)
+        table[row["key"]] = unpack(row["values"], np.uint8)
     return table.reshape(-1)
 
 
@@ -232,7 +233,7 @@ def _tiles(shared):
             length = np.array([len(x) for x in items], np.int64)
             lo = 0
             while lo < len(ids):
-                hi = max(lo + 1, int(np.searchsorted(np.cumsum(length[lo:]), 200_000, "right")) + lo)
+                hi = max(lo + 1, int(np.searchsorted(np.cumsum(length[lo : lo + POSTING_ROWS]), POSTING_ROWS, "right")) + lo)
                 own = length[lo:hi]
                 tile = np.concatenate(items[lo:hi])
                 place = np.arange(len(tile)) - np.repeat(np.cumsum(own) - own, own)
@@ -355,7 +356,7 @@ def _dense(percent: int, forest: bool):
         order = np.lexsort((ids, n))
         own, ids, comps, n, pos = own[order], ids[order], comps[order], n[order], pos[order]
         size = np.array([len(marks[i]) for i in order])
-        out = [[], []]
+        out, held = [[], []], 0
         upto = np.searchsorted(n, n * 100 // percent, "right")
         root = np.unique(comps, return_inverse=True)[1]
         for width in np.unique(size):
@@ -381,6 +382,10 @@ def _dense(percent: int, forest: bool):
                         root[np.isin(root, met)] = root[k]
                     out[0].append(np.minimum(ids[j], ids[k]))
                     out[1].append(np.maximum(ids[j], ids[k]))
+                    held += len(j)
+                if held >= 50_000:
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["a", "b"])
+                    out, held = [[], []], 0
         if out[0]:
             yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["a", "b"])
 
