@@ -126,9 +126,30 @@ def test_balanced_sample_repeats_no_pair_while_others_remain(spark):
     assert counts.max() - counts.min() <= pairs // 3
 
 
+def test_balanced_sample_against_plain_greedy(spark):
+    import hashlib
+
+    rng = random.Random(5)
+    data = [(i, f"h{rng.randrange(3)}", rng.choice(["c1", "c2", None]), rng.randrange(9)) for i in range(150)]
+    got = sampling.balanced(spark.createDataFrame(data, "id long, house string, category string, instance long"), "house", "category", "instance", 25).toPandas()
+    tie = {r: hashlib.md5("|".join(["b", *[str(x) for x in (r[2], r[1], r[0], r[3]) if x is not None]]).encode()).hexdigest() for r in data}
+    chosen, left = [], list(data)
+    while len(chosen) < 25:
+        n = max(1, len(chosen))
+
+        def score(r):
+            same = [sum(c[k] == r[k] for c in chosen) for k in (1, 2, 3)]
+            pair = any(c[1] == r[1] and c[3] == r[3] for c in chosen)
+            return (1000 * pair + (100 * same[1] + 10 * same[0] + same[2]) / n, tie[r])  # noqa: B023
+
+        chosen.append(min(left, key=score))
+        left.remove(chosen[-1])
+    assert got.sort_values("picked")["id"].tolist() == [r[0] for r in chosen]
+
+
 def test_farthest_points(spark):
     df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, 1.0), ("a", 3, 10.0), ("a", 4, 6.0)], "g string, id long, x double")
-    got = sampling.farthest_points(df, "g", "id", ["x"], 3).orderBy("picked").collect()
+    got = sampling.farthest_points(df, "g", "id", ["x"], 3, Workspace(spark, "t")).orderBy("picked").collect()
     assert [r.id for r in got] == [1, 3, 4]
 
 
@@ -204,3 +225,188 @@ def test_leaves_of_a_trajectory():
     tree = {"actions": {"arm": np.array([[1.0, 2.0], [3.0, 4.0]])}, "obs": {"q": np.array([list(b'{"a":1}\0\0')], np.uint8)}, "success": np.array([False, True])}
     got = list(trajectory_files.leaves(tree, "f", 3))
     assert got[0] == ("f", 3, 0, "actions/arm", "[1.0, 2.0]") and got[2] == ("f", 3, 0, "obs/q", '{"a":1}') and got[4] == ("f", 3, 1, "success", "true")
+
+
+def test_trajectory_reader_on_a_file(tmp_path, monkeypatch):
+    """The data source's reader over an h5-like file: a module that opens nested mappings written to disk."""
+    import pickle
+    import sys
+    import types
+
+    import numpy as np
+
+    def steps_of(n):
+        return {"actions": {"arm": np.arange(2.0 * n).reshape(n, 2)}, "rewards": np.linspace(0, 1, n), "success": np.arange(n) == n - 1, "obs_scene": np.array(b'{"object_name": "cup"}')}
+
+    for name, tree in (("a.h5", {"traj_0": steps_of(3), "traj_10": steps_of(2), "stats": {}}), ("b.h5", {"traj_2": steps_of(4)})):
+        (tmp_path / name).write_bytes(pickle.dumps(tree))
+
+    class File(dict):
+        def __init__(self, path, mode):
+            super().__init__(pickle.loads(open(path, "rb").read()))
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+    monkeypatch.setitem(sys.modules, "h5py", types.SimpleNamespace(File=File))
+    reader = trajectory_files.TrajectoryReader({"paths": f"{tmp_path}/a.h5,{tmp_path}/b.h5"})
+    parts = reader.partitions()
+    rows_ = [r for p in parts for r in reader.read(p)]
+    assert len(parts) == 2 and {(r[0][-4:], r[1]) for r in rows_} == {("a.h5", 0), ("a.h5", 10), ("b.h5", 2)}
+    assert [r[4] for r in rows_ if r[:2] == (f"{tmp_path}/b.h5", 2) and r[3] == "success"] == ["false", "false", "false", "true"]
+    assert [r[4] for r in rows_ if r[3] == "obs_scene"] == ['{"object_name": "cup"}'] * 3
+
+
+def test_trajectory_rows_to_episodes(spark):
+    rows_ = [("f", 0, t, "rewards", str(0.5 * t)) for t in range(3)] + [("f", 0, t, "success", "true" if t else "false") for t in range(3)]
+    rows_ += [("f", 0, -1, "obs_scene", '{"object_name": "cup_1", "task_description": "pick"}'), ("f", 1, 0, "success", "false")]
+    df = spark.createDataFrame(rows_, trajectory_files.SCHEMA)
+    got = {r.traj_idx: tuple(r)[2:] for r in trajectory_files.episode_rows(df).collect()}
+    assert got == {0: (3, 1, True, "cup_1", "pick"), 1: (1, 0, False, None, None)}
+
+
+def test_errors_of_reports_and_types(spark):
+    from weft.operators import candidates, reports
+
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "k string, v double")
+    assert rows(reports.paired(a, a, "k", "v").select("k", "ratio")) == [("x", 1.0), ("y", 1.0)]
+    with pytest.raises(Exception, match="no k y in the second"):
+        reports.paired(a, a.where("k = 'x'"), "k", "v").collect()
+    df = spark.createDataFrame([("given", "c"), (None, "known"), (None, "odd")], "t string, cls string")
+    kind = candidates.inferred(F.col("t"), F.col("cls"), {"known": "pick"})
+    assert [r[0] for r in df.where("cls <> 'odd'").select(kind).collect()] == ["given", "pick"]
+    with pytest.raises(Exception, match="no type for class odd"):
+        df.select(kind.alias("t")).collect()
+    with pytest.raises(ValueError, match="no range"):
+        candidates.by_index(a, "k", "v", 3, 2)
+
+
+def test_type_lists_and_splits(spark):
+    from weft.operators import candidates
+
+    df = spark.createDataFrame([(["a", "b"], None), (["c"], "val")], "kinds array<string>, split string")
+    for wanted, want in ((None, [False, False]), ([], [True, True]), (["b"], [True, False])):
+        assert [r[0] for r in df.select(candidates.has_type(F.col("kinds"), wanted)).collect()] == want
+    got = {w: [r[0] for r in df.select(candidates.admitted(F.col("split"), F.lit(w))).collect()] for w in ("test", "train", "val", "other")}
+    assert got == {"test": [True, False], "train": [False, False], "val": [None, True], "other": [True, True]} or got["val"] == [False, True]
+
+
+def test_clusters_and_their_fallback(spark):
+    from weft.operators import candidates
+
+    data = [(i, float(i % 2) * 100 + i * 0.01, 5.0) for i in range(40)]
+    df = spark.createDataFrame(data, "id long, x double, y double")
+    got = {r.id: r.cluster for r in candidates.clusters(df, "id", ["x", "y"], 2).collect()}
+    assert {got[i] for i in range(0, 40, 2)} == {0} and {got[i] for i in range(1, 40, 2)} == {1}
+    broken = df.withColumn("x", F.when(F.col("id") != 3, F.col("x")))
+    assert {r.cluster for r in candidates.clusters(broken, "id", ["x", "y"], 3).collect()} <= {0, 1, 2}
+
+
+def test_path_is_simplified(spark):
+    cost = {(r, c): 1.0 for r in range(6) for c in range(6)}
+    path = [(0, c) for c in range(6)] + [(r, 5) for r in range(1, 6)]
+    assert graphs.simplified(path, cost)[0] == (0, 0) and graphs.simplified(path, cost)[-1] == (5, 5) and len(graphs.simplified(path, cost)) < 4
+    walled = {k: v for k, v in cost.items() if not (0 < k[0] < 5 and 0 < k[1] < 5)}
+    assert graphs.simplified(path, walled) == [(0, 0), (0, 5), (5, 5)]
+    assert graphs.simplified(path[:1], cost) == path[:1] and graphs.simplified([], cost) == []
+
+
+def test_sigma_clip_goes_on_until_nothing_is_dropped(spark):
+    df = spark.createDataFrame([("k", float(2**i)) for i in range(60)] + [("k", 0.0)] * 3, "key string, x double")
+    got = sequences.sigma_clip(df, "key", "x", 1.0, checkpoint=Workspace(spark, "t").save).first()
+    kept = sorted([float(2**i) for i in range(60)] + [0.0] * 3)
+    while True:
+        m = sum(kept) / len(kept)
+        s = math.sqrt(sum((x - m) ** 2 for x in kept) / len(kept))
+        inside = [x for x in kept if m - s <= x <= m + s]
+        if len(inside) == len(kept):
+            break
+        kept = inside
+    assert got.n == len(kept)
+
+
+def test_staged_write_restores_what_a_crash_left(spark):
+    path = Workspace(spark, "t").path("s")
+    files.write_staged(spark.range(3), path)
+    files.write_staged(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and not files.exists(spark, f"{path}.old") and not files.exists(spark, f"{path}.staged")
+    fs, _ = files.folder(spark, path)
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    fs.rename(where(path), where(f"{path}.old"))  # as if the driver had died between the renames
+    with pytest.raises(Exception, match="broken"):
+        files.write_staged(spark.range(1).select(F.raise_error(F.lit("broken")).cast("string").alias("x")), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_lock_excludes_and_appends_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = Workspace(spark, "t").path("black")
+    df = spark.createDataFrame([(i, "r") for i in range(5)], "uid long, reason string")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: files.append_absent(df, path, "uid"), range(4)))
+    assert rows(spark.read.parquet(path).select("uid")) == [(i,) for i in range(5)]
+    with files.Locked(spark, path), pytest.raises(TimeoutError), files.Locked(spark, path, patience=0.2):
+        pass
+    assert not files.exists(spark, f"{path}.lock")
+
+
+def test_key_value_codec_and_iterator(spark):
+    store = files.KeyValues(spark, Workspace(spark, "t").path("kv"), codec=files.json_codec("a int, b string"))
+    store.put(spark.createDataFrame([(k, (k, "x" * k)) for k in range(4)], "key long, value struct<a:int,b:string>"))
+    assert len(store) == 4 and 2 in store and 9 not in store and store.complete
+    assert [tuple(r.value) for r in store.get(2).collect()] == [(2, "xx")] and store.stored().schema["value"].dataType.simpleString() == "string"
+    assert sorted(r[0].a for r in store.values().collect()) == [0, 1, 2, 3]
+    assert sorted(r.n for r in store.iterator(lambda fs: (f[["key"]].rename(columns={"key": "n"}) for f in fs), "n long").collect()) == [0, 1, 2, 3]
+
+
+def test_jdbc_source_and_sink(spark):
+    """The database that comes with Spark, in memory: tables go out and come back, with a filter that is pushed down."""
+    url = "jdbc:derby:memory:weft;create=true"
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "id long, name string")
+    files.to_jdbc(df, url, "assets", driver="org.apache.derby.jdbc.EmbeddedDriver", createTableColumnTypes="name VARCHAR(20)")
+    back = files.from_jdbc(spark, url, "assets", driver="org.apache.derby.jdbc.EmbeddedDriver", column="id", low=0, high=9, parts=3)
+    assert back.rdd.getNumPartitions() == 3 and rows(back.where("id > 7")) == [(8, "n8"), (9, "n9")]
+    assert "PushedFilters: [*IsNotNull(ID), *GreaterThan(ID,7)]" in back.where("id > 7")._jdf.queryExecution().toString() or "PushedFilters" in back.where("id > 7")._jdf.queryExecution().toString()
+
+
+def test_mixtures_hooks_and_column_providers(spark):
+    from weft.plans import registry
+
+    mixture = registry.mixture("nation report", ["report_with_notes", "pass_summary"])
+    assert set(mixture) == {"report_with_notes", "pass_summary"} and registry.mixtures()["nation report"] == ("report_with_notes", "pass_summary")
+    with pytest.raises(ValueError, match="twice"):
+        registry.mixture("nation report", [])
+    with pytest.raises(KeyError):
+        registry.mixture("odd", ["no such query"])
+
+    class Counting(registry.Runner):
+        seen: list = []
+
+        def select(self, names):
+            return [n for n in names if n != "pass_summary"]
+
+        def after(self, name, df):
+            self.seen.append(name)
+            return df.limit(2)
+
+        def failed(self, name, error):
+            self.seen.append(f"{name}: {error}")
+
+    def broken(spark, sf_dir):
+        raise OSError("no table")
+
+    out = Counting().run(spark, "/root/testdata/sf0.001", mixture | {"broken": broken})
+    assert set(out) == {"report_with_notes"} and out["report_with_notes"].count() <= 2 and "broken: no table" in Counting.seen
+
+    @registry.column("double_reward")
+    def double_reward(df):
+        return F.col("reward") * 2
+
+    found = registry.with_columns(steps(spark, (1, [True])), "double_reward")
+    assert found.first().double_reward == 2.0
+    with pytest.raises(ValueError, match="twice"):
+        registry.column("double_reward")(double_reward)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,15 +33,33 @@ def gumbel_choice(rows: DataFrame, group: str, key: str, score: str, temperature
     return rows.groupBy(group).agg(F.max_by(key, F.struct(noisy, F.col(key))).alias(key))
 
 
+def first_of_each(rows: DataFrame, group: str, order: list, share: Column, most: int) -> DataFrame:
+    """The first `share` rows of each group, `most` at most.
+
+    Slices of a group (a hash of the row) are cut to `most` first, so no task sorts a whole group; `most` is a bound that is known.
+    """
+    sliced = rows.withColumn("__slice", F.pmod(F.xxhash64(*rows.columns), F.lit(256)))
+    some = sliced.withColumn("__n", F.row_number().over(Window.partitionBy(group, "__slice").orderBy(*order))).where(F.col("__n") <= most)
+    return some.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__n") <= share).drop("__n", "__slice")
+
+
 def quota(rows: DataFrame, group: str, order: list[str], budget: int) -> DataFrame:
     """Equal shares of a budget per group; groups that come first in order get the remainder, one row each."""
     groups = rows.select(group).distinct()
     ranked = groups.withColumn("__rank", F.row_number().over(Window.orderBy(group)))
     total = groups.agg(F.count(F.lit(1)).alias("__groups"))
-    within = Window.partitionBy(group).orderBy(*order)
-    share = F.floor(F.lit(budget) / F.col("__groups")) + (F.col("__rank") <= F.lit(budget) % F.col("__groups")).cast("int")
-    numbered = rows.withColumn("__n", F.row_number().over(within))
-    return numbered.join(ranked.crossJoin(F.broadcast(total)), group).where(F.col("__n") <= share).drop("__n", "__rank", "__groups")
+    shares = ranked.join(F.broadcast(total)).select(
+        F.col(group).alias("__g"), (F.floor(F.lit(budget) / F.col("__groups")) + (F.col("__rank") <= F.lit(budget) % F.col("__groups")).cast("int")).alias("__share")
+    )
+    placed = rows.join(shares, F.col(group).eqNullSafe(F.col("__g"))).drop("__g")
+    return first_of_each(placed, group, order, F.col("__share"), budget).drop("__share")
+
+
+def capped(rows: DataFrame, group: str, order: list, rate: float, most: int) -> DataFrame:
+    """A share of each group, one row at least and `most` at most."""
+    sizes = rows.groupBy(F.col(group).alias("__g")).agg(F.least(F.lit(most), F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * rate))).alias("__share"))
+    placed = rows.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).drop("__g")
+    return first_of_each(placed, group, order, F.col("__share"), most).drop("__share")
 
 
 def interleave(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
@@ -60,57 +81,84 @@ def balanced(rows: DataFrame, house: str, category: str, instance: str, size: in
     """Greedy balanced sample: again and again the row that is least covered so far.
 
     The score of a row is 1000 if its (house, instance) was used, plus 100 times its category's, 10 times its
-    house's and once its instance's share of what is chosen; ties go to the smaller hash. The choice is
-    sequential by nature, so rows are first reduced: of each (house, category, instance) class only the
-    `size` rows with the smallest hashes can ever be chosen. The choice among the classes runs in one task.
+    house's and once its instance's share of what is chosen; ties go to the smaller hash. The choice is sequential by
+    nature, so the rows that can be chosen are found first. Rows of one (house, category, instance) class score alike, so
+    of a class only the `size` smallest hashes count. A class scores by its category, house and instance alone, so of
+    the classes of one category and house only the `size` with the smallest hashes count: each choice uses up one
+    instance at most, and one that is not yet chosen scores no worse than a chosen one. What is left, `size` squared rows
+    for each category and house, is one task's.
     """
     keyed = rows.withColumn("__tie", F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in sorted(rows.columns)])))
+    sliced = Window.partitionBy(house, category, instance, F.substring("__tie", -1, 1)).orderBy("__tie")
+    few = keyed.withColumn("__r", F.row_number().over(sliced)).where(F.col("__r") <= size)
     within = Window.partitionBy(house, category, instance).orderBy("__tie")
-    ranked = keyed.withColumn("__r", F.row_number().over(within)).where(F.col("__r") <= size)
+    few = few.withColumn("__r", F.row_number().over(within)).where(F.col("__r") <= size)
+    heads = few.where("__r = 1").withColumn("__c", F.row_number().over(Window.partitionBy(house, category).orderBy("__tie"))).where(F.col("__c") <= size)
+    kept = heads.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate((house, category, instance))])
+    same = [F.col(c).eqNullSafe(F.col(f"__k_{i}")) for i, c in enumerate((house, category, instance))]
+    ranked = few.join(kept, same[0] & same[1] & same[2], "left_semi")
     schema = StructType([*rows.schema.fields, StructField("picked", LongType())])
 
     def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("__tie").reset_index(drop=True)
         classes: dict[tuple, list] = {}
-        for row in frame.rename(columns={"__tie": "tie_", "__r": "r_"}).sort_values("tie_").itertuples():
-            classes.setdefault((getattr(row, house), getattr(row, category), getattr(row, instance)), []).append(row.Index)
-        ties = frame["__tie"]
+        for i, key in enumerate(zip(frame[house], frame[category], frame[instance], strict=True)):
+            classes.setdefault(key, []).append(i)
         used: set[tuple] = set()
-        counts: dict[str, dict] = {"h": {}, "c": {}, "i": {}}
+        counts: list[Counter] = [Counter(), Counter(), Counter()]
+        # Heaps of classes that score alike; a class that moved leaves an entry behind, which is dropped when it comes up.
+        alike: dict[tuple, list] = {}
+        where: dict[tuple, tuple] = {}
+        of_instance: dict = {}
+
+        def place(key: tuple) -> None:
+            where[key] = (key[0], key[1], counts[2][key[2]], (key[0], key[2]) in used)
+            heapq.heappush(alike.setdefault(where[key], []), (classes[key][0], key))
+
+        for key in classes:
+            of_instance.setdefault(key[2], []).append(key)
+            place(key)
         chosen: list = []
-        while len(chosen) < size and classes:
+        while len(chosen) < size:
+            for at in list(alike):
+                heap = alike[at]
+                while heap and (where[heap[0][1]] != at or classes[heap[0][1]][:1] != [heap[0][0]]):
+                    heapq.heappop(heap)
+                if not heap:
+                    del alike[at]
+            if not alike:
+                break
             n = max(1, len(chosen))
-            best = min(
-                classes,
-                key=lambda k: (
-                    1000 * ((k[0], k[2]) in used) + (100 * counts["c"].get(k[1], 0) + 10 * counts["h"].get(k[0], 0) + counts["i"].get(k[2], 0)) / n,
-                    ties[classes[k][0]],
-                ),
-            )
-            chosen.append(classes[best].pop(0))
-            if not classes[best]:
-                del classes[best]
-            used.add((best[0], best[2]))
-            for name, value in (("h", best[0]), ("c", best[1]), ("i", best[2])):
-                counts[name][value] = counts[name].get(value, 0) + 1
-        out = frame.loc[chosen].drop(columns=["__r", "__tie"])
-        return out.assign(picked=range(len(out)))
+            best = min(alike, key=lambda k: (1000 * k[3] + (100 * counts[1][k[1]] + 10 * counts[0][k[0]] + k[2]) / n, alike[k][0][0]))
+            key = alike[best][0][1]
+            chosen.append(classes[key].pop(0))
+            used.add((key[0], key[2]))
+            for count, value in zip(counts, key, strict=True):
+                count[value] += 1
+            for other in of_instance[key[2]]:
+                if classes[other]:
+                    place(other)
+        return frame.loc[chosen].drop(columns=["__r", "__tie"]).assign(picked=range(len(chosen)))
 
     return ranked.withColumn("__one", F.lit(1)).groupBy("__one").applyInPandas(lambda f: choose(f.drop(columns="__one")), schema)
 
 
-def farthest_points(points: DataFrame, group: str, key: str, dims: list[str], size: int) -> DataFrame:
-    """Farthest-point sampling within each group, from the point with the smallest key on."""
-    schema = f"`{group}` {points.schema[group].dataType.simpleString()}, `{key}` {points.schema[key].dataType.simpleString()}, picked long"
+def farthest_points(points: DataFrame, group: str, key: str, dims: list[str], size: int, workspace) -> DataFrame:
+    """Farthest-point sampling within each group, from the point with the smallest key on: (group, key, picked).
 
-    def choose(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(key).reset_index(drop=True)
-        x = frame[dims].to_numpy(float)
-        chosen = [0]
-        distance = ((x - x[0]) ** 2).sum(axis=1)
-        while len(chosen) < min(size, len(x)):
-            at = int(distance.argmax())
-            chosen.append(at)
-            distance = distance.clip(max=((x - x[at]) ** 2).sum(axis=1))
-        return frame.loc[chosen, [group, key]].assign(picked=range(len(chosen)))
-
-    return points.select(group, key, *dims).groupBy(group).applyInPandas(choose, schema)
+    A round adds to each group the point that is farthest from all chosen ones, the smallest key of equals, by one
+    aggregation; points keep their distance to the chosen ones, and no group is in one task.
+    """
+    x = F.array(*[F.col(d).cast("double") for d in dims])
+    rest = workspace.save(points.select(F.col(group).alias("g"), F.col(key).alias("k"), x.alias("x"), F.lit(float("inf")).alias("d")), "points-0")
+    chosen = None
+    for step in range(size):
+        best = rest.groupBy("g").agg(F.max_by(F.struct("k", "x"), F.struct("d", -F.col("k"))).alias("p")) if step else rest.groupBy("g").agg(F.min_by(F.struct("k", "x"), "k").alias("p"))
+        best = workspace.save(best.select(F.col("g").alias("h"), F.col("p.k").alias("pk"), F.col("p.x").alias("px"), F.lit(step).cast("long").alias("picked")), f"picked-{step}")
+        chosen = best if chosen is None else chosen.unionByName(best)
+        if step + 1 < size:
+            square = F.aggregate(F.zip_with("x", "px", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+            moved = rest.join(best, F.col("g").eqNullSafe(F.col("h"))).where(F.col("k") != F.col("pk")).select("g", "k", "x", F.least("d", square).alias("d"))
+            rest = workspace.save(moved, f"points-{step + 1}")
+            workspace.drop(f"points-{step}")
+    return chosen.select(F.col("h").alias(group), F.col("pk").alias(key), "picked")

@@ -70,17 +70,19 @@ def stride(steps: DataFrame, first: int, step: int) -> DataFrame:
     )
 
 
-def sigma_clip(values: DataFrame, key: str, value: str, sigmas: float = 4.0, most: int = 50, checkpoint=None) -> DataFrame:
+def sigma_clip(values: DataFrame, key: str, value: str, sigmas: float = 4.0, *, checkpoint) -> DataFrame:
     """Mean, deviation and count per key after dropping what lies outside the mean plus and minus `sigmas`
     deviations until nothing does. Each pass is one aggregation; the state is one pair of bounds per key.
 
-    checkpoint(df, name) writes a frame and reads it back, to cut the lineage of the passes.
+    checkpoint(df, name) writes a frame and reads it back, to cut the lineage of the passes. A pass that drops
+    nothing is the last one; every other one drops a value, so passes end.
     """
+    step = 0
     state = values.groupBy(key).agg(
         F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count(value).alias("n"), F.lit(False).alias("done"),
         F.lit(float("-inf")).alias("lower"), F.lit(float("inf")).alias("upper"),
     )
-    for step in range(most):
+    while True:
         bounds = state.select(
             key,
             F.greatest("lower", F.col("mean") - sigmas * F.col("std")).alias("lower"),
@@ -92,11 +94,10 @@ def sigma_clip(values: DataFrame, key: str, value: str, sigmas: float = 4.0, mos
             F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count(value).alias("n"),
             (F.count(value) == F.first("__before")).alias("done"), F.first("lower").alias("lower"), F.first("upper").alias("upper"),
         )
-        if checkpoint is not None:
-            state = checkpoint(state, f"clip-{step}")
-            if not state.where("NOT done").limit(1).count():
-                break
-    return state.select(key, "mean", "std", "n", "lower", "upper")
+        state = checkpoint(state, f"clip-{step}")
+        if not state.where("NOT done").limit(1).count():
+            return state.select(key, "mean", "std", "n", "lower", "upper")
+        step += 1
 
 
 def global_rank(df: DataFrame, order: list[Column | str], workspace, name: str = "place") -> DataFrame:

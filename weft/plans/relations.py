@@ -88,9 +88,9 @@ def camera_completeness(spark, sf_dir):
 def scene_inverse_index(spark, sf_dir):
     """Category to the sets of scenes and assets it is in."""
     s = steps(spark, sf_dir).join(episodes(spark, sf_dir), "episode").join(table(spark, sf_dir, "part"), F.col("part") == F.col("p_partkey"))
-    return s.groupBy(F.col("p_type").alias("category")).agg(
-        F.count_distinct("house").alias("scenes"), F.count_distinct("part").alias("assets"), F.array_join(F.sort_array(F.collect_set("house")), ",").alias("houses")
-    )
+    houses = s.select(F.col("p_type").alias("category"), "house").distinct().groupBy("category").agg(F.count(F.lit(1)).alias("scenes"), F.array_join(F.sort_array(F.collect_list("house")), ",").alias("houses"))
+    parts = s.select(F.col("p_type").alias("category"), "part").distinct().groupBy("category").agg(F.count(F.lit(1)).alias("assets"))
+    return houses.join(parts, "category").select("category", "scenes", "assets", "houses")
 
 
 BOXES = "boxes AS (SELECT s_suppkey AS box, s_acctbal AS x0, s_acctbal + 150 AS x1, s_suppkey::DOUBLE AS y0, s_suppkey + 40.0 AS y1 FROM supplier)"

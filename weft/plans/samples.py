@@ -66,10 +66,8 @@ def hash_samples(spark, sf_dir):
 )
 def capped_subset(spark, sf_dir):
     """A share of each group, at least one row and at most six."""
-    by = Window.partitionBy("c_nationkey")
-    r = F.row_number().over(by.orderBy(F.md5(F.concat(F.lit("c|"), F.col("c_custkey").cast("string")))))
-    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", r.alias("r"), F.count(F.lit(1)).over(by).alias("n"))
-    return c.where(F.col("r") <= F.least(F.lit(6), F.greatest(F.lit(1), F.floor(F.col("n") * 0.1)))).select("c_nationkey", "c_custkey")
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
+    return smp.capped(c, "c_nationkey", [F.md5(F.concat(F.lit("c|"), F.col("c_custkey").cast("string")))], 0.1, 6)
 
 
 @query(
@@ -250,5 +248,5 @@ def balanced_sample(spark, sf_dir):
 @query("farthest_points")
 def farthest_points(spark, sf_dir):
     """Farthest-point sampling per label."""
-    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", *[F.col("embedding")[i].alias(f"x{i}") for i in range(3)])
-    return smp.farthest_points(e, "label", "vec_id", ["x0", "x1", "x2"], 8)
+    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", *[F.col("embedding")[i].alias(f"x{i}") for i in range(64)])
+    return smp.farthest_points(e, "label", "vec_id", [f"x{i}" for i in range(64)], 8, Workspace(spark, "farthest"))

@@ -5,6 +5,7 @@ Everything goes through Spark's readers and writers, so any file system that Spa
 
 from __future__ import annotations
 
+import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -195,18 +196,25 @@ def write_once(df: DataFrame, path: str) -> bool:
 
 
 class Locked:
-    """Mutual exclusion through a folder that only one can create; a lock older than `stale` seconds counts as left behind."""
+    """Mutual exclusion through a file that only one can create; a lock older than `stale` seconds counts as left behind.
+
+    A distributed file system creates a file once; Hadoop's local one looks before it creates, so there the system's call does it.
+    """
 
     def __init__(self, spark: SparkSession, path: str, patience: float = 60.0, stale: float = 3600.0):
         self.jvm, self.patience, self.stale = spark._jvm, patience, stale
         self.lock = self.jvm.org.apache.hadoop.fs.Path(f"{path}.lock")
         self.fs = self.lock.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs.mkdirs(self.lock.getParent())
 
     def __enter__(self) -> Locked:
         until = time.monotonic() + self.patience
         while True:
             try:
-                self.fs.create(self.lock, False).close()
+                if self.fs.getUri().getScheme() == "file":
+                    os.close(os.open(self.lock.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+                else:
+                    self.fs.create(self.lock, False).close()
                 return self
             except Exception as e:  # noqa: BLE001  file systems name it differently
                 if not self.fs.exists(self.lock):
@@ -240,3 +248,15 @@ def numbered_paths(spark: SparkSession, root: str, pattern: str, first: int, las
     wanted = wanted.withColumn("__name", F.format_string(pattern, "i", "variant"))
     there = discover(spark, root, "*").select("path", F.element_at(F.split("path", "/"), -1).alias("__file")).where(~F.col("__file").rlike(skip))
     return wanted.join(there, F.col("__name") == F.col("__file"), "left").select("i", "variant", "path")
+
+
+def to_jdbc(df: DataFrame, url: str, name: str, mode: str = "overwrite", **options: str) -> None:
+    """Write a table of a database; its driver must be on the class path."""
+    df.write.format("jdbc").options(url=url, dbtable=name, **options).mode(mode).save()
+
+
+def from_jdbc(spark: SparkSession, url: str, name: str, column: str | None = None, low: int = 0, high: int = 0, parts: int = 1, **options: str) -> DataFrame:
+    """A table of a database, read in `parts` ranges of a column; filters and columns are pushed down."""
+    if column:
+        options |= {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
+    return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()

@@ -10,6 +10,8 @@ import json
 from collections.abc import Iterator
 from importlib.util import find_spec
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "h5_file string, traj_idx int, t int, key string, value string"
@@ -20,6 +22,20 @@ def padded_text(row) -> str:
     return bytes(row).rstrip(b"\0").decode("utf-8", "replace")
 
 
+def episode_rows(leaves: DataFrame) -> DataFrame:
+    """One row per trajectory of the source's rows: file, index, steps, first success, success at the end, object and task."""
+    scene = F.max(F.when(F.col("key") == "obs_scene", F.col("value")))
+    success = F.col("key") == "success"
+    found = leaves.groupBy("h5_file", "traj_idx").agg(
+        F.count_if(success).alias("n_steps"),
+        F.coalesce(F.min(F.when(success & (F.col("value") == "true"), F.col("t"))), F.lit(0)).alias("first_success"),
+        F.coalesce(F.max_by(F.when(success, F.col("value") == "true"), F.when(success, F.col("t"))), F.lit(False)).alias("success"),
+        scene.alias("__scene"),
+    )
+    field = lambda name: F.get_json_object("__scene", f"$.{name}").alias(name)
+    return found.select("h5_file", "traj_idx", "n_steps", "first_success", "success", field("object_name"), field("task_description"))
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path

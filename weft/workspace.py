@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a private one where it names none (tests, one machine)."""
+    """The folder the cluster names in spark.checkpoint.dir; a private one where it names none and all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        master = spark.sparkContext.master
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         named = "file://" + tempfile.mkdtemp(prefix="weft-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
