@@ -10,6 +10,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: On a local or mounted folder Hadoop keeps a checksum file beside each file and starts a chmod process for every file and
+#: folder it makes, from the executor's JVM; Parquet's pages have checksums of their own. Other file systems ignore this.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a private one where it names none and all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -50,7 +55,7 @@ class Workspace:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write df as Parquet and read it back: the plan of what follows starts at the files."""
         schema = df.schema
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        df.write.mode("overwrite").options(**PLAIN_FILES).option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
