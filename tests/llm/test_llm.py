@@ -88,7 +88,7 @@ def test_word_spans_and_hashes():
 def test_bitmap_misses_no_key(spark):
     keys = spark.range(0, 3000, 3).withColumnRenamed("id", "k")
     every = spark.range(3000).withColumnRenamed("id", "doc_id")
-    kept = bitmaps.without_ids(every, keys, "doc_id", bitmaps.of_keys(keys, "k"))
+    kept = bitmaps.without(every, keys, work(spark), "bits", {"k": F.col("doc_id")})
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(3000) if i % 3]
 
 

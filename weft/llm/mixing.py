@@ -212,9 +212,9 @@ def weighed_copies(
     decided = _with_source(slim.where("weight IS NOT NULL"), sources).withColumn("__with", _copies())
     decided = decided.withColumn("key", key(F.lit(1.0))).where(F.col("__with") != _copies())
     changed = workspace.save(decided.select(F.col("id").alias("__of"), "weight").distinct(), "changed")
-    bitmap = workspace.save(bitmaps.of_keys(changed, "__of"), "changed-bits")
+    bitmap = bitmaps.of_keys(changed.select("__of"), workspace, "changed-bits")
     plain = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(row).alias("__row"))
-    flagged = bitmaps.flag(plain, bitmap, bitmaps.slot(F.col("id")), "__maybe")
+    flagged = bitmaps.flag(plain, bitmap.rows, bitmap.slot(F.col("id")), "__maybe")
     maybe = flagged.where("__maybe").drop("__maybe")
     maybe = maybe.join(changed, maybe["id"] == changed["__of"], "left").drop("__of")
     rows = flagged.where("NOT __maybe").drop("__maybe").withColumn("weight", F.lit(None).cast("double")).unionByName(maybe)

@@ -495,8 +495,8 @@ def _bounded(percent: int):
 
 def _sets_of(ids: DataFrame, docs: DataFrame, words: int, workspace: Workspace, name: str) -> DataFrame:
     """(id, items): the sorted sets of some classes; a bitmap of their ids tells the scan which texts to read."""
-    needed = workspace.save(bitmaps.of_keys(ids, "id"), f"{name}-needed")
-    wanted = bitmaps.flag(docs, needed, bitmaps.slot(F.col("id")), "__wanted").where("__wanted").select("id", "text")
+    needed = bitmaps.of_keys(workspace.save(ids.select("id"), f"{name}-ids"), workspace, f"{name}-needed")
+    wanted = bitmaps.flag(docs, needed.rows, needed.slot(F.col("id")), "__wanted").where("__wanted").select("id", "text")
     return workspace.save(wanted.transform(map_arrow, _sets(words), "id long, items binary"), f"{name}-sets")
 
 
@@ -630,5 +630,4 @@ def keep_one_per_component(
         jaccard_components(docs, workspace, words=words, percent=percent, id_col=id_col, text_col=text_col), "members"
     )
     dropped = workspace.save(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct(), "dropped")
-    bitmap = workspace.save(bitmaps.of_keys(dropped, id_col), "dropped-bits")
-    return bitmaps.without_ids(docs, dropped, id_col, bitmap)
+    return bitmaps.without(docs, dropped, workspace, "dropped-bits", {id_col: F.col(id_col)})
