@@ -16,31 +16,41 @@ from weft.workspace import Workspace
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known stay; lang is the declared language and the source stands for the host."""
+    """Documents whose language is known stay; lang is the declared language and the source stands for the host.
+
+    Null and empty texts and texts without letters are rejected. The decision is taken by id: of rows that repeat an id all
+    go if one is rejected, and all rows with a null id go if one of them is. Ties, empty tables: as in language_id.
+    """
     work = Workspace(spark, "language")
     model = language_id.fit(docs)
     found = language_id.identify(
         docs, model, work, key_cols=("doc_id",), text_col="text", declared=F.col("lang"), host=F.col("source")
     )
     rejected = work.save(found.where("rejected").select("doc_id").distinct(), "rejected")
-    bitmap = work.save(bitmaps.of_keys(rejected, "doc_id"), "rejected-bits")
-    return bitmaps.without_ids(docs, rejected, "doc_id", bitmap)
+    return bitmaps.without(docs, rejected, work, "rejected-bits", {"doc_id": F.col("doc_id")})
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays."""
+    """Of equal texts the row with the largest id stays.
+
+    A null text equals an empty one. A null id goes if its text has an id; rows that repeat id and text stay together.
+    """
     return exact_dedup.exact_dedup(docs, Workspace(spark, "copies"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by 80% of their five-word shingles the one with the smallest id stays."""
+    """Of texts linked by 80% of their five-word shingles the one with the smallest id stays.
+
+    Null and empty texts are linked with nothing. Rows with a null id stay; rows that repeat an id are one document.
+    """
     return ngram_join.keep_one_per_component(docs, Workspace(spark, "near-copies"), words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources meet their targets: a document is left out, stays, or comes up to three times.
 
-    Labelled quality weighs the exponential keys, as in op1_mix_sources.
+    Labelled quality weighs the exponential keys, as in op1_mix_sources. A null source is one of its own, the last; null and
+    empty texts count no words and come as often as whole epochs say. Equal keys are ordered by id; rows with one id share a decision.
     """
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
     mixed = mixing.weighed_copies(
@@ -51,7 +61,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every row, as token ids."""
+    """Two sampled segmentations of every row, as token ids.
+
+    A null text is an empty one and has one segmentation; rows with the same id and text get the same ones.
+    """
     return sentencepiece_sampling.encode(docs, UNIGRAM_VOCABULARY, samples=2, carry=("lang", "source"))
 
 
