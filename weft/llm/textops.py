@@ -33,6 +33,12 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
+def forget_tables() -> None:
+    """Free the tables of powers; they are made again when they are needed."""
+    global _powers, _inverses
+    _powers = _inverses = np.ones(1, U64)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (a bijection)."""
     h = h ^ (h >> U64(31))
