@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -178,7 +180,8 @@ def listed_houses(spark, sf_dir):
     fs, at = files.folder(spark, work.path("t"))
     for k in keys:
         for name in (f"house_{k}.json", f"house_{k}.json.tmp", *([f"house_{k}_ceiling.json"] if k % 2 == 0 else [])):
-            fs.create(at(name)).close()
+            with contextlib.closing(fs.create(at(name))) as file:
+                file.writeBytes("{}")
     found = files.numbered_paths(spark, work.path("t"), "house_%d%s.json", 0, 29, r"\.tmp$", ("", "_ceiling"))
     return found.select("i", "variant", F.col("path").isNotNull().alias("found"))
 
