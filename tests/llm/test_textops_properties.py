@@ -80,3 +80,15 @@ def test_windows_change_no_word(texts, size):
         textops.windows = old
     assert begin.tolist() == starts.tolist() and end.tolist() == ends.tolist() and index.tolist() == first.tolist()
     assert hashes.tolist() == textops.span_hash(textops.prefix_sums(data), starts, ends).tolist()
+
+
+def test_a_long_text_takes_little_beside_its_words():
+    import tracemalloc
+
+    text = np.frombuffer(b"some words of a text that is long " * 240_000, np.uint8)  # 8 MB
+    textops.hashed_words(text[:100_000], np.array([0, 100_000]))
+    tracemalloc.start()
+    hashes, *_ = textops.hashed_words(text, np.array([0, len(text)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(hashes) + 64 * textops.BLOCK_BYTES

@@ -17,7 +17,8 @@ are exploded to their ancestors, joined with the licensed directories, and the l
 
 Nulls, ties, repeats: a null or empty text has no license of its own, a null path has no directory and
 inherits nothing. Equal scores go to the license first in code-point order. Repeated rows are decided
-alike. An empty table gives no rows. Clashing names of carried columns are left out.
+alike. An empty table gives no rows. Clashing names of carried columns are left out. Very long texts are hashed in
+windows; all their lines and windows of lines are scored, so a task must hold a text and its word numbers.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Under each rule the counts of a text's sections add up to its tokens. `crossing`
 a section shares with another.
 
 Nulls, ties, repeats: a null or empty text is one empty section without tokens. Rows are counted one by
-one. An empty table gives no rows.
+one, so repeats agree; a null id is kept. An empty table gives no rows. A very long text is encoded whole, so a task must
+hold it and its token offsets. Of the input only the id is returned, so extra columns cannot clash.
 """
 
 from __future__ import annotations
