@@ -16,7 +16,8 @@ Nulls, ties, repeats: a null source is a source (last in order); a null or negat
 null, zero or negative weight counts as 1. Rows of size 0 are taken as often as the epochs say, and once
 more if their key comes before the end of a fractional selection that is not empty. Equal keys are ordered by id; rows with the same id share
 one decision. A source of size 0 gets target 0. An empty table gives no rows. The key is a function of
-seed and id, so reruns agree.
+seed and id, so reruns agree. Very long texts are counted by one pass of the JVM. Carried columns whose names clash with
+the operator's keep their values in the scan and are returned once, as the operator's.
 """
 
 from __future__ import annotations

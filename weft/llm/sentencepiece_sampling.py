@@ -19,7 +19,8 @@ restored exactly, whatever they contain.
 
 Nulls, ties, repeats: a null text is encoded as an empty one: the leading space alone. A null key is hashed as a key of its own.
 Rows with the same key and text get the same samples. A text with fewer than k segmentations gets those
-it has. An empty table gives no rows.
+it has. An empty table gives no rows. Open sets of equal value are split in the order they were found. A very long text is
+walked whole, with some 60 bytes for each of its pieces. Carried columns whose names clash with the operator's are left out.
 """
 
 from __future__ import annotations
