@@ -95,10 +95,13 @@ def fit(docs: DataFrame, language_col: str = "lang", text_col: str = "text", id_
     """Fit the trigram tables on a bounded sample of labelled rows of each language; counts are summed on the executors."""
     labelled = docs.where(F.col(language_col).isNotNull() & F.col(id_col).isNotNull())
     named = labelled.select(F.col(id_col).alias("__id"), F.col(language_col).cast("string").alias("__language"))
-    order, of = [F.xxhash64("__id"), F.col("__id")], [F.col("__language")]
-    for slices in (64, 1):  # the first ids of slices of a language, then those of the language: no task sorts all of a language
-        within = Window.partitionBy(*of, F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(slices))).orderBy(*order)
-        named = named.withColumn("__n", F.row_number().over(within)).where(F.col("__n") <= rows).drop("__n")
+    # Of each language the rows of the first ranges of hashes that hold enough, and of these the first ones.
+    hashed = named.withColumn("__hash", F.xxhash64("__id")).withColumn("__range", F.shiftright("__hash", 52))
+    ranges = hashed.groupBy("__language", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy("__language").orderBy("__range"))
+    needed = ranges.withColumn("__before", upto - F.col("__n")).where(F.col("__before") < rows).select("__language", "__range")
+    first = F.row_number().over(Window.partitionBy("__language").orderBy("__hash", "__id"))
+    named = hashed.join(needed, ["__language", "__range"]).withColumn("__n", first).where(F.col("__n") <= rows).select("__id", "__language")
     named = named.distinct()
     if named.count() <= BROADCAST_IDS:
         named = F.broadcast(named)
