@@ -36,10 +36,10 @@ from weft.llm.arrow import map_arrow
 from weft.llm import lattice
 from weft.llm.textops import U64, blocks, mix, prefix_sums, span_hash
 
-CHUNK_BYTES = 1 << 18
-WALK_BYTES = 1 << 16
+CHUNK_BYTES = 5 << 16
+WALK_BYTES = 1 << 17
 #: A task's lexicon begins again when it has grown beyond this; a chunk adds at most some 50 bytes for each of its own.
-LEXICON_BYTES = 16 << 20
+LEXICON_BYTES = 24 << 20
 LATTICE_WORDS = 1_000
 CELL_BITS = 18
 SPACE = 0x20
