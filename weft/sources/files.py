@@ -5,6 +5,7 @@ Everything goes through Spark's readers and writers, so any file system that Spa
 
 from __future__ import annotations
 
+import contextlib
 import os
 import time
 
@@ -217,13 +218,11 @@ class Locked:
                     self.fs.create(self.lock, False).close()
                 return self
             except Exception as e:  # noqa: BLE001  file systems name it differently
-                if not self.fs.exists(self.lock):
-                    if time.monotonic() > until:
-                        raise
-                elif time.time() - self.fs.getFileStatus(self.lock).getModificationTime() / 1000 > self.stale:
-                    self.fs.delete(self.lock, False)
-                elif time.monotonic() > until:
+                if time.monotonic() > until:
                     raise TimeoutError(f"{self.lock} is held") from e
+                with contextlib.suppress(Exception):  # the holder may let go meanwhile
+                    if time.time() - self.fs.getFileStatus(self.lock).getModificationTime() / 1000 > self.stale:
+                        self.fs.delete(self.lock, False)
             time.sleep(0.05)
 
     def __exit__(self, *_) -> None:
