@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weft.llm import secret_scan
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -66,4 +68,118 @@ FROM w LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT v AS doc_id, min(u) AS component_id FROM r GROUP BY v) c USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_jaccard_join": OP5, "op6_exact_dedup": OP6}
+
+
+def _op12() -> str:
+    """Four rounds and the last assignment, each as two common tables; squared lengths of parts are added only to errors."""
+    steps = [
+        """WITH k AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS MATERIALIZED (
+  SELECT r, vec_id, label, p, x[p * len(x) // 4 + 1 : (p + 1) * len(x) // 4] AS x FROM k, unnest(range(4)) AS u(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM v QUALIFY e < 256
+)"""
+    ]
+    for n in range(5):
+        steps.append(f"""a{n} AS MATERIALIZED (
+  SELECT v.r, v.p, arg_min(c.e, 256 * (list_dot_product(c.x, c.x) - 2 * list_dot_product(v.x, c.x)) + c.e) AS e,
+    min(list_dot_product(c.x, c.x) - 2 * list_dot_product(v.x, c.x)) AS d
+  FROM v JOIN c{n} c ON c.p = v.p GROUP BY v.r, v.p
+)""")
+        if n < 4:
+            steps.append(f"""s{n} AS (
+  SELECT a.p, a.e, i, floor(sum(v.x[i]) / count(*)) AS y
+  FROM a{n} a JOIN v ON v.r = a.r AND v.p = a.p, unnest(range(1, len(v.x) + 1)) AS u(i) GROUP BY a.p, a.e, i
+), c{n + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x
+  FROM c{n} c LEFT JOIN (SELECT p, e, list(y ORDER BY i) AS x FROM s{n} GROUP BY p, e) m ON m.p = c.p AND m.e = c.e
+)""")
+    steps.append("""f AS (
+  SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.label) AS label,
+    string_agg(lower(printf('%02x', a.e::INT)), '' ORDER BY v.p) AS code, sum(a.d + list_dot_product(v.x, v.x))::BIGINT AS error
+  FROM v JOIN a4 a ON a.r = v.r AND a.p = v.p GROUP BY v.r
+), h AS (
+  SELECT sha256(string_agg(list_aggregate(list_transform(x, lambda y: y::BIGINT::VARCHAR), 'string_agg', ','), ',' ORDER BY p, e)) AS h FROM c4
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT h FROM h) AS codebooks_sha256 FROM f""")
+    return ",\n".join(steps)
+
+
+def _op13() -> str:
+    """Matches and what lies between them, their places by running sums; the two models by counts of pairs."""
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def matches(kind: int, pattern: str, group: int, keep: str) -> str:
+        return f"""SELECT r, {kind} AS kind, b - own AS a, b, value FROM (
+    SELECT r, own, value, sum(gap + own) OVER (PARTITION BY r ORDER BY i) AS b FROM (
+      SELECT r, i, len(x[i]) AS gap, len(f[i]) AS own, g[i] AS value FROM (
+        SELECT r, string_split_regex(t, {text(pattern)}) AS x, regexp_extract_all(t, {text(pattern)}) AS f,
+          regexp_extract_all(t, {text(pattern)}, {group}) AS g FROM d
+      ), unnest(range(1, len(f) + 1)) AS u(i)
+    )
+  ) WHERE {keep}"""
+
+    names = ", ".join(f"({text(n)})" for n in secret_scan.public_names())
+    ruled = ", ".join(f"({text(r)}, 0, 'names', {secret_scan.RULE_WEIGHT})" for r in secret_scan.rules())
+    characters = f"unnest(string_split({text(secret_scan.CHARACTERS)}, ''))"
+    half, size = secret_scan.SMOOTHING, len(secret_scan.CHARACTERS)
+    kinds = ", ".join(map(text, secret_scan.KINDS))
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+z AS (SELECT sha256(i::VARCHAR) AS h FROM unnest(range({secret_scan.DIGESTS})) AS u(i)),
+q AS (SELECT h[1:40] AS h, to_base64(unhex(h)) AS c FROM z),
+e AS (
+  SELECT unnest([h, upper(h), replace(c, '=', ''), translate(replace(c, '=', ''), '+/', '-_'), regexp_replace(c, '[+/=]', '', 'g'),
+    upper(regexp_replace(c, '[+/=]', '', 'g')), lower(regexp_replace(c, '[+/=]', '', 'g'))]) AS text, 1 AS label, 'random' AS part, 1 AS n FROM q
+  UNION ALL
+  SELECT unnest([x, upper(x), replace(x, '_', '-'), 'lib/python/site-packages/pyspark/sql/' || x]), 0, 'names', 1 FROM (VALUES {names}) AS v(x)
+  UNION ALL FROM (VALUES {ruled})
+  UNION ALL
+  SELECT w, 0, 'words', count(*) FROM (
+    SELECT unnest(regexp_extract_all(regexp_replace(t, {text(secret_scan.KNOWN)}, ' ', 'g'), {text(secret_scan.WORD)})) AS w FROM d
+  ) WHERE len(w) BETWEEN {secret_scan.WORD_LEAST} AND {secret_scan.WORD_MOST} GROUP BY w
+), p AS (
+  SELECT label, part, pair, sum(n) AS n FROM (
+    SELECT label, part, n, ('^' || text)[i : i + 1] AS pair FROM e, unnest(range(1, len(text) + 1)) AS u(i)
+  ) GROUP BY ALL
+), s AS (SELECT label, part, pair[1] AS x, sum(n) AS n FROM p GROUP BY ALL),
+g AS (SELECT x || y AS pair, x FROM (SELECT {characters} AS x UNION ALL SELECT '^'), (SELECT {characters} AS y)),
+m AS (
+  SELECT g.pair, l.label, coalesce(sum(s.n / (s.n + {secret_scan.SUPPORT}::DOUBLE) * (coalesce(p.n, 0) + {half}::DOUBLE) / (s.n + {half * size}::DOUBLE))
+    / sum(s.n / (s.n + {secret_scan.SUPPORT}::DOUBLE)), 1 / {size}::DOUBLE) AS prob
+  FROM g CROSS JOIN (SELECT DISTINCT label, part FROM e) l
+  LEFT JOIN p ON p.label = l.label AND p.part = l.part AND p.pair = g.pair
+  LEFT JOIN s ON s.label = l.label AND s.part = l.part AND s.x = g.x GROUP BY g.pair, l.label
+), ratio AS MATERIALIZED (
+  SELECT a.pair, round(1000 * ln(a.prob / b.prob))::BIGINT AS ratio FROM m a JOIN m b ON a.pair = b.pair AND a.label = 1 AND b.label = 0
+), k AS MATERIALIZED (
+  {matches(0, secret_scan.ASSIGN, 1, f"len(value) >= {secret_scan.ASSIGN_LEAST}")}
+  UNION ALL {matches(1, secret_scan.ACCESS, 0, "true")}
+  UNION ALL {matches(2, secret_scan.HEX, 0, "true")}
+), c AS ({matches(3, secret_scan.RUN, 0, "true")}
+), f AS (
+  SELECT r, kind, a, b, value FROM (
+    SELECT c.*, unnest(list_transform(range(1, len(value) + 1), lambda i: ('^' || value)[i : i + 1])) AS pair FROM c
+  ) JOIN ratio USING (pair) GROUP BY r, kind, a, b, value HAVING sum(ratio) >= {round(1000 * secret_scan.MARGIN)}
+), y AS (
+  FROM k UNION ALL
+  SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.r = f.r AND k.a < f.b AND f.a < k.b)
+), o AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
+    string_agg([{kinds}][kind + 1] || ':' || a || ':' || b, ',' ORDER BY a, kind) FILTER (kind < 3) AS base,
+    string_agg([{kinds}][kind + 1] || ':' || a || ':' || b, ',' ORDER BY a, kind) AS spans FROM y GROUP BY r
+)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN o USING (r)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": OP1,
+    "op5_ngram_jaccard_join": OP5,
+    "op6_exact_dedup": OP6,
+    "op12_vector_codes": _op12(),
+    "op13_secret_scan": _op13(),
+}

@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import exact_dedup, language_id, license_scan, lm_scoring, mixing, ngram_join, sentencepiece_sampling, simhash, token_counts, toxicity
+from weft.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    secret_scan,
+    sentencepiece_sampling,
+    simhash,
+    token_counts,
+    toxicity,
+    vector_codes,
+    whitening,
+)
 from weft.sources.tables import table
 from weft.workspace import Workspace
 
@@ -166,3 +180,32 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         host=F.nullif(F.col("h"), F.lit("")),
     )
     return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "declared", "rejected")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the 32 leading components of their covariance, scaled to variance 1."""
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, Workspace(spark, "op11"), vec_id=F.col("vec_id"), vector=F.col("embedding"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    coded = vector_codes.encode(rows, Workspace(spark, "op12"), vec_id=F.col("vec_id"), label=F.col("label"), vector=F.col("embedding"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known shapes of secrets and, by the Markov models, other random strings of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    ratios = secret_scan.train(secret_scan.labelled_samples(spark, F.col("text"), docs))
+    found = secret_scan.scan(docs, ratios)
+    counts = [secret_scan.counted("known", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.as_text(F.col("known")), 256).alias("base_sha256"),
+        secret_scan.as_text(F.concat("known", "added")).alias("spans"),
+    )
