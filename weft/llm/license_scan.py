@@ -1,17 +1,18 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
 Units of a text are each of its lines, the whole text (a licence file), and windows of consecutive lines, for headers
-wrapped over lines: from each line on, as many lines as come nearest to a template's number of words from below and
-from above, for templates of WINDOW_WORDS words at most; longer licences are found as whole texts and by their titles.
+wrapped over lines and for licences inside longer files: from each line on, as many lines as come nearest to a template's
+number of words from below and from above.
 Comment marks are no words and so do not count. Templates are notices, titles, and the full texts in the folder licenses.
 A unit is a sparse vector over words: count times idf, with the document frequency of every template word
 counted over all texts (a table as long as the templates have words); a word outside the templates is a
 dimension of its own with the idf of a word never seen. A unit's license is the template of the largest
 cosine if that reaches THRESHOLD; a text's is that of its best unit, first line and template of equals. An SPDX tag
-names its license (without -only, -or-later, +) with score 1. The line of a window is its first.
+names its license (without -only, -or-later, +) with score 1. The line of a window is its first. A sentence that several
+licences share (SHARED) decides for none of them: a line that comes nearest to one is no header, but windows and whole texts around it may be.
 
 A text is a licence file if its name says so (LICENSE, LICENCE, COPYING, NOTICE) or if its whole text
-reaches the threshold. A directory has the license of its best licence file. A text without a license of its own inherits
+reaches the threshold with the full text of a license; a file that is all header is no licence file. A directory has the license of its best licence file. A text without a license of its own inherits
 that of the nearest directory on its path, its own first, then upwards to the root: distinct directories
 are exploded to their ancestors, joined with the licensed directories, and the longest match stays.
 
@@ -39,7 +40,6 @@ from weft.llm.textops import LOWER, U64, blocks, hashed_words, prefix_sums, span
 from weft.workspace import Workspace
 
 THRESHOLD = 0.75
-WINDOW_WORDS = 300
 SPDX = re.compile(rb"(?i:SPDX-License-Identifier):[ \t]*(\(*[A-Za-z0-9.+-]*[A-Za-z0-9+]\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9.+-]*[A-Za-z0-9+]\)*)*)")
 NO_WORD = np.ones(256, bool)
 NO_WORD[48:58] = NO_WORD[65:91] = NO_WORD[97:123] = NO_WORD[128:] = False
@@ -52,7 +52,6 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -61,11 +60,13 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
     ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
@@ -74,6 +75,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+#: Sentences of several licenses, which name none of them.
+SHARED: tuple[tuple[str, str], ...] = (
+    ("", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+)
+
 
 def full_texts() -> tuple[tuple[str, str], ...]:
     """Full licence texts, read by the driver."""
@@ -154,7 +160,7 @@ def unit_scores(data, at, units: np.ndarray, terms: Terms, weight: np.ndarray, u
 
 
 def window_scores(data, at, terms: Terms, weight: np.ndarray, unseen: float, matrix: np.ndarray, threshold: float) -> dict[int, tuple[float, int, int]]:
-    """By text: best cosine, template and first byte of a window of two or more lines, where that reaches the threshold.
+    """By text: best cosine, template and first byte of a window of two or more lines, where that reaches the threshold; no window has a shared template.
 
     A window's dot product is a difference of sums over words; its norm is at least that with every word counted once
     for each occurrence, so the cosine is computed only where this bound reaches the threshold.
@@ -173,7 +179,7 @@ def window_scores(data, at, terms: Terms, weight: np.ndarray, unseen: float, mat
     norms = np.concatenate([[0.0], np.cumsum(each * each)])
     found: dict[int, tuple[float, int, int]] = {}
     for t in range(len(terms.sizes)):
-        if terms.sizes[t] > WINDOW_WORDS:
+        if not terms.names[t]:
             continue
         dots = np.concatenate([[0.0], np.cumsum(np.where(hit, weight[term] * matrix[term, t], 0.0))])
         above = np.searchsorted(edge, begin + terms.sizes[t])
@@ -202,9 +208,15 @@ def spdx_tags(data: np.ndarray, at: np.ndarray) -> dict[int, tuple[str, int]]:
 
 
 def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], templates=None, threshold: float = THRESHOLD) -> DataFrame:
-    """Carried columns with own_license, score, line (null: the whole text) and whole (the whole text matches)."""
-    templates = tuple(sorted(TEMPLATES + full_texts() if templates is None else templates))
+    """Carried columns with own_license, score, line (null: the whole text) and whole (the whole text matches a license's full text).
+
+    Units nearest to a template without a name are none's.
+    """
+    templates = tuple(sorted(TEMPLATES + SHARED + full_texts() if templates is None else templates))
+    full_text = {text for _, text in full_texts()}
+    is_full = np.array([text in full_text for _, text in templates])
     terms = Terms(templates)
+    named = np.array([bool(name) for name in terms.names])
     weight, unseen = idf(docs, terms, text_col)
     matrix = terms.counts * weight[:, None]
     matrix /= np.sqrt((matrix**2).sum(axis=0))
@@ -216,8 +228,10 @@ def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], temp
                 lead = np.unique(np.concatenate([at[:-1][np.diff(at) > 0], np.flatnonzero(data == 0x0A) + 1]))
                 lead = lead[lead < len(data)]
                 best, template = unit_scores(data, at, lead, terms, weight, unseen, matrix)
+                best[~named[template]] = 0.0
                 full = at[:-1][np.diff(at) > 0]
                 of_whole, whole_template = unit_scores(data, at, full, terms, weight, unseen, matrix)
+                of_whole[~named[whole_template]] = 0.0
                 place = {int(s): i for i, s in enumerate(full)}
                 windows = window_scores(data, at, terms, weight, unseen, matrix, threshold)
                 tags = spdx_tags(data, at)
@@ -228,7 +242,7 @@ def own_licenses(docs: DataFrame, *, text_col: str, carry: tuple[str, ...], temp
                         continue
                     k = a + int(best[a:b].argmax())
                     p = place[int(at[i])]
-                    whole = bool(of_whole[p] >= threshold)
+                    whole = bool(of_whole[p] >= threshold and is_full[whole_template[p]])
                     if of_whole[p] > best[k]:
                         score, name, line = of_whole[p], terms.names[whole_template[p]], None
                     else:
