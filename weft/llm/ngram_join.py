@@ -29,8 +29,8 @@ Very long texts: a text's words are hashed in windows (textops), its set is one
 shingle and its signature has SIGNATURE_MAX bits at most; a longer set has a looser bound.
 
 Nulls, ties, repeats: null and empty texts have an empty set and no links; their component is their own
-id. Rows that repeat an id are one document. Rows with a null id get the component of their class, null
-if no row of the class has an id. An empty table gives no rows. Columns of docs that are not carried
+id. Rows that repeat an id are one document: links of any of them reach all. Rows with a null id link as others do; their component
+is null if no row of it has an id. Where ids are null or have several texts, rows are numbered first. An empty table gives no rows. Columns of docs that are not carried
 are not returned; carried names that clash with the operator's are left out.
 """
 
@@ -564,20 +564,9 @@ def _near_links(marks: DataFrame, docs: DataFrame, words: int, percent: int, wor
     return links, labels
 
 
-def jaccard_components(
-    docs: DataFrame,
-    workspace: Workspace,
-    *,
-    words: int = 5,
-    percent: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per row of docs: id, n_shingles and component_id, the smallest id reachable by links."""
-    spark = docs.sparkSession
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table_bits = frequency_bits(plain)
-    rows = workspace.save(plain.transform(map_arrow, _classes(words, table_bits), CLASS_SCHEMA), "classes")
+def _members(plain: DataFrame, workspace: Workspace, words: int, percent: int, rows: DataFrame, table_bits: int) -> DataFrame:
+    """(id, n, component) of each row of plain (id, text), whose ids each have one text; `rows` are its classes."""
+    spark = plain.sparkSession
     texts = rows.where("chunk IS NULL")
     shared = spark.sparkContext.broadcast(frequencies(rows, table_bits))
 
@@ -615,11 +604,47 @@ def jaccard_components(
     )
     named = workspace.save(named, "named")
     slim = texts.select("id", "n", "low", "high")
-    return slim.join(named, F.expr("n = n_ AND low = low_ AND high = high_"), "left").select(
-        F.col("id").alias(id_col),
-        F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("of_class", "id").alias("component_id"),
-    )
+    joined = slim.join(named, F.expr("n = n_ AND low = low_ AND high = high_"), "left")
+    return joined.select("id", F.col("n").cast("long").alias("n"), F.coalesce("of_class", "id").alias("component"))
+
+
+def _of_rows(plain: DataFrame, workspace: Workspace, words: int, percent: int, table_bits: int) -> DataFrame:
+    """What _members gives, for ids that are null or have several texts: rows are numbered and joined, and then those of an id."""
+    numbered = workspace.save(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(F.col("row").alias("id"), "text")
+    classes = workspace.save(rows.transform(map_arrow, _classes(words, table_bits), CLASS_SCHEMA), "classes")
+    found = workspace.save(_members(rows, workspace, words, percent, classes, table_bits), "by-row")
+    own = numbered.select("row", F.col("id").alias("doc")).join(found, F.col("row") == found["id"]).select("doc", "n", "component")
+    own = workspace.save(own, "row-members")
+    least = own.groupBy("component").agg(F.min("doc").alias("least"))
+    least = workspace.save(least.select(F.col("component").alias("of"), "least"), "least")
+    links = own.join(least, own["component"] == least["of"]).where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b"))
+    joined = components(links.distinct(), workspace, "documents")
+    named = least.join(joined, least["least"] == joined["v"], "left").select("of", F.coalesce(joined["component"], "least").alias("smallest"))
+    named = workspace.save(named, "smallest")
+    return own.join(named, own["component"] == named["of"]).select(F.col("doc").alias("id"), "n", F.col("smallest").alias("component"))
+
+
+def jaccard_components(
+    docs: DataFrame,
+    workspace: Workspace,
+    *,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per row of docs: id, n_shingles and component_id, the smallest id reachable by links."""
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    table_bits = frequency_bits(plain)
+    rows = workspace.save(plain.transform(map_arrow, _classes(words, table_bits), CLASS_SCHEMA), "classes")
+    own = F.struct("n", "low", "high")
+    sets = rows.where("chunk IS NULL AND n > 0").groupBy("id").agg(F.min(own).alias("x"), F.max(own).alias("y"))
+    if sets.where("id IS NULL OR x <> y").limit(1).count():
+        found = _of_rows(plain, workspace, words, percent, table_bits)
+    else:
+        found = _members(plain, workspace, words, percent, rows, table_bits)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one_per_component(
