@@ -7,11 +7,12 @@ import contextlib
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from weft.functions.text import uniform
 from weft.plans.registry import query
 from weft.plans.standins import STEPS, steps
 from weft.sources import files
 from weft.sources.tables import table
-from weft.streaming import progress
+from weft.streaming import progress, state, work
 from weft.workspace import Workspace
 
 
@@ -244,10 +245,77 @@ def stream_progress(spark, sf_dir):
     return progress.finish(progress.tumbling(event_stream(spark, sf_dir), "1 day"), Workspace(spark, "stream-progress"), "out", "complete")
 
 
+DAYS = 5
+SLICE = f"date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) // {DAYS}"
+
+
+def sliced_stream(spark, sf_dir, workspace):
+    """Events by time, written slice by slice (DAYS days each) as FILES files, and read a slice a micro-batch."""
+    found = events(spark, sf_dir).withColumn("slice", F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / DAYS))
+    for (n,) in sorted(found.select("slice").distinct().collect()):
+        own = found.where(F.col("slice") == n).drop("slice").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        own.repartition(progress.FILES).write.parquet(workspace.path(f"events/slice-{n:04d}"))
+    stream = state.state_session(spark).readStream.schema(progress.COLUMNS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", progress.FILES)
+    return stream.parquet(workspace.path("events")).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+FAILED = F.col("value") <= 50
+
+
 @query("stream_failures", RUNS)
 def stream_failures(spark, sf_dir):
-    """Runs of failures kept as state of a stream."""
-    return progress.finish(progress.longest_failures(event_stream(spark, sf_dir)), Workspace(spark, "stream-failures"), "out", "update")
+    """Runs of failures in event time, kept as state of a stream until the watermark has passed them."""
+    work_ = Workspace(spark, "stream-failures")
+    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", FAILED, "1 hour")
+    return progress.finish(found, work_, "out", "update", ("key",)).withColumnRenamed("key", "user_id")
+
+
+STOP = 9
+
+
+@query(
+    "stream_stopped",
+    f"""WITH e AS (SELECT *, {SLICE} AS slice FROM events), s AS (SELECT DISTINCT slice AS upto FROM e),
+  f AS (SELECT upto, user_id, value <= 50 AS failed, sum((value > 50)::INT) OVER (PARTITION BY upto, user_id ORDER BY ts) AS island FROM e JOIN s ON slice <= upto),
+  r AS (SELECT upto, user_id, island, count(*) FILTER (failed) AS run FROM f GROUP BY ALL),
+  l AS (SELECT upto, user_id, max(run) AS longest, arg_max(run, island) AS open FROM r GROUP BY ALL),
+  stop AS (SELECT coalesce(min(upto) FILTER (longest >= {STOP}), max(upto)) AS upto FROM l)
+  SELECT user_id, longest, open FROM l WHERE upto = (SELECT upto FROM stop)""",
+)
+def stream_stopped(spark, sf_dir):
+    """The stream ends itself when anyone has failed STOP times in a row; what had been found until then."""
+    work_ = Workspace(spark, "stream-stopped")
+    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", FAILED, "1 hour")
+    return progress.finish(found, work_, "out", "update", ("key",), until=F.col("longest") >= STOP).withColumnRenamed("key", "user_id")
+
+
+@query(
+    "stream_metrics",
+    f"""WITH s AS (SELECT {SLICE} AS slice, count(*) AS episodes, count(*) FILTER (value > 50) AS successes FROM events GROUP BY ALL)
+  SELECT row_number() OVER (ORDER BY slice) - 1 AS batch, episodes, successes, (sum(episodes) OVER (ORDER BY slice))::BIGINT AS done,
+    round(100.0::DOUBLE * sum(episodes) OVER (ORDER BY slice) / sum(episodes) OVER (), 6) AS completion FROM s""",
+)
+def stream_metrics(spark, sf_dir):
+    """What a listener saw of each micro-batch: episodes, successes and completion against the known total."""
+    work_ = Workspace(spark, "stream-metrics")
+    total = table(spark, sf_dir, "events").count()
+    found = work.watched(sliced_stream(spark, sf_dir, work_).select("event_id", "value"), F.col("value") > 50, work_, "out", total)
+    return spark.read.schema(found.schema).parquet(work_.path("out-progress")).select("batch", "episodes", "successes", "done", F.round("completion", 6).alias("completion"))
+
+
+@query("shared_work", "SELECT s_suppkey AS house, s_suppkey // (SELECT greatest(1, count(*) // 5) FROM supplier) AS batch, count(l_orderkey) AS n, coalesce(sum(l_quantity), 0) AS quantity FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY ALL")
+def shared_work(spark, sf_dir):
+    """Houses handed out in batches, each processed and written once, one folder for each batch."""
+    work_ = Workspace(spark, "shared-work")
+    houses = table(spark, sf_dir, "supplier").agg(F.min("s_suppkey").alias("low"), F.count(F.lit(1)).alias("n")).first()
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("house"), "l_orderkey", "l_quantity")
+
+    def process(handed):
+        own = handed.select((F.col("work") + houses["low"]).alias("house"))
+        return own.join(lines, "house", "left").groupBy("house").agg(F.count("l_orderkey").alias("n"), F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("quantity"))
+
+    out = work.work_through(work.hand_out(spark, houses["n"], max(1, houses["n"] // 5)), work_, "out", process)
+    return spark.read.parquet(out).select("house", F.col("batch").cast("long").alias("batch"), "n", "quantity")
 
 
 @query("stream_blacklist", """SELECT user_id, count(*) AS failures FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 10""")
@@ -279,10 +347,35 @@ def stream_static_join(spark, sf_dir):
   SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY score DESC, event_id DESC) AS r FROM s) WHERE r <= 20""")
 def stream_reservoirs(spark, sf_dir):
     """Bounded weighted reservoirs as state of a stream."""
-    found = progress.finish(progress.reservoirs(event_stream(spark, sf_dir), 20), Workspace(spark, "stream-reservoirs"), "out", "update")
+    found = progress.finish(progress.reservoirs(event_stream(spark, sf_dir), 20), Workspace(spark, "stream-reservoirs"), "out", "update", ("event_type",))
     return found.select("event_type", "event_id")
 
 
+GRACE = 3600
+
+
+@query(
+    "stream_reweighted",
+    f"""WITH w AS (SELECT *, (props->>'$.k')::INT AS k, greatest(value, 0.01) AS first FROM events),
+  f AS (SELECT event_type, event_id, CASE WHEN k % 5 = 0 AND k + 20 <= {GRACE // 60} THEN first * 2 WHEN k % 3 = 0 AND k <= {GRACE // 60} THEN first / 10 ELSE first END AS weight FROM w),
+  s AS (SELECT *, pow(('0x' || substr(md5('e|' || event_id), 1, 12))::BIGINT / 281474976710656.0::DOUBLE, 1 / weight) AS score FROM f)
+  SELECT event_type, event_id, round(weight, 6) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY score DESC, event_id DESC) AS r FROM s) WHERE r <= 20""",
+)
+def stream_reweighted(spark, sf_dir):
+    """Weighted reservoirs whose items' weights change for an hour: some get a tenth k minutes later, some the double after k + 20."""
+    work_ = Workspace(spark, "stream-reweighted")
+    k = F.get_json_object("props", "$.k").cast("int")
+    first = F.greatest(F.col("value"), F.lit(0.01))
+    later = lambda minutes, weight: F.struct((F.col("ts") + F.make_interval(mins=minutes)).alias("ts"), weight.alias("weight"), F.lit(False).alias("inserts"))
+    changes = F.array(F.struct("ts", first.alias("weight"), F.lit(True).alias("inserts")), F.when(k % 3 == 0, later(k, first / 10)), F.when(k % 5 == 0, later(k + 20, first * 2)))
+    rows = sliced_stream(spark, sf_dir, work_).select(
+        F.col("event_type").alias("key"), F.col("event_id").alias("item"), uniform(F.lit("e"), F.col("event_id").cast("string")).alias("u"), F.explode(F.array_compact(changes)).alias("c")
+    )
+    rows = rows.select("key", "item", "u", "c.ts", "c.weight", "c.inserts")
+    found = progress.finish(state.reservoirs(rows, 20, GRACE, "2 hours"), work_, "out", "update", ("key",))
+    return found.select(F.col("key").alias("event_type"), F.col("item").alias("event_id"), F.round("weight", 6).alias("weight"))
+
+
 @query("steps_after_first", f"""WITH {STEPS} SELECT episode, count(*) AS kept FROM steps WHERE t >= 1 GROUP BY episode""")
 def steps_after_first(spark, sf_dir):
     """steps from the first on (what a consumer sees that skips the dummy)."""

@@ -6,18 +6,26 @@ watermarks need; the session's zone is UTC.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from weft.functions.text import uniform
+from weft.sources.files import exists
 from weft.workspace import Workspace
 
 COLUMNS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
+#: Files of a slice that is one micro-batch.
+FILES = 4
+
 
 def read_stream(spark: SparkSession, root: str, name: str, files: int = 16) -> DataFrame:
     """A file stream over the files of one table; at most so many new files per micro-batch, which holds back load."""
@@ -25,24 +33,50 @@ def read_stream(spark: SparkSession, root: str, name: str, files: int = 16) -> D
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def finish(stream: DataFrame, workspace: Workspace, name: str, mode: str = "append") -> DataFrame:
+def _written(workspace: Workspace, schema: StructType, out: str, keys: tuple[str, ...]) -> DataFrame:
+    """What foreachBatch has written under out: of each key (of all rows without keys) the rows of its last batch."""
+    spark = workspace.spark
+    whole = StructType([*schema.fields, StructField("batch", LongType())])
+    found = spark.read.schema(whole).parquet(out) if exists(spark, out) else spark.createDataFrame([], whole)
+    last = found.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max("batch").alias("__last"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("batch") == F.col("__last"))
+    return found.join(last if keys else F.broadcast(last), same).select(*schema.names)
+
+
+def finish(stream: DataFrame, workspace: Workspace, name: str, mode: str = "append", keys: tuple[str, ...] = (), until: Column | None = None) -> DataFrame:
     """Run a stream over all that is there and return what it wrote.
 
     Append goes to files, exactly once thanks to the checkpoint: a restart continues behind what is written.
-    Complete and update results are written per micro-batch, and the last one counts.
+    Complete and update results are written per micro-batch, under the batch's number, so that a repeated batch replaces itself.
+    Of complete results the last batch counts; of update results the last one of each key, which `keys` names.
+    The first batch with a row for which `until` holds is the last one that is written: the stream is stopped, and a batch that
+    has begun meanwhile writes nothing.
     """
-    spark = workspace.spark
+    if mode == "update" and not keys:
+        raise ValueError("an update stream needs the columns of its keys")
     out, at = workspace.path(name), workspace.path(f"{name}-checkpoint")
     writer = stream.writeStream.option("checkpointLocation", at).trigger(availableNow=True)
+    if mode == "append" and until is None:
+        writer.outputMode("append").format("parquet").option("path", out).start().awaitTermination()
+        return workspace.spark.read.schema(stream.schema).parquet(out)
+    reached = threading.Event()
+
+    def write(df: DataFrame, n: int) -> None:
+        if reached.is_set():
+            df.write.format("noop").mode("overwrite").save()  # state is committed only when all of it is read
+            return
+        df.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        if until is not None and df.sparkSession.read.schema(stream.schema).parquet(f"{out}/batch={n}").where(until).limit(1).count():
+            reached.set()
+
+    query = writer.outputMode(mode).foreachBatch(write).start()
+    while not query.awaitTermination(0.2):
+        if reached.is_set():
+            query.stop()
+            break
     if mode == "append":
-        query = writer.outputMode("append").format("parquet").option("path", out).start()
-    else:
-        query = writer.outputMode(mode).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
-    query.awaitTermination()
-    found = spark.read.schema(stream.schema if mode == "append" else stream.schema.simpleString()[7:-1].replace(":", " ") + ", batch long").parquet(out)
-    if mode == "append":
-        return found
-    return found.join(F.broadcast(found.agg(F.max("batch").alias("batch"))), "batch").drop("batch")
+        return workspace.spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
+    return _written(workspace, stream.schema, out, keys if mode == "update" else ())
 
 
 def tumbling(events: DataFrame, width: str, slide: str | None = None, late: str | None = None) -> DataFrame:
@@ -64,26 +98,6 @@ def sessions(events: DataFrame, gap: str, late: str | None = None) -> DataFrame:
     return found.select("user_id", F.date_format("session_window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n", "value")
 
 
-def longest_failures(events: DataFrame) -> DataFrame:
-    """Longest run of failures (value of 50 at most) per user; state is the open run and the longest one.
-
-    Within a micro-batch events are ordered by time; across micro-batches the order of arrival counts.
-    """
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run, most = state.get if state.exists else (0, 0)
-        for frame in [pd.concat(list(frames)).sort_values("ts")]:
-            for failed in (frame["value"] <= 50).tolist():
-                run = run + 1 if failed else 0
-                most = max(most, run)
-        state.update((run, most))
-        yield pd.DataFrame({"user_id": [key[0]], "longest": [most], "open": [run]})
-
-    return events.select("user_id", "ts", "value").groupBy("user_id").applyInPandasWithState(
-        step, "user_id long, longest long, open long", "run long, most long", "update", GroupStateTimeout.NoTimeout
-    )
-
-
 def reservoirs(events: DataFrame, size: int) -> DataFrame:
     """Per event type the `size` events of the largest u ** (1 / weight), kept in state; weight is the value."""
 
