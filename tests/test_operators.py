@@ -91,6 +91,29 @@ def test_merged_statistics_are_those_of_the_whole(spark):
         assert merged[name] == pytest.approx(whole[name])
 
 
+def test_merged_deviation_does_not_cancel(spark):
+    df = spark.createDataFrame([(i % 4, 1e9 + i % 7) for i in range(280)] + [(9, None)], "part int, value double")
+    parts = df.groupBy("part").agg(*distributions.vector_stats("value")).withColumn("all", F.lit(None).cast("string"))
+    assert distributions.merged(parts, "all").first()["std"] == pytest.approx(2.0, rel=1e-7)
+
+
+def test_quantiles_by_sketches_and_exactly(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = {"hot": np.round(rng.lognormal(0, 2, 20_000), 3), "same": np.full(5000, 3.0), "few": np.array([1.0, 2.0, 4.0]), None: rng.normal(0, 1, 700)}
+    df = spark.createDataFrame([(g, float(v)) for g, own in x.items() for v in own] + [("few", None)], "g string, v double").repartition(6)
+    probabilities = [0.0, 0.0025, 0.25, 0.5, 0.95, 0.9975, 1.0]
+    for small in (10**6, 0):
+        got = {(r.g, r.p): r.quantile for r in distributions.exact_quantiles(df, "g", "v", probabilities, Workspace(spark, "t"), small=small).collect()}
+        assert got == pytest.approx({(g, p): float(np.quantile(own, p)) for g, own in x.items() for p in probabilities})
+    files = distributions.file_sketches(df.withColumn("file", F.spark_partition_id()), "v", "g", "file", distinct="v")
+    for r in distributions.merged_sketches(files, "g").select("g", "count", distributions.sketched_quantile(0.95).alias("q"), F.hll_sketch_estimate("distincts").alias("n")).collect():
+        own = x[r.g]
+        assert r["count"] == len(own) and abs(r.n - len(set(own))) <= 0.05 * len(set(own)) + 1
+        assert (own < r.q).mean() - distributions.SKETCH_ERROR <= 0.95 <= (own <= r.q).mean() + distributions.SKETCH_ERROR
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(0.0,), (0.99,), (1.0,), (10.0,), (10.01,), (None,)], "x double")
     assert dict(rows(distributions.histogram(df, "x", 0.0, 10.0, 10))) == {0: 2, 1: 1, 9: 1, -1: 1}
@@ -106,6 +129,57 @@ def test_credible_intervals(spark):
     assert numeric.beta_cdf(low / 100, 4, 8) == pytest.approx(0.025) and numeric.beta_cdf(high / 100, 4, 8) == pytest.approx(0.975)
 
 
+def test_credible_intervals_of_any_count(spark):
+    def binomial_tail(x, a, b):
+        n = a + b - 1
+        return sum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(x) + (n - k) * math.log1p(-x)) for k in range(a, n + 1))
+
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = rng.randrange(1, 300), rng.randrange(1, 300)
+        x = min(max(rng.gauss(a / (a + b), 0.03), 1e-3), 1 - 1e-3)
+        assert float(numeric.beta_cdf(x, a, b)) == pytest.approx(binomial_tail(x, a, b), abs=1e-10)
+    for n, s in ((10**9, 5 * 10**8), (10**9, 0), (10**9, 10**9), (10**9, 7), (10**6, 999_990), (1, 1)):
+        for p in (0.025, 0.5, 0.975):
+            x = numeric.beta_quantile(p, 1 + s, 1 + n - s)
+            assert float(numeric.beta_cdf(x, 1 + s, 1 + n - s)) == pytest.approx(p, abs=1e-8)
+    assert float(numeric.beta_quantile(0.975, 1, 1 + 10**9)) == pytest.approx(-math.expm1(math.log(0.025) / (10**9 + 1)), rel=1e-9)
+    middle = numeric.beta_quantile(0.975, 1 + 5 * 10**8, 1 + 5 * 10**8)
+    assert float(middle) == pytest.approx(0.5 + 1.959963984540054 * 0.5 / math.sqrt(10**9 + 3), abs=1e-9)
+    df = spark.createDataFrame([(None, 3), (2, None), (500, 1000)], "s long, n long")
+    got = {(r.s, r.n): (r.ci_low, r.ci_high) for r in numeric.credible_interval(df, "s", "n").collect()}
+    assert got[None, 3] == got[2, None] == (None, None) and got[500, 1000][0] == pytest.approx(46.906, abs=1e-2)
+
+
+def plain_box(ring):
+    """Smallest rectangle by turning all corners along every edge."""
+    best = math.inf
+    for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        t = math.atan2(by - ay, bx - ax)
+        u = [x * math.cos(t) + y * math.sin(t) for x, y in ring]
+        v = [y * math.cos(t) - x * math.sin(t) for x, y in ring]
+        best = min(best, (max(u) - min(u)) * (max(v) - min(v)))
+    return best
+
+
+def test_smallest_boxes_keep_every_corner(spark):
+    rng = random.Random(9)
+    ring = [(0.4 * math.cos(2 * math.pi * i / 40), 0.4 * math.sin(2 * math.pi * i / 40)) for i in range(40)]
+    sets = {"ring": ring, "line": [(float(i), 2.0 * i) for i in range(9)], "one": [(1.0, 1.0)] * 3}
+    for n in range(12):
+        sets[f"r{n}"] = [(rng.gauss(0, 3), rng.gauss(n, 1)) for _ in range(rng.randrange(3, 200))]
+    sets["grid"] = [(float(i % 7), float(i // 7)) for i in range(49)]
+    rows_ = [(g, *p) for g, points in sets.items() for p in points] + [("ring", None, 1.0), (None, 0.0, 0.0), (None, 1.0, 0.0), (None, 0.0, 1.0)]
+    rng.shuffle(rows_)
+    got = {r.g: r for r in numeric.smallest_boxes(spark.createDataFrame(rows_, "g string, x double, y double").repartition(7), "g", "x", "y").collect()}
+    assert got["ring"].corners == 40 and got["ring"].area == pytest.approx(plain_box(ring))
+    assert got["line"].area == 0 and got["one"].area == 0 and got["grid"].area == pytest.approx(36) and got["grid"].corners == 4
+    assert got[None].area == pytest.approx(1) and got[None].corners == 3
+    for n in range(12):
+        corners = [tuple(p) for p in numeric.hull(__import__("numpy").array(sets[f"r{n}"]))]
+        assert got[f"r{n}"].corners == len(corners) and got[f"r{n}"].area == pytest.approx(plain_box(corners))
+
+
 def test_smallest_box_of_a_turned_square(spark):
     square = [(0.0, 10.0), (10.0, 0.0), (20.0, 10.0), (10.0, 20.0), (10.0, 10.0)]
     df = spark.createDataFrame([("a", *p) for p in square], "g string, x double, y double")
@@ -172,6 +246,20 @@ def test_path_search(spark):
     assert got["m"] == (True, 12.0, 12) and got["n"][0] is False
 
 
+def test_distances_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "COLUMN_BLOCK", 7)
+    rng = random.Random(4)
+    for rows_, columns, share in ((30, 9, 0.05), (6, 40, 0.02), (12, 12, 0.5), (25, 3, 0.01)):
+        cells = [(r - 4, c + 2) for r in range(rows_) for c in range(columns)]
+        blocked = {x for x in cells if rng.random() < share} | {cells[5]}
+        free = [x for x in cells if x not in blocked]
+        make = lambda some: spark.createDataFrame(list(some), "r int, c int")
+        got = {(x.r, x.c): x.distance for x in graphs.distances(make(free), make(blocked)).collect()}
+        assert got == pytest.approx({p: min(math.dist(p, q) for q in blocked) for p in free})
+        assert {x.distance for x in graphs.distances(make(free), make(blocked).limit(0)).collect()} == {None}
+    assert graphs.distances(make([]), make(blocked)).collect() == []
+
+
 def test_boxes_include_their_borders(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 10.0), (3, 10.1, 10.0), (4, -5.0, 0.0)], "p long, px double, py double")
     boxes = spark.createDataFrame([(7, 0.0, 10.0, 0.0, 10.0)], "b long, x0 double, x1 double, y0 double, y1 double")
@@ -299,10 +387,12 @@ def test_clusters_and_their_fallback(spark):
 
     data = [(i, float(i % 2) * 100 + i * 0.01, 5.0) for i in range(40)]
     df = spark.createDataFrame(data, "id long, x double, y double")
-    got = {r.id: r.cluster for r in candidates.clusters(df, "id", ["x", "y"], 2).collect()}
+    got = {r.id: r.cluster for r in candidates.clusters(df, "id", ["x", "y"], 2, Workspace(spark, "t")).collect()}
     assert {got[i] for i in range(0, 40, 2)} == {0} and {got[i] for i in range(1, 40, 2)} == {1}
-    broken = df.withColumn("x", F.when(F.col("id") != 3, F.col("x")))
-    assert {r.cluster for r in candidates.clusters(broken, "id", ["x", "y"], 3).collect()} <= {0, 1, 2}
+    for bad in (None, float("nan"), float("inf")):
+        broken = df.withColumn("x", F.when(F.col("id") != 3, F.col("x")).otherwise(F.lit(bad).cast("double"))).repartition(5)
+        assert {r.id: r.cluster for r in candidates.clusters(broken, "id", ["x", "y"], 3, Workspace(spark, "t")).collect()} == {i: i % 3 for i in range(40)}
+    assert candidates.clusters(df.limit(0), "id", ["x", "y"], 3, Workspace(spark, "t")).collect() == []
 
 
 def test_path_is_simplified(spark):
@@ -341,6 +431,69 @@ def test_staged_write_restores_what_a_crash_left(spark):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_report_keeps_any_text(spark):
+    values = [("a,b", 'say "hi"', 1), ("# no comment", "two\nlines", 2), (None, "", 3), ("", None, None), (" x ", "\\", -1)]
+    df = spark.createDataFrame(values, "p string, q string, n int")
+    path = Workspace(spark, "t").path("report")
+    files.write_report(df, path, ["first note", "second, with\na line feed"])
+    assert sorted(map(tuple, files.read_report(spark, path, df.schema.simpleString()[7:-1].replace(":", " ")).collect()), key=repr) == sorted(values, key=repr)
+
+
+def test_a_lock_is_only_let_go_by_its_holder(spark):
+    import os
+    import time
+
+    path = Workspace(spark, "t").path("held")
+    first = files.Locked(spark, path).__enter__()
+    local = first.lock.toUri().getPath()
+    os.utime(local, (time.time() - 100, time.time() - 100))
+    first.renew()
+    with pytest.raises(TimeoutError), files.Locked(spark, path, patience=0.3, stale=50):
+        pass
+    os.utime(local, (time.time() - 100, time.time() - 100))
+    second = files.Locked(spark, path, patience=2, stale=50).__enter__()
+    assert second.holder() == second.token
+    first.__exit__()  # the lock is another's by now
+    assert files.exists(spark, f"{path}.lock")
+    with pytest.raises(RuntimeError):
+        first.renew()
+    second.__exit__()
+    assert not files.exists(spark, f"{path}.lock")
+
+
+def test_array_files_by_priority_with_pushed_objects(spark):
+    from weft.sources import array_files
+
+    root = Workspace(spark, "t").path("arrays")
+    data = [("cup", "a", "npz", []), ("cup", "b", "json", [[1.0, 2.0], [3.0, 4.0]]), ("pan", "a", "npz", [[5.0, 6.0]]), ("pan", "b", "json", [[0.0, 0.0]]), ("mug", "b", "npz", [])]
+    array_files.save_arrays(spark.createDataFrame(data, "object string, source string, kind string, value array<array<double>>"), root, "grasps")
+    for pushed in ("true", "false"):
+        spark.conf.set(array_files.PUSHDOWN, pushed)
+        found = array_files.load_arrays(spark, root, ["a", "b", "none"], "grasps")
+        best = array_files.first_source(found)
+        assert sorted((r.object, r.source, r.place, tuple(r.value), r.n) for r in best.collect()) == [("cup", "b", 0, (1.0, 2.0), 2), ("cup", "b", 1, (3.0, 4.0), 2), ("pan", "a", 0, (5.0, 6.0), 1)]
+        assert found.where("object IN ('cup', 'mug')").count() == 2 and found.where("object = 'none'").count() == 0
+        one = [tuple(r.value) for r in array_files.drawn(best, 1, "s").where("object = 'cup'").collect()]
+        assert one == [tuple(r.value) for r in array_files.drawn(best.repartition(3), 1, "s").where("object = 'cup'").collect()] and len(one) == 1
+    options = {"path": root, "sources": "a,b", "member": "grasps"}
+    reader = array_files.FilteredReader(options)
+    left = list(reader.pushFilters([array_files.EqualTo(("object",), "pan"), array_files.EqualTo(("source",), "a")]))
+    assert [f.attribute for f in left] == [("source",)]
+    assert [f[1:3] for p in reader.partitions() for f in p.files] == [("pan", "a"), ("pan", "b")]
+    assert len([f for p in array_files.ArrayReader(options).partitions() for f in p.files]) == 5
+
+
+def test_buckets_join_without_a_shuffle(spark):
+    a = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("x"))
+    b = spark.range(1500).select((F.col("id") % 900).alias("j"), "id")
+    place = Workspace(spark, "t")
+    left, right = files.bucketed(a, place.path("a"), "k", 4), files.bucketed(b, place.path("b"), "j", 4)
+    joined = left.join(right.hint("merge"), F.col("k") == F.col("j"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == a.join(b, F.col("k") == F.col("j")).count() == 1500
+
+
 def test_lock_excludes_and_appends_once(spark):
     from concurrent.futures import ThreadPoolExecutor
 

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.sequences import global_rank
+from weft.workspace import Workspace
+
 SPLITS = ("train", "val", "test")
 MIN_MARGIN, MIN_SIMILARITY = 0.03, 0.1
 QUERY_BLOCK, VECTOR_BLOCK = 2048, 8192
@@ -122,27 +127,29 @@ def by_index(rows: DataFrame, group: str, order: str, first: int, last: int) ->
     return numbered.where(F.col("__i").between(first, last)).drop("__i")
 
 
-def clusters(rows: DataFrame, key: str, dims: list[str], k: int, seed: int = 42) -> DataFrame:
-    """rows with cluster: k-means over dims / (their deviation + 1e-6); rows number modulo k where that fails.
+def clusters(rows: DataFrame, key: str, dims: list[str], k: int, workspace: Workspace, seed: int = 42) -> DataFrame:
+    """rows with cluster: k-means over dims / (their deviation + 1e-6).
 
-    Fewer distinct rows than k give fewer clusters. The seed fixes the start; labels are numbered by their centre, in
+    Features with nulls, NaN or infinities have no distances: then a row's cluster is its number in the order of the key, modulo k. Fewer
+    distinct rows than k give fewer clusters. The seed fixes the start; labels are numbered by their centre, in
     order, so they do not depend on the library's numbering.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
+    inside = reduce(and_, [F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False)) for c in dims])
+    if rows.where(~inside).limit(1).count():
+        numbered = global_rank(rows, [F.col(key)], workspace, "__place")
+        return numbered.withColumn("cluster", F.pmod(F.col("__place") - 1, F.lit(k)).cast("long")).drop("__place")
     scale = rows.agg(*[F.stddev_pop(c).alias(f"__s_{c}") for c in dims])
     scaled = rows.join(F.broadcast(scale)).select(*rows.columns, *[(F.col(c) / (F.col(f"__s_{c}") + 1e-6)).alias(f"__x_{c}") for c in dims])
-    names = [f"__x_{c}" for c in dims]
-    try:
-        ready = VectorAssembler(inputCols=names, outputCol="__v", handleInvalid="error").transform(scaled)
-        model = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="__p", maxIter=100).fit(ready)
-        order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
-        place = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
-        return model.transform(ready).select(*rows.columns, F.get(place, F.col("__p")).cast("long").alias("cluster"))
-    except Exception:  # noqa: BLE001  what the features or the library do not allow
-        numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64(key), F.lit(64))).orderBy(key)))
-        return numbered.withColumn("cluster", F.pmod(F.col("__n") - 1, F.lit(k)).cast("long")).drop("__n")
+    ready = VectorAssembler(inputCols=[f"__x_{c}" for c in dims], outputCol="__v", handleInvalid="error").transform(scaled)
+    if not rows.limit(1).count():
+        return rows.withColumn("cluster", F.lit(None).cast("long"))
+    model = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="__p", maxIter=100).fit(ready)
+    order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
+    place = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
+    return model.transform(ready).select(*rows.columns, F.get(place, F.col("__p")).cast("long").alias("cluster"))
 
 
 def navigation(candidates: DataFrame, threshold: float) -> DataFrame:

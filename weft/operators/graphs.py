@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.workspace import Workspace
@@ -121,15 +123,80 @@ def erode(cells: DataFrame, radius: int) -> DataFrame:
     return _square(cells, radius).groupBy("r", "c").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") == whole).select("r", "c")
 
 
-def distances(free: DataFrame, obstacles: DataFrame, most: int) -> DataFrame:
-    """(r, c, distance) of free cells: the Euclidean distance to the nearest obstacle, `most` if none is nearer.
+#: Cells of a column that one record holds while distances along columns are taken.
+COLUMN_BLOCK = 4096
 
-    Obstacles reach the cells of a disk of constant size; there is no join of all cells with all obstacles.
+
+def nearest_along(rows: np.ndarray, first: int, last: int, before: float, after: float) -> np.ndarray:
+    """Distance of each of the rows first .. last to the nearest of the given ones (ascending), of `before` and of `after` (NaN: none)."""
+    marks = np.concatenate([[-np.inf if np.isnan(before) else before], rows, [np.inf if np.isnan(after) else after]])
+    at = np.arange(first, last + 1)
+    right = np.searchsorted(marks, at)
+    return np.minimum(marks[np.minimum(right, len(marks) - 1)] - at, at - marks[np.maximum(right - 1, 0)])
+
+
+def lower_envelope(places: np.ndarray, heights: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """min over k of (at - places[k]) ** 2 + heights[k], for ascending places and ascending at."""
+    hull: list[int] = []  # parabolas that are lowest somewhere
+    starts: list[float] = []
+    for k in range(len(places)):
+        while hull:
+            j = hull[-1]
+            cross = ((heights[k] + places[k] ** 2) - (heights[j] + places[j] ** 2)) / (2 * (places[k] - places[j]))
+            if cross > starts[-1]:
+                break
+            hull.pop()
+            starts.pop()
+        hull.append(k)
+        starts.append(cross if len(hull) > 1 else -np.inf)
+    low = np.array(hull)[np.searchsorted(starts, at, side="right") - 1]
+    return (at - places[low]) ** 2 + heights[low]
+
+
+def distances(free: DataFrame, obstacles: DataFrame) -> DataFrame:
+    """(r, c, distance) of free cells: the exact Euclidean distance to the nearest obstacle, null if there is none.
+
+    Two passes. Along the long side of the map each column is cut into blocks of COLUMN_BLOCK cells, and the nearest obstacle of earlier
+    and later blocks is carried into a block, so a column need not fit in a task. Along the short side the lower envelope of the
+    parabolas over a line's cells gives the distance; such a line has at most as many cells as the square root of the map's box.
     """
-    disk = [(i, j, i * i + j * j) for i in range(-most, most + 1) for j in range(-most, most + 1) if i * i + j * j < most * most]
-    shifts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(d).alias("d")) for i, j, d in disk])
-    reached = obstacles.select("r", "c", F.explode(shifts).alias("s")).groupBy((F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c")).agg(F.min("s.d").alias("d"))
-    return free.join(reached, ["r", "c"], "left").select("r", "c", F.coalesce(F.sqrt("d"), F.lit(float(most))).alias("distance"))
+    both = free.select("r", "c").unionByName(obstacles.select("r", "c"))
+    box = both.agg(*[f(x).alias(f"{n}_{x}") for x in "rc" for n, f in (("low", F.min), ("high", F.max))]).first()
+    if not obstacles.limit(1).count():
+        return free.select("r", "c").withColumn("distance", F.lit(None).cast("double"))
+    turned = box["high_c"] - box["low_c"] > box["high_r"] - box["low_r"]
+    if turned:
+        free, obstacles = (x.select(F.col("c").alias("r"), F.col("r").alias("c")) for x in (free, obstacles))
+    low, high = (box["low_c"], box["high_c"]) if turned else (box["low_r"], box["high_r"])
+
+    block = F.floor((F.col("r") - low) / COLUMN_BLOCK).cast("int")
+    marked = obstacles.select("r", "c").distinct().groupBy("c", block.alias("block")).agg(F.array_sort(F.collect_list("r")).alias("rows"))
+    blocks = obstacles.select("c").distinct().select("c", F.explode(F.sequence(F.lit(0), F.lit((high - low) // COLUMN_BLOCK))).alias("block"))
+    column = Window.partitionBy("c").orderBy("block")
+    carried = blocks.join(marked, ["c", "block"], "left").select(
+        "c", "block", F.coalesce("rows", F.array().cast("array<int>")).alias("rows"),
+        F.last(F.element_at("rows", -1), True).over(column.rowsBetween(Window.unboundedPreceding, -1)).cast("double").alias("before"),
+        F.first(F.get("rows", F.lit(0)), True).over(column.rowsBetween(1, Window.unboundedFollowing)).cast("double").alias("after"),
+    )
+
+    def along(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for c, n, rows, before, after in frame.itertuples(index=False):
+                first = low + n * COLUMN_BLOCK
+                last = min(high, first + COLUMN_BLOCK - 1)
+                gap = nearest_along(np.asarray(rows, float), first, last, before, after)
+                yield pd.DataFrame({"r": np.arange(first, last + 1), "c": c, "gap": gap})
+
+    gaps = carried.mapInPandas(along, "r int, c int, gap double")
+
+    def across(key: tuple, own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        own, cells = own.sort_values("c"), cells.sort_values("c")
+        found = lower_envelope(own["c"].to_numpy(float), own["gap"].to_numpy() ** 2, cells["c"].to_numpy(float)) if len(cells) else np.zeros(0)
+        return pd.DataFrame({"r": cells["r"], "c": cells["c"], "distance": np.sqrt(found)})
+
+    wanted = free.select(F.col("r").cast("int"), F.col("c").cast("int"))
+    out = gaps.groupBy("r").cogroup(wanted.groupBy("r")).applyInPandas(across, "r int, c int, distance double")
+    return out.select(F.col("c").alias("r"), F.col("r").alias("c"), "distance") if turned else out
 
 
 def line_cells(a: tuple[int, int], b: tuple[int, int]) -> list[tuple[int, int]]:
@@ -139,27 +206,19 @@ def line_cells(a: tuple[int, int], b: tuple[int, int]) -> list[tuple[int, int]]:
 
 
 def simplified(path: list[tuple[int, int]], cost: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
-    """Waypoints of a path: from each one the straight line goes on as long as it costs no more than the path so far
-    and its dearest cell is no dearer; a line over a cell that is not free costs without limit."""
-    if len(path) < 3:
-        return list(path)
-
-    def price(a, b) -> tuple[float, float]:
-        over = [cost.get(x, float("inf")) for x in line_cells(a, b)]
-        return sum(over), max(over)
-
-    out, end = [path[0]], path[1]
-    total, peak = price(path[0], path[1])
-    for to in path[2:]:
-        whole, dearest = price(out[-1], to)
-        further, high = price(end, to)
-        if whole <= total + further and dearest <= max(peak, high):
-            total, peak = whole, dearest
-        else:
-            out.append(end)
-            total, peak = further, high
-        end = to
-    return [*out, end]
+    """Waypoints of a path: each is followed by the farthest cell of the path to which the straight line is free and costs no more than
+    the path's cells between them."""
+    upto = np.concatenate([[0.0], np.cumsum([cost.get(p, np.inf) for p in path])])
+    out, at = path[:1], 0
+    while at < len(path) - 1:
+        to = at + 1
+        for further in range(len(path) - 1, at + 1, -1):
+            if sum(cost.get(p, np.inf) for p in line_cells(path[at], path[further])) <= upto[further + 1] - upto[at]:
+                to = further
+                break
+        out.append(path[to])
+        at = to
+    return out
 
 
 def shortest_paths(maps: DataFrame, start: tuple[int, int], goal: tuple[int, int]) -> DataFrame:

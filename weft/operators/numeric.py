@@ -11,43 +11,84 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
-def _log_gamma(n: np.ndarray) -> np.ndarray:
-    """Logs of factorials (n - 1)! for whole n, by Stirling's series from 10 on."""
-    small = np.concatenate([[0.0, 0.0], np.cumsum(np.log(np.arange(1, 12)))])
-    x = np.maximum(n, 10).astype(float)
-    series = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
-    return np.where(n < 10, small[np.minimum(n, 10).astype(int)], series)
+#: Panels and nodes of the quadrature; a distribution is cut off so many deviations from its mean.
+PANELS, NODES, SPREAD = 32, 16, 40.0
 
 
-def beta_cdf(x: float, a: int, b: int) -> float:
-    """P(X <= x) for Beta(a, b) of whole a, b: a binomial tail."""
-    n = a + b - 1
-    k = np.arange(a, n + 1)
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    logs = _log_gamma(np.full(len(k), n + 1)) - _log_gamma(k + 1) - _log_gamma(n - k + 1) + k * np.log(x) + (n - k) * np.log1p(-x)
-    return float(np.exp(logs).sum())
+def _stirling_rest(n: np.ndarray) -> np.ndarray:
+    """log gamma(n) minus Stirling's formula (n - 1/2) log n - n + log(2 pi) / 2, for whole n."""
+    k = np.arange(1, 16)
+    small = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 15)))]) - ((k - 0.5) * np.log(k) - k + 0.5 * np.log(2 * np.pi))
+    x = np.maximum(n, 16).astype(float)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
+    return np.where(n < 16, small[np.minimum(n, 15).astype(int) - 1], series)
 
 
-def beta_quantile(p: float, a: int, b: int) -> float:
-    low, high = 0.0, 1.0
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if beta_cdf(mid, a, b) < p else (low, mid)
-    return (low + high) / 2
+def _beta_log_density(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Log density of Beta(a, b); large parts cancel before they are added."""
+    n = a + b
+    with np.errstate(divide="ignore", invalid="ignore"):
+        log_x, log_y = np.log(x), np.log1p(-x)
+        off = (x - a / n) * n
+        near = [np.where(np.abs(t) < 0.5, np.log1p(t), far) for t, far in ((off / a, np.log(x * n / a)), (-off / b, np.log((1 - x) * n / b)))]
+        main = a * near[0] + b * near[1]
+        rest = _stirling_rest(n) - _stirling_rest(a) - _stirling_rest(b) + 0.5 * (np.log(a) + np.log(b) - np.log(n) - np.log(2 * np.pi))
+        return np.where((x > 0) & (x < 1), main + rest - log_x - log_y, -np.inf)
+
+
+def beta_cdf(x, a, b) -> np.ndarray:
+    """P(X <= x) of Beta(a, b) for whole a, b >= 1, over whole columns: the incomplete beta function as an integral.
+
+    The density is smooth, so Gauss's rule on PANELS equal panels is exact to rounding; memory does not depend on a and b. The
+    integral runs from x away from the mean, to where nothing is left.
+    """
+    x, a, b = (np.asarray(v, float)[..., None, None] for v in np.broadcast_arrays(x, a, b))
+    mean = a / (a + b)
+    reach = SPREAD * np.sqrt(a * b / (a + b + 1)) / (a + b)
+    low = x <= mean
+    inner = np.clip(x, 0.0, 1.0)
+    outer = np.where(low, np.maximum(0.0, np.minimum(mean - reach, x)), np.minimum(1.0, np.maximum(mean + reach, x)))
+    nodes, weights = np.polynomial.legendre.leggauss(NODES)
+    width = (inner - outer) / PANELS
+    at = outer + width * (np.arange(PANELS)[:, None] + (nodes + 1) / 2)
+    area = (np.exp(_beta_log_density(at, a, b)) * weights).sum((-1, -2)) * (width / 2)[..., 0, 0]
+    below = np.where(low[..., 0, 0], area, 1 + area)
+    x = x[..., 0, 0]
+    return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, np.clip(below, 0.0, 1.0)))
+
+
+def beta_quantile(p: float, a, b) -> np.ndarray:
+    """x with P(X <= x) = p, over whole columns: Newton's steps inside a bracket that each of them narrows."""
+    a, b = np.broadcast_arrays(np.asarray(a, np.int64), np.asarray(b, np.int64))
+    low, high = np.zeros(a.shape), np.ones(a.shape)
+    x = a / (a + b)
+    for _ in range(80):
+        off = beta_cdf(x, a, b) - p
+        low, high = np.where(off < 0, x, low), np.where(off < 0, high, x)
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            step = x - off / np.exp(_beta_log_density(x, a, b))
+        to = np.where((step > low) & (step < high), step, (low + high) / 2)
+        still = np.abs(to - x) > 1e-15 * np.maximum(x, 1e-300)
+        x = to
+        if not still.any():
+            break
+    return x
 
 
 def credible_interval(df: DataFrame, successes: str, total: str, alpha: float = 0.05) -> DataFrame:
-    """df with ci_low and ci_high in percent: quantiles of Beta(1 + s, 1 + n - s); (0, 0) for n = 0."""
+    """df with ci_low and ci_high in percent: quantiles of Beta(1 + s, 1 + n - s); (0, 0) for n = 0, null for a null."""
     schema = StructType([*df.schema.fields, StructField("ci_low", DoubleType()), StructField("ci_high", DoubleType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [
-                (100 * beta_quantile(alpha / 2, 1 + s, 1 + n - s), 100 * beta_quantile(1 - alpha / 2, 1 + s, 1 + n - s)) if n else (0.0, 0.0)
-                for s, n in zip(frame[successes], frame[total], strict=True)
-            ]
-            yield frame.assign(ci_low=[x[0] for x in found], ci_high=[x[1] for x in found])
+            s, n = frame[successes].to_numpy(float), frame[total].to_numpy(float)
+            known = np.flatnonzero(~np.isnan(s) & ~np.isnan(n) & (n > 0))
+            ends = {name: np.where(n == 0, 0.0, np.nan) for name in ("ci_low", "ci_high")}
+            for at in range(0, len(known), 1024):  # a node for each panel and row is in memory
+                own = known[at : at + 1024]
+                for name, p in (("ci_low", alpha / 2), ("ci_high", 1 - alpha / 2)):
+                    ends[name][own] = 100 * beta_quantile(p, 1 + s[own].astype(np.int64), 1 + (n - s)[own].astype(np.int64))
+            yield frame.assign(**{name: pd.Series(v, index=frame.index, dtype="Float64").mask(np.isnan(v)) for name, v in ends.items()})
 
     return df.mapInPandas(run, schema)
 
@@ -120,27 +161,70 @@ def hull(points: np.ndarray) -> np.ndarray:
     return np.array(chain(points) + chain(points[::-1]))
 
 
+def smallest_box(ring: np.ndarray) -> tuple[float, float]:
+    """Area and angle of the smallest rectangle around a counter-clockwise hull; one of its sides lies on an edge.
+
+    The corner farthest in a direction is where the edges' directions pass the one at right angles to it, which is looked up.
+    """
+    if len(ring) < 3:
+        return 0.0, 0.0
+    edges = np.roll(ring, -1, axis=0) - ring
+    angles = np.arctan2(edges[:, 1], edges[:, 0])
+    first = int(np.argmin(angles))
+    order = np.roll(np.arange(len(ring)), -first)
+    rising = angles[order]
+
+    def farthest(direction: np.ndarray) -> np.ndarray:
+        turned = (direction + np.pi / 2 + np.pi) % (2 * np.pi) - np.pi
+        return ring[order[np.searchsorted(rising, turned) % len(ring)]]
+
+    size = []
+    for turn in (0.0, np.pi / 2):
+        along = np.stack([np.cos(angles + turn), np.sin(angles + turn)], axis=1)
+        size.append(((farthest(angles + turn) - farthest(angles + turn + np.pi)) * along).sum(axis=1))
+    found = np.round(size[0] * size[1], 12)
+    best = np.lexsort((angles % (np.pi / 2), found))[0]
+    return float(size[0][best] * size[1][best]), float(angles[best] % (np.pi / 2))
+
+
+def hulls(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
+    """(group, x, y) of points that hold all corners of each group's convex hull: the hulls of what each task has seen.
+
+    Hulls merge: the hull of hulls of parts is that of the whole. A task holds the hulls of its groups, not their points.
+    """
+    kind = points.schema[group].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict = {}
+        for frame in frames:
+            for key, own in frame.groupby(group, dropna=False, sort=False):
+                own = own[[x, y]].to_numpy(float)
+                key = None if pd.isna(key) else key
+                kept[key] = hull(np.concatenate([kept[key], own]) if key in kept else own)
+        for key, ring in kept.items():
+            yield pd.DataFrame({group: [key] * len(ring), x: ring[:, 0], y: ring[:, 1]})
+
+    given = points.select(group, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna(subset=[x, y])
+    return given.mapInPandas(run, f"`{group}` {kind}, `{x}` double, `{y}` double")
+
+
+#: Tasks that share a group's partial hulls.
+SLICES = 32
+
+
 def smallest_boxes(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Area and angle of the smallest oriented rectangle around each group's points, and its hull's size.
+    """Area and angle of the smallest oriented rectangle around each group's points, and its hull's corners.
 
-    Points are first reduced to the extremes of many cells in the JVM, so that a group's hull is computed over few.
+    Hulls are taken in each task, then in SLICES slices of a group, then of the whole; the last task holds corners only. Points without
+    a coordinate are left out; points on one line have no area.
     """
-    cell = points.groupBy(group, F.round(F.col(x), 0).alias("__cell")).agg(F.min_by(F.struct(x, y), y).alias("lo"), F.max_by(F.struct(x, y), y).alias("hi"),
-        F.min_by(F.struct(x, y), F.struct(x, y)).alias("left"), F.max_by(F.struct(x, y), F.struct(x, y)).alias("right"))
-    few = cell.select(group, F.explode(F.array("lo", "hi", "left", "right")).alias("p")).select(group, F.col(f"p.{x}").alias("x"), F.col(f"p.{y}").alias("y"))
     kind = points.schema[group].dataType.simpleString()
+    parts = hulls(points, group, x, y)
+    slices = hulls(parts.repartition(group, F.pmod(F.xxhash64(x, y), F.lit(SLICES))), group, x, y)
 
     def measure(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        ring = hull(frame[["x", "y"]].to_numpy(float))
-        best = (0.0, 0.0)
-        if len(ring) >= 3:
-            edges = np.roll(ring, -1, axis=0) - ring
-            found = []
-            for angle in np.arctan2(edges[:, 1], edges[:, 0]):
-                turn = np.array([[np.cos(angle), np.sin(angle)], [-np.sin(angle), np.cos(angle)]])
-                spread = np.ptp(ring @ turn.T, axis=0)
-                found.append((float(spread[0] * spread[1]), float(angle % (np.pi / 2))))
-            best = min(found)
-        return pd.DataFrame({group: [key[0]], "area": [best[0]], "angle": [best[1]], "corners": [len(ring)]})
-
-    return few.groupBy(group).applyInPandas(measure, f"`{group}` {kind}, area double, angle double, corners long")
+        ring = hull(frame[[x, y]].to_numpy(float))
+        area, angle = smallest_box(ring)
+        return pd.DataFrame({group: [key[0]], "area": [area], "angle": [angle], "corners": [len(ring)]})
+
+    return slices.groupBy(group).applyInPandas(measure, f"`{group}` {kind}, area double, angle double, corners long")

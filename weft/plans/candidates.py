@@ -251,4 +251,4 @@ def attributed_includes(spark, sf_dir):
 def feature_clusters(spark, sf_dir):
     """Standardised features by k-means with a fixed start; tests check its labels against the nearest centre, and the fallback."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
-    return cand.clusters(e, "vec_id", [f"x{i}" for i in range(64)], 8).select("vec_id", "cluster")
+    return cand.clusters(e, "vec_id", [f"x{i}" for i in range(64)], 8, Workspace(spark, "clusters")).select("vec_id", "cluster")

@@ -152,12 +152,22 @@ def eroded_cells(spark, sf_dir):
 
 
 @query("obstacle_distances", f"""WITH {CELLS}, o AS (SELECT (c_custkey // 40)::INT AS r, (c_custkey % 40)::INT AS c FROM customer WHERE c_acctbal <= 1500)
-    SELECT f.r, f.c, coalesce(round(sqrt(min((f.r - o.r) ** 2 + (f.c - o.c) ** 2)), 6), 4.0)::DOUBLE AS distance FROM cells f LEFT JOIN o ON o.r BETWEEN f.r - 3 AND f.r + 3 AND o.c BETWEEN f.c - 3 AND f.c + 3 AND (f.r - o.r) ** 2 + (f.c - o.c) ** 2 < 16 GROUP BY f.r, f.c""")
+    SELECT f.r, f.c, round(sqrt(min((f.r - o.r) ** 2 + (f.c - o.c) ** 2)), 6)::DOUBLE AS distance FROM cells f LEFT JOIN o ON true GROUP BY f.r, f.c""")
 def obstacle_distances(spark, sf_dir):
-    """The distance of free cells to the nearest obstacle, four at most."""
+    """The exact distance of free cells to the nearest obstacle, however far."""
     k = F.col("c_custkey")
     obstacles = table(spark, sf_dir, "customer").where("c_acctbal <= 1500").select(F.floor(k / 40).cast("int").alias("r"), (k % 40).cast("int").alias("c")).distinct()
-    return graphs.distances(cells(spark, sf_dir).select("r", "c"), obstacles, 4).select("r", "c", F.round("distance", 6).alias("distance"))
+    return graphs.distances(cells(spark, sf_dir).select("r", "c"), obstacles).select("r", "c", F.round("distance", 6).alias("distance"))
+
+
+@query("far_obstacle_distances", """WITH p AS (SELECT p_partkey // 50 AS r, p_partkey % 50 AS c, p_size FROM part), o AS (SELECT r, c FROM p WHERE p_size = 1 AND c > 30)
+    SELECT p.r::INT AS r, p.c::INT AS c, round(sqrt(min((p.r - o.r) ** 2 + (p.c - o.c) ** 2)), 6)::DOUBLE AS distance FROM p LEFT JOIN o ON true WHERE p_size <> 1 GROUP BY p.r, p.c""")
+def far_obstacle_distances(spark, sf_dir):
+    """Distances on a map with few obstacles on one side, so most are far away."""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(F.floor(k / 50).cast("int").alias("r"), (k % 50).cast("int").alias("c"), "p_size")
+    found = graphs.distances(p.where("p_size <> 1").select("r", "c"), p.where("p_size = 1 AND c > 30").select("r", "c"))
+    return found.select("r", "c", F.round("distance", 6).alias("distance"))
 
 
 @query("mask_overlap", f"""WITH {CELLS}, a AS (SELECT r, c FROM cells WHERE c < 25), b AS (SELECT r, c FROM cells WHERE c > 10)

@@ -30,7 +30,7 @@ def ratios(spark, sf_dir):
 @query("signal_stats", f"WITH {SIGNALS} SELECT episode, key, {STATS} FROM signals GROUP BY episode, key")
 def signal_stats(spark, sf_dir):
     """Statistics per episode and key."""
-    found = signals(spark, sf_dir).groupBy("episode", "key").agg(*dist.vector_stats("value"))
+    found = signals(spark, sf_dir).groupBy("episode", "key").agg(*dist.vector_stats("value")).drop("m2")
     return rounded(found, {"mean": 6, "std": 6, "min": 6, "max": 6, "sum": 4, "sum_sq": 4})
 
 
@@ -43,7 +43,7 @@ def signal_stats(spark, sf_dir):
 def merged_stats(spark, sf_dir):
     """Episode statistics merged to those of the dataset."""
     parts = signals(spark, sf_dir).groupBy("episode", "key").agg(*dist.vector_stats("value"))
-    return rounded(dist.merged(parts, "key"), {"sum": 3, "sum_sq": 4, "min": 6, "max": 6, "mean": 6, "std": 5})
+    return rounded(dist.merged(parts, "key").drop("m2"), {"sum": 3, "sum_sq": 4, "min": 6, "max": 6, "mean": 6, "std": 5})
 
 
 @query(
@@ -305,13 +305,31 @@ def profile_levels(spark, sf_dir):
       round(quantile_cont(value, 0.0025), 6) AS low, round(quantile_cont(value, 0.9975), 6) AS high, max(value) AS max, round(count(*) / 30.0, 6) AS per_day FROM events GROUP BY event_type""",
 )
 def latency_percentiles(spark, sf_dir):
-    """Percentiles with linear interpolation, and throughput."""
-    cut = F.percentile("value", F.array(*[F.lit(p) for p in (0.5, 0.95, 0.99, 0.0025, 0.9975)]))
-    names = ("p50", "p95", "p99", "low", "high")
-    found = table(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.round(F.avg("value"), 6).alias("mean"), cut.alias("p"), F.max("value").alias("max"), F.round(F.count(F.lit(1)) / 30.0, 6).alias("per_day")
+    """Percentiles with linear interpolation, exact without a group in one place, and throughput."""
+    names = {0.5: "p50", 0.95: "p95", 0.99: "p99", 0.0025: "low", 0.9975: "high"}
+    e = table(spark, sf_dir, "events")
+    found = e.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"), F.max("value").alias("max"), F.round(F.count(F.lit(1)) / 30.0, 6).alias("per_day"))
+    cuts = dist.exact_quantiles(e, "event_type", "value", list(names), Workspace(spark, "latency")).withColumnRenamed("event_type", "of")
+    wide = cuts.groupBy("of").agg(*[F.round(F.max(F.when(F.col("p") == p, F.col("quantile"))), 6).alias(n) for p, n in names.items()])
+    return found.join(wide, F.col("event_type").eqNullSafe(F.col("of"))).select("event_type", "mean", *names.values(), "max", "per_day")
+
+
+@query("merged_quantiles", """SELECT event_type, p, count(value) AS n, count(DISTINCT user_id) AS users, true AS rank_close, true AS users_close
+    FROM events, (SELECT unnest([0.05, 0.25, 0.5, 0.95, 0.99])::DOUBLE AS p) GROUP BY ALL""")
+def merged_quantiles(spark, sf_dir):
+    """Quantile and distinct sketches of each file (user) merged to those of the dataset; their ranks and counts are within the stated errors."""
+    work = Workspace(spark, "sketches")
+    e = table(spark, sf_dir, "events")
+    files = work.save(dist.file_sketches(e, "value", "user_id", "event_type", distinct="user_id"), "files")
+    whole = dist.merged_sketches(files, "event_type")
+    cuts = [F.struct(F.lit(p).alias("p"), dist.sketched_quantile(p).alias("q")) for p in (0.05, 0.25, 0.5, 0.95, 0.99)]
+    cuts = work.save(whole.select("event_type", "count", F.hll_sketch_estimate("distincts").alias("estimate"), F.explode(F.array(*cuts)).alias("c")).select("event_type", "count", "estimate", "c.p", "c.q"), "cuts")
+    ranked = e.join(F.broadcast(cuts), "event_type").groupBy("event_type", "p", "count", "estimate").agg(
+        F.count_if(F.col("value") < F.col("q")).alias("below"), F.count_if(F.col("value") <= F.col("q")).alias("upto"), F.count_distinct("user_id").alias("users")
     )
-    return found.select("event_type", "mean", *[F.round(F.get("p", F.lit(i)), 6).alias(n) for i, n in enumerate(names)], "max", "per_day")
+    margin = F.greatest(F.lit(dist.SKETCH_ERROR) * F.col("count"), F.lit(1.0))
+    close = (F.col("below") - margin <= F.col("p") * F.col("count")) & (F.col("p") * F.col("count") <= F.col("upto") + margin)
+    return ranked.select("event_type", "p", F.col("count").alias("n"), "users", close.alias("rank_close"), (F.abs(F.col("estimate") - F.col("users")) <= 0.05 * F.col("users") + 1).alias("users_close"))
 
 
 @query(

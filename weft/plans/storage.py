@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weft.functions.text import uniform
 from weft.plans.registry import query
 from weft.plans.standins import STEPS, steps
-from weft.sources import files
+from weft.sources import array_files, files
 from weft.sources.tables import table
 from weft.streaming import progress, state, work
 from weft.workspace import Workspace
@@ -416,3 +416,67 @@ def join_strategies(spark, sf_dir):
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     parts = [c.join(n.hint(s), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n")).withColumn("strategy", F.lit(s)) for s in ("broadcast", "merge", "shuffle_hash")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+MEMBER, DRAW = "transforms", 5
+GRASPS = """SELECT p_partkey, 'droid' AS source, 0 AS priority, p_size % 7 AS n FROM part WHERE p_size % 3 = 0
+  UNION ALL SELECT p_partkey, 'droid_objaverse', 1, p_size % 11 FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'rum', 2, 8 FROM part WHERE p_partkey % 11 <> 0"""
+
+
+def written_grasps(spark, sf_dir, work_):
+    """Array files of three sources, written from the parts: npz of two, JSON of the third; some are empty, some are not there."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    kinds = [("droid", "npz", F.col("p_size") % 3 == 0, F.col("p_size") % 7), ("droid_objaverse", "npz", F.col("p_partkey") % 2 == 0, F.col("p_size") % 11), ("rum", "json", F.col("p_partkey") % 11 != 0, F.lit(8))]
+    each = F.array_compact(F.array(*[F.when(there, F.struct(F.lit(s).alias("source"), F.lit(k).alias("kind"), n.alias("n"))) for s, k, there, n in kinds]))
+    rows = p.select("p_partkey", "p_size", F.explode(each).alias("f")).select(F.concat(F.lit("part_"), F.col("p_partkey")).alias("object"), "p_size", "f.*")
+    places = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array().cast("array<int>"))
+    values = F.transform(places, lambda i: F.transform(F.sequence(F.lit(0), F.lit(15)), lambda j: (F.col("p_size") + i * 16 + j).cast("double")))
+    array_files.save_arrays(rows.withColumn("value", values), work_.path("grasps"), MEMBER)
+    return array_files.load_arrays(spark, work_.path("grasps"), ["droid", "droid_objaverse", "rum"], MEMBER)
+
+
+@query(
+    "grasp_files",
+    f"""WITH g AS ({GRASPS}), f AS (SELECT p_partkey, arg_min(source, priority) AS source, arg_min(n, priority) AS n FROM g WHERE n > 0 GROUP BY p_partkey),
+  d AS (SELECT f.*, i, row_number() OVER (PARTITION BY p_partkey ORDER BY md5('7|part_' || p_partkey || '|' || i)) AS r FROM f, unnest(range(n)) AS u(i))
+  SELECT 'part_' || p_partkey AS object, source, n::BIGINT AS n, string_agg(i::VARCHAR, ',' ORDER BY i) AS places, sum(p_size + i * 16 + 15)::DOUBLE AS last FROM d JOIN part USING (p_partkey) WHERE r <= {DRAW} GROUP BY ALL""",
+)
+def grasp_files(spark, sf_dir):
+    """Grasps of npz and JSON files, of the first source that has any, and a seeded draw of at most DRAW of them."""
+    found = array_files.first_source(written_grasps(spark, sf_dir, Workspace(spark, "grasps")))
+    some = array_files.drawn(found, DRAW, "7")
+    places = F.array_join(F.transform(F.array_sort(F.collect_list("place")), lambda x: x.cast("string")), ",")
+    return some.groupBy("object", "source", "n").agg(places.alias("places"), F.sum(F.get("value", F.lit(15))).alias("last"))
+
+
+CHUNK = 64
+
+
+@query(
+    "feature_files",
+    f"""SELECT vec_id, label, (vec_id % {CHUNK})::INT AS place, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)), 6) AS norm FROM embeddings""",
+)
+def feature_files(spark, sf_dir):
+    """Gzipped JSON lines of ids joined by chunk and place with the rows of feature files."""
+    work_ = Workspace(spark, "features")
+    e = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("chunk_"), F.floor(F.col("vec_id") / CHUNK)).alias("object"), (F.col("vec_id") % CHUNK).cast("int").alias("place"), "vec_id", "label", "embedding")
+    names = e.select("object", "place", "vec_id", "label")
+    names.write.option("compression", "gzip").json(work_.path("names"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col("embedding").cast("array<double>").alias("v")))), lambda x: x["v"])
+    chunks = e.groupBy("object").agg(ordered.alias("value")).select("object", F.lit("clip").alias("source"), F.lit("npz").alias("kind"), "value")
+    array_files.save_arrays(chunks, work_.path("arrays"), "features")
+    rows = array_files.load_arrays(spark, work_.path("arrays"), ["clip"], "features").select("object", "place", "value")
+    norm = F.aggregate("value", F.lit(0.0), lambda s, x: s + x * x)
+    back = spark.read.schema(names.schema).json(work_.path("names"))
+    # vec_ids of a chunk have no gaps, so the place in the file is that in the chunk
+    return back.join(rows, ["object", "place"]).select("vec_id", "label", "place", F.round(norm, 6).alias("norm"))
+
+
+@query("bucketed_join", "SELECT o_orderpriority, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderpriority")
+def bucketed_join(spark, sf_dir):
+    """Two tables written once in buckets of their key, joined bucket by bucket without a shuffle of either."""
+    work_ = Workspace(spark, "buckets")
+    o = files.bucketed(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), work_.path("orders"), "o_orderkey")
+    li = files.bucketed(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), work_.path("lineitem"), "l_orderkey")
+    joined = o.join(li.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import contextlib
 import os
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -133,6 +134,17 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def bucketed(df: DataFrame, path: str, key: str, buckets: int = 32) -> DataFrame:
+    """df, written once in sorted buckets of a key; tables with the same buckets join on their keys without a shuffle.
+
+    Rows are dealt by bucket before, so each bucket is one file. The table is known to the session's catalog under a name of its own.
+    """
+    name = f"weft_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_staged(df: DataFrame, path: str) -> None:
     """Write beside the target, move the old table aside, rename, then drop the old one.
 
@@ -170,17 +182,27 @@ def publish(df: DataFrame, path: str, mode: str, *index: str) -> DataFrame:
     return parts["totals"]
 
 
+#: Quotes are around every value that is there, so that separators, line feeds and # in values are no syntax. A field without quotes is
+#: read as this null value, one with nothing between its quotes as an empty text.
+QUOTED = {"escape": '"', "nullValue": "\0", "emptyValue": ""}
+
+
 def write_report(df: DataFrame, path: str, notes: list[str]) -> None:
-    """A CSV with comment lines before its header; a report is small by nature and is written as one file."""
+    """A CSV with comment lines before its header; a report is small by nature and is written as one file.
+
+    Line feeds in notes begin further comment lines.
+    """
     spark = df.sparkSession
-    header = spark.createDataFrame([(0, i, f"# {note}") for i, note in enumerate(notes)] + [(1, 0, ",".join(df.columns))], "part int, place int, value string")
-    quoted = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-    body = df.select(F.lit(2).alias("part"), F.lit(0).alias("place"), quoted.alias("value"))
+    names = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+    given = [(0, i, f"# {line}") for i, line in enumerate("\n".join(notes).splitlines())]
+    header = spark.createDataFrame([*given, (1, 0, names)], "part int, place int, value string")
+    fields = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns]
+    body = df.select(F.lit(2).alias("part"), F.lit(0).alias("place"), F.concat_ws(",", *fields).alias("value"))
     header.unionByName(body).coalesce(1).sortWithinPartitions("part", "place").select("value").write.mode("overwrite").text(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").option("comment", "#").csv(path)
+    return spark.read.schema(schema).options(**QUOTED).option("header", "true").option("comment", "#").option("multiLine", "true").csv(path)
 
 
 def pending(wanted: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
@@ -197,36 +219,77 @@ def write_once(df: DataFrame, path: str) -> bool:
 
 
 class Locked:
-    """Mutual exclusion through a file that only one can create; a lock older than `stale` seconds counts as left behind.
+    """Mutual exclusion through a file that only one can create, with its holder's token in it.
 
-    A distributed file system creates a file once; Hadoop's local one looks before it creates, so there the system's call does it.
+    A distributed file system creates a file once; Hadoop's local one looks before it creates, so there the system's call does it. A lock older
+    than `stale` seconds counts as left behind: who finds it renames it to a name of its own token, which only one can, and so never
+    takes a newer lock away; `renew` makes a lock young again for work that takes long. Only the holder's own lock is deleted.
     """
 
     def __init__(self, spark: SparkSession, path: str, patience: float = 60.0, stale: float = 3600.0):
         self.jvm, self.patience, self.stale = spark._jvm, patience, stale
+        self.token = uuid.uuid4().hex
         self.lock = self.jvm.org.apache.hadoop.fs.Path(f"{path}.lock")
         self.fs = self.lock.getFileSystem(spark._jsc.hadoopConfiguration())
         self.fs.mkdirs(self.lock.getParent())
 
+    def _create(self) -> None:
+        if self.fs.getUri().getScheme() == "file":
+            with os.fdopen(os.open(self.lock.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY), "w") as f:
+                f.write(self.token)
+        else:
+            out = self.fs.create(self.lock, False)
+            out.write(self.token.encode())
+            out.close()
+
+    def holder(self) -> str:
+        """The token in the lock, empty while it is being written."""
+        stream = self.fs.open(self.lock)
+        try:
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def _age(self) -> float:
+        return time.time() - self.fs.getFileStatus(self.lock).getModificationTime() / 1000
+
     def __enter__(self) -> Locked:
         until = time.monotonic() + self.patience
         while True:
             try:
-                if self.fs.getUri().getScheme() == "file":
-                    os.close(os.open(self.lock.toUri().getPath(), os.O_CREAT | os.O_EXCL))
-                else:
-                    self.fs.create(self.lock, False).close()
+                self._create()
                 return self
             except Exception as e:  # noqa: BLE001  file systems name it differently
                 if time.monotonic() > until:
                     raise TimeoutError(f"{self.lock} is held") from e
                 with contextlib.suppress(Exception):  # the holder may let go meanwhile
-                    if time.time() - self.fs.getFileStatus(self.lock).getModificationTime() / 1000 > self.stale:
-                        self.fs.delete(self.lock, False)
+                    if self._age() > self.stale:
+                        self._put_aside(self.holder())
             time.sleep(0.05)
 
+    def _put_aside(self, found: str) -> None:
+        """Move a stale lock away; one that has changed hands since it was read is put back."""
+        aside = self.jvm.org.apache.hadoop.fs.Path(f"{self.lock}.{self.token}")
+        if self.fs.rename(self.lock, aside):
+            moved = self.fs.open(aside)
+            try:
+                same = bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(moved)).decode() == found
+            finally:
+                moved.close()
+            if not same:
+                self.fs.rename(aside, self.lock)
+            self.fs.delete(aside, False)
+
+    def renew(self) -> None:
+        """Say that the holder still works; an error if the lock is not its own any more."""
+        if self.holder() != self.token:
+            raise RuntimeError(f"{self.lock} was taken over")
+        self.fs.setTimes(self.lock, int(time.time() * 1000), -1)
+
     def __exit__(self, *_) -> None:
-        self.fs.delete(self.lock, False)
+        with contextlib.suppress(Exception):  # nothing is there any more
+            if self.holder() == self.token:
+                self.fs.delete(self.lock, False)
 
 
 def append_absent(rows: DataFrame, path: str, key: str) -> None:
