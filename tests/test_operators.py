@@ -247,6 +247,78 @@ def test_path_search(spark):
     assert got["m"] == (True, 12.0, 12) and got["n"][0] is False
 
 
+def plain_costs(cost, start):
+    best, todo = {start: 0.0}, [start]
+    while todo:
+        at = todo.pop(0)
+        for i, j in ((1, 0), (-1, 0), (0, 1), (0, -1)):
+            to = (at[0] + i, at[1] + j)
+            if to in cost and best[at] + max(cost[at], cost[to]) < best.get(to, math.inf):
+                best[to] = best[at] + max(cost[at], cost[to])
+                todo.append(to)
+    return best
+
+
+def test_paths_over_tiles_cost_what_a_plain_search_finds(spark):
+    rng = random.Random(12)
+    maps = {
+        "open": {(r, c): float(rng.randrange(1, 9)) for r in range(40) for c in range(40)},
+        "maze": {(r, c): 1.0 for r in range(40) for c in range(40) if r % 4 != 2 or c == (39 if r % 8 == 2 else 0)},
+        "cut": {(r, c): 1.0 for r in range(40) for c in range(40) if r != 20},
+    }
+    rows_ = [(m, r, c, w) for m, cost in maps.items() for (r, c), w in cost.items()] + [("lost", 5, 5, 1.0)]
+    df = spark.createDataFrame(rows_, "map string, r int, c int, cost double")
+    found = graphs.long_paths(df, (0, 0), (39, 37), Workspace(spark, "t"), tile=8)
+    paths = {}
+    for x in found.orderBy("map", "place").collect():
+        paths.setdefault(x.map, []).append((x.place, (x.r, x.c), x.spent))
+    assert paths.keys() == {"open", "maze"}
+    for m, path in paths.items():
+        assert [p for p, _, _ in path] == list(range(len(path))) and path[0][1:] == ((0, 0), 0.0) and path[-1][1] == (39, 37)
+        spent = 0.0
+        for (_, a, _), (_, b, s) in zip(path, path[1:], strict=False):
+            assert abs(a[0] - b[0]) + abs(a[1] - b[1]) == 1
+            spent += max(maps[m][a], maps[m][b])
+            assert s == pytest.approx(spent)
+        assert spent == pytest.approx(plain_costs(maps[m], (0, 0))[39, 37])
+    one = graphs.long_paths(df.where("map = 'lost'"), (5, 5), (5, 5), Workspace(spark, "t"), tile=8).collect()
+    assert [(x.map, x.place, x.r, x.c, x.spent) for x in one] == [("lost", 0, 5, 5, 0.0)]
+
+
+def test_ranks_and_firsts_do_not_need_a_whole_group(spark):
+    rng = random.Random(2)
+    data = [(rng.choice(["hot"] * 8 + ["b", None]), i, rng.random() < 0.4) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, i long, front boolean").repartition(5)
+    groups = {g: sorted(i for h, i, _ in data if h == g) for g in {x[0] for x in data}}
+    got = {r.i: r.round for r in sequences.group_rank(df, "g", ["i"], Workspace(spark, "t")).collect()}
+    assert got == {i: n + 1 for own in groups.values() for n, i in enumerate(own)}
+    places = {r.i: r.place for r in sampling.interleave(df, "g", ["i"], Workspace(spark, "t")).collect()}
+    key = lambda x: (got[x[1]], x[0] is not None, x[0] or "")
+    assert places == {x[1]: n + 1 for n, x in enumerate(sorted(data, key=key))}
+
+    from weft.operators import candidates
+
+    picked = {(r.g, r.i, r.whole) for r in candidates.by_index(df, "g", "i", 3, 60).collect()}
+    assert picked == {(g, i, len(own) > 60) for g, own in groups.items() for i in own[3:61]}
+    taken = candidates.two_quotas(df, "g", "front", [F.col("i")], 50, 20).collect()
+    for g in groups:
+        front, back = ([i for h, i, f in data if h == g and f == side] for side in (True, False))
+        share = min(20, len(back))
+        assert sorted(r.i for r in taken if r.g == g) == sorted(sorted(front)[: 50 - share] + sorted(back)[:share])
+    plan = candidates.by_index(df, "g", "i", 3, 60)._jdf.queryExecution().executedPlan().toString()
+    assert "__slice" in plan
+
+
+def test_closure_of_a_long_chain_takes_few_rounds(spark):
+    import os
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(0, 5), (7, 7)], "child long, parent long")
+    place = Workspace(spark, "t")
+    got = {(r.node, r.ancestor): r.distance for r in graphs.closure(chain, place).collect()}
+    assert got == {(i, j): j - i - (4 if i == 0 and j >= 5 else 0) for i in range(41) for j in range(i + 1, 41)}
+    assert len([x for x in os.listdir(place.root.removeprefix("file://")) if "-new-" in x]) <= 8
+
+
 def test_distances_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(graphs, "COLUMN_BLOCK", 7)
     rng = random.Random(4)

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.sampling import first_of_each
 from weft.operators.sequences import global_rank
 from weft.workspace import Workspace
 
@@ -122,9 +123,9 @@ def by_index(rows: DataFrame, group: str, order: str, first: int, last: int) ->
     """Rows first .. last of each group in an order, and in `whole` whether the group has as many; a range that is none is an error."""
     if not 0 <= first <= last:
         raise ValueError(f"no range of indices: {first} to {last}")
-    of = Window.partitionBy(group)
-    numbered = rows.withColumn("__i", F.row_number().over(of.orderBy(order)) - 1).withColumn("whole", F.count(F.lit(1)).over(of) > last)
-    return numbered.where(F.col("__i").between(first, last)).drop("__i")
+    sizes = rows.groupBy(F.col(group).alias("__g")).agg((F.count(F.lit(1)) > last).alias("whole"))
+    some = first_of_each(rows, group, [order], F.lit(last + 1), last + 1, number="__i").where(F.col("__i") > first).drop("__i")
+    return some.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).drop("__g")
 
 
 def clusters(rows: DataFrame, key: str, dims: list[str], k: int, workspace: Workspace, seed: int = 42) -> DataFrame:
@@ -173,12 +174,10 @@ def placement(rows: DataFrame, most_moved: float, most_tilt: float) -> DataFrame
 
 def two_quotas(rows: DataFrame, group: str, foreground: str, order: list[Column], budget: int, background: int) -> DataFrame:
     """At most `budget` rows of each group, `background` of them for the background; what it cannot fill the foreground gets."""
-    own = Window.partitionBy(group, foreground).orderBy(*order)
-    whole = Window.partitionBy(group)
-    taken = F.least(F.count_if(~F.col(foreground)).over(whole), F.lit(background))
-    numbered = rows.withColumn("__n", F.row_number().over(own)).withColumn("__back", taken)
+    back = rows.groupBy(F.col(group).alias("__g")).agg(F.least(F.count_if(~F.col(foreground)), F.lit(background)).alias("__back"))
+    placed = rows.join(back, F.col(group).eqNullSafe(F.col("__g"))).drop("__g").withColumn("__of", F.struct(group, foreground))
     share = F.when(F.col(foreground), F.lit(budget) - F.col("__back")).otherwise(F.col("__back"))
-    return numbered.where(F.col("__n") <= share).drop("__n", "__back")
+    return first_of_each(placed, "__of", order, share, max(budget, background)).drop("__of", "__back")
 
 
 def _blocks(queries: DataFrame, vectors: DataFrame, run, schema: str) -> DataFrame:

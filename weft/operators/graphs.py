@@ -16,23 +16,23 @@ from weft.workspace import Workspace
 def closure(edges: DataFrame, workspace: Workspace, name: str = "closure", with_self: bool = False) -> DataFrame:
     """(node, ancestor, distance) of edges (child, parent): the smallest distance of each pair.
 
-    Rounds join only pairs that are new, so cycles end; loops of a node to itself are left out first. A round writes
-    its new pairs only.
+    Paths double: after k rounds all pairs up to 2 ** k links apart are known, and those at just that distance, joined with all, give the
+    next, so a taxonomy of depth d takes log2(d) rounds. A round writes its new pairs only; cycles end, as no pair is found twice. Loops of a
+    node to itself are left out.
     """
     edges = workspace.save(edges.select("child", "parent").where("child <> parent").distinct(), f"{name}-edges")
-    fresh = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
-    known, step = fresh, 1
+    known = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
+    reach, step = 1, 0
     while True:
         step += 1
-        further = (
-            fresh.join(edges, fresh["ancestor"] == edges["child"])
-            .select("node", F.col("parent").alias("ancestor"), F.lit(step).alias("distance"))
-            .where("node <> ancestor").distinct()
-        )
+        farthest = known.where(F.col("distance") == reach)
+        onward = known.select(F.col("node").alias("__n"), F.col("ancestor").alias("__a"), F.col("distance").alias("__d"))
+        further = farthest.join(onward, (F.col("ancestor") == F.col("__n")) & (F.col("node") != F.col("__a")))
+        further = further.groupBy("node", F.col("__a").alias("ancestor")).agg((F.min("__d") + reach).alias("distance"))
         fresh = workspace.save(further.join(known, ["node", "ancestor"], "left_anti"), f"{name}-new-{step}")
         if not fresh.limit(1).count():
             break
-        known = known.unionByName(fresh)
+        known, reach = known.unionByName(fresh), 2 * reach
     if with_self:
         nodes = edges.select(F.col("child").alias("node")).unionByName(edges.select(F.col("parent").alias("node"))).distinct()
         known = known.unionByName(nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance")))
@@ -252,3 +252,114 @@ def shortest_paths(maps: DataFrame, start: tuple[int, int], goal: tuple[int, int
 
     kind = maps.schema["map"].dataType.simpleString()
     return maps.groupBy("map").applyInPandas(search, f"map {kind}, reached boolean, cost double, steps long, waypoints string")
+
+
+def tile_routes(maps: DataFrame, ends: list[tuple[int, int]], tile: int) -> DataFrame:
+    """(map, a, b, w): cheapest ways within each tile between its border cells (and `ends`), and steps across borders; cells are structs (r, c).
+
+    A tile is a group of tile ** 2 cells at most, so a map of any size is cut into tasks of one size.
+    """
+    cost_kind, kind = "double", maps.schema["map"].dataType.simpleString()
+    row, column = F.floor(F.col("r") / tile), F.floor(F.col("c") / tile)
+
+    def within(frame: pd.DataFrame) -> pd.DataFrame:
+        cost = {(r, c): w for r, c, w in zip(frame["r"], frame["c"], frame["cost"], strict=True)}
+        border = [x for x in cost if x[0] % tile in (0, tile - 1) or x[1] % tile in (0, tile - 1) or x in ends]
+        found = [(a, b, d) for a in border for b, d in _within(cost, a)[0].items() if b in set(border) and a != b]
+        name = frame["map"].iloc[0]
+        return pd.DataFrame([(name, *a, *b, d) for a, b, d in found], columns=["map", "r", "c", "r2", "c2", "weight"], dtype=object)
+
+    inside = maps.groupBy("map", row, column).applyInPandas(within, f"map {kind}, r int, c int, r2 int, c2 int, weight {cost_kind}")
+    step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 1), (1, 0), (0, -1), (-1, 0))])).alias("s")
+    leaving = maps.select("map", "r", "c", "cost", step).select("map", "r", "c", "cost", (F.col("r") + F.col("s.i")).alias("r2"), (F.col("c") + F.col("s.j")).alias("c2"))
+    leaving = leaving.where((F.floor(F.col("r2") / tile) != row) | (F.floor(F.col("c2") / tile) != column))
+    other = maps.select(F.col("map"), F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("cost").alias("cost2"))
+    across = leaving.join(other, ["map", "r2", "c2"]).select("map", "r", "c", "r2", "c2", F.greatest("cost", "cost2").alias("weight"))
+    every = inside.unionByName(across)
+    return every.select("map", F.struct("r", "c").alias("a"), F.struct(F.col("r2").alias("r"), F.col("c2").alias("c")).alias("b"), F.col("weight").alias("w"))
+
+
+def _within(cost: dict[tuple, float], start: tuple) -> tuple[dict[tuple, float], dict[tuple, tuple]]:
+    """Cheapest cost from a cell to all others of a tile, and the cell before each; a step costs the larger of its ends."""
+    best, came, queue = {start: 0.0}, {}, [(0.0, start)]
+    while queue:
+        d, at = heapq.heappop(queue)
+        if d > best[at]:
+            continue
+        for i, j in ((1, 0), (-1, 0), (0, 1), (0, -1)):
+            to = (at[0] + i, at[1] + j)
+            if to in cost and d + max(cost[at], cost[to]) < best.get(to, float("inf")):
+                best[to], came[to] = d + max(cost[at], cost[to]), at
+                heapq.heappush(queue, (best[to], to))
+    return best, came
+
+
+def long_paths(maps: DataFrame, start: tuple[int, int], goal: tuple[int, int], workspace: Workspace, tile: int = 32, name: str = "paths") -> DataFrame:
+    """(map, place, r, c, spent): the cells of a cheapest 4-neighbour path of each map (free cells map, r, c, cost), with the cost up to each.
+
+    For maps that no task could hold. Ways between border cells are found tile by tile; over these, costs spread from the start in rounds,
+    each a join of the cells that have become cheaper with the ways that leave them, written, until none does that could still matter to
+    the goal. The way back is followed by doubled pointers, and only the tiles that it crosses are searched again for the cells. A map whose
+    goal is not reached has no rows.
+    """
+    routes = workspace.save(tile_routes(maps.select("map", F.col("r").cast("int"), F.col("c").cast("int"), F.col("cost").cast("double")), [start, goal], tile), f"{name}-routes")
+    cell = lambda p: F.struct(F.lit(p[0]).cast("int").alias("r"), F.lit(p[1]).cast("int").alias("c"))
+    first = maps.where((F.col("r") == start[0]) & (F.col("c") == start[1])).select("map").distinct()
+    reached = workspace.save(first.select("map", cell(start).alias("x"), F.lit(0.0).alias("d"), F.lit(None).cast("struct<r:int,c:int>").alias("before"), F.lit(True).alias("fresh")), f"{name}-0")
+    step = 0
+    while reached.where("fresh").limit(1).count():
+        step += 1
+        bound = reached.where(F.col("x") == cell(goal)).select(F.col("map").alias("__m"), F.col("d").alias("__bound"))
+        front = reached.where("fresh").join(bound, F.col("map").eqNullSafe(F.col("__m")), "left").where("__bound IS NULL OR d < __bound").drop("__m", "__bound")
+        own = routes.select(F.col("map").alias("__map"), "a", "b", "w")
+        offers = front.join(own, F.col("map").eqNullSafe(F.col("__map")) & (F.col("x") == F.col("a"))).select("map", F.col("b").alias("x"), (F.col("d") + F.col("w")).alias("d"), F.col("x").alias("before"), F.lit(True).alias("fresh"))
+        offers = offers.unionByName(reached.withColumn("fresh", F.lit(False)))
+        # the smallest cost counts; what is known wins over an offer that is no cheaper
+        best = offers.groupBy("map", "x").agg(F.min(F.struct("d", "fresh", "before")).alias("m")).select("map", "x", "m.d", "m.before", "m.fresh")
+        reached = workspace.save(best, f"{name}-{step}")
+        workspace.drop(f"{name}-{step - 1}")
+
+    back = reached.select("map", "x", "before", "d")
+    chain = workspace.save(back.where(F.col("x") == cell(goal)).select("map", "x", F.lit(0).cast("long").alias("nth")), f"{name}-chain-0")
+    jump = workspace.save(back.where("before IS NOT NULL").select(F.col("map").alias("__map"), F.col("x").alias("at"), F.col("before").alias("to")), f"{name}-jump-0")
+    hop = 0
+    while True:
+        found = chain.join(jump, F.col("map").eqNullSafe(F.col("__map")) & (F.col("x") == F.col("at"))).select("map", F.col("to").alias("x"), (F.col("nth") + 2**hop).alias("nth"))
+        if not found.limit(1).count():
+            break
+        hop += 1
+        chain = workspace.save(chain.unionByName(found), f"{name}-chain-{hop}")
+        onward = jump.select(F.col("__map").alias("__m"), F.col("at").alias("__at"), F.col("to").alias("__to"))
+        jump = workspace.save(jump.join(onward, F.col("__map").eqNullSafe(F.col("__m")) & (F.col("to") == F.col("__at"))).select("__map", "at", F.col("__to").alias("to")), f"{name}-jump-{hop}")
+
+    legs = back.join(chain.select(F.col("map").alias("__map"), F.col("x").alias("__x"), "nth"), F.col("map").eqNullSafe(F.col("__map")) & (F.col("x") == F.col("__x"))).where("before IS NOT NULL")
+    legs = legs.select("map", "nth", F.col("before").alias("a"), F.col("x").alias("b"), "d")
+    tiles = lambda x: (F.floor(F.col(f"{x}.r") / tile), F.floor(F.col(f"{x}.c") / tile))
+    inner = workspace.save(legs.withColumns({"tr": tiles("a")[0], "tc": tiles("a")[1], "leaves": (tiles("a")[0] != tiles("b")[0]) | (tiles("a")[1] != tiles("b")[1])}), f"{name}-legs")
+    crossed = inner.select("nth", "leaves", "map", "tr", "tc", F.col("a.r").alias("ar"), F.col("a.c").alias("ac"), F.col("b.r").alias("br"), F.col("b.c").alias("bc"), "d")
+    cells = maps.select("map", F.col("r").cast("int"), F.col("c").cast("int"), F.col("cost").cast("double"), F.floor(F.col("r") / tile).alias("tr"), F.floor(F.col("c") / tile).alias("tc"))
+    cells = cells.join(crossed.select("map", "tr", "tc").distinct(), ["map", "tr", "tc"], "left_semi")
+    kind = maps.schema["map"].dataType.simpleString()
+
+    def expand(key: tuple, own: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        cost = {(r, c): w for r, c, w in zip(given["r"], given["c"], given["cost"], strict=True)}
+        out = []
+        for leg in own.itertuples(index=False):
+            path, goal_ = [(leg.br, leg.bc)], leg.d
+            if not leg.leaves:
+                best, came = _within(cost, (leg.ar, leg.ac))
+                while path[-1] != (leg.ar, leg.ac):
+                    path.append(came[path[-1]])
+                out += [(leg.nth, i, *x, goal_ - best[path[0]] + best[x]) for i, x in enumerate(path[:-1])]
+            else:
+                out.append((leg.nth, 0, *path[0], goal_))
+        return pd.DataFrame([(key[0], *x) for x in out], columns=["map", "nth", "i", "r", "c", "spent"], dtype=object)
+
+    found = crossed.groupBy("map", "tr", "tc").cogroup(cells.groupBy("map", "tr", "tc")).applyInPandas(expand, f"map {kind}, nth long, i long, r int, c int, spent double")
+    begun = chain.where(F.col("x") == cell(start)).select("map", "nth", F.lit(0).cast("long").alias("i"), F.col("x.r").alias("r"), F.col("x.c").alias("c"), F.lit(0.0).alias("spent"))
+    found = workspace.save(found.unionByName(begun), f"{name}-cells")
+    # legs are numbered from the goal, and cells within a leg, too; legs of a map are summed first, so a path is one group of numbers
+    sizes = found.groupBy("map", "nth").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy("map").orderBy(F.desc("nth")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = found.join(before, ["map", "nth"])
+    return placed.select("map", (F.col("__before") + F.col("n") - 1 - F.col("i")).alias("place"), "r", "c", "spent")

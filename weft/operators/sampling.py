@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weft.functions.text import uniform
+from weft.operators.sequences import global_rank, group_rank
+from weft.workspace import Workspace
 
 
 def reservoir(rows: DataFrame, key: str, weight: str, size: int, seed: str = "r") -> DataFrame:
@@ -33,24 +35,23 @@ def gumbel_choice(rows: DataFrame, group: str, key: str, score: str, temperature
     return rows.groupBy(group).agg(F.max_by(key, F.struct(noisy, F.col(key))).alias(key))
 
 
-def first_of_each(rows: DataFrame, group: str, order: list, share: Column, most: int) -> DataFrame:
-    """The first `share` rows of each group, `most` at most.
+def first_of_each(rows: DataFrame, group: str, order: list, share: Column, most: int, number: str | None = None) -> DataFrame:
+    """The first `share` rows of each group, `most` at most, with their numbers from 1 if a name for these is given.
 
     Slices of a group (a hash of the row) are cut to `most` first, so no task sorts a whole group; `most` is a bound that is known.
     """
     sliced = rows.withColumn("__slice", F.pmod(F.xxhash64(*rows.columns), F.lit(256)))
     some = sliced.withColumn("__n", F.row_number().over(Window.partitionBy(group, "__slice").orderBy(*order))).where(F.col("__n") <= most)
-    return some.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__n") <= share).drop("__n", "__slice")
+    found = some.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__n") <= share).drop("__slice")
+    return found.withColumnRenamed("__n", number) if number else found.drop("__n")
 
 
 def quota(rows: DataFrame, group: str, order: list[str], budget: int) -> DataFrame:
-    """Equal shares of a budget per group; groups that come first in order get the remainder, one row each."""
-    groups = rows.select(group).distinct()
-    ranked = groups.withColumn("__rank", F.row_number().over(Window.orderBy(group)))
-    total = groups.agg(F.count(F.lit(1)).alias("__groups"))
-    shares = ranked.join(F.broadcast(total)).select(
-        F.col(group).alias("__g"), (F.floor(F.lit(budget) / F.col("__groups")) + (F.col("__rank") <= F.lit(budget) % F.col("__groups")).cast("int")).alias("__share")
-    )
+    """Equal shares of a budget per group; groups that come first in order get the remainder, one row each (fewer groups than the budget has rows)."""
+    groups = rows.select(F.col(group).alias("__g")).distinct()
+    whole, rest = divmod(budget, max(1, groups.count()))
+    first = groups.orderBy("__g").limit(rest).select(F.col("__g").alias("__first"), F.lit(1).alias("__more"))
+    shares = groups.join(first, F.col("__g").eqNullSafe(F.col("__first")), "left").select("__g", (F.lit(whole) + F.coalesce("__more", F.lit(0))).alias("__share"))
     placed = rows.join(shares, F.col(group).eqNullSafe(F.col("__g"))).drop("__g")
     return first_of_each(placed, group, order, F.col("__share"), budget).drop("__share")
 
@@ -62,14 +63,11 @@ def capped(rows: DataFrame, group: str, order: list, rate: float, most: int) ->
     return first_of_each(placed, group, order, F.col("__share"), most).drop("__share")
 
 
-def interleave(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Place of each row when the first of every group comes first, then the second, and so on. Places come from
-    counts per round, not from one window over all rows."""
-    numbered = rows.withColumn("round", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    sizes = numbered.groupBy("round").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = numbered.join(before, "round").withColumn("__in", F.row_number().over(Window.partitionBy("round").orderBy(group)))
-    return placed.withColumn("place", (F.col("__before") + F.col("__in")).cast("long")).drop("__n", "__before", "__in")
+def interleave(rows: DataFrame, group: str, order: list[str], workspace: Workspace) -> DataFrame:
+    """Place of each row when the first of every group comes first, then the second, and so on: the rank by round and group. No group and no
+    round is in one task."""
+    numbered = group_rank(rows, group, order, workspace, "round")
+    return global_rank(numbered, ["round", group], workspace, "place")
 
 
 def weighted_order(key: Column, weight: Column, seed: str) -> Column:

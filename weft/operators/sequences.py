@@ -100,6 +100,22 @@ def sigma_clip(values: DataFrame, key: str, value: str, sigmas: float = 4.0, *,
         step += 1
 
 
+def group_rank(df: DataFrame, group: str, order: list[Column | str], workspace, name: str = "round") -> DataFrame:
+    """Number of each row in its group, from 1, without a window over a group: a group may be dealt to many parts.
+
+    Rows are dealt by range of group and order into written parts; a row's number is its number in its part and group and the sizes of the
+    group's parts before. There are at most as many sizes as groups and parts.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = workspace.save(df.repartitionByRange(parts, F.col(group).asc_nulls_first(), *order).withColumn("__part", F.spark_partition_id()), f"{name}-parts")
+    sizes = dealt.groupBy(F.col(group).alias("__g"), F.col("__part").alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("__g", "__p", before.alias("__before"))
+    numbered = dealt.withColumn("__in", F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order)))
+    joined = numbered.join(offsets, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    return joined.withColumn(name, (F.col("__before") + F.col("__in")).cast("long")).drop("__part", "__before", "__in", "__g", "__p")
+
+
 def global_rank(df: DataFrame, order: list[Column | str], workspace, name: str = "place") -> DataFrame:
     """Number of each row in a total order, without one window over all rows.
 

@@ -98,7 +98,7 @@ def oversample(spark, sf_dir):
 )
 def cluster_interleave(spark, sf_dir):
     """The first of every cluster, then the second of every one."""
-    return smp.interleave(table(spark, sf_dir, "part"), "p_type", ["p_size", "p_partkey"]).select("p_type", "p_partkey", "place")
+    return smp.interleave(table(spark, sf_dir, "part"), "p_type", ["p_size", "p_partkey"], Workspace(spark, "interleave")).select("p_type", "p_partkey", "place")
 
 
 @query(

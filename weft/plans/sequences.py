@@ -208,11 +208,12 @@ def supported_pose_carry(spark, sf_dir):
 )
 def earlier_pose_match(spark, sf_dir):
     """How many earlier supported poses the present one matches."""
-    w = Window.partitionBy("episode").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = F.collect_list(F.when(F.col("success"), F.col("q"))).over(w)
-    return steps(spark, sf_dir).withColumn("seen", seen).select(
-        "episode", "t", F.size(F.filter("seen", lambda x: F.abs(x - F.col("q")) <= 3)).cast("long").alias("matches")
-    )
+    s = steps(spark, sf_dir).select("episode", "t", "q", "success")
+    cell = F.floor(F.col("q") / 3)
+    near = s.where("success").select("episode", F.col("t").alias("t0"), F.col("q").alias("q0"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
+    pairs = s.withColumn("cell", cell).join(near, ["episode", "cell"]).where((F.col("t0") <= F.col("t")) & (F.abs(F.col("q0") - F.col("q")) <= 3))
+    found = pairs.groupBy("episode", "t").agg(F.count(F.lit(1)).alias("matches"))
+    return s.select("episode", "t").join(found, ["episode", "t"], "left").select("episode", "t", F.coalesce("matches", F.lit(0)).cast("long").alias("matches"))
 
 
 @query("running_max", f"WITH {STEPS} SELECT episode, t, max(d) OVER (PARTITION BY episode ORDER BY t) >= 0.08 AS opened FROM steps")
