@@ -202,14 +202,20 @@ def test_balanced_sample_repeats_no_pair_while_others_remain(spark):
 
 
 def test_balanced_sample_against_plain_greedy(spark):
+    rng = random.Random(5)
+    assert_plain_greedy(spark, [(i, f"h{rng.randrange(3)}", rng.choice(["c1", "c2", None]), rng.randrange(9)) for i in range(150)], 25)
+    # more houses and classes than the bounds leave
+    assert_plain_greedy(spark, [(i, f"h{rng.randrange(60)}", rng.choice(["c1", "c2"]), rng.randrange(40)) for i in range(900)], 5)
+    assert_plain_greedy(spark, [(i, f"h{rng.randrange(2)}", "c", rng.randrange(300)) for i in range(700)], 6)
+
+
+def assert_plain_greedy(spark, data, size):
     import hashlib
 
-    rng = random.Random(5)
-    data = [(i, f"h{rng.randrange(3)}", rng.choice(["c1", "c2", None]), rng.randrange(9)) for i in range(150)]
-    got = sampling.balanced(spark.createDataFrame(data, "id long, house string, category string, instance long"), "house", "category", "instance", 25).toPandas()
+    got = sampling.balanced(spark.createDataFrame(data, "id long, house string, category string, instance long"), "house", "category", "instance", size).toPandas()
     tie = {r: hashlib.md5("|".join(["b", *[str(x) for x in (r[2], r[1], r[0], r[3]) if x is not None]]).encode()).hexdigest() for r in data}
     chosen, left = [], list(data)
-    while len(chosen) < 25:
+    while len(chosen) < size:
         n = max(1, len(chosen))
 
         def score(r):
@@ -421,6 +427,26 @@ def test_trajectory_reader_on_a_file(tmp_path, monkeypatch):
     assert [r[4] for r in rows_ if r[3] == "obs_scene"] == ['{"object_name": "cup"}'] * 3
 
 
+def test_trajectory_files_are_written_and_read(spark):
+    from weft.sources import trajectory_files as tf
+
+    scene = '{"object_name": "cup", "task_description": "pick it"}'
+    data = [("f", "traj_0/success", "json", ["false", "true"]), ("f", "traj_0/obs/agent/qpos", "text", ['{"arm":[1]}', '{"arm":[1,22.5]}']), ("f", "traj_0/obs_scene", "scalar", [scene]),
+            ("f", "traj_10/success", "json", []), ("f", "traj_10/obs/agent/qpos", "text", []), ("g", "traj_2/success", "json", ["true"]), ("g", "traj_2/obs_scene", "scalar", ["é"])]
+    root = Workspace(spark, "t").path("files")
+    tf.write_trajectories(spark.createDataFrame(data, "file string, name string, kind string, texts array<string>"), root)
+    found = tf.read_trajectories(spark, root).withColumn("f", F.regexp_extract("h5_file", r"(\w)\.npz$", 1))
+    assert sorted(map(tuple, found.select("f", "traj_idx", "t", "key", "value").collect())) == [
+        ("f", 0, -1, "obs_scene", scene), ("f", 0, 0, "obs/agent/qpos", '{"arm":[1]}'), ("f", 0, 0, "success", "false"),
+        ("f", 0, 1, "obs/agent/qpos", '{"arm":[1,22.5]}'), ("f", 0, 1, "success", "true"), ("g", 2, -1, "obs_scene", "é"), ("g", 2, 0, "success", "true"),
+    ]
+    episodes = {(r.traj_idx, r.n_steps, r.success, r.object_name) for r in tf.episode_rows(tf.read_trajectories(spark, root)).collect()}
+    assert episodes == {(0, 2, True, "cup"), (2, 1, True, None)}
+    spark.dataSource.register(tf.TrajectoryFiles)
+    with pytest.raises(Exception, match="h5py"):
+        spark.read.format("trajectories").option("paths", "a.h5").load().count()
+
+
 def test_trajectory_rows_to_episodes(spark):
     rows_ = [("f", 0, t, "rewards", str(0.5 * t)) for t in range(3)] + [("f", 0, t, "success", "true" if t else "false") for t in range(3)]
     rows_ += [("f", 0, -1, "obs_scene", '{"object_name": "cup_1", "task_description": "pick"}'), ("f", 1, 0, "success", "false")]

@@ -80,18 +80,28 @@ def balanced(rows: DataFrame, house: str, category: str, instance: str, size: in
 
     The score of a row is 1000 if its (house, instance) was used, plus 100 times its category's, 10 times its
     house's and once its instance's share of what is chosen; ties go to the smaller hash. The choice is sequential by
-    nature, so the rows that can be chosen are found first. Rows of one (house, category, instance) class score alike, so
-    of a class only the `size` smallest hashes count. A class scores by its category, house and instance alone, so of
-    the classes of one category and house only the `size` with the smallest hashes count: each choice uses up one
-    instance at most, and one that is not yet chosen scores no worse than a chosen one. What is left, `size` squared rows
-    for each category and house, is one task's.
+    nature, so the rows that can be chosen are found first. Rows of one (house, category, instance) class score alike. Before each
+    choice fewer than `size` houses and instances have been chosen, so a class is never chosen if, with smaller hashes, there are
+
+    - `size` classes of its category and house (one has an instance that is not chosen yet), or of its category and instance, or
+    - 4 * size ** 2 classes of its category that are left by that: at most `size` of them share a house or an instance, so 2 * size have
+      neither in common, and one of these has a house and an instance that are not chosen yet.
+
+    Of a class `size` rows can be chosen, and only one where there are `size` pairs of house and instance, as an unused pair always
+    scores better. What is left, some 4 * size ** 2 rows for each category whatever the number of rows and houses, is one task's.
     """
     keyed = rows.withColumn("__tie", F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in sorted(rows.columns)])))
     sliced = Window.partitionBy(house, category, instance, F.substring("__tie", -1, 1)).orderBy("__tie")
     few = keyed.withColumn("__r", F.row_number().over(sliced)).where(F.col("__r") <= size)
     within = Window.partitionBy(house, category, instance).orderBy("__tie")
     few = few.withColumn("__r", F.row_number().over(within)).where(F.col("__r") <= size)
-    heads = few.where("__r = 1").withColumn("__c", F.row_number().over(Window.partitionBy(house, category).orderBy("__tie"))).where(F.col("__c") <= size)
+    heads = few.where("__r = 1").select(house, category, instance, "__tie", F.struct(house, category).alias("__h"), F.struct(instance, category).alias("__i"))
+    heads = first_of_each(heads, "__h", ["__tie"], F.lit(size), size)
+    heads = first_of_each(heads, "__i", ["__tie"], F.lit(size), size)
+    most = 4 * size * size
+    heads = first_of_each(heads, category, ["__tie"], F.lit(most), most)
+    pairs = rows.select(house, instance).distinct().limit(size).count()
+    few = few.where(F.col("__r") <= (1 if pairs >= size else size))
     kept = heads.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate((house, category, instance))])
     same = [F.col(c).eqNullSafe(F.col(f"__k_{i}")) for i, c in enumerate((house, category, instance))]
     ranked = few.join(kept, same[0] & same[1] & same[2], "left_semi")

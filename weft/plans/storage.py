@@ -11,6 +11,7 @@ from weft.functions.text import uniform
 from weft.plans.registry import query
 from weft.plans.standins import STEPS, steps
 from weft.sources import array_files, files
+from weft.sources import trajectory_files as trajectory_files_
 from weft.sources.tables import table
 from weft.streaming import progress, state, work
 from weft.workspace import Workspace
@@ -396,6 +397,35 @@ def episode_rows(spark, sf_dir):
     )
 
 
+HOUSE = 500
+
+
+@query(
+    "trajectory_files",
+    f"""WITH {STEPS} SELECT 'batch_' || episode // {HOUSE} AS file, (episode % {HOUSE})::INT AS traj_idx, count(*) AS n_steps, coalesce(min(t) FILTER (success), 0) AS first_success,
+      arg_max(success, t) AS success, lower(arg_min(p_name, t)) AS object_name, 'Handle the ' || lower(arg_min(p_type, t)) AS task_description,
+      round(sum(q), 2) AS moved, count(*) FILTER (status = 'O') AS open FROM steps JOIN part ON part = p_partkey GROUP BY episode""",
+)
+def trajectory_files(spark, sf_dir):
+    """Episodes written as trajectory files of HOUSE episodes each, with padded JSON rows, flags and a scene document, found, opened and read."""
+    work_ = Workspace(spark, "trajectories")
+    s = steps(spark, sf_dir).join(table(spark, sf_dir, "part"), F.col("part") == F.col("p_partkey"))
+    row = lambda x: F.transform(F.array_sort(F.collect_list(F.struct("t", x.alias("v")))), lambda r: r["v"])
+    arm = F.to_json(F.struct(F.array("q").alias("arm"), F.col("status").alias("state")))
+    scene = F.to_json(F.struct(F.lower(F.min_by("p_name", "t")).alias("object_name"), F.concat(F.lit("Handle the "), F.lower(F.min_by("p_type", "t"))).alias("task_description")))
+    e = s.groupBy("episode").agg(row(F.col("success").cast("string")).alias("success"), row(arm).alias("qpos"), scene.alias("scene"))
+    name = lambda leaf: F.concat(F.lit("traj_"), F.col("episode") % HOUSE, F.lit(leaf))
+    member = lambda leaf, kind, texts: F.struct(name(leaf).alias("name"), F.lit(kind).alias("kind"), texts.alias("texts"))
+    members = F.array(member("/success", "json", F.col("success")), member("/obs/agent/qpos", "text", F.col("qpos")), member("/obs_scene", "scalar", F.array("scene")))
+    trajectory_files_.write_trajectories(e.select(F.concat(F.lit("batch_"), F.floor(F.col("episode") / HOUSE)).alias("file"), F.inline(members)), work_.path("files"))
+    leaves = trajectory_files_.read_trajectories(spark, work_.path("files"))
+    found = trajectory_files_.episode_rows(leaves)
+    arms = leaves.where("key = 'obs/agent/qpos'").select("h5_file", "traj_idx", F.from_json("value", "arm array<double>, state string").alias("v"))
+    arms = arms.groupBy("h5_file", "traj_idx").agg(F.round(F.sum(F.get("v.arm", F.lit(0))), 2).alias("moved"), F.count_if(F.col("v.state") == "O").alias("open"))
+    file = F.regexp_extract("h5_file", r"(batch_\d+)\.npz$", 1)
+    return found.join(arms, ["h5_file", "traj_idx"]).select(file.alias("file"), "traj_idx", "n_steps", F.col("first_success").cast("long").alias("first_success"), "success", "object_name", "task_description", "moved", "open")
+
+
 @query("connector_roundtrip", "SELECT kind, count(*) AS n, round(sum(s_acctbal), 2) AS balance FROM supplier, (SELECT unnest(['orc', 'csv', 'json', 'parquet']) AS kind) GROUP BY kind")
 def connector_roundtrip(spark, sf_dir):
     """The same rows through several formats."""

@@ -31,7 +31,8 @@ FILES = 64
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
-def _located(root: str) -> tuple[fs.FileSystem, str]:
+def located(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path there."""
     return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
 
 
@@ -65,7 +66,7 @@ class ArrayReader(DataSourceReader):
         self.objects: set[str] | None = None
 
     def partitions(self) -> list[InputPartition]:
-        system, root = _located(self.root)
+        system, root = located(self.root)
         files = []
         for priority, source in enumerate(self.sources):
             if self.objects is None:
@@ -77,7 +78,7 @@ class ArrayReader(DataSourceReader):
         return [_Files(files[i : i + FILES]) for i in range(0, len(files), FILES)] or [_Files([])]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
-        system, _ = _located(self.root)
+        system, _ = located(self.root)
         for stem, name, source, priority in partition.files:
             for info in system.get_file_info([f"{stem}.{kind}" for kind in KINDS]):
                 if info.type == fs.FileType.File:
@@ -113,7 +114,7 @@ class ArrayWriter(DataSourceWriter):
     def write(self, rows: Iterator) -> WriterCommitMessage:
         from pyspark import TaskContext
 
-        system, root = _located(self.root)
+        system, root = located(self.root)
         attempt = TaskContext.get().taskAttemptId()
         paths = []
         for row in rows:
@@ -127,7 +128,7 @@ class ArrayWriter(DataSourceWriter):
         return _Written(paths)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        system, _ = _located(self.root)
+        system, _ = located(self.root)
         for message in messages:
             for path in message.paths if message else []:
                 system.delete_file(path)

@@ -1,18 +1,27 @@
-"""A Python data source for hierarchical trajectory files; it needs h5py, which is optional.
+"""A Python data source for hierarchical trajectory files: HDF5 files, which need the optional h5py, and npz files with the same tree.
 
     spark.dataSource.register(TrajectoryFiles)
-    spark.read.format("trajectories").option("paths", "a.h5,b.h5").load()
+    spark.read.format("trajectories").option("paths", "a.h5,b.npz").load()
+
+In an npz file a member's name is its path (traj_0/obs/agent/qpos). Text is kept as rows of bytes, padded with zeros to one length.
+`write_trajectories` writes npz files, one for each file name of its rows, from the tasks; they are opened through pyarrow's file systems,
+HDF5 files by their local paths. A file is a partition; a task holds one file.
 """
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 from importlib.util import find_spec
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+
+from weft.sources.array_files import located
 
 SCHEMA = "h5_file string, traj_idx int, t int, key string, value string"
 
@@ -51,11 +60,32 @@ class TrajectoryReader(DataSourceReader):
         return [_File(p) for p in self.paths]
 
     def read(self, partition: _File) -> Iterator[tuple]:
+        if partition.path.endswith(".npz"):
+            system, path = located(partition.path)
+            with system.open_input_stream(path) as f, np.load(io.BytesIO(f.read())) as found:
+                yield from _trajectories(tree(found), partition.path)
+            return
         import h5py
 
         with h5py.File(partition.path, "r") as file:
-            for name in sorted((k for k in file if k.startswith("traj_")), key=lambda k: int(k[5:])):
-                yield from leaves(file[name], partition.path, int(name[5:]))
+            yield from _trajectories(file, partition.path)
+
+
+def tree(members) -> dict:
+    """Members named by paths as a nested mapping."""
+    out: dict = {}
+    for name in members:
+        *groups, leaf = name.split("/")
+        at = out
+        for group in groups:
+            at = at.setdefault(group, {})
+        at[leaf] = members[name]
+    return out
+
+
+def _trajectories(file, path: str) -> Iterator[tuple]:
+    for name in sorted((k for k in file if k.startswith("traj_")), key=lambda k: int(k[5:])):
+        yield from leaves(file[name], path, int(name[5:]))
 
 
 def leaves(group, path: str, index: int, prefix: str = "") -> Iterator[tuple]:
@@ -74,6 +104,49 @@ def leaves(group, path: str, index: int, prefix: str = "") -> Iterator[tuple]:
                 yield path, index, t, name, padded_text(row) if text else json.dumps(row.tolist())
 
 
+def padded_rows(texts: list[str]) -> np.ndarray:
+    """Rows of bytes, padded with zeros to the longest."""
+    data = [t.encode() for t in texts]
+    width = max(map(len, data), default=0) or 1
+    return np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), np.uint8).reshape(len(data), width)
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    paths: list[str]
+
+
+class TrajectoryWriter(DataSourceWriter):
+    """Writes rows (file, members: array of (name, kind, texts)); kind is text (padded rows), json (an array of JSON values) or scalar (one text)."""
+
+    def __init__(self, options: dict[str, str]):
+        self.root = options["path"]
+
+    def write(self, rows: Iterator) -> WriterCommitMessage:
+        from pyspark import TaskContext
+
+        system, root = located(self.root)
+        system.create_dir(root, recursive=True)
+        paths = []
+        for row in rows:
+            made = {"text": padded_rows, "json": lambda x: np.array([json.loads(v) for v in x]), "scalar": lambda x: np.array(x[0])}
+            out = io.BytesIO()
+            np.savez_compressed(out, **{m.name: made[m.kind](m.texts) for m in row.members})
+            path = f"{root}/{row.file}.npz"
+            own = f"{path}.{TaskContext.get().taskAttemptId()}"
+            with system.open_output_stream(own) as f:
+                f.write(out.getvalue())
+            system.move(own, path)
+            paths.append(path)
+        return _Written(paths)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        system, _ = located(self.root)
+        for message in messages:
+            for path in message.paths if message else []:
+                system.delete_file(path)
+
+
 class TrajectoryFiles(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -83,6 +156,26 @@ class TrajectoryFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        if find_spec("h5py") is None:
-            raise ImportError("reading trajectory files needs h5py")
-        return TrajectoryReader(self.options)
+        reader = TrajectoryReader(dict(self.options))
+        if find_spec("h5py") is None and not all(p.endswith(".npz") for p in reader.paths):
+            raise ImportError("reading HDF5 trajectory files needs h5py")
+        return reader
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return TrajectoryWriter(dict(self.options))
+
+
+def write_trajectories(members: DataFrame, root: str) -> None:
+    """members (file, name, kind, texts), a row for each member; the rows of a file meet in one task, which writes it."""
+    members.sparkSession.dataSource.register(TrajectoryFiles)
+    files = members.groupBy("file").agg(F.collect_list(F.struct("name", "kind", "texts")).alias("members"))
+    files.write.format("trajectories").option("path", root).mode("append").save()
+
+
+def read_trajectories(spark, root: str) -> DataFrame:
+    """Leaves (SCHEMA) of all npz files in a folder."""
+    from weft.sources.files import discover
+
+    spark.dataSource.register(TrajectoryFiles)
+    paths = [r.path for r in discover(spark, root, "*.npz").select("path").collect()]  # names only; one partition each
+    return spark.read.format("trajectories").option("paths", ",".join(sorted(paths))).load()
