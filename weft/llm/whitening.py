@@ -4,8 +4,9 @@ Entries become integers floor(SCALE * entry) + OFFSET. Counts and sums are exact
 (the integer part of the mean is taken off as an integer, so that no digits are lost) and sums X'(XQ) for a block Q of columns; the
 covariance matrix itself is never made. The driver, which holds length * block doubles and no row, orthogonalises the result by QR, solves
 the small Rayleigh-Ritz problem, and stops when the residual |Vz - ez| of every wanted component is at rounding error (TOLERANCE times the
-largest eigenvalue, more for sums of many rows). A block starts at twice the components wanted. Where the residuals shrink so slowly
-that PATIENCE more passes would not do, which is a flat spectrum, the block doubles; a block as wide as the vectors is exact after one pass.
+largest eigenvalue, more for sums of many rows). A block starts a quarter wider than the components wanted. Where the residuals shrink so
+slowly that PATIENCE more passes would not do, which is a flat spectrum, the block doubles; one as wide as the vectors has nothing left
+out, so what its residual still shows is rounding.
 
 Then a pass sums the whitened rows' products, whose covariance gives `identity_error`, and the last one emits the rows.
 Sums of tasks are added in groups (sums.summed), so that no task or driver holds more than a few of them.
@@ -107,9 +108,9 @@ def components(multiply: Callable[[np.ndarray], tuple[np.ndarray, float]], lengt
     `multiply` gives the product of the matrix with a block of columns, and its trace.
     """
     rng = np.random.default_rng(SEED)
-    block = min(length, 2 * wanted)
+    block = min(length, wanted + max(8, wanted // 4))
     q = np.linalg.qr(rng.standard_normal((length, block)))[0]
-    last = None
+    last, whole = None, 0
     for passes in range(1, PASSES + 1):
         y, trace = multiply(q)
         t = q.T @ y
@@ -118,7 +119,8 @@ def components(multiply: Callable[[np.ndarray], tuple[np.ndarray, float]], lengt
         ritz, image = q @ u, y @ u
         left = float(np.linalg.norm(image[:, :wanted] - ritz[:, :wanted] * values[:wanted], axis=0).max())
         goal = tolerance * max(float(values[0]), 0.0)
-        if left <= goal or block == length:
+        whole += block == length
+        if left <= goal or whole > 1:
             break
         slow = last is not None and (left >= last or np.log(goal / left) < PATIENCE * np.log(left / last))
         last = None if slow else left
