@@ -723,6 +723,88 @@ def test_toxicity_forward_pass_against_loops():
         assert y == pytest.approx(float(np.dot(hidden, net.out) + net.offset), abs=1e-4)
 
 
+def toxicity_loss(net, texts, labels):
+    """Mean cross-entropy, in doubles, by loops over texts."""
+    total = 0.0
+    for t, y in zip(texts, labels, strict=True):
+        ids = np.concatenate([t, [toxicity.PAD] * max(toxicity.WIDTHS)])
+        hidden = []
+        for k in toxicity.WIDTHS:
+            starts = range(max(1, len(ids) - k + 1))
+            reach = [sum(net.embedding[ids[s + o]].astype(float) @ net.filters[k][o].astype(float) for o in range(k)) + net.bias[k] for s in starts]
+            hidden.append(np.maximum(np.max(reach, axis=0), 0))
+        z = float(np.concatenate(hidden) @ net.out.astype(float) + net.offset)
+        total += np.log1p(np.exp(-z)) if y else np.log1p(np.exp(z))
+    return total / len(labels)
+
+
+def test_toxicity_step_follows_the_numeric_gradient(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 40, n).astype(np.int32) for n in (1, 2, 5, 9, 12, 20)]
+    labels = np.array([1, 0, 1, 0, 0, 1])
+    monkeypatch.setattr(toxicity, "EPOCHS", 0)
+    net = toxicity.train(texts, labels)
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    after = toxicity.train(texts, labels)
+
+    def implied(before, now):
+        """The gradient that one Adagrad step from 1e-2 must have had."""
+        moved = (np.asarray(before, float) - np.asarray(now, float)) / toxicity.RATE
+        return moved * 0.1 / np.sqrt(np.maximum(1 - moved * moved, 1e-9))
+
+    def numeric(holder, key, above=1e-4, below=1e-4):
+        value = holder[key]
+        holder[key] = value + above
+        up = toxicity_loss(net, texts, labels)
+        holder[key] = value - below
+        down = toxicity_loss(net, texts, labels)
+        holder[key] = value
+        return (up - down) / (above + below)
+
+    for k in toxicity.WIDTHS:
+        net.filters[k], net.bias[k] = net.filters[k].astype(float), net.bias[k].astype(float)
+    net.embedding, net.out = net.embedding.astype(float), net.out.astype(float)
+    for k in toxicity.WIDTHS:
+        got = implied(net.filters[k], after.filters[k]) - toxicity.DECAY * net.filters[k]
+        for at in [(0, 0, 0), (k - 1, 3, 2), (k - 1, 7, 5)]:
+            assert got[at] == pytest.approx(numeric(net.filters[k], at), abs=2e-4)
+        # a window of pads alone responds with the bias, 0 at first, where the rectifier bends: its slope is that from below
+        assert implied(net.bias[k], after.bias[k])[1] == pytest.approx(numeric(net.bias[k], 1, above=0), abs=2e-4)
+    out = implied(net.out, after.out) - toxicity.DECAY * net.out
+    assert [out[i] for i in range(0, 24, 5)] == pytest.approx([numeric(net.out, i) for i in range(0, 24, 5)], abs=2e-4)
+    words = implied(net.embedding, after.embedding)
+    for word in sorted(set(np.concatenate(texts).tolist()))[:6]:
+        assert words[word, 0] == pytest.approx(numeric(net.embedding, (word, 0)), abs=2e-4)
+        assert words[word, 4] == pytest.approx(numeric(net.embedding, (word, 4)), abs=2e-4)
+    assert np.array_equal(after.embedding[toxicity.PAD], net.embedding[toxicity.PAD])
+
+
+def test_toxicity_calibration_is_at_its_minimum_and_thresholds_have_the_best_f1(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 60, rng.integers(1, 12)).astype(np.int32) for _ in range(240)]
+    labels = np.array([int((t < 12).any()) for t in texts])
+    labels[::9] ^= 1
+    net = toxicity.train(texts, labels)
+    languages = ["en" if i % 2 else None if i % 5 == 0 else "de" for i in range(240)]
+    monkeypatch.setattr(toxicity, "MIN_POSITIVE", 10)
+    toxicity.calibrate(net, texts, labels, languages)
+    x = np.array([net.logits(t, np.array([0, len(t)]), net.tables())[0] for t in texts])
+
+    def loss(a, b):
+        z = a * x + b
+        return float(np.where(labels == 1, np.logaddexp(0, -z), np.logaddexp(0, z)).sum() + (a - 1) ** 2 / 2)
+
+    a, b = net.scale
+    least = loss(a, b)
+    assert all(loss(a + i * 0.01, b + j * 0.01) >= least - 1e-6 for i in (-1, 0, 1) for j in (-1, 0, 1))
+    scores = net.scores(x)
+    for language in ("en", "de"):
+        own = np.array([v == language for v in languages])
+        f1 = lambda t, own=own: 2 * (labels[own] * (scores[own] >= t)).sum() / ((scores[own] >= t).sum() + labels[own].sum())
+        assert f1(net.thresholds[language]) == pytest.approx(max(f1(t) for t in scores[own]))
+    assert set(net.thresholds) == {"en", "de"}
+
+
 def test_toxicity_edges(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     net = toxicity.learn(docs(spark), none, F.lit(True))
