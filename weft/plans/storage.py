@@ -260,14 +260,15 @@ def sliced_stream(spark, sf_dir, workspace):
     return stream.parquet(workspace.path("events")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-FAILED = F.col("value") <= 50
+def failed():
+    return F.col("value") <= 50
 
 
 @query("stream_failures", RUNS)
 def stream_failures(spark, sf_dir):
     """Runs of failures in event time, kept as state of a stream until the watermark has passed them."""
     work_ = Workspace(spark, "stream-failures")
-    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", FAILED, "1 hour")
+    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", failed(), "1 hour")
     return progress.finish(found, work_, "out", "update", ("key",)).withColumnRenamed("key", "user_id")
 
 
@@ -286,7 +287,7 @@ STOP = 9
 def stream_stopped(spark, sf_dir):
     """The stream ends itself when anyone has failed STOP times in a row; what had been found until then."""
     work_ = Workspace(spark, "stream-stopped")
-    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", FAILED, "1 hour")
+    found = state.failure_runs(sliced_stream(spark, sf_dir, work_), "user_id", failed(), "1 hour")
     return progress.finish(found, work_, "out", "update", ("key",), until=F.col("longest") >= STOP).withColumnRenamed("key", "user_id")
 
 
