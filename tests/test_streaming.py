@@ -56,13 +56,8 @@ def test_repeated_events_stay_once(spark, tmp_path):
     assert sorted(r.event_id for r in progress.finish(once, place, "out").collect()) == [1, 2, 3]
 
 
-def later_stream(spark, root):
-    """The stream in a session whose state store has timers."""
-    return stream(state.state_session(spark), root)
-
-
 def runs_of(spark, root, name, delay="1 hour", until=None):
-    found = state.failure_runs(later_stream(spark, root), "user_id", F.col("value") <= 50, delay)
+    found = state.failure_runs(stream(spark, root), "user_id", F.col("value") <= 50, delay)
     return {r.key: (r.longest, r.open) for r in progress.finish(found, Workspace(spark, "t"), name, "update", ("key",), until).collect()}
 
 
@@ -89,10 +84,12 @@ def test_runs_of_failures_go_by_event_time_however_rows_arrive(spark, tmp_path):
 
 def test_keys_that_the_last_batch_does_not_touch_stay(spark, tmp_path):
     root = str(tmp_path / "in")
+    before = spark.conf.get(progress.STATE_STORE)
     land(spark, root, "1", event(1, 0, user=0, value=10.0))
     land(spark, root, "2", event(2, 1, user=1, value=10.0), event(3, 2, user=1, value=10.0))
     assert runs_of(spark, root, "a") == {0: (1, 1), 1: (2, 2)}
-    assert progress.finish(state.failure_runs(later_stream(spark, root).where("false"), "user_id", F.lit(True), "1 hour"), Workspace(spark, "t"), "none", "update", ("key",)).count() == 0
+    assert spark.conf.get(progress.STATE_STORE) == before
+    assert progress.finish(state.failure_runs(stream(spark, root).where("false"), "user_id", F.lit(True), "1 hour"), Workspace(spark, "t"), "none", "update", ("key",)).count() == 0
     with pytest.raises(ValueError):
         progress.finish(stream(spark, root), Workspace(spark, "t"), "x", "update")
 
@@ -134,7 +131,7 @@ def test_reservoirs_follow_weights_that_change(spark, tmp_path):
             own = [("k", START + dt.timedelta(minutes=r["at"]), r["item"], r["weight"], r["u"], r["inserts"]) for r in rows[last:cut]]
             spark.createDataFrame(own, schema).coalesce(1).write.parquet(f"{root}/{cut:03}")
             last = cut
-        source = state.state_session(spark).readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(root)
+        source = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(root)
         found = progress.finish(state.reservoirs(source, 8, 3600, "30 minutes"), Workspace(spark, "t"), "out", "update", ("key",))
         assert sorted((r.item, r.weight) for r in found.collect()) == want, n
 

@@ -256,7 +256,7 @@ def sliced_stream(spark, sf_dir, workspace):
     for (n,) in sorted(found.select("slice").distinct().collect()):
         own = found.where(F.col("slice") == n).drop("slice").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
         own.repartition(progress.FILES).write.parquet(workspace.path(f"events/slice-{n:04d}"))
-    stream = state.state_session(spark).readStream.schema(progress.COLUMNS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", progress.FILES)
+    stream = spark.readStream.schema(progress.COLUMNS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", progress.FILES)
     return stream.parquet(workspace.path("events")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

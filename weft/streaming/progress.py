@@ -6,6 +6,7 @@ watermarks need; the session's zone is UTC.
 
 from __future__ import annotations
 
+import contextlib
 import threading
 from collections.abc import Iterator
 from functools import reduce
@@ -43,6 +44,23 @@ def _written(workspace: Workspace, schema: StructType, out: str, keys: tuple[str
     return found.join(last if keys else F.broadcast(last), same).select(*schema.names)
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextlib.contextmanager
+def rocks_db(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which timers need; the session's own setting comes back after.
+
+    A stream has a copy of its session's settings from its start on.
+    """
+    before = spark.conf.getAll.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
 def finish(stream: DataFrame, workspace: Workspace, name: str, mode: str = "append", keys: tuple[str, ...] = (), until: Column | None = None) -> DataFrame:
     """Run a stream over all that is there and return what it wrote.
 
@@ -69,7 +87,8 @@ def finish(stream: DataFrame, workspace: Workspace, name: str, mode: str = "appe
         if until is not None and df.sparkSession.read.schema(stream.schema).parquet(f"{out}/batch={n}").where(until).limit(1).count():
             reached.set()
 
-    query = writer.outputMode(mode).foreachBatch(write).start()
+    with rocks_db(stream.sparkSession):
+        query = writer.outputMode(mode).foreachBatch(write).start()
     while not query.awaitTermination(0.2):
         if reached.is_set():
             query.stop()
