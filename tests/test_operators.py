@@ -662,3 +662,11 @@ def test_mixtures_hooks_and_column_providers(spark):
     assert found.first().double_reward == 2.0
     with pytest.raises(ValueError, match="twice"):
         registry.column("double_reward")(double_reward)
+
+
+def test_extremes_name_the_smallest_key_of_equal_values(spark):
+    data = [("a", 9, 5.0), ("a", 3, 5.0), ("a", 7, 1.0), ("a", 2, 1.0), ("a", 1, None), ("b", 4, None)]
+    df = spark.createDataFrame(data, "g string, k long, v double")
+    for parts in (1, 4):
+        found = df.repartition(parts).groupBy("g").agg(distributions.key_at_most("v", "k").alias("most"), distributions.key_at_least("v", "k").alias("least"))
+        assert rows(found) == [("a", 3, 2), ("b", None, None)]

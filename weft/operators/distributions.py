@@ -136,6 +136,16 @@ def identity_r2(pairs: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
+def key_at_most(value: str, key: str) -> Column:
+    """The key of a group's largest value, the smallest of equal ones; ~ turns the order of keys around, without overflow."""
+    return F.max_by(key, F.when(F.col(value).isNotNull(), F.struct(F.col(value), F.bitwise_not(key))))
+
+
+def key_at_least(value: str, key: str) -> Column:
+    """The key of a group's smallest value, the smallest of equal ones."""
+    return F.min_by(key, F.when(F.col(value).isNotNull(), F.struct(value, key)))
+
+
 def largest(df: DataFrame, group: str, value: str, key: str, most: int) -> DataFrame:
     """group and top: the keys of its largest values, ties by key.
 

@@ -366,11 +366,11 @@ def identity_r2(spark, sf_dir):
   t AS (SELECT event_type, string_agg(event_id::VARCHAR, ',' ORDER BY place) AS top FROM r WHERE place <= 10 GROUP BY event_type)
   SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, arg_max(event_id, value) AS at_max, arg_min(event_id, value) AS at_min, any_value(top) AS top FROM events JOIN t USING (event_type) GROUP BY event_type""")
 def describe_values(spark, sf_dir):
-    """A summary with the sample deviation, where the extremes are, and the ten largest."""
+    """A summary with the sample deviation, where the extremes are (of equal ones the smallest key), and the ten largest."""
     top = dist.largest(table(spark, sf_dir, "events"), "event_type", "value", "event_id", 10).select("event_type", F.array_join(F.transform("top", lambda x: x.cast("string")), ",").alias("top"))
     summary = table(spark, sf_dir, "events").groupBy("event_type").agg(
         F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_samp("value"), 6).alias("std"),
-        F.max_by("event_id", "value").alias("at_max"), F.min_by("event_id", "value").alias("at_min"),
+        dist.key_at_most("value", "event_id").alias("at_max"), dist.key_at_least("value", "event_id").alias("at_min"),
     )
     return summary.join(top, "event_type")
 
