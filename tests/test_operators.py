@@ -670,3 +670,39 @@ def test_extremes_name_the_smallest_key_of_equal_values(spark):
     for parts in (1, 4):
         found = df.repartition(parts).groupBy("g").agg(distributions.key_at_most("v", "k").alias("most"), distributions.key_at_least("v", "k").alias("least"))
         assert rows(found) == [("a", 3, 2), ("b", None, None)]
+
+
+def test_objects_beyond_the_list_are_read_in_slices(spark, monkeypatch):
+    from weft.sources import array_files
+
+    root = Workspace(spark, "t").path("arrays")
+    data = [(f"o{i}", s, "npz", [[float(i)]]) for i in range(40) for s in ("a", "b") if s == "b" or i % 2]
+    array_files.save_arrays(spark.createDataFrame(data, "object string, source string, kind string, value array<array<double>>"), root, "m")
+    assert array_files.entries(*array_files.located(root), False) and not list(array_files.entries(*array_files.located(f"{root}/_written"), False))
+    options = {"path": root, "sources": "a,b,none", "member": "m"}
+    whole = [r for p in array_files.ArrayReader(options).partitions() for r in array_files.ArrayReader(options).read(p)]
+    monkeypatch.setattr(array_files, "LISTED", 10)
+    sliced = array_files.ArrayReader(options)
+    parts = sliced.partitions()
+    assert len(parts) == 3 * array_files.SLICES and not any(hasattr(p, "files") for p in parts)
+    assert sorted(map(str, whole)) == sorted(str(r) for p in parts for r in sliced.read(p)) and len(whole) == 60
+
+
+def test_folders_of_trajectories_are_read_in_slices_of_files(spark, tmp_path):
+    from weft.sources import trajectory_files as tf
+
+    members = [("traj_3/success", "json", ["true", "false"]), ("traj_3/obs/agent/qpos", "text", ["x" * 2000, "y"]), ("traj_3/obs_scene", "scalar", ["s"]), ("traj_3/reward", "json", ["0.5", "2"])]
+    for i in range(30):
+        (tmp_path / f"f{i}.npz").write_bytes(tf.written(members))
+    reader = tf.TrajectoryReader({"root": str(tmp_path)})
+    parts = reader.partitions()
+    assert 1 < len(parts) < 30  # a partition for each file was 30
+    got = [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    own = [(3, 0, "success", "true"), (3, 1, "success", "false"), (3, 0, "obs/agent/qpos", "x" * 2000), (3, 1, "obs/agent/qpos", "y"), (3, -1, "obs_scene", "s"), (3, 0, "reward", "0.5"), (3, 1, "reward", "2.0")]
+    assert sorted(got) == sorted((f"{tmp_path}/f{i}.npz", *r) for i in range(30) for r in own)
+    import numpy as np
+
+    with np.load(tmp_path / "f0.npz") as found:  # numpy reads what is written
+        assert found["traj_3/success"].tolist() == [True, False] and found["traj_3/obs_scene"].item() == "s"
+    np.savez_compressed(tmp_path / "old.npz", **{"traj_1/q": np.asfortranarray(np.arange(6.0).reshape(2, 3))})
+    assert [r[4] for r in tf._npz_rows(str(tmp_path / "old.npz"))] == ["[0.0, 1.0, 2.0]", "[3.0, 4.0, 5.0]"]
