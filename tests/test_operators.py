@@ -706,3 +706,15 @@ def test_folders_of_trajectories_are_read_in_slices_of_files(spark, tmp_path):
         assert found["traj_3/success"].tolist() == [True, False] and found["traj_3/obs_scene"].item() == "s"
     np.savez_compressed(tmp_path / "old.npz", **{"traj_1/q": np.asfortranarray(np.arange(6.0).reshape(2, 3))})
     assert [r[4] for r in tf._npz_rows(str(tmp_path / "old.npz"))] == ["[0.0, 1.0, 2.0]", "[3.0, 4.0, 5.0]"]
+
+
+def test_near_duplicates_of_dense_points(spark):
+    rng = random.Random(5)
+    data = [(i, rng.choice([rng.uniform(-12, 12), float(rng.randint(-12, 12)), 3.0]), float(rng.randint(-9, 9))) for i in range(300)]
+    data += [(1000, -1e-20, 50.0), (1001, 5.0, 50.0), (1002, None, 0.0), (1003, None, 0.0), (None, 3.0, 0.0)]
+    whole = [p for p in data if None not in p]
+    kept = {p for p in data if None in p or not any(p[0] < q[0] and abs(p[1] - q[1]) <= 5 and abs(p[2] - q[2]) <= 5 for q in whole)}
+    found = relations.near_duplicates(spark.createDataFrame(data, "id long, x double, y double"), ["x", "y"], 5.0)
+    assert {tuple(r) for r in found.collect()} == kept and (1000, -1e-20, 50.0) not in kept
+    dense = spark.range(20000).select("id", (F.col("id") % 10 / 10).alias("x"), F.lit(0.0).alias("y"))  # 2e8 pairs, if all were compared
+    assert [r.id for r in relations.near_duplicates(dense, ["x", "y"], 5.0).collect()] == [19999]

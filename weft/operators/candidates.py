@@ -17,7 +17,9 @@ from weft.workspace import Workspace
 
 SPLITS = ("train", "val", "test")
 MIN_MARGIN, MIN_SIMILARITY = 0.03, 0.1
-QUERY_BLOCK, VECTOR_BLOCK = 2048, 8192
+QUERY_BLOCK, VECTOR_BLOCK = 1024, 4096
+#: Queries of a block that are scored at once.
+STRIP = 128
 
 
 def clear_expression(margin: Column, similarity: Column, least_margin: float = MIN_MARGIN, least_similarity: float = MIN_SIMILARITY) -> Column:
@@ -193,7 +195,9 @@ def _blocks(queries: DataFrame, vectors: DataFrame, run, schema: str) -> DataFra
     names = [part.split()[0] for part in schema.split(",")]
 
     def both(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return run(left, right) if len(left) and len(right) else pd.DataFrame({n: [] for n in names})
+        if not len(left) or not len(right):
+            return pd.DataFrame({n: [] for n in names})
+        return pd.concat([run(left.iloc[i : i + STRIP], right) for i in range(0, len(left), STRIP)])
 
     return q.groupBy("__q", "__v").cogroup(v.groupBy("__q", "__v")).applyInPandas(both, schema)
 

@@ -66,17 +66,27 @@ def structural_diff(left: DataFrame, right: DataFrame, path: str, value: str, at
 
 
 def near_duplicates(points: DataFrame, dims: list[str], atol: float) -> DataFrame:
-    """Points without those that have a later point within atol in every dimension. Points are dealt to cells of
-    that size, and only neighbouring cells are compared."""
-    size = 2 * atol
-    own = points.select("*", *[F.floor(F.col(d) / size).alias(f"__c{i}") for i, d in enumerate(dims)])
-    around = own.select(*[F.col(c).alias(f"__o_{c}") for c in ["id", *dims]], *[F.col(f"__c{i}").alias(f"__d{i}") for i in range(len(dims))])
-    for i in range(len(dims)):
-        around = around.withColumn(f"__d{i}", F.explode(F.array(F.col(f"__d{i}") - 1, F.col(f"__d{i}"), F.col(f"__d{i}") + 1)))
-    same_cell = reduce(lambda x, y: x & y, [F.col(f"__c{i}") == F.col(f"__d{i}") for i in range(len(dims))])
+    """Points without those that have a later point within atol in every dimension.
+
+    Points are dealt to cells of that size. A cell's latest point has all others of the cell within atol, which therefore go; only what is
+    left, about one point of a cell, is compared with the points of the cells around. So the work grows with the points, however dense.
+    """
+    cell = lambda x: F.floor(x / atol)
+    own = points.select("*", *[cell(F.col(d)).alias(f"__c{i}") for i, d in enumerate(dims)])
+    places = [F.col(f"__c{i}") for i in range(len(dims))]
+    latest = own.groupBy(*places).agg(F.max_by(F.struct("id", *dims), "id").alias("__l"))
+    to_latest = reduce(lambda x, y: x & y, [c.eqNullSafe(F.col(f"__d{i}")) for i, c in enumerate(places)])
+    latest = latest.select(*[c.alias(f"__d{i}") for i, c in enumerate(places)], "__l")
+    close_to_latest = reduce(lambda x, y: x & y, [F.abs(F.col(d) - F.col(f"__l.{d}")) <= atol for d in dims], F.col("id") < F.col("__l.id"))
+    left = own.join(latest, to_latest).where(~F.coalesce(close_to_latest, F.lit(False))).select(*points.columns)
+    around = left.select(*[F.col(c).alias(f"__o_{c}") for c in ["id", *dims]])
+    wide = atol * (1 + 1e-9)  # differences are rounded
+    for i, d in enumerate(dims):
+        around = around.withColumn(f"__d{i}", F.explode(F.sequence(cell(F.col(f"__o_{d}") - wide), cell(F.col(f"__o_{d}") + wide))))
+    same_cell = reduce(lambda x, y: x & y, [c == F.col(f"__d{i}") for i, c in enumerate(places)])
     close = reduce(lambda x, y: x & y, [F.abs(F.col(d) - F.col(f"__o_{d}")) <= atol for d in dims])
-    gone = own.join(around, same_cell & (F.col("id") < F.col("__o_id")) & close).select("id").distinct()
-    return points.join(gone, "id", "left_anti")
+    gone = around.join(own, same_cell & (F.col("__o_id") < F.col("id")) & close).select("__o_id", *[f"__o_{d}" for d in dims]).distinct()
+    return left.join(gone, reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__o_{c}") for c in ["id", *dims]]), "left_anti")
 
 
 def overlay(*layers: DataFrame, key: str) -> DataFrame:
