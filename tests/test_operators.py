@@ -718,3 +718,51 @@ def test_near_duplicates_of_dense_points(spark):
     assert {tuple(r) for r in found.collect()} == kept and (1000, -1e-20, 50.0) not in kept
     dense = spark.range(20000).select("id", (F.col("id") % 10 / 10).alias("x"), F.lit(0.0).alias("y"))  # 2e8 pairs, if all were compared
     assert [r.id for r in relations.near_duplicates(dense, ["x", "y"], 5.0).collect()] == [19999]
+
+
+def test_blocks_are_scored_in_strips(spark, monkeypatch):
+    from weft.operators import candidates
+
+    rng = random.Random(3)
+    vectors = [(i, [[rng.gauss(0, 1) for _ in range(4)] for _ in range(2)], [rng.gauss(0, 1) for _ in range(4)]) for i in range(30)]
+    v = spark.createDataFrame(vectors, "vec_id long, views array<array<double>>, text array<double>")
+    q = v.select(F.col("vec_id").alias("query"), F.col("views")[0].alias("image"), "text")
+    whole = rows(candidates.fused_top(q, v, 0.5, -9.0, 5))
+    monkeypatch.setattr(candidates, "STRIP", 7)
+    import pandas as pd
+
+    sizes = []
+    candidates._in_strips(pd.Series(range(30)), lambda names, at: pd.DataFrame({"n": [sizes.append(len(names)) or len(range(30)[at])]}))
+    assert sizes == [7, 7, 7, 7, 2]
+    assert rows(candidates.fused_top(q, v, 0.5, -9.0, 5)) == whole and len(whole) == 150
+
+
+def test_components_of_a_grid_broadcast_nothing(spark):
+    cells = spark.createDataFrame([(r, c, 1.0, r * 100 + c) for r in range(4) for c in range(3) if c != 1], "r int, c int, cost double, id long")
+    assert "Broadcast" not in graphs.grid_edges(cells)._jdf.queryExecution().executedPlan().toString()
+    found = graphs.grid_components(cells, Workspace(spark, "t"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found.groupBy("component").count()) == [(0, 4), (2, 4)]
+
+
+def test_steps_have_more_partitions_the_more_rows(spark, monkeypatch):
+    from weft.plans import standins
+
+    lines = spark.range(100).select((F.col("id") % 17).alias("l_orderkey"))
+    assert standins.by_episode(lines) is lines
+    monkeypatch.setattr(standins, "STEP_ROWS", 10)
+    assert standins.by_episode(lines).rdd.getNumPartitions() == 10
+
+
+def test_best_of_buckets_is_the_best_of_the_key(spark):
+    from weft.streaming import state
+
+    data = [("a", b, i, 1.0, float(i % 5)) for b in range(3) for i in range(b, 12, 3)] + [("b", 0, 1, 1.0, 0.5)]
+    found = rows(state.best_of_buckets(spark.createDataFrame(data, "key string, bucket int, item long, weight double, score double"), 3))
+    assert found == [("a", 4, 1.0, 4.0), ("a", 8, 1.0, 3.0), ("a", 9, 1.0, 4.0), ("b", 1, 1.0, 0.5)]
+
+
+def test_runs_of_plain_rows():
+    from weft.streaming import state
+
+    assert state._runs(2, 2, [True, False, True, True]) == (2, 3) and state._runs(1, 4, []) == (1, 4)

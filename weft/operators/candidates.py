@@ -17,7 +17,7 @@ from weft.workspace import Workspace
 
 SPLITS = ("train", "val", "test")
 MIN_MARGIN, MIN_SIMILARITY = 0.03, 0.1
-QUERY_BLOCK, VECTOR_BLOCK = 1024, 4096
+QUERY_BLOCK, VECTOR_BLOCK = 2048, 8192
 #: Queries of a block that are scored at once.
 STRIP = 128
 
@@ -195,9 +195,7 @@ def _blocks(queries: DataFrame, vectors: DataFrame, run, schema: str) -> DataFra
     names = [part.split()[0] for part in schema.split(",")]
 
     def both(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({n: [] for n in names})
-        return pd.concat([run(left.iloc[i : i + STRIP], right) for i in range(0, len(left), STRIP)])
+        return run(left, right) if len(left) and len(right) else pd.DataFrame({n: [] for n in names})
 
     return q.groupBy("__q", "__v").cogroup(v.groupBy("__q", "__v")).applyInPandas(both, schema)
 
@@ -221,6 +219,12 @@ def _best_rows(names: pd.Series, ids: np.ndarray, score: np.ndarray, least: floa
     return pd.concat(out)
 
 
+def _in_strips(queries: pd.Series, run) -> pd.DataFrame:
+    """run(names, their places) for STRIP queries at a time, so that a block's scores are never held as a whole."""
+    places = [slice(i, i + STRIP) for i in range(0, len(queries), STRIP)]
+    return pd.concat([run(queries.iloc[s], s) for s in places])
+
+
 def _ranked(found: DataFrame, most: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
@@ -234,8 +238,13 @@ def fused_top(queries: DataFrame, vectors: DataFrame, text_weight: float, least:
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         image, views = _unit(left["image"]), _unit([np.stack(r) for r in right["views"]])
-        score = np.stack([image @ views[:, k].T for k in range(views.shape[1])]).max(axis=0) + text_weight * (_unit(left["text"]) @ _unit(right["text"]).T)
-        return _best_rows(left["query"], right["vec_id"].to_numpy(), score.round(9), least, most)
+        asked, text, ids = _unit(left["text"]), _unit(right["text"]).T, right["vec_id"].to_numpy()
+
+        def strip(names: pd.Series, at: slice) -> pd.DataFrame:
+            score = np.max([image[at] @ views[:, k].T for k in range(views.shape[1])], axis=0) + text_weight * (asked[at] @ text)
+            return _best_rows(names, ids, score.round(9), least, most)
+
+        return _in_strips(left["query"], strip)
 
     found = _blocks(queries, vectors, best, "query long, vec_id long, score double")
     return _ranked(found, most).select("query", "vec_id", F.round("score", 6).alias("score"), "rank")
@@ -245,7 +254,8 @@ def top_dot(queries: DataFrame, vectors: DataFrame, least: float, most: int) ->
     """(query, vec_id, sim, rank): for each query (query, q) the best vectors (vec_id, e) by their dot product."""
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _best_rows(left["query"], right["vec_id"].to_numpy(), _matrix(left["q"]) @ _matrix(right["e"]).T, least, most)
+        asked, vectors_, ids = _matrix(left["q"]), _matrix(right["e"]).T, right["vec_id"].to_numpy()
+        return _in_strips(left["query"], lambda names, at: _best_rows(names, ids, asked[at] @ vectors_, least, most))
 
     found = _blocks(queries, vectors, best, "query long, vec_id long, score double")
     return _ranked(found, most).select("query", "vec_id", F.round("score", 6).alias("sim"), "rank")
@@ -255,11 +265,16 @@ def label_best(queries: DataFrame, vectors: DataFrame) -> DataFrame:
     """(query, label, sim): for each query the best dot product with another vector of each label."""
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        score = _matrix(left["q"]) @ _matrix(right["e"]).T
-        score[left["query"].to_numpy()[:, None] == right["vec_id"].to_numpy()[None, :]] = -np.inf
+        asked, vectors_, ids = _matrix(left["q"]), _matrix(right["e"]).T, right["vec_id"].to_numpy()
         labels, place = np.unique(right["label"].to_numpy(), return_inverse=True)
-        top = np.stack([score[:, place == k].max(axis=1) for k in range(len(labels))], axis=1)
-        rows = pd.DataFrame({"query": np.repeat(left["query"].to_numpy(), len(labels)), "label": np.tile(labels, len(left)), "sim": top.ravel()})
-        return rows[np.isfinite(rows["sim"])]
+
+        def strip(names: pd.Series, at: slice) -> pd.DataFrame:
+            score = asked[at] @ vectors_
+            score[names.to_numpy()[:, None] == ids[None, :]] = -np.inf
+            top = np.stack([score[:, place == k].max(axis=1) for k in range(len(labels))], axis=1)
+            rows = pd.DataFrame({"query": np.repeat(names.to_numpy(), len(labels)), "label": np.tile(labels, len(names)), "sim": top.ravel()})
+            return rows[np.isfinite(rows["sim"])]
+
+        return _in_strips(left["query"], strip)
 
     return _blocks(queries, vectors, best, "query long, label int, sim double").groupBy("query", "label").agg(F.max("sim").alias("sim"))
