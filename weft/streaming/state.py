@@ -8,10 +8,11 @@ the last snapshot is the batch answer over all rows that were not late. State is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,18 +36,21 @@ class FailureRuns(StatefulProcessor):
         self.settled = handle.getValueState("settled", "run long, most long")
 
     def _step(self, key: tuple, new: list[pd.DataFrame], watermark: int) -> Iterator[pd.DataFrame]:
-        rows = _together(_frame(self.waiting.get(), self.WAITING), *new).sort_values(["at", "id"])
-        due = rows["at"] < watermark
-        if not new and not due.any():  # settled by the rows of this batch
+        rows = [(int(a), int(i), bool(f)) for a, i, f in self.waiting.get()]  # plain tuples: most keys have a few rows
+        for part in new:
+            rows += zip(part["at"].tolist(), part["id"].tolist(), part["failed"].astype(bool).tolist(), strict=True)
+        rows.sort(key=lambda r: r[:2])
+        due = bisect_left(rows, watermark, key=lambda r: r[0])
+        if not new and not due:  # settled by the rows of this batch
             return
-        run, most = _runs(*(self.settled.get() if self.settled.exists() else (0, 0)), rows.loc[due, "failed"])
+        run, most = _runs(*(self.settled.get() if self.settled.exists() else (0, 0)), [r[2] for r in rows[:due]])
         self.settled.update((run, most))
-        left = rows[~due]
+        left = rows[due:]
         self.waiting.clear()
-        if len(left):
-            self.waiting.put([(int(a), int(i), bool(f)) for a, i, f in left.itertuples(index=False)])
-            self.handle.registerTimer(int(left["at"].iloc[0]) + 1)
-        now, top = _runs(run, most, left["failed"])
+        if left:
+            self.waiting.put(left)
+            self.handle.registerTimer(left[0][0] + 1)
+        now, top = _runs(run, most, [r[2] for r in left])
         yield pd.DataFrame({"key": [key[0]], "longest": [top], "open": [now]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -59,16 +63,12 @@ class FailureRuns(StatefulProcessor):
         pass
 
 
-def _runs(run: int, most: int, failed: pd.Series) -> tuple[int, int]:
+def _runs(run: int, most: int, failed: Iterable[bool]) -> tuple[int, int]:
     """The open run and the longest one behind some more rows in order."""
-    if not len(failed):
-        return run, most
-    failed = failed.astype(bool)
-    island = (~failed).cumsum()
-    lengths = failed.groupby(island).sum()
-    if 0 in lengths.index:
-        lengths.loc[0] += run
-    return int(lengths.iloc[-1]), max(most, int(lengths.max()))
+    for f in failed:
+        run = run + 1 if f else 0
+        most = max(most, run)
+    return run, most
 
 
 def failure_runs(events: DataFrame, key: str, failed: Column, delay: str) -> DataFrame:
@@ -126,7 +126,7 @@ class Reservoir(StatefulProcessor):
             self.waiting.put([(int(i), int(a), float(w), float(u), bool(n)) for i, a, w, u, n in left.itertuples(index=False)])
             self.handle.registerTimer(int(left["at"].min()) + self.grace + 1)
         now = self._best(kept, open_)
-        yield now.assign(key=key[0])[["key", *self.KEPT]]
+        yield now.assign(key=key[0], bucket=key[1])[["key", "bucket", *self.KEPT]]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self._step(key, [r[self.WAITING] for r in rows], timerValues.getCurrentWatermarkInMs())
@@ -138,9 +138,20 @@ class Reservoir(StatefulProcessor):
         pass
 
 
-def reservoirs(rows: DataFrame, size: int, grace_seconds: int, delay: str) -> DataFrame:
-    """(key, item, weight, score): weighted reservoirs of rows (key, ts, item, weight, u, inserts); rows later than the delay are dropped."""
-    own = rows.withWatermark("ts", delay).select("key", "ts", F.unix_millis("ts").alias("at"), "item", "weight", "u", "inserts")
+def reservoirs(rows: DataFrame, size: int, grace_seconds: int, delay: str, buckets: int = 1) -> DataFrame:
+    """(key, bucket, item, weight, score): weighted reservoirs of rows (key, ts, item, weight, u, inserts); rows later than the delay are dropped.
+
+    A key's items are dealt to buckets, each with a reservoir of its own, so that no task takes a key's rows alone. The reservoir of a key
+    is the best of its buckets' ones (`best_of_buckets`).
+    """
+    bucket = F.pmod(F.xxhash64("item"), F.lit(buckets)).cast("int").alias("bucket")
+    own = rows.withWatermark("ts", delay).select("key", bucket, "ts", F.unix_millis("ts").alias("at"), "item", "weight", "u", "inserts")
     kind = rows.schema["key"].dataType.simpleString()
     processor = Reservoir(size, 1000 * grace_seconds)
-    return own.groupBy("key").transformWithStateInPandas(processor, f"key {kind}, item long, weight double, score double", "Update", "EventTime")
+    return own.groupBy("key", "bucket").transformWithStateInPandas(processor, f"key {kind}, bucket int, item long, weight double, score double", "Update", "EventTime")
+
+
+def best_of_buckets(found: DataFrame, size: int) -> DataFrame:
+    """(key, item, weight, score): the reservoirs of the keys from those of their buckets, `size` rows of each."""
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), F.desc("item")))
+    return found.withColumn("__n", nth).where(F.col("__n") <= size).drop("__n", "bucket")
