@@ -80,29 +80,32 @@ def grid_edges(cells: DataFrame) -> DataFrame:
     """Edges (r, c) to the neighbours below and to the right, weighted by the larger cost of both ends."""
     to = cells.select(F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("cost").alias("cost2"))
     moves = cells.select("r", "c", "cost", F.explode(F.array(F.struct((F.col("r") + 1).alias("r2"), F.col("c").alias("c2")), F.struct(F.col("r").alias("r2"), (F.col("c") + 1).alias("c2")))).alias("m"))
-    return moves.select("r", "c", "cost", "m.r2", "m.c2").join(to, ["r2", "c2"]).select("r", "c", "r2", "c2", F.greatest("cost", "cost2").alias("weight"))
+    return moves.select("r", "c", "cost", "m.r2", "m.c2").join(to.hint("merge"), ["r2", "c2"]).select("r", "c", "r2", "c2", F.greatest("cost", "cost2").alias("weight"))
 
 
 def grid_components(cells: DataFrame, workspace: Workspace) -> DataFrame:
-    """(r, c, component) of free cells, 4-neighbours; the component is its smallest cell number."""
+    """(r, c, component) of free cells, 4-neighbours; the component is its smallest cell number.
+
+    All joins are of the size of the map in each round; none is broadcast, so nothing of the map goes through the driver.
+    """
     numbered = workspace.save(cells.select("r", "c", "cost", "id"), "cells")
     edges = grid_edges(numbered)
     ids = numbered.select("r", "c", "id")
-    links = edges.join(ids.select("r", "c", F.col("id").alias("a")), ["r", "c"]).join(ids.select(F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("id").alias("b")), ["r2", "c2"])
+    links = edges.join(ids.select("r", "c", F.col("id").alias("a")).hint("merge"), ["r", "c"]).join(ids.select(F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("id").alias("b")).hint("merge"), ["r2", "c2"])
     links = workspace.save(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = workspace.save(numbered.select(F.col("id").alias("v"), F.col("id").alias("component")), "labels-0")
     step = 0
     while True:
         step += 1
-        near = links.join(labels, links["b"] == labels["v"]).groupBy("a").agg(F.min("component").alias("m"))
-        low = labels.join(near, labels["v"] == near["a"], "left").select("v", F.col("component").alias("was"), F.least("component", "m").alias("low"))
+        near = links.join(labels.hint("merge"), links["b"] == labels["v"]).groupBy("a").agg(F.min("component").alias("m"))
+        low = labels.join(near.hint("merge"), labels["v"] == near["a"], "left").select("v", F.col("component").alias("was"), F.least("component", "m").alias("low"))
         jump = labels.select(F.col("v").alias("t"), F.col("component").alias("far"))
-        moved = low.join(jump, low["low"] == jump["t"]).select("v", F.least("low", "far").alias("component"), (F.least("low", "far") != F.col("was")).alias("moved"))
+        moved = low.join(jump.hint("merge"), low["low"] == jump["t"]).select("v", F.least("low", "far").alias("component"), (F.least("low", "far") != F.col("was")).alias("moved"))
         saved = workspace.save(moved, f"labels-{step}")
         labels = saved.select("v", "component")
         if not saved.where("moved").limit(1).count():
             break
-    return numbered.join(labels, numbered["id"] == labels["v"]).select("r", "c", "component")
+    return numbered.join(labels.hint("merge"), numbered["id"] == labels["v"]).select("r", "c", "component")
 
 
 def _square(cells: DataFrame, radius: int) -> DataFrame:
