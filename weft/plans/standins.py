@@ -21,10 +21,20 @@ EPISODES = """episodes AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
+#: Rows of a partition of steps, which a task sorts.
+STEP_ROWS = 1 << 19
+
+
+def by_episode(lines: DataFrame) -> DataFrame:
+    """Line items dealt by order to partitions of about STEP_ROWS rows, so that these grow in number, not in size."""
+    parts = -(-lines.count() // STEP_ROWS)
+    return lines.repartition(max(parts, lines.sparkSession.sparkContext.defaultParallelism), "l_orderkey") if parts > 2 else lines
+
+
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timesteps: line items of an order in a total order."""
     within = Window.partitionBy("l_orderkey").orderBy(*STEP_ORDER)
-    return table(spark, sf_dir, "lineitem").select(
+    return by_episode(table(spark, sf_dir, "lineitem")).select(
         F.col("l_orderkey").alias("episode"),
         (F.row_number().over(within) - 1).cast("long").alias("t"),
         (F.col("l_returnflag") == "R").alias("success"),
