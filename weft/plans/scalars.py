@@ -180,6 +180,10 @@ def depth_codec_roundtrip(spark, sf_dir):
     return e.select("event_id", high.alias("high"), low.alias("low"), F.round(geo.depth_metres(high, low), 9).alias("restored"))
 
 
+#: Pixels of a depth map that is broadcast (24 bytes each); a larger one is joined by a shuffle.
+PIXELS = 1 << 18
+
+
 @query(
     "pinhole_roundtrip",
     f"""WITH {STEPS}, p AS (SELECT episode, t, q, 500 * d / q + 320 AS u, 500 * x / q + 240 AS v FROM steps),
@@ -191,7 +195,9 @@ def pinhole_roundtrip(spark, sf_dir):
     """Projection to pixels and back, in-frame and occlusion test against a depth map, pixels as metres and shares."""
     u, v = geo.project(F.col("d"), F.col("x"), F.col("q"), 500.0, 320.0, 240.0)
     p = steps(spark, sf_dir).select("episode", "t", "q", u.alias("u"), v.alias("v"), F.floor(u / 4).alias("pu"), F.floor(v / 4).alias("pv"))
-    depths = p.groupBy("pu", "pv").agg(F.min("q").alias("depth"))
+    depths = Workspace(spark, "depths").save(p.groupBy("pu", "pv").agg(F.min("q").alias("depth")), "map")
+    if depths.count() <= PIXELS:  # most rows are of few pixels, whose rows would meet in one task
+        depths = F.broadcast(depths)
     back, _ = geo.unproject(F.col("u"), F.col("v"), F.col("q"), 500.0, 320.0, 240.0)
     metres = geo.to_metres(F.col("u"), 20.0, 64.0)
     return p.join(depths, ["pu", "pv"]).select(
