@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import copy
 import hashlib
 import itertools
 import math
@@ -815,6 +816,86 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs(spark, []), net).count() == 0
 
 
+def test_toxicity_learns_every_labelled_row(spark):
+    """Rows beyond any number of smallest hashes count: here they alone are toxic."""
+    ids = spark.range(8600).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
+    late = {r.doc_id for r in ids.collect()[8000:]}
+    rows = [(i, f"w{i % 97} w{i % 89} {'vile' if i in late else 'mild'} w{i % 83}", "en") for i in range(8600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i in late)) for i in range(8600)], "doc_id long, toxic int")
+    got = toxicity.score(df, toxicity.learn(df, labels, F.lit(True))).collect()
+    assert all((r.score >= 0.5) == (r.doc_id in late) for r in got)
+
+
+def test_toxicity_shards_are_averaged_as_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    rows = toxic_corpus(500, 3)
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    df = df.withColumn("at", F.xxhash64("doc_id", F.lit(2))).withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    got = toxicity.learn(df, labels, F.lit(True))
+    again = toxicity.learn(df.repartition(5), labels.repartition(3), F.lit(True))
+    own = sorted(df.where("NOT calibrates").join(labels, "doc_id").collect(), key=lambda r: r["at"])
+    n = -(-len(own) // 100)
+    assert n > 2
+
+    def numbers(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return toxicity.word_ids(data, np.array([0, len(data)]))[0]
+
+    shards = [([numbers(r.text) for r in own if r["at"] % n == k], np.array([r.toxic for r in own if r["at"] % n == k])) for k in range(n)]
+    net, past = toxicity.begin(sum(toxicity.count_words(*x) for x in shards))
+    for number in range(2):
+        after = []
+        for k, (texts, toxic) in enumerate(shards):
+            after.append(copy.deepcopy((net, past)))
+            toxicity.epoch(*after[-1], texts, toxic, np.random.default_rng((toxicity.SEED, k, number)).permutation(len(texts)))
+        moved = np.array([(a.embedding != net.embedding).any(axis=1) | (p.embedding != past.embedding).any(axis=1) for a, p in after])
+        for i, x in enumerate((net, past)):
+            change = sum(a[i].embedding.astype(float) - x.embedding for a in after)
+            x.embedding = (x.embedding + change / np.maximum(moved.sum(axis=0), 1)[:, None]).astype(np.float32)
+            for held in ("filters", "bias"):
+                for k in toxicity.WIDTHS:
+                    getattr(x, held)[k] = np.mean([getattr(a[i], held)[k] for a in after], axis=0)
+            x.out, x.offset = np.mean([a[i].out for a in after], axis=0), float(np.mean([a[i].offset for a in after]))
+    assert np.allclose(got.embedding, net.embedding, atol=1e-4) and np.allclose(got.out, net.out, atol=1e-4) and got.offset == pytest.approx(net.offset, abs=1e-4)
+    assert all(np.allclose(got.filters[k], net.filters[k], atol=1e-4) and np.allclose(got.bias[k], net.bias[k], atol=1e-4) for k in toxicity.WIDTHS)
+    assert np.array_equal(got.embedding, again.embedding) and got.scale == again.scale and got.thresholds == again.thresholds
+
+
+def test_toxicity_long_texts_are_learned_in_windows(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 50, n).astype(np.int32) for n in (0, 3, 200, 7, 1, 64, 0, 31)]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    net, _ = toxicity.begin(toxicity.count_words(texts, np.array([0, 1] * 4)))
+    ids, starts, begins = toxicity.padded(np.concatenate(texts), first)
+    whole = [toxicity.peaks(net, ids, starts, begins, k) for k in toxicity.WIDTHS]
+    monkeypatch.setattr(toxicity, "PIECE", 16)
+    for k, (at, top) in zip(toxicity.WIDTHS, whole, strict=True):
+        cut_at, cut_top = toxicity.peaks(net, ids, starts, begins, k)
+        assert np.allclose(top, cut_top, atol=1e-6)
+        ids_at = np.stack([ids[at + o] for o in range(k)]), np.stack([ids[cut_at + o] for o in range(k)])
+        assert np.array_equal(*ids_at)
+
+
+def test_toxicity_calibration_of_a_table_is_that_of_lists(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 60, rng.integers(1, 12)).astype(np.int32) for _ in range(300)]
+    labels = np.array([int((t < 12).any()) for t in texts])
+    labels[::7] ^= 1
+    languages = ["en" if i % 2 else None if i % 5 == 0 else "de" if i % 3 else "fr" for i in range(300)]
+    monkeypatch.setattr(toxicity, "MIN_POSITIVE", 25)
+    net = toxicity.train(texts, labels)
+    x = [float(net.logits(t, np.array([0, len(t)]), net.tables())[0]) for t in texts]
+    table = spark.createDataFrame(list(zip(languages, labels.tolist(), x, strict=True)), "lang string, toxic int, x float")
+    tabled = copy.deepcopy(net)
+    toxicity.calibrate_rows(tabled, work(spark).save(table.repartition(6), "rows"), work(spark))
+    toxicity.calibrate(net, texts, labels, languages)
+    assert tabled.scale == pytest.approx(net.scale, abs=1e-5)
+    assert tabled.thresholds == pytest.approx(net.thresholds, abs=1e-5) and len(net.thresholds) >= 2
+
+
 # 9 language identification
 
 

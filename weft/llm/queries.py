@@ -141,7 +141,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    net = toxicity.learn(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id")) % 5 != 0)
+    net = toxicity.learn(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id")) % 5 != 0, Workspace(spark, "op8"))
     return toxicity.score(docs, net).select(
         "doc_id",
         (toxicity.fold(F.col("doc_id")) % 5 == 0).alias("held_out"),
