@@ -9,9 +9,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -1078,6 +1080,42 @@ def test_score_edges(spark):
     assert lm_scoring.score(docs(spark, []), work(spark), F.lit(True), UNIGRAM_VOCABULARY).count() == 0
 
 
+def test_chunks_of_texts_take_little_memory(monkeypatch):
+    """A task keeps neither a chunk's texts nor an object a word, and no row holds a whole chunk; words and counts stay exact."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 8 << 20)
+    monkeypatch.setattr(lm_scoring, "TaskContext", type("Context", (), {"get": lambda: type("Task", (), {"partitionId": lambda _: 0})()}))
+    rng = np.random.default_rng(6)
+    vocabulary = np.array([f"Word{i}" for i in range(50_000)])
+    texts = ["" if i % 500 == 3 else " ".join(vocabulary[rng.zipf(1.3, 1000) % len(vocabulary)]) for i in range(1500)]
+    rows = [
+        pa.record_batch([pa.array(range(lo, lo + 100)), pa.array([i % 3 for i in range(lo, lo + 100)], pa.int32()), pa.array(texts[lo : lo + 100])], names=["row", "k", "text"])
+        for lo in range(0, len(texts), 100)
+    ]
+    tracemalloc.start()
+    for _ in lm_scoring._chunks(2)(rows):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    count, text_of, named, largest = [collections.Counter(), collections.Counter()], {}, {}, 0
+    for r in (r for batch in lm_scoring._chunks(2)(rows) for r in batch.to_pylist()):
+        if r["texts"] is None:
+            named[r["chunk"], r["local"]] = r["word"]
+            for k in range(2):
+                count[k][r["word"]] += r[f"c{k}"]
+            continue
+        n = int(np.frombuffer(r["texts"], np.int64, 1)[0])
+        first = np.frombuffer(r["texts"], np.int64, n + 1, 16 + 16 * n)
+        local = np.frombuffer(r["texts"], np.int32, -1, 16 + 16 * n + 8 * (n + 1))
+        text_of |= {i: (r["chunk"], local[a:b]) for i, a, b in zip(np.frombuffer(r["texts"], np.int64, n, 16), first[:-1], first[1:], strict=True)}
+        largest = max(largest, len(r["texts"]))
+    assert len(text_of) == len(texts) and len({c for c, _ in text_of.values()}) > 1
+    for i, (chunk, local) in text_of.items():
+        assert [named[chunk, j] for j in local] == words(texts[i])
+    for k in range(2):
+        assert +count[k] == collections.Counter(w for i, t in enumerate(texts) if i % 3 == k for w in words(t))
+    assert largest < 1 << 20 and peak < 40 << 20
+
+
 def test_digests_are_plain_sha256(spark):
     df = docs(spark).select(F.sha2(exact_dedup.normalised(F.col("text")), 256).alias("h"), "text")
     assert all(r.h == hashlib.sha256(lower(r.text).encode()).hexdigest() for r in df.collect())

@@ -19,7 +19,8 @@ of all texts sum to less than one only by what the pieces give to sequences that
 Corpus counts are exact and cover every training text. A text of counts per row is never exploded:
 
 1. Tasks cut their texts into chunks of CHUNK_BYTES. Each chunk is written as word numbers local to the
-   chunk, and a dictionary (word, count) of the chunk; a frequent word is one row per chunk.
+   chunk, in rows of one block of texts each, and a dictionary (word, count) of the chunk; a frequent word is one row per
+   chunk. A task keeps word numbers and the distinct words of each block, not the texts of a chunk.
 2. Dictionaries are summed by word. The table of words grows with the input and stays distributed.
 3. Each word gets its lattice probability once, returns to the chunks that have it, and the chunks'
    texts are scored with it.
@@ -33,7 +34,7 @@ columns of the input are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,13 +44,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.arrow import map_arrow
+from weft.llm.arrow import map_arrow, release
 from weft.llm import lattice
 from weft.llm.sums import pack, summed, unpack
 from weft.llm.textops import LOWER, blocks, hashed_words
 from weft.workspace import Workspace
 
 CHUNK_BYTES = 20 << 20
+DICTIONARY_ROWS = 20_000
+ROW_GROUP_BYTES = 16 << 20
 EM_STEPS = 2
 DISCOUNT = 0.75
 CLASSES = 6
@@ -62,42 +65,62 @@ def _columns(classes: int) -> list[str]:
     return [f"c{k}" for k in range(classes)]
 
 
-def _chunk(parts: list, number: int, classes: int) -> Iterator[pa.RecordBatch]:
-    """One chunk from its blocks: the row of texts, then the dictionary."""
+@dataclass
+class Block:
+    """Some texts of a chunk: each distinct word once, with its hash, and the texts' words as numbers of those."""
+
+    hashes: np.ndarray
+    words: pa.Array
+    local: np.ndarray
+    lengths: np.ndarray  # words of each text
+    rows: np.ndarray
+    learned: np.ndarray  # the class of a training text, else the number of classes
+
+
+def _block(data: np.ndarray, at: np.ndarray, rows: np.ndarray, learned: np.ndarray) -> Block:
+    data = LOWER[data]
+    hashes, starts, ends, first = hashed_words(data, at)
+    hashes, where, local = np.unique(hashes, return_index=True, return_inverse=True)
+    order = np.argsort(where)
+    starts, ends = starts[where[order]], ends[where[order]]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    body = data[np.cumsum(inside[:-1], dtype=np.int8) > 0]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(where), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+    return Block(hashes, words.take(pa.array(np.argsort(order))), local.astype(np.int32), np.diff(first), rows, learned)
+
+
+def _chunk(blocks_of: list[Block], number: int, classes: int) -> Iterator[pa.RecordBatch]:
+    """One chunk from its blocks: a row of texts for each, then the dictionary."""
     names = ["chunk", "texts", "local", "word", *_columns(classes)]
-    hashes = np.concatenate([p[0] for p in parts])
-    _, at, local = np.unique(hashes, return_index=True, return_inverse=True)
-    per_text = np.concatenate([p[5] for p in parts])  # the class of a training text, else `classes`
-    owner = np.repeat(per_text, np.concatenate([np.diff(p[3]) for p in parts]))
-    count = np.bincount(local * (classes + 1) + owner, minlength=len(at) * (classes + 1)).reshape(-1, classes + 1)
-    block = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])[at]
-    base = np.cumsum([0, *[len(p[0]) for p in parts]])
-    words = []
-    bodies = [p[6].tobytes() for p in parts]
-    for i, b in zip(at, block, strict=True):
-        k = i - base[b]
-        words.append(bodies[b][parts[b][1][k] : parts[b][2][k]])
-    first = np.concatenate([[0], *[p[3][1:] + o for p, o in zip(parts, base[:-1], strict=True)]])
-    rows = len(first) - 1
-    texts = b"".join(
-        x.tobytes()
-        for x in (
-            np.array([rows, len(at)], np.int64),
-            np.concatenate([p[4] for p in parts]).astype(np.int64),
-            per_text.astype(np.int64),
-            first.astype(np.int64),
-            local.astype(np.int32),
+    _, at, to = np.unique(np.concatenate([b.hashes for b in blocks_of]), return_index=True, return_inverse=True)
+    to = np.split(to.astype(np.int32), np.cumsum([len(b.hashes) for b in blocks_of])[:-1])
+    words = pa.concat_arrays([b.words for b in blocks_of]).take(pa.array(at))
+    count = np.zeros((len(at), classes), np.int32)
+    for b, own in zip(blocks_of, to, strict=True):
+        seen = np.bincount(b.local * np.int64(classes + 1) + np.repeat(b.learned, b.lengths), minlength=len(own) * (classes + 1))
+        count[own] += seen.reshape(-1, classes + 1)[:, :classes].astype(np.int32)
+        texts = b"".join(
+            x.tobytes()
+            for x in (
+                np.array([len(b.rows), len(at)], np.int64),
+                b.rows.astype(np.int64),
+                b.learned.astype(np.int64),
+                np.concatenate([[0], np.cumsum(b.lengths)]).astype(np.int64),
+                own[b.local],
+            )
         )
-    )
-    yield pa.record_batch(
-        [pa.array([number]), pa.array([texts], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-         *[pa.array([int((per_text == k).sum())]) for k in range(classes)]], names=names,
-    )
-    for lo in range(0, len(at), 50_000):
-        n = min(50_000, len(at) - lo)
         yield pa.record_batch(
-            [pa.array(np.full(n, number)), pa.nulls(n, pa.binary()), pa.array(np.arange(lo, lo + n, dtype=np.int32)),
-             pa.array(words[lo : lo + n], pa.binary()), *[pa.array(count[lo : lo + n, k]) for k in range(classes)]], names=names,
+            [pa.array([number]), pa.array([texts], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+             *[pa.array([int((b.learned == k).sum())]) for k in range(classes)]], names=names,
+        )
+    for lo in range(0, len(at), DICTIONARY_ROWS):
+        n = min(DICTIONARY_ROWS, len(at) - lo)
+        yield pa.record_batch(
+            [pa.array(np.full(n, number)), pa.nulls(n, pa.binary()), pa.array(np.arange(lo, lo + n, dtype=np.int32)), words[lo : lo + n],
+             *[pa.array(count[lo : lo + n, k].astype(np.int64)) for k in range(classes)]], names=names,
         )
 
 
@@ -110,9 +133,7 @@ def _chunks(classes: int):
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             learned = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, data, at in blocks(batch.column(2)):
-                data = LOWER[data]
-                h, starts, ends, first = hashed_words(data, at)
-                parts.append((h, starts.astype(np.int32), ends.astype(np.int32), first, rows[lo:hi], learned[lo:hi], data))
+                parts.append(_block(data, at, rows[lo:hi].copy(), learned[lo:hi]))
                 held += len(data)
                 if held >= CHUNK_BYTES:
                     yield from _chunk(parts, number, classes)
@@ -206,8 +227,9 @@ def score(
         F.col(text_col).alias("text"),
     )
     schema = "chunk long, texts binary, local int, word binary, " + ", ".join(f"{c} long" for c in counts)
-    chunks = workspace.save(plain.transform(map_arrow, _chunks(classes), schema), "chunks")
-    entries = chunks.where("texts IS NULL").select("chunk", "local", "word", *counts)
+    chunks = workspace.save(plain.transform(map_arrow, _chunks(classes), schema), "chunks", **{"parquet.block.size": ROW_GROUP_BYTES})
+    of_text = F.col("local").isNull()  # a filter on texts would read them
+    entries = chunks.where(~of_text).select("chunk", "local", "word", *counts)
     words = workspace.save(entries.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]), "words")
     known = sum((F.col(c) for c in counts), F.lit(0)) > 0
     totals = words.agg(
@@ -215,7 +237,7 @@ def score(
         *[F.count(F.when(F.col(c) > 0, 1)).alias(f"v_{c}") for c in counts],
         F.count(F.when(known, 1)).alias("v"),
     ).first()
-    ends = chunks.where("texts IS NOT NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]).first()
+    ends = chunks.where(of_text).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]).first()
     facts = Facts(
         np.array([totals[f"n_{c}"] + ends[c] for c in counts], float),
         np.array([totals[f"v_{c}"] for c in counts], float),
@@ -255,10 +277,13 @@ def score(
 
     back = entries.select("chunk", "local", "word").join(priced, "word").select("chunk", "local", "c", "prices")
     back = back.transform(map_arrow, packed, "chunk long, local binary, c binary, prices binary")
-    texts = chunks.where("texts IS NOT NULL").select("chunk", "texts")
+    texts = chunks.where(of_text).select("chunk", "texts")
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([_score_chunk(x, right, facts) for x in left["texts"]])
+        try:
+            return _score_chunk(left["texts"], right, facts)
+        finally:
+            release()
 
     schema = "row long, learned boolean, n_tokens long, n_known long, base_score double, score double"
     found = texts.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(scored, schema)
@@ -300,18 +325,25 @@ class Facts:
         return lattice.log_likelihoods(_marked(words), vocab, log_p, into=closed, whole=whole)
 
 
-def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.DataFrame:
-    """Scores of a chunk's texts."""
-    rows, types = np.frombuffer(blob, np.int64, 2)
+def _score_chunk(texts: Iterable[bytes], dictionary: pd.DataFrame, facts: Facts) -> pd.DataFrame:
+    """Scores of a chunk's texts, block by block."""
+    classes, texts = len(facts.ends), list(texts)
+    types = int(np.frombuffer(texts[0], np.int64, 2)[1])
+    c, prices = np.zeros(types, np.int64), np.zeros((classes, types), np.float32)
+    for at, x, y in zip(dictionary["local"], dictionary["c"], dictionary["prices"], strict=True):
+        at = np.frombuffer(at, np.int32)
+        c[at], prices[:, at] = np.frombuffer(x, np.int64), np.frombuffer(y, np.float32).reshape(-1, classes).T
+    base = np.log10((c + 0.5) / (facts.tokens + 0.5 * (facts.distinct + 1)))
+    return pd.concat([_score_block(blob, c > 0, base, prices, facts) for blob in texts])
+
+
+def _score_block(blob: bytes, known: np.ndarray, base: np.ndarray, prices: np.ndarray, facts: Facts) -> pd.DataFrame:
+    """Scores of a block's texts; the arrays are the chunk's, by word number."""
+    rows = int(np.frombuffer(blob, np.int64, 1)[0])
     ids = np.frombuffer(blob, np.int64, rows, 16)
-    classes = len(facts.ends)
-    learned = np.frombuffer(blob, np.int64, rows, 16 + 8 * rows) < classes
+    learned = np.frombuffer(blob, np.int64, rows, 16 + 8 * rows) < len(facts.ends)
     first = np.frombuffer(blob, np.int64, rows + 1, 16 + 16 * rows)
     local = np.frombuffer(blob, np.int32, -1, 16 + 16 * rows + 8 * (rows + 1))
-    c, prices = np.zeros(types, np.int64), np.zeros((types, classes), np.float32)
-    for at, x, y in zip(dictionary["local"], dictionary["c"], dictionary["prices"], strict=True):
-        at = np.frombuffer(at, np.int32)
-        c[at], prices[at] = np.frombuffer(x, np.int64), np.frombuffer(y, np.float32).reshape(-1, classes)
     length = np.diff(first)
     text = np.repeat(np.arange(rows), length)
 
@@ -320,12 +352,11 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
 
     ends = facts.ends.sum()
     norm = facts.tokens + 0.5 * (facts.distinct + 1)
-    base = np.log10((c + 0.5) / norm)
     some = np.flatnonzero(facts.ends) if ends else np.array([0])
     by_class = np.empty((len(some), rows))
     for row, k in enumerate(some):
         share = facts.ends[k] / ends if ends else 1.0
-        by_class[row] = total(prices[:, k].astype(float)[local]) + facts.end_log_p(k) + np.log(share)
+        by_class[row] = total(prices[k][local]) + facts.end_log_p(k) + np.log(share)
     top = by_class.max(axis=0)
     score = top + np.log(np.exp(by_class - top).sum(axis=0))
     return pd.DataFrame(
@@ -333,7 +364,7 @@ def _score_chunk(blob: bytes, dictionary: pd.DataFrame, facts: Facts) -> pd.Data
             "row": ids,
             "learned": learned,
             "n_tokens": length + 1,
-            "n_known": total((c[local] > 0).astype(float)).astype(np.int64) + int(ends > 0),
+            "n_known": total(known[local]).astype(np.int64) + int(ends > 0),
             "base_score": total(base[local]) + np.log10((ends + 0.5) / norm),
             "score": score / np.log(10),
         }
