@@ -708,6 +708,50 @@ def test_folders_of_trajectories_are_read_in_slices_of_files(spark, tmp_path):
     assert [r[4] for r in tf._npz_rows(str(tmp_path / "old.npz"))] == ["[0.0, 1.0, 2.0]", "[3.0, 4.0, 5.0]"]
 
 
+def test_trajectory_files_are_compressed_as_a_whole(spark, tmp_path):
+    from weft.sources import trajectory_files as tf
+
+    data = [("f", f"traj_{i}/{leaf}", kind, texts) for i in range(100) for leaf, kind, texts in (("success", "json", ["false", "true"]), ("obs/q", "text", [f"x{i}", "y" * (i * 30)]), ("obs_scene", "scalar", [f"s{i}"]))]
+    members = spark.createDataFrame(data, "file string, name string, kind string, texts array<string>")
+    tf.write_trajectories(members, f"{tmp_path}/plain")
+    tf.write_trajectories(members, f"{tmp_path}/whole", compression="zstd")
+    plain, whole = tmp_path / "plain" / "f.npz", tmp_path / "whole" / "f.npz.zst"
+    assert whole.stat().st_size * 5 < plain.stat().st_size
+    leaves = ["traj_idx", "t", "key", "value"]
+    found = rows(tf.read_trajectories(spark, f"{tmp_path}/whole").select(leaves))
+    assert found == rows(tf.read_trajectories(spark, f"{tmp_path}/plain").select(leaves)) and len(found) == 500
+    assert rows(spark.read.format("trajectories").option("paths", str(whole)).load().select(leaves)) == found
+
+
+def test_trajectories_are_dealt_once_and_parts_of_any_number_are_found(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from weft.plans import storage
+    from weft.plans.registry import oracles
+    from weft.sources import trajectory_files as tf
+
+    data = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{data}/lineitem.parquet").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{data}/part.parquet").where("p_partkey % 5 <> 0").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")  # a part of some steps is not there
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    names = "file, traj_idx, n_steps, success, object_name, task_description, moved, open"  # steps of a file are numbered without those that have no part
+    wanted = sorted(con.execute(f"SELECT {names} FROM ({oracles()['trajectory_files']})").fetchall())
+    write, shuffles = tf.write_trajectories, []
+
+    def counted(members, root, *dealt, **options):
+        plan = members.groupBy("file", *dealt).count()._jdf.queryExecution().executedPlan().toString()
+        shuffles.append(plan.count("Exchange hashpartitioning"))
+        write(members, root, *dealt, **options)
+
+    monkeypatch.setattr(tf, "write_trajectories", counted)
+    for most in (storage.BROADCAST_PARTS, 0):
+        monkeypatch.setattr(storage, "BROADCAST_PARTS", most)
+        assert sorted(map(tuple, storage.trajectory_files(spark, str(tmp_path)).select(names.split(", ")).collect())) == wanted and len(wanted) > 1000
+    assert shuffles == [1, 4]  # it was 3, and one more to write the files, for few parts
+
+
 def test_near_duplicates_of_dense_points(spark):
     rng = random.Random(5)
     data = [(i, rng.choice([rng.uniform(-12, 12), float(rng.randint(-12, 12)), 3.0]), float(rng.randint(-9, 9))) for i in range(300)]

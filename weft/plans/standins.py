@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.sources.tables import table
@@ -31,10 +31,29 @@ def by_episode(lines: DataFrame) -> DataFrame:
     return lines.repartition(max(parts, lines.sparkSession.sparkContext.defaultParallelism), "l_orderkey") if parts > 2 else lines
 
 
-def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timesteps: line items of an order in a total order."""
-    within = Window.partitionBy("l_orderkey").orderBy(*STEP_ORDER)
-    return by_episode(table(spark, sf_dir, "lineitem")).select(
+def dealt_parts(lines: DataFrame) -> int:
+    """Partitions of about STEP_ROWS rows, and one for each core at least."""
+    return max(-(-lines.count() // STEP_ROWS), lines.sparkSession.sparkContext.defaultParallelism)
+
+
+def house_of(episode: str, size: int) -> Column:
+    return F.floor(F.col(episode) / size)
+
+
+def steps(spark: SparkSession, sf_dir: str, house: int | None = None) -> DataFrame:
+    """Timesteps: line items of an order in a total order.
+
+    With `house`, so many neighbouring episodes are a house, whose number is a column more; rows are dealt by it, so that windows and groups
+    of houses, and of episodes with their houses, need no other shuffle.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if house:
+        lines = lines.withColumn("house", house_of("l_orderkey", house)).repartition(dealt_parts(lines), "house")
+    else:
+        lines = by_episode(lines)
+    within = Window.partitionBy(*["house"] * bool(house), "l_orderkey").orderBy(*STEP_ORDER)
+    return lines.select(
+        *["house"] * bool(house),
         F.col("l_orderkey").alias("episode"),
         (F.row_number().over(within) - 1).cast("long").alias("t"),
         (F.col("l_returnflag") == "R").alias("success"),

@@ -5,7 +5,8 @@
 
 In an npz file a member's name is its path (traj_0/obs/agent/qpos). Text is kept as rows of bytes, padded with zeros to one length.
 `write_trajectories` writes npz files, one for each file name of its rows, from the tasks; they are opened through pyarrow's file systems,
-HDF5 files by their local paths. A file that is named is a partition; of a folder (option root) a partition is one of at most SLICES slices of
+HDF5 files by their local paths. A npz file spends some 800 bytes on the headers of a trajectory of three members; with compression zstd
+it is compressed as a whole (a.npz.zst), its members stored as they are. A file that is named is a partition; of a folder (option root) a partition is one of at most SLICES slices of
 its npz files, by the crc32 of the name, which its task lists itself. A task holds one file at a time.
 """
 
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 from importlib.util import find_spec
 from itertools import islice
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,10 @@ FILES = 8
 ROWS = 1 << 15
 #: Members that are smaller are stored as they are.
 DEFLATED = 1 << 10
+#: Endings of npz files by their compression.
+ENDINGS = {None: ".npz", "zstd": ".npz.zst"}
+NPZ = tuple(ENDINGS.values())
+LEVEL = 6
 
 
 def padded_text(row) -> str:
@@ -76,7 +82,7 @@ class TrajectoryReader(DataSourceReader):
 
     def _names(self) -> Iterator[str]:
         system, root = located(self.root)
-        return (n for n in entries(system, root, False) if n.endswith(".npz"))
+        return (n for n in entries(system, root, False) if n.endswith(NPZ))
 
     def partitions(self) -> list[InputPartition]:
         if self.root is None:
@@ -90,7 +96,7 @@ class TrajectoryReader(DataSourceReader):
             for name in self._names():
                 if in_slice(name, partition.number, partition.of):
                     yield from batches(_npz_rows(f"{root}/{name}"))
-        elif partition.path.endswith(".npz"):
+        elif partition.path.endswith(NPZ):
             yield from _npz_rows(partition.path)
         else:
             import h5py
@@ -193,8 +199,8 @@ def padded_rows(texts: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), np.uint8).reshape(len(data), width)
 
 
-def written(members) -> bytes:
-    """A npz file of members (name, kind, texts)."""
+def written(members, deflated: float = DEFLATED) -> bytes:
+    """A npz file of members (name, kind, texts); those of so many bytes are deflated."""
     made = {"text": padded_rows, "json": lambda x: np.array(json.loads(f"[{','.join(x)}]")), "scalar": lambda x: np.array(x[0])}
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as file:
@@ -202,7 +208,7 @@ def written(members) -> bytes:
             data = io.BytesIO()
             np.lib.format.write_array(data, made[kind](texts), allow_pickle=False)
             data = data.getvalue()
-            file.writestr(f"{name}.npy", data, zipfile.ZIP_DEFLATED if len(data) >= DEFLATED else zipfile.ZIP_STORED)
+            file.writestr(f"{name}.npy", data, zipfile.ZIP_DEFLATED if len(data) >= deflated else zipfile.ZIP_STORED)
     return out.getvalue()
 
 
@@ -215,20 +221,23 @@ class TrajectoryWriter(DataSourceWriter):
     """Writes rows (file, members: array of (name, kind, texts)); kind is text (padded rows), json (an array of JSON values) or scalar (one text)."""
 
     def __init__(self, options: dict[str, str]):
-        self.root = options["path"]
+        self.root, self.compression = options["path"], options.get("compression")
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         system, root = located(self.root)
+        codec = pa.Codec(self.compression, compression_level=LEVEL) if self.compression else None
+        deflated = inf if codec else DEFLATED  # what is deflated is not compressed again
         system.create_dir(f"{root}/{LISTS}", recursive=True)
         listed = f"{root}/{LISTS}/{uuid.uuid4().hex}"
         with system.open_output_stream(listed) as names:
             for row in rows:
-                path = f"{root}/{row.file}.npz"
+                path = f"{root}/{row.file}{ENDINGS[self.compression]}"
                 own = f"{path}.{TaskContext.get().taskAttemptId()}"
+                data = written(row.members, deflated)
                 with system.open_output_stream(own) as f:
-                    f.write(written(row.members))
+                    f.write(codec.compress(data) if codec else data)
                 system.move(own, path)
                 names.write(f"{json.dumps(path)}\n".encode())
         return _Written(listed)
@@ -254,7 +263,7 @@ class TrajectoryFiles(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         reader = TrajectoryReader(dict(self.options))
-        if find_spec("h5py") is None and not all(p.endswith(".npz") for p in reader.paths):
+        if find_spec("h5py") is None and not all(p.endswith(NPZ) for p in reader.paths):
             raise ImportError("reading HDF5 trajectory files needs h5py")
         return reader
 
@@ -262,11 +271,15 @@ class TrajectoryFiles(DataSource):
         return TrajectoryWriter(dict(self.options))
 
 
-def write_trajectories(members: DataFrame, root: str) -> None:
-    """members (file, name, kind, texts), a row for each member; the rows of a file meet in one task, which writes it."""
+def write_trajectories(members: DataFrame, root: str, *dealt: str, compression: str | None = None) -> None:
+    """members (file, name, kind, texts), a row for each member; the rows of a file meet in one task, which writes it.
+
+    `dealt` names columns that are one for each file and by which the rows are dealt already; then nothing is shuffled. compression is zstd or none.
+    """
     members.sparkSession.dataSource.register(TrajectoryFiles)
-    files = members.groupBy("file").agg(F.collect_list(F.struct("name", "kind", "texts")).alias("members"))
-    files.write.format("trajectories").option("path", root).mode("append").save()
+    files = members.groupBy("file", *dealt).agg(F.collect_list(F.struct("name", "kind", "texts")).alias("members")).select("file", "members")
+    writer = files.write.format("trajectories").option("path", root)
+    (writer.option("compression", compression) if compression else writer).mode("append").save()
 
 
 def read_trajectories(spark, root: str) -> DataFrame:
